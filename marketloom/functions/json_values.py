@@ -1,8 +1,8 @@
-"""Strictly typed reads from JSON held as VARIANT.
+"""Strictly typed reads of JSON text.
 
-Casting a VARIANT coerces (``true`` becomes 1, ``"7"`` becomes 7), so every predicate looks at the
-JSON type first. A predicate is never NULL: absent values and JSON null give ``False`` unless the
-predicate is an ``optional_*`` one. All functions take the value and the path of the field.
+``read_object`` parses a text once against a schema. The JSON reader is strict about numbers: an
+integer field takes neither ``1.5`` nor ``true`` nor ``"7"``; such a value leaves NULL and marks the
+record. Where only text is allowed, or any type is, the schema says VARIANT and the type is asked for.
 """
 
 from __future__ import annotations
@@ -10,80 +10,79 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-INT_MAX = 2147483647
-BIGINT_MAX = 9223372036854775807
+BAD_RECORD = "bad_record"
+END_MARK = "end_of_payload_mark"
+
+# Text that is not plain JSON is refused; NaN is read and fails the range checks.
+READ_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD, "allowSingleQuotes": "false"}
 
 # (?U) makes \s cover Unicode white space; the four separators count as white space as well.
 VISIBLE_TEXT = r"(?U)[^\s\x1c-\x1f]"
-OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-
-
-def parse_object(text: Column) -> Column:
-    """The VARIANT of a JSON *object* text; NULL for anything else."""
-    return F.when(text.rlike(r"^\s*\{"), F.try_parse_json(text))
-
-
-def text_of(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, f"$.{path}", "string")
-
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
-def long_of(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, f"$.{path}", "bigint")
 
+def read_object(text: Column, fields: str) -> Column:
+    """A struct of ``payload`` (NULL unless the text is one JSON object) and ``well_typed``.
 
-def int_of(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, f"$.{path}", "int")
+    The reader stops after the first value. Reading the text as first element of a two-element array
+    whose second is a mark makes anything after the object break the array or hide the mark.
+    """
+    wrapped = F.concat(F.lit('{"parts":['), text, F.lit(',{"' + END_MARK + '":true}]}'))
+    schema = f"parts ARRAY<STRUCT<{fields}, {END_MARK} BOOLEAN>>, {BAD_RECORD} STRING"
+    return F.from_json(wrapped, schema, READ_OPTIONS)
 
 
-def decimal_of(value: Column, path: str, precision: int, scale: int) -> Column:
-    """A number rounded half-up through double to the column type; NULL when it does not fit."""
-    return F.try_variant_get(value, f"$.{path}", "double").try_cast(f"decimal({precision},{scale})")
+def payload_of(read: Column) -> Column:
+    parts = read["parts"]
+    complete = (F.size(parts) == 2) & F.coalesce(F.get(parts, F.lit(1))[END_MARK], F.lit(False))
+    return F.when(complete, F.get(parts, F.lit(0)))
 
 
-def elements_of(value: Column, path: str) -> Column:
-    """The elements of a JSON array; NULL when the value is not an array."""
-    return F.try_variant_get(value, f"$.{path}", "array<variant>")
+def is_well_typed(read: Column) -> Column:
+    return read[BAD_RECORD].isNull()
 
 
-def json_type(value: Column, path: str) -> Column:
-    """Type name of a scalar field: BIGINT, DECIMAL(p,s), DOUBLE, STRING, BOOLEAN, VOID; NULL if absent."""
-    return F.schema_of_variant(F.try_variant_get(value, f"$.{path}", "variant"))
+def json_type(value: Column) -> Column:
+    """Type name of a scalar VARIANT: BIGINT, DECIMAL(p,s), DOUBLE, STRING, BOOLEAN, VOID; NULL if absent."""
+    return F.schema_of_variant(value)
 
 
-def _is_missing(value: Column, path: str) -> Column:
-    return F.coalesce(json_type(value, path) == "VOID", F.lit(True))
+def text_value(value: Column) -> Column:
+    """The text of a VARIANT that holds a string; NULL for every other type."""
+    return F.when(json_type(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
-def is_integer(value: Column, path: str) -> Column:
-    return F.coalesce(json_type(value, path) == "BIGINT", F.lit(False))
+def whole_number(value: Column) -> Column:
+    """The number of a VARIANT that holds an integer; NULL for every other type."""
+    return F.when(json_type(value) == "BIGINT", F.try_variant_get(value, "$", "bigint"))
 
 
-def is_string(value: Column, path: str) -> Column:
-    return F.coalesce(json_type(value, path) == "STRING", F.lit(False))
+def nested_object(value: Column, fields: str) -> Column:
+    """The fields of a VARIANT that holds an object; NULLs for every other type."""
+    return F.from_json(F.to_json(value), fields, READ_OPTIONS)
 
 
-def is_positive_integer(value: Column, path: str, high: int = BIGINT_MAX) -> Column:
-    return is_integer(value, path) & long_of(value, path).between(1, high)
+def to_decimal(number: Column, precision: int, scale: int) -> Column:
+    """Half-up through double to the column type; NULL when it is not a number or does not fit."""
+    return number.try_cast("double").try_cast(f"decimal({precision},{scale})")
 
 
-def is_non_negative_integer(value: Column, path: str, high: int = BIGINT_MAX) -> Column:
-    return is_integer(value, path) & long_of(value, path).between(0, high)
+def holds(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
 
 
-def is_non_negative_number(value: Column, path: str, precision: int = 18, scale: int = 2) -> Column:
-    """A JSON number >= 0 that the target column can hold."""
-    numeric = F.coalesce(json_type(value, path).rlike("^(BIGINT|DOUBLE|DECIMAL)"), F.lit(False))
-    not_negative = F.try_variant_get(value, f"$.{path}", "double") >= 0
-    return numeric & not_negative & decimal_of(value, path, precision, scale).isNotNull()
+def is_visible(text: Column) -> Column:
+    return holds(text.rlike(VISIBLE_TEXT))
 
 
-def is_visible_string(value: Column, path: str) -> Column:
-    return is_string(value, path) & text_of(value, path).rlike(VISIBLE_TEXT)
+def is_amount(number: Column, precision: int = 18, scale: int = 2) -> Column:
+    """A number >= 0 that the target column can hold."""
+    return holds((number >= 0) & to_decimal(number, precision, scale).isNotNull())
 
 
-def optional_non_negative_integer(value: Column, path: str, high: int = BIGINT_MAX) -> Column:
-    return _is_missing(value, path) | is_non_negative_integer(value, path, high)
+def is_optional_amount(number: Column, precision: int = 18, scale: int = 2) -> Column:
+    return number.isNull() | is_amount(number, precision, scale)
 
 
-def optional_non_negative_number(value: Column, path: str, precision: int = 18, scale: int = 2) -> Column:
-    return _is_missing(value, path) | is_non_negative_number(value, path, precision, scale)
+def is_optional_count(number: Column) -> Column:
+    return number.isNull() | (number >= 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marketloom.functions.json_values import OUTER_SPACE
+from marketloom.functions.json_values import WHITE_SPACE
 
 UNKNOWN = "unknown"
 
@@ -38,7 +38,7 @@ def full_name(first: Column, last: Column) -> Column:
 def category_hint(url: Column) -> Column:
     """The path segment after ``/product-images/`` of an image URL, if there is one."""
     segment = F.regexp_extract(url, "/product-images/([^/]+)/", 1)
-    return F.nullif(F.regexp_replace(segment, OUTER_SPACE, ""), F.lit(""))
+    return F.nullif(F.btrim(segment, F.lit(WHITE_SPACE)), F.lit(""))
 
 
 def is_batch_date(text: Column) -> Column:

@@ -19,123 +19,138 @@ from marketloom.schemas import FEEDS, columns_of
 ENVELOPE_COLUMNS = ("source", "batch_date", "dt")
 
 
-def _first_reason(*checks: tuple[str, Column]) -> Column:
-    """Name of the first check that fails; NULL when all hold."""
-    return F.coalesce(*[F.when(~holds, F.lit(name)) for name, holds in checks])
-
-
-def _envelope_checks(source: str) -> tuple[tuple[str, Column], ...]:
-    same_batch = F.coalesce(F.col("batch_date") == F.col("dt"), F.lit(False))
-    return (
-        ("source_mismatch", F.coalesce(F.col("source") == source, F.lit(False))),
-        ("batch_date_mismatch", same_batch),
-        ("payload_not_object", F.col("payload").isNotNull()),
+PRODUCT_FIELDS = (
+    "id BIGINT, title VARIANT, price DOUBLE, stock INT, category STRING, brand STRING, "
+    "discountPercentage STRING, rating STRING, availabilityStatus STRING, thumbnail STRING"
+)
+USER_FIELDS = (
+    "id BIGINT, username VARIANT, firstName VARIANT, lastName VARIANT, gender STRING, age VARIANT, "
+    "email STRING, phone STRING, role STRING, address VARIANT"
+)
+ADDRESS_FIELDS = "city STRING, state STRING, country STRING, coordinates STRUCT<lat STRING, lng STRING>"
+CART_FIELDS = (
+    "id BIGINT, userId BIGINT, total DOUBLE, discountedTotal DOUBLE, totalProducts INT, totalQuantity INT, "
+    "products ARRAY<STRUCT<id BIGINT, title STRING, price DOUBLE, quantity INT, total DOUBLE, "
+    "discountPercentage DOUBLE, discountedTotal DOUBLE, thumbnail VARIANT>>"
+)
+
+
+def _read(envelopes: DataFrame, fields: str) -> DataFrame:
+    """Envelope columns plus the payload ``p`` and ``well_typed``."""
+    read = F.col("read")
+    return envelopes.select(*ENVELOPE_COLUMNS, J.read_object(F.col("data"), fields).alias("read")).select(
+        *ENVELOPE_COLUMNS, J.payload_of(read).alias("p"), J.is_well_typed(read).alias("well_typed")
     )
 
 
-def _with_payload(envelopes: DataFrame) -> DataFrame:
-    return envelopes.select(*ENVELOPE_COLUMNS, J.parse_object(F.col("data")).alias("payload"))
+def _reason(source: str, *checks: tuple[str, Column]) -> Column:
+    """Name of the first check that fails; NULL when all hold."""
+    all_checks = (
+        ("source_mismatch", J.holds(F.col("source") == source)),
+        ("batch_date_mismatch", J.holds(F.col("batch_date") == F.col("dt"))),
+        ("payload_not_object", F.col("p").isNotNull()),
+        *checks,
+        ("wrong_type", F.col("well_typed")),
+    )
+    return F.coalesce(*[F.when(~check, F.lit(name)) for name, check in all_checks]).alias("reject_reason")
 
 
 def check_products(envelopes: DataFrame) -> DataFrame:
-    p = F.col("payload")
-    reason = _first_reason(
-        *_envelope_checks("products"),
-        ("invalid_id", J.is_positive_integer(p, "id")),
-        ("invalid_title", J.is_visible_string(p, "title")),
-        ("invalid_price", J.is_non_negative_number(p, "price")),
-        ("invalid_stock", J.optional_non_negative_integer(p, "stock", J.INT_MAX)),
-    )
-    return _with_payload(envelopes).select(
-        J.long_of(p, "id").alias("product_id"),
-        J.text_of(p, "title").alias("product_name"),
-        J.text_of(p, "category").alias("category"),
-        J.text_of(p, "brand").alias("brand"),
-        J.decimal_of(p, "price", 18, 2).alias("price"),
-        J.decimal_of(p, "discountPercentage", 10, 2).alias("discount_percentage"),
-        J.decimal_of(p, "rating", 10, 2).alias("rating"),
-        J.int_of(p, "stock").alias("stock"),
-        J.text_of(p, "availabilityStatus").alias("availability_status"),
-        J.text_of(p, "thumbnail").alias("thumbnail"),
+    p = F.col("p")
+    title = J.text_value(p["title"]).alias("product_name")
+    read = _read(envelopes, PRODUCT_FIELDS).select("*", title)
+    return read.select(
+        p["id"].alias("product_id"),
+        "product_name",
+        p["category"].alias("category"),
+        p["brand"].alias("brand"),
+        J.to_decimal(p["price"], 18, 2).alias("price"),
+        J.to_decimal(p["discountPercentage"], 10, 2).alias("discount_percentage"),
+        J.to_decimal(p["rating"], 10, 2).alias("rating"),
+        p["stock"].alias("stock"),
+        p["availabilityStatus"].alias("availability_status"),
+        p["thumbnail"].alias("thumbnail"),
         *ENVELOPE_COLUMNS,
-        reason.alias("reject_reason"),
+        _reason(
+            "products",
+            ("invalid_id", J.holds(p["id"] > 0)),
+            ("invalid_title", J.is_visible(F.col("product_name"))),
+            ("invalid_price", J.is_amount(p["price"])),
+            ("invalid_stock", J.is_optional_count(p["stock"])),
+        ),
     )
 
 
 def check_users(envelopes: DataFrame) -> DataFrame:
-    p = F.col("payload")
-    reason = _first_reason(
-        *_envelope_checks("users"),
-        ("invalid_id", J.is_positive_integer(p, "id")),
-        ("invalid_username", J.is_visible_string(p, "username")),
+    p = F.col("p")
+    read = _read(envelopes, USER_FIELDS).select(
+        "*",
+        J.text_value(p["username"]).alias("username"),
+        J.text_value(p["firstName"]).alias("first_name"),
+        J.text_value(p["lastName"]).alias("last_name"),
+        J.whole_number(p["age"]).alias("whole_age"),
+        J.nested_object(p["address"], ADDRESS_FIELDS).alias("address"),
     )
-    read = _with_payload(envelopes).select(
-        J.long_of(p, "id").alias("user_id"),
-        J.text_of(p, "username").alias("username"),
-        F.when(J.is_string(p, "firstName"), J.text_of(p, "firstName")).alias("first_name"),
-        F.when(J.is_string(p, "lastName"), J.text_of(p, "lastName")).alias("last_name"),
-        J.text_of(p, "gender").alias("gender"),
-        J.int_of(p, "age").alias("age"),
-        F.when(J.is_integer(p, "age"), J.long_of(p, "age")).alias("whole_age"),
-        J.text_of(p, "email").alias("email"),
-        J.text_of(p, "phone").alias("phone"),
-        J.text_of(p, "address.city").alias("city"),
-        J.text_of(p, "address.state").alias("state"),
-        J.text_of(p, "address.country").alias("country"),
-        J.decimal_of(p, "address.coordinates.lat", 18, 6).alias("latitude"),
-        J.decimal_of(p, "address.coordinates.lng", 18, 6).alias("longitude"),
-        J.text_of(p, "role").alias("role"),
+    address = F.col("address")
+    return read.select(
+        p["id"].alias("user_id"),
+        "username",
+        text.full_name(F.col("first_name"), F.col("last_name")).alias("full_name"),
+        p["gender"].alias("gender"),
+        F.try_variant_get(p["age"], "$", "int").alias("age"),
+        text.age_group(F.col("whole_age")).alias("age_group"),
+        p["email"].alias("email"),
+        p["phone"].alias("phone"),
+        address["city"].alias("city"),
+        address["state"].alias("state"),
+        address["country"].alias("country"),
+        J.to_decimal(address["coordinates"]["lat"], 18, 6).alias("latitude"),
+        J.to_decimal(address["coordinates"]["lng"], 18, 6).alias("longitude"),
+        p["role"].alias("role"),
         *ENVELOPE_COLUMNS,
-        reason.alias("reject_reason"),
+        _reason(
+            "users",
+            ("invalid_id", J.holds(p["id"] > 0)),
+            ("invalid_username", J.is_visible(F.col("username"))),
+        ),
     )
-    return read.withColumns(
-        {
-            "full_name": text.full_name(F.col("first_name"), F.col("last_name")),
-            "age_group": text.age_group(F.col("whole_age")),
-        }
-    ).drop("first_name", "last_name", "whole_age")
 
 
 def _is_valid_line(line: Column) -> Column:
     return (
-        J.is_positive_integer(line, "id")
-        & J.is_positive_integer(line, "quantity", J.INT_MAX)
-        & J.is_non_negative_number(line, "price")
-        & J.optional_non_negative_number(line, "total")
-        & J.optional_non_negative_number(line, "discountPercentage", 10, 2)
-        & J.optional_non_negative_number(line, "discountedTotal")
+        J.holds(line["id"] > 0)
+        & J.holds(line["quantity"] > 0)
+        & J.is_amount(line["price"])
+        & J.is_optional_amount(line["total"])
+        & J.is_optional_amount(line["discountPercentage"], 10, 2)
+        & J.is_optional_amount(line["discountedTotal"])
     )
 
 
 def check_carts(envelopes: DataFrame) -> DataFrame:
     """One row per cart with its ``lines``; one bad line rejects the whole cart, counted once."""
-    p, lines = F.col("payload"), F.col("lines")
-    reason = _first_reason(
-        *_envelope_checks("carts"),
-        ("invalid_id", J.is_positive_integer(p, "id")),
-        ("invalid_user_id", J.is_positive_integer(p, "userId")),
-        ("products_not_a_list", lines.isNotNull()),
-        ("invalid_total", J.optional_non_negative_number(p, "total")),
-        ("invalid_discounted_total", J.optional_non_negative_number(p, "discountedTotal")),
-        ("invalid_total_products", J.optional_non_negative_integer(p, "totalProducts", J.INT_MAX)),
-        ("invalid_total_quantity", J.optional_non_negative_integer(p, "totalQuantity", J.INT_MAX)),
-        ("no_lines", F.size(lines) > 0),
-        ("invalid_line", F.forall(lines, _is_valid_line)),
-    )
-    return (
-        _with_payload(envelopes)
-        .withColumn("lines", J.elements_of(p, "products"))
-        .select(
-            J.long_of(p, "id").alias("cart_id"),
-            J.long_of(p, "userId").alias("user_id"),
-            J.decimal_of(p, "total", 18, 2).alias("cart_total"),
-            J.decimal_of(p, "discountedTotal", 18, 2).alias("cart_discounted_total"),
-            J.int_of(p, "totalProducts").alias("total_products"),
-            J.int_of(p, "totalQuantity").alias("total_quantity"),
-            "lines",
-            *ENVELOPE_COLUMNS,
-            reason.alias("reject_reason"),
-        )
+    p = F.col("p")
+    return _read(envelopes, CART_FIELDS).select(
+        p["id"].alias("cart_id"),
+        p["userId"].alias("user_id"),
+        J.to_decimal(p["total"], 18, 2).alias("cart_total"),
+        J.to_decimal(p["discountedTotal"], 18, 2).alias("cart_discounted_total"),
+        p["totalProducts"].alias("total_products"),
+        p["totalQuantity"].alias("total_quantity"),
+        p["products"].alias("lines"),
+        *ENVELOPE_COLUMNS,
+        _reason(
+            "carts",
+            ("invalid_id", J.holds(p["id"] > 0)),
+            ("invalid_user_id", J.holds(p["userId"] > 0)),
+            ("products_not_a_list", p["products"].isNotNull()),
+            ("invalid_total", J.is_optional_amount(p["total"])),
+            ("invalid_discounted_total", J.is_optional_amount(p["discountedTotal"])),
+            ("invalid_total_products", J.is_optional_count(p["totalProducts"])),
+            ("invalid_total_quantity", J.is_optional_count(p["totalQuantity"])),
+            ("no_lines", F.size(p["products"]) > 0),
+            ("invalid_line", F.forall(p["products"], _is_valid_line)),
+        ),
     )
 
 
@@ -154,14 +169,14 @@ def _cart_lines(checked: DataFrame) -> DataFrame:
     header = [name for name in checked.columns if name not in ("lines", "reject_reason")]
     rows = checked.select(*header, _unless_rejected(F.col("lines")).alias("line")).select(
         *header,
-        J.long_of(line, "id").alias("product_id"),
-        J.text_of(line, "title").alias("product_name"),
-        J.decimal_of(line, "price", 18, 2).alias("unit_price"),
-        J.int_of(line, "quantity").alias("quantity"),
-        J.decimal_of(line, "total", 18, 2).alias("line_total"),
-        J.decimal_of(line, "discountPercentage", 10, 2).alias("discount_percentage"),
-        J.decimal_of(line, "discountedTotal", 18, 2).alias("line_discounted_total"),
-        F.when(J.is_string(line, "thumbnail"), J.text_of(line, "thumbnail")).alias("thumbnail"),
+        line["id"].alias("product_id"),
+        line["title"].alias("product_name"),
+        J.to_decimal(line["price"], 18, 2).alias("unit_price"),
+        line["quantity"].alias("quantity"),
+        J.to_decimal(line["total"], 18, 2).alias("line_total"),
+        J.to_decimal(line["discountPercentage"], 10, 2).alias("discount_percentage"),
+        J.to_decimal(line["discountedTotal"], 18, 2).alias("line_discounted_total"),
+        J.text_value(line["thumbnail"]).alias("thumbnail"),
     )
     return rows.withColumn("category_hint", text.category_hint(F.col("thumbnail")))
 

@@ -106,7 +106,7 @@ def cart_detail(spark: SparkSession, folder: str, batches: str = "year") -> Data
     ).select(*columns_of("dwd_order_cart_detail").names, "dt")
 
 
-def _paged_lines(spark: SparkSession, folder: str) -> DataFrame:
+def _paged_lines(spark: SparkSession, folder: str, dirty: bool) -> DataFrame:
     """JSON lines per cart. A cart of very many lines is split over several envelopes, evenly."""
     lines = _lines(spark, folder).withColumn("position", F.monotonically_increasing_id())
     crowded = (
@@ -115,11 +115,12 @@ def _paged_lines(spark: SparkSession, folder: str) -> DataFrame:
         .where(F.col("line_count") > LINES_PER_ENVELOPE)
         .select("l_orderkey", F.ceil(F.col("line_count") / LINES_PER_ENVELOPE).alias("pages"))
     )
+    zero_quantity = (F.col("line_number") == 1) & _every(F.col("l_orderkey"), 137, 7) & F.lit(dirty)
     line = F.struct(
         F.col("product_id").alias("id"),
         F.col("product_name").alias("title"),
         F.col("unit_price").alias("price"),
-        F.when((F.col("line_number") == 1) & _every(F.col("l_orderkey"), 137, 7), F.lit(0)).otherwise(F.col("quantity")).alias("quantity"),
+        F.when(zero_quantity, F.lit(0)).otherwise(F.col("quantity")).alias("quantity"),
         F.col("line_total").alias("total"),
         F.col("discount_percentage").alias("discountPercentage"),
         F.col("line_discounted_total").alias("discountedTotal"),
@@ -134,7 +135,7 @@ def _paged_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def cart_envelopes(spark: SparkSession, folder: str, batches: str = "day", dirty: bool = True) -> DataFrame:
     headers = _headers(spark, folder, batches)
-    lines = _paged_lines(spark, folder)
+    lines = _paged_lines(spark, folder, dirty)
     carts = headers.join(lines, headers.o_orderkey == lines.l_orderkey, "left")
     key = F.col("o_orderkey")
     as_json = F.struct(
@@ -153,8 +154,6 @@ def cart_envelopes(spark: SparkSession, folder: str, batches: str = "day", dirty
         F.when(bad["fractional_count"], F.lit("1.5")).otherwise(F.col("total_products").cast("string")),
         F.when(bad["products_text"], F.lit(',"products":"bad"}')).otherwise(F.regexp_replace(F.to_json(as_json), r"^\{", ",")),
     )
-    if not dirty:
-        document = F.regexp_replace(document, '"quantity":0,', '"quantity":1,')
     return _enveloped(carts, "carts", document, bad)
 
 
