@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 BATCH = "dt STRING"
 
@@ -159,14 +171,35 @@ LAYER_OF = {
 COLUMNS = {**DETAIL, **DIMENSIONS, **SUMMARIES, **METRICS}
 
 
+SCALARS: dict[str, DataType] = {
+    "STRING": StringType(),
+    "BIGINT": LongType(),
+    "INT": IntegerType(),
+    "DATE": DateType(),
+    "BOOLEAN": BooleanType(),
+    "TIMESTAMP": TimestampType(),
+}
+COLUMN = re.compile(r"(\w+) ([A-Z]+)(?:\((\d+),(\d+)\))?")
+
+
+def schema_of(ddl: str) -> StructType:
+    """The struct type of a flat DDL string, readable without a session."""
+    return StructType(
+        [
+            StructField(name, DecimalType(int(precision), int(scale)) if precision else SCALARS[kind])
+            for name, kind, precision, scale in COLUMN.findall(ddl)
+        ]
+    )
+
+
 def columns_of(table: str) -> StructType:
     """The columns of a layer table without its partition column."""
-    return StructType.fromDDL(COLUMNS[table])
+    return schema_of(COLUMNS[table])
 
 
 def table_schema(table: str) -> StructType:
-    return StructType.fromDDL(f"{COLUMNS[table]}, {BATCH}")
+    return schema_of(f"{COLUMNS[table]}, {BATCH}")
 
 
 def envelope_schema() -> StructType:
-    return StructType.fromDDL(f"{ENVELOPE}, {BATCH}")
+    return schema_of(f"{ENVELOPE}, {BATCH}")

@@ -12,10 +12,9 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from marketloom.operators.contracts import require_contract, serving_rows
-from marketloom.schemas import COLUMNS, METRICS
+from marketloom.schemas import COLUMNS, METRICS, columns_of, schema_of
 from marketloom.session import broadcast_if_small
 
 LOG = "date_id STRING, version STRING"
@@ -56,11 +55,11 @@ def current_versions(spark: SparkSession, root: str) -> DataFrame:
 
 def read_served(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The published rows of a table; unpublished and replaced versions are pruned by folder."""
-    schema = StructType.fromDDL(f"{COLUMNS[table]}, updated_at TIMESTAMP, version STRING")
+    schema = schema_of(f"{COLUMNS[table]}, updated_at TIMESTAMP, version STRING")
     rows = spark.read.schema(schema).parquet(_data_path(root, table))
     visible = broadcast_if_small(current_versions(spark, root))
     return rows.join(visible, ["date_id", "version"], "left_semi").drop("version").select(
-        *StructType.fromDDL(COLUMNS[table]).names, "updated_at"
+        *columns_of(table).names, "updated_at"
     )
 
 

@@ -190,8 +190,9 @@ USER_FLAWS = {
 ENTITIES = {"products": "product", "users": "user", "carts": "order"}
 
 
-def _enveloped(records: DataFrame, source: str, document: Column, bad: dict[str, Column]) -> DataFrame:
+def _enveloped(records: DataFrame, source: str, document: Column, bad: dict[str, Column], *kept: str) -> DataFrame:
     return records.select(
+        *kept,
         F.lit(ENTITIES[source]).alias("entity"),
         F.when(bad["wrong_source"], F.lit("other")).otherwise(F.lit(source)).alias("source"),
         F.when(bad["wrong_date"], F.lit(WRONG_DATE)).otherwise(F.col("dt")).alias("batch_date"),
@@ -298,6 +299,10 @@ def user_detail(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_envelopes(spark: SparkSession, folder: str, dirty: bool = True) -> DataFrame:
+    return _keyed_user_envelopes(spark, folder, dirty).drop("c_custkey")
+
+
+def _keyed_user_envelopes(spark: SparkSession, folder: str, dirty: bool) -> DataFrame:
     people = _republished(_people(spark, folder))
     bad = {
         name: _every(F.col("c_custkey"), step, rest) if dirty else F.lit(False)
@@ -328,4 +333,67 @@ def user_envelopes(spark: SparkSession, folder: str, dirty: bool = True) -> Data
         F.when(bad["address_text"], F.lit(',"address":"none"')).otherwise(F.lit("")),
         F.regexp_replace(F.regexp_replace(F.to_json(rest), r"^\{", ","), "unusualAge", "age"),
     )
-    return _enveloped(people, "users", document, bad)
+    return _enveloped(people, "users", document, bad, "c_custkey")
+
+
+# ---- landing -------------------------------------------------------------------------------------
+
+ITEMS_PER_PAGE = 100
+BROKEN_PAGE = (7, 3)
+
+
+def payload_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Product payload pages of at most 100 items; some pages have no list.
+
+    Cutting by row position as well as by key keeps a page small whatever the keys are.
+    """
+    key = F.col("p_partkey")
+    item = F.to_json(F.struct((key + 1).alias("id"), F.col("p_name").alias("title"), F.col("p_size").alias("stock")))
+    items = table(spark, folder, "part").select(
+        F.floor(key / ITEMS_PER_PAGE).alias("page"),
+        F.floor(F.monotonically_increasing_id() / ITEMS_PER_PAGE).alias("stretch"),
+        item.alias("item"),
+    )
+    listed = F.concat(F.lit('{"products":['), F.array_join("items", ","), F.lit('],"total":1}'))
+    pages = items.groupBy("page", "stretch").agg(F.collect_list("item").alias("items"))
+    return pages.select(
+        F.lit("products").alias("source"),
+        F.concat(F.lit("2026-07-0"), (F.col("page") % 9 + 1).cast("string")).alias("batch_date"),
+        F.when(_every(F.col("page"), *BROKEN_PAGE), F.lit('{"products":"none"}')).otherwise(listed).alias("payload"),
+    )
+
+
+# Fixed flaws of the landed text lines: (step, rest) of the record key.
+LINE_FLAWS = {"blank": (151, 3), "cut": (157, 4), "no_entity": (163, 5), "object_data": (167, 6)}
+
+
+def landed_user_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Text lines of the landed user feed (``value``, ``dt``) with flaws of every kind."""
+    users = _keyed_user_envelopes(spark, folder, dirty=True)
+    flaw = {name: _every(F.col("c_custkey"), step, rest) for name, (step, rest) in LINE_FLAWS.items()}
+    line = F.to_json(
+        F.struct(F.when(~flaw["no_entity"], F.col("entity")).alias("entity"), "source", "batch_date", "data")
+    )
+    with_object = F.concat(
+        F.lit('{"entity":"user","source":"users","batch_date":"'), F.col("dt"), F.lit('","data":{"id":1}}')
+    )
+    value = (
+        F.when(flaw["blank"], F.lit(" "))
+        .when(flaw["cut"], F.substring(line, 1, 20))
+        .when(flaw["object_data"], with_object)
+        .otherwise(line)
+    )
+    return users.select(value.alias("value"), "dt")
+
+
+def batch_date_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Order dates as text, some of them misspelt or not in the calendar."""
+    key = F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text_form = (
+        F.when(_every(key, 97), F.concat(F.substring(day, 1, 4), F.lit("-02-30")))
+        .when(_every(key, 89), F.regexp_replace(day, "-", ""))
+        .when(_every(key, 83), F.concat(F.lit(" "), day))
+        .otherwise(day)
+    )
+    return table(spark, folder, "orders").select(text_form.alias("batch_date"))
