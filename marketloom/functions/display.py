@@ -20,7 +20,7 @@ def fixed_digits(value: Column, digits: int) -> Column:
     scaled = size * float(2 ** (digits + 1))
     exact_tie = (scaled == F.floor(scaled)) & (F.pmod(scaled, F.lit(2.0)) == 1.0)
     nudged = F.when(exact_tie, size + 10.0 ** -(digits + 2)).otherwise(size)
-    text = F.format_number(nudged, "0." + "0" * digits)
+    text = F.call_function("format_number", nudged, F.lit("0." + "0" * digits))
     return F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), text)
 
 

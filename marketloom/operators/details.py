@@ -158,6 +158,10 @@ def _unless_rejected(rows: Column) -> Column:
     return F.explode(F.when(F.col("reject_reason").isNull(), rows))
 
 
+def _if_rejected(rows: Column) -> Column:
+    return F.explode(F.when(F.col("reject_reason").isNotNull(), rows))
+
+
 def _flat_rows(checked: DataFrame) -> DataFrame:
     kept = [name for name in checked.columns if name != "reject_reason"]
     return checked.select(_unless_rejected(F.array(F.struct(*kept))).alias("row")).select("row.*")
@@ -183,7 +187,8 @@ def _cart_lines(checked: DataFrame) -> DataFrame:
 
 def rejects(checked: DataFrame) -> DataFrame:
     """Rejected envelopes with their reason, for a quarantine table."""
-    return checked.where(F.col("reject_reason").isNotNull()).select(*ENVELOPE_COLUMNS, "reject_reason")
+    row = F.struct(*ENVELOPE_COLUMNS, "reject_reason")
+    return checked.select(_if_rejected(F.array(row)).alias("row")).select("row.*")
 
 
 CHECKS: dict[str, Callable[[DataFrame], DataFrame]] = {

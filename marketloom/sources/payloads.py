@@ -20,24 +20,22 @@ def read_payloads(spark: SparkSession, folder: str, source: str, batch_date: str
     )
 
 
-def _items(payload: Column) -> Column:
-    own = F.lit(None).cast("array<string>")
-    for name in FEEDS:
-        own = F.when(F.col("source") == name, payload[name]).otherwise(own)
-    return own
+def _read_pages(payloads: DataFrame) -> DataFrame:
+    read = payloads.select("source", "batch_date", J.read_object(F.col("payload"), PAYLOAD_FIELDS).alias("read"))
+    return read.select("source", "batch_date", J.payload_of(F.col("read")).alias("page"))
 
 
-def _with_items(payloads: DataFrame) -> DataFrame:
-    parsed = payloads.select("source", "batch_date", J.read_object(F.col("payload"), PAYLOAD_FIELDS).alias("read"))
-    return parsed.select("source", "batch_date", J.payload_of(F.col("read")).alias("page")).select(
-        "source", "batch_date", _items(F.col("page")).alias("items")
-    )
+def _items(page: Column) -> Column:
+    """The list named after the page's own source."""
+    return F.coalesce(*[F.when(F.col("source") == name, page[name]) for name in FEEDS])
 
 
 def broken_payloads(payloads: DataFrame) -> DataFrame:
     """Pages per source that have no list under the source's name."""
-    pages = _with_items(payloads)
-    return pages.where(F.col("items").isNull()).groupBy("source", "batch_date").agg(F.count(F.lit(1)).alias("pages"))
+    counted = _read_pages(payloads).groupBy("source", "batch_date").agg(
+        F.count_if(_items(F.col("page")).isNull()).alias("pages")
+    )
+    return counted.where(F.col("pages") > 0)
 
 
 def flatten_payloads(payloads: DataFrame) -> DataFrame:
@@ -46,7 +44,7 @@ def flatten_payloads(payloads: DataFrame) -> DataFrame:
     for name, feed in FEEDS.items():
         entity = F.when(F.col("source") == name, F.lit(feed.entity)).otherwise(entity)
     return (
-        _with_items(payloads)
-        .select("source", "batch_date", F.explode("items").alias("data"))
+        _read_pages(payloads)
+        .select("source", "batch_date", F.explode(F.when(F.col("page").isNotNull(), _items(F.col("page")))).alias("data"))
         .select(entity.alias("entity"), "source", "batch_date", "data", F.col("batch_date").alias("dt"))
     )

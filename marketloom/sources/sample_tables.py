@@ -29,15 +29,20 @@ def _every(key: Column, step: int, rest: int = 0) -> Column:
 
 
 def _cents(value: Column) -> Column:
-    return F.round(value * 100).cast("bigint")
+    """Nearest whole cent of an amount that is not negative."""
+    return (value * 100.0 + 0.5).cast("bigint")
 
 
 def _amount(cents: Column) -> Column:
     return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
 
 
+def _whole(numerator: Column, denominator: Column) -> Column:
+    return (numerator / denominator).cast("bigint")
+
+
 def _per_cent_off(cents: Column, per_cent: Column) -> Column:
-    return F.floor((cents * (F.lit(100) - per_cent)).cast("bigint") / F.lit(100)).cast("bigint")
+    return _whole(cents * (F.lit(100) - per_cent), F.lit(100))
 
 
 def _batch(order_date: Column, batches: str) -> Column:
@@ -76,20 +81,20 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     """Cart lines; flags in lower case on line 6 make categories that differ only in case."""
     part, number = F.col("l_partkey"), F.col("l_linenumber")
     price = _cents(F.col("l_extendedprice"))
-    off = F.round(F.col("l_discount") * 100).cast("int")
+    off = _cents(F.col("l_discount")).cast("int")
     flags = F.concat_ws("-", "l_returnflag", "l_linestatus")
-    folder_name = F.when(number == 6, F.lower(flags)).otherwise(flags)
+    hint = F.when(number == 6, F.lower(flags)).when(number != 7, flags)
     return table(spark, folder, "lineitem").select(
         "l_orderkey",
         number.alias("line_number"),
         (part + 1).alias("product_id"),
         F.concat(F.lit("item "), part.cast("string")).alias("product_name"),
-        _amount(F.floor(price / F.col("l_quantity").cast("bigint")).cast("bigint")).alias("unit_price"),
+        _amount(_whole(price, F.col("l_quantity"))).alias("unit_price"),
         F.col("l_quantity").cast("int").alias("quantity"),
         _amount(price).alias("line_total"),
         off.cast("decimal(10,2)").alias("discount_percentage"),
         F.when(~_every(part, 47), _amount(_per_cent_off(price, off))).alias("line_discounted_total"),
-        F.when(number != 7, F.concat(F.lit("https://cdn.example.test/product-images/"), folder_name, F.lit("/1.webp"))).alias("thumbnail"),
+        hint.alias("category_hint"),
     )
 
 
@@ -99,7 +104,6 @@ def cart_detail(spark: SparkSession, folder: str, batches: str = "year") -> Data
     joined = lines.join(headers, lines.l_orderkey == headers.o_orderkey)
     return joined.withColumns(
         {
-            "category_hint": text.category_hint(F.col("thumbnail")),
             "source": F.lit("carts"),
             "batch_date": F.col("dt"),
         }
@@ -124,36 +128,38 @@ def _paged_lines(spark: SparkSession, folder: str, dirty: bool) -> DataFrame:
         F.col("line_total").alias("total"),
         F.col("discount_percentage").alias("discountPercentage"),
         F.col("line_discounted_total").alias("discountedTotal"),
-        "thumbnail",
+        F.concat(F.lit("https://cdn.example.test/product-images/"), F.col("category_hint"), F.lit("/1.webp")).alias("thumbnail"),
     )
+    texts = lines.select("l_orderkey", "position", F.to_json(line).alias("line"))
     return (
-        lines.join(crowded, "l_orderkey", "left")
+        texts.join(crowded, "l_orderkey", "left")
         .groupBy("l_orderkey", F.pmod("position", F.coalesce("pages", F.lit(1))).alias("page"))
-        .agg(F.collect_list(line).alias("lines"))
+        .agg(F.collect_list("line").alias("lines"))
     )
 
 
+def _json_number(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("string"), F.lit("null"))
+
+
 def cart_envelopes(spark: SparkSession, folder: str, batches: str = "day", dirty: bool = True) -> DataFrame:
     headers = _headers(spark, folder, batches)
     lines = _paged_lines(spark, folder, dirty)
     carts = headers.join(lines, headers.o_orderkey == lines.l_orderkey, "left")
     key = F.col("o_orderkey")
-    as_json = F.struct(
-        F.col("cart_total").alias("total"),
-        F.col("cart_discounted_total").alias("discountedTotal"),
-        F.col("total_quantity").alias("totalQuantity"),
-        F.coalesce("lines", F.array()).alias("products"),
-    )
     bad = {name: _every(key, step, rest) if dirty else F.lit(False) for name, (step, rest) in CART_FLAWS.items()}
-    document = F.concat(
-        F.lit('{"id":'),
-        F.when(bad["fractional_id"], F.lit("1.5")).otherwise(F.col("cart_id").cast("string")),
-        F.lit(',"userId":'),
-        F.when(bad["boolean_user"], F.lit("true")).otherwise(F.col("user_id").cast("string")),
-        F.lit(',"totalProducts":'),
-        F.when(bad["fractional_count"], F.lit("1.5")).otherwise(F.col("total_products").cast("string")),
-        F.when(bad["products_text"], F.lit(',"products":"bad"}')).otherwise(F.regexp_replace(F.to_json(as_json), r"^\{", ",")),
-    )
+    listed = F.concat(F.lit("["), F.coalesce(F.array_join("lines", ","), F.lit("")), F.lit("]"))
+    values = {
+        "id": F.when(bad["fractional_id"], F.lit("1.5")).otherwise(_json_number("cart_id")),
+        "userId": F.when(bad["boolean_user"], F.lit("true")).otherwise(_json_number("user_id")),
+        "totalProducts": F.when(bad["fractional_count"], F.lit("1.5")).otherwise(_json_number("total_products")),
+        "total": _json_number("cart_total"),
+        "discountedTotal": _json_number("cart_discounted_total"),
+        "totalQuantity": _json_number("total_quantity"),
+        "products": F.when(bad["products_text"], F.lit('"bad"')).otherwise(listed),
+    }
+    pairs = [F.concat(F.lit(f'"{name}":'), value) for name, value in values.items()]
+    document = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
     return _enveloped(carts, "carts", document, bad)
 
 
