@@ -156,6 +156,14 @@ def _all_rules() -> list[Column]:
     return rules
 
 
+def _rule_names() -> list[str]:
+    """All rules in the order they are evaluated."""
+    names = [f"processed_{feed}_non_empty" for feed in FEED_ORDER]
+    names += [f"{table}_snapshot_non_empty" for table in METRICS] + ["ads_kpi_daily_single_row"]
+    names += [rule[0] for rule in (*KPI_RANGES, RANK_ROWS, *UNIQUE_NUMBERS, *ROW_RANGES, SHARE_SUM)]
+    return names
+
+
 def quality_rules(feeds: dict[str, DataFrame], metrics: dict[str, DataFrame], dates: DataFrame | None = None) -> DataFrame:
     """Rule results per batch date. With ``dates`` (column ``dt``) exactly those are reported."""
     missing = [name for name in (*FEEDS, *METRICS) if name not in feeds and name not in metrics]
@@ -184,3 +192,18 @@ def quality_summary(rules: DataFrame) -> DataFrame:
     )
     status = F.when(F.col("failed_critical") > 0, F.lit("failed")).otherwise(F.lit("passed"))
     return counted.withColumn("status", status)
+
+
+def quality_report(rules: DataFrame) -> DataFrame:
+    """One document per batch date: status, time, counts, and its rules (never more than there are kinds)."""
+    counts = ("total_rules", "passed", "failed", "failed_critical")
+    number = F.array_position(F.array(*[F.lit(name) for name in _rule_names()]), F.col("name"))
+    rule = F.struct(number.alias("number"), F.struct("name", "severity", "status", "message").alias("rule"))
+    listed = rules.groupBy("batch_date").agg(F.sort_array(F.collect_list(rule)).alias("numbered"))
+    return listed.join(quality_summary(rules), "batch_date").select(
+        "batch_date",
+        "status",
+        F.current_timestamp().alias("checked_at"),
+        F.struct(*counts).alias("summary"),
+        F.transform("numbered", lambda r: r["rule"]).alias("rules"),
+    )

@@ -7,6 +7,7 @@ lazy between two stores; nothing but counts reaches the driver.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 from marketloom.errors import BatchError
 from marketloom.operators import details, dimensions, metrics, quality, summaries
 from marketloom.schemas import FEEDS, METRICS
-from marketloom.session import configure
+from marketloom.session import broadcast_if_small, configure
 from marketloom.sinks import serving, snapshots
-from marketloom.sinks.tables import read_table, replace_partition
-from marketloom.sources.envelopes import read_batch, require_landed_contract
+from marketloom.sinks.tables import read_table, replace_partition, replace_partitions
+from marketloom.sources.envelopes import read_batch, read_feed, require_landed_contract
 
 BATCH_DATE = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")
 AUDIT = "feed STRING, dt STRING, read BIGINT, written BIGINT, invalid BIGINT"
@@ -61,16 +62,10 @@ def run_details(spark: SparkSession, root: str, batch_date: str) -> DataFrame:
     return spark.createDataFrame(counts, AUDIT)
 
 
-def run_metrics(spark: SparkSession, root: str, batch_date: str) -> dict[str, DataFrame]:
-    """Build dimensions, summaries and metrics of a batch from its stored detail tables."""
-    dates = batch_dates(spark, batch_date)
-
-    def stored(table: str) -> DataFrame:
-        return read_table(spark, root, table, batch_date)
-
-    def store(table: str, rows: DataFrame) -> None:
-        replace_partition(rows, root, table, batch_date)
-
+def _build_metrics(
+    stored: Callable[[str], DataFrame], store: Callable[[str, DataFrame], None], dates: DataFrame
+) -> dict[str, DataFrame]:
+    """Dimensions, summaries and metrics in dependency order, each read back where it is used."""
     products, users, lines = (stored(FEEDS[s].detail_table) for s in ("products", "users", "carts"))
     store("dim_date", dimensions.date_dimension(dates))
     store("dim_product", dimensions.product_dimension(products))
@@ -92,6 +87,38 @@ def run_metrics(spark: SparkSession, root: str, batch_date: str) -> dict[str, Da
     return {table: stored(table) for table in METRICS}
 
 
+def run_metrics(spark: SparkSession, root: str, batch_date: str) -> dict[str, DataFrame]:
+    """Build everything above the detail tables for one batch."""
+    return _build_metrics(
+        lambda table: read_table(spark, root, table, batch_date),
+        lambda table, rows: replace_partition(rows, root, table, batch_date),
+        batch_dates(spark, batch_date),
+    )
+
+
+def backfill_details(spark: SparkSession, root: str, dates: DataFrame) -> None:
+    """Rebuild the detail tables of many batches (column ``dt``), one job per source."""
+    configure(spark)
+    for source, feed in FEEDS.items():
+        landed = read_feed(spark, root, source).where(F.col("batch_date") == F.col("dt"))
+        rows = details.detail_rows(source, _only(landed, dates))
+        replace_partitions(rows, root, feed.detail_table, dates)
+
+
+def backfill_metrics(spark: SparkSession, root: str, dates: DataFrame) -> dict[str, DataFrame]:
+    """Rebuild everything above the detail tables for many batches, one job per table."""
+    return _build_metrics(
+        lambda table: _only(read_table(spark, root, table), dates),
+        lambda table, rows: replace_partitions(rows, root, table, dates),
+        dates,
+    )
+
+
+def _only(rows: DataFrame, dates: DataFrame) -> DataFrame:
+    """Rows of the requested batches; folders of other dates are pruned at run time."""
+    return rows.join(broadcast_if_small(dates.select("dt").distinct()), "dt", "left_semi")
+
+
 def export_snapshots(tables: dict[str, DataFrame], root: str, batch_date: str) -> DataFrame:
     """Write the six snapshots; gives the rows written per table, counted while writing."""
     counts = [(table, snapshots.write_snapshot(rows, root, batch_date, table)) for table, rows in tables.items()]
@@ -107,9 +134,7 @@ def check_quality(spark: SparkSession, root: str, batch_date: str) -> DataFrame:
     path = f"{root}/quality/{batch_date}"
     rules.write.mode("overwrite").json(f"{path}/rules")
     stored = spark.read.schema(rules.schema).json(f"{path}/rules")
-    quality.quality_summary(stored).withColumn("checked_at", F.current_timestamp()).write.mode("overwrite").json(
-        f"{path}/summary"
-    )
+    quality.quality_report(stored).coalesce(1).write.mode("overwrite").json(f"{path}/report")
     return stored
 
 

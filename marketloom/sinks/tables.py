@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -37,17 +37,30 @@ def replace_partition(rows: DataFrame, root: str, table: str, batch_date: str) -
     aligned.write.mode("overwrite").parquet(f"{table_path(root, table)}/dt={batch_date}")
 
 
-def replace_partitions(rows: DataFrame, root: str, table: str) -> None:
-    """Replace every batch that occurs in ``rows`` and keep the others.
+def replace_partitions(rows: DataFrame, root: str, table: str, dates: DataFrame | None = None) -> None:
+    """Replace every batch that occurs in ``rows``; of the requested ``dates`` also those that do not.
 
     The rebalance hint gathers each batch into files of the advised size: small batches are not
-    scattered over tasks and a large one is split over several.
+    scattered over tasks and a large one is split over several. A dynamic overwrite leaves batches
+    without new rows alone, so requested ones that still hold old rows are emptied afterwards. Only
+    dates are noted on the driver, as many as the calendar has in the requested span.
     """
-    aligned = align_to_schema(rows, table_schema(table)).select(*table_schema(table).names)
+    schema = table_schema(table)
+    seen = Observation(f"{table}_batches")
+    noted = rows.observe(seen, F.collect_set("dt").alias("dates"))
     (
-        aligned.hint("rebalance", "dt")
+        align_to_schema(noted, schema)
+        .select(*schema.names)
+        .hint("rebalance", "dt")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt")
         .parquet(table_path(root, table))
     )
+    if dates is None:
+        return
+    filled = dates.sparkSession.createDataFrame([(d,) for d in seen.get["dates"]], "dt STRING")
+    unfilled = dates.select("dt").join(filled, "dt", "left_anti")
+    stale = read_table(rows.sparkSession, root, table).select("dt").join(unfilled, "dt", "left_semi").distinct()
+    for row in stale.collect():
+        replace_partition(rows.limit(0), root, table, row.dt)

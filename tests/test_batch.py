@@ -2,6 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.errors import BatchError, DataNotFound
 from marketloom.operators import quality, serving as queries
@@ -83,6 +84,31 @@ def test_quality_report_has_all_rules(spark, done):
     assert (summary.total_rules, summary.failed, summary.status) == (26, 0, "passed")
 
 
+def test_quality_document(spark, done):
+    root, _, _ = done
+    document = spark.read.json(f"{root}/quality/{DAY}/report").first()
+    assert (document.batch_date, document.status, document.summary.total_rules) == (DAY, "passed", 26)
+    assert document.rules[0].name == "processed_products_non_empty" and len(document.rules) == 26
+    assert document.rules[-1].name == "ads_category_share_daily_share_sum_near_one"
+
+
+def test_backfill_gives_what_single_batches_give(spark, done, tmp_path):
+    root, feed, _ = done
+    other, dates = str(tmp_path), batch.batch_dates(spark, DAY, "2026-07-02", "2026-07-03")
+    for day in (DAY, "2026-07-02"):
+        dated = {s: p.withColumn("batch_date", F.lit(day)) for s, p in pages(spark, feed).items()}
+        landing.land_payloads(dated, other, day)
+    batch.backfill_details(spark, other, dates)
+    batch.backfill_metrics(spark, other, dates)
+    for table in METRICS:
+        built, single = tables.read_table(spark, other, table), tables.read_table(spark, root, table)
+        columns = [c for c in built.columns if c not in ("date_id", "dt")]
+        for day in (DAY, "2026-07-02"):
+            assert rows(built.where(F.col("dt") == day), *columns) == rows(single, *columns)
+    assert tables.read_table(spark, other, "ads_funnel_daily", "2026-07-03").count() == 3
+    assert tables.read_table(spark, other, "dws_product_daily", "2026-07-03").isEmpty()
+
+
 def test_served_answers(spark, done):
     root, _, _ = done
     served = serving.read_all_served(spark, root)
@@ -157,3 +183,6 @@ def test_empty_result_clears_only_its_partition(spark, tmp_path):
     assert rows(tables.read_table(spark, root, "dim_category"), "category_id", "dt") == [("b", "d2")]
     tables.replace_partitions(two.where("dt = 'd1'"), root, "dim_category")
     assert rows(tables.read_table(spark, root, "dim_category"), "category_id", "dt") == [("a", "d1"), ("b", "d2")]
+    dates = spark.createDataFrame([("d1",), ("d2",), ("d3",)], "dt STRING")
+    tables.replace_partitions(two.where("dt = 'd1'"), root, "dim_category", dates)
+    assert rows(tables.read_table(spark, root, "dim_category"), "category_id", "dt") == [("a", "d1")]
