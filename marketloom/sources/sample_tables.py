@@ -54,6 +54,11 @@ def _republished(df: DataFrame) -> DataFrame:
     return df.withColumn("dt", F.explode(F.array(*[F.lit(f"{year}-01-01") for year in YEARS])))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly to all tasks, before each becomes several JSON texts."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def batch_dates(spark: SparkSession, folder: str, batches: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     return orders.select(_batch(F.col("o_orderdate"), batches).alias("dt")).distinct()
@@ -241,7 +246,7 @@ def product_detail(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def product_envelopes(spark: SparkSession, folder: str, dirty: bool = True) -> DataFrame:
-    listed = _republished(_catalogue(spark, folder))
+    listed = _republished(_spread(_catalogue(spark, folder)))
     bad = {
         name: _every(F.col("p_partkey"), step, rest) if dirty else F.lit(False)
         for name, (step, rest) in PRODUCT_FLAWS.items()
@@ -313,7 +318,7 @@ def user_envelopes(spark: SparkSession, folder: str, dirty: bool = True) -> Data
 
 
 def _keyed_user_envelopes(spark: SparkSession, folder: str, dirty: bool) -> DataFrame:
-    people = _republished(_people(spark, folder))
+    people = _republished(_spread(_people(spark, folder)))
     bad = {
         name: _every(F.col("c_custkey"), step, rest) if dirty else F.lit(False)
         for name, (step, rest) in USER_FLAWS.items()
