@@ -113,7 +113,7 @@ def overview_sections(tables: dict[str, DataFrame]) -> DataFrame:
     complete = complete_dates(tables)
     rows = []
     for section, (table, _) in SECTIONS.items():
-        item = F.to_json(F.struct(*_item_columns(section)))
+        item = F.to_json(F.struct(*_item_columns(section)), {"ignoreNullFields": "false"})
         rows.append(tables[table].select("date_id", F.lit(section).alias("section"), item.alias("item")))
     return reduce(DataFrame.unionByName, rows).join(complete, "date_id", "left_semi")
 

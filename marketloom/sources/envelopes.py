@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from marketloom.errors import BatchError
 from marketloom.functions import json_values as J
-from marketloom.functions.text import is_batch_date
 from marketloom.schemas import ENVELOPE, FEEDS, envelope_schema
 
 CONTRACT_FIELDS = ("entity", "source", "batch_date", "data")
@@ -69,8 +68,3 @@ def require_landed_contract(spark: SparkSession, root: str, source: str, batch_d
     broken = contract_violations(lines, source, F.lit(batch_date)).collect()
     if broken:
         raise BatchError("; ".join(f"{source} {r.violation}: {r.rows}" for r in broken))
-
-
-def unusable_batch_dates(envelopes: DataFrame) -> DataFrame:
-    """Envelopes whose batch date is not an existing calendar day, per date text."""
-    return envelopes.where(~is_batch_date(F.col("batch_date"))).groupBy("batch_date").agg(F.count(F.lit(1)).alias("rows"))

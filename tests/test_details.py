@@ -250,6 +250,21 @@ def test_cart_rejects(spark):
     assert None not in reasons(spark, "carts", *rows)
 
 
+def test_rejects_carry_their_reason(spark):
+    rows = frame(spark, [envelope("carts", cart()), envelope("carts", cart(id=0)), envelope("carts", cart(products=[]))])
+    kept = details.rejects(details.check_carts(rows))
+    assert [(r.dt, r.reject_reason) for r in kept.collect()] == [(DAY, "invalid_id"), (DAY, "no_lines")]
+
+
+def test_each_text_is_parsed_once(spark, tmp_path):
+    frame(spark, [envelope("carts", cart())]).write.json(str(tmp_path / "ods"))
+    landed = spark.read.schema(envelope_schema()).json(str(tmp_path / "ods"))
+    checked = details.check_carts(landed)
+    for df in (details.accepted_rows("carts", checked), details.rejects(checked)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") + plan.count("JsonToStructsEvaluator") == 1
+
+
 def test_json_feed_gives_the_same_rows_as_the_tables(spark, sample):
     pairs = {
         "products": (sample_tables.product_envelopes(spark, sample, dirty=False), sample_tables.product_detail(spark, sample)),
