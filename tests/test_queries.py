@@ -8,8 +8,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from marketloom.plans import sample_oracle, sample_queries
 
-SQL = driver.oracle_sql()
+SQL = sample_oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +26,7 @@ def plain(value):
 
 
 def test_every_statement_belongs_to_a_query():
-    assert set(SQL) == set(driver.queries()) - {"q5_overview_latest"}
+    assert set(SQL) == set(sample_queries.QUERIES) - {"q5_overview_latest"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
