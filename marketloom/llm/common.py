@@ -158,3 +158,33 @@ def ship(spark: SparkSession) -> None:
             archive.write(file, file.relative_to(package.parent))
     spark.sparkContext.addPyFile(str(target))
     spark._marketloom_shipped = True
+
+
+def ngram_buckets(data: np.ndarray, offsets: np.ndarray, sizes: range, bits: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the string, bucket) of every byte n-gram of some strings, each with a mark before and after.
+
+    Sizes go up to 7 bytes, so an n-gram is one integer and only its scrambling to ``bits`` bits can collide.
+    """
+    lengths = np.diff(offsets) + 2
+    ends = np.cumsum(lengths)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    marked = np.full(ends[-1] if len(ends) else 0, 1, np.uint8)
+    inner = np.ones(len(marked), bool)
+    inner[ends - lengths] = False
+    inner[ends - 1] = False
+    marked[inner] = data
+    room = ends[owner] - np.arange(len(marked))
+    value = marked.astype(np.uint64)
+    grams, owners = [], []
+    for n in range(1, sizes.stop):
+        if n > 1:
+            value = (value[:-1] << np.uint64(8)) | marked[n - 1 :].astype(np.uint64)
+        if n in sizes:
+            whole = room[: len(value)] >= n
+            grams.append(mix(value[whole] + np.uint64((n << 56) ^ seed)) & np.uint64((1 << bits) - 1))
+            owners.append(owner[: len(value)][whole])
+    return np.concatenate(owners), np.concatenate(grams).astype(np.int64)
+
+
+def sums_by(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(owner, weights=values, minlength=n)[:n]

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.llm.common import ship, table
 from marketloom.llm.exact_dedup import exact_groups
+from marketloom.llm.labelled_urls import labelled_urls
+from marketloom.llm.near_dedup import near_groups
 from marketloom.llm.packing import pack
+from marketloom.llm.url_filter import judge_urls, train
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -17,6 +20,20 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+# The rules of the url query.
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"), URL_RULES, train(labelled_urls(spark)))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
@@ -25,7 +42,11 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), tokenizer_path(TOKENIZER), with_ids=False)
 
 
-OPERATORS = (op3_exact_dedup, op5_best_fit_packing)
+def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(table(spark, folder, "documents"))
+
+
+OPERATORS = (op1_url_filter, op3_exact_dedup, op6_simhash_near_dedup, op5_best_fit_packing)
 
 
 def _with_code(query):
