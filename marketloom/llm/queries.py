@@ -9,6 +9,7 @@ from marketloom.llm.exact_dedup import exact_groups
 from marketloom.llm.labelled_urls import labelled_urls
 from marketloom.llm.near_dedup import near_groups
 from marketloom.llm.packing import pack
+from marketloom.llm.substring_dedup import remove_repeats
 from marketloom.llm.url_filter import judge_urls, train
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,6 +39,10 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), tokenizer_path(TOKENIZER), with_ids=False)
 
@@ -46,7 +51,7 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(spark, folder, "documents"))
 
 
-OPERATORS = (op1_url_filter, op3_exact_dedup, op6_simhash_near_dedup, op5_best_fit_packing)
+OPERATORS = (op1_url_filter, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing)
 
 
 def _with_code(query):
@@ -69,4 +74,21 @@ SQL = {
             row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256
         FROM n WINDOW g AS (PARTITION BY text_sha256)
     """,
+    "op4_substring_dedup": """
+        WITH w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+            FROM documents
+        ), starts AS (SELECT doc_id, words, unnest(range(len(words) - 34)) AS s FROM w WHERE len(words) >= 35
+        ), windows AS (SELECT doc_id, s, sha256(array_to_string(words[s + 1 : s + 35], ' ')) AS h FROM starts
+        ), again AS (SELECT doc_id, s FROM windows QUALIFY count(*) OVER (PARTITION BY h) > 1
+        ), gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS i FROM again
+        ), gone_lists AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id
+        ), kept AS (
+            SELECT doc_id, words, coalesce(gone, []) AS gone FROM w LEFT JOIN gone_lists USING (doc_id)
+        )
+        SELECT doc_id, len(words) AS n_words, len(gone) AS n_removed,
+            sha256(array_to_string(list_transform(
+                list_filter(range(len(words)), lambda i: NOT list_contains(gone, i)), lambda i: words[i + 1]), ' ')) AS kept_sha256
+        FROM kept
+    """,
 }
