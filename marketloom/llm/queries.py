@@ -9,6 +9,7 @@ from marketloom.llm.exact_dedup import exact_groups
 from marketloom.llm.labelled_urls import labelled_urls
 from marketloom.llm.near_dedup import near_groups
 from marketloom.llm.packing import pack
+from marketloom.llm.quality import judge_quality
 from marketloom.llm.substring_dedup import remove_repeats
 from marketloom.llm.url_filter import judge_urls, train
 
@@ -35,6 +36,10 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), URL_RULES, train(labelled_urls(spark)))
 
 
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_quality(table(spark, folder, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
@@ -51,7 +56,7 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(spark, folder, "documents"))
 
 
-OPERATORS = (op1_url_filter, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing)
+OPERATORS = (op1_url_filter, op2_quality_classifier, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing)
 
 
 def _with_code(query):
