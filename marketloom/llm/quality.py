@@ -162,6 +162,7 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     codes, distinct = words.encoded()
     n, found = measures(words, codes)
     bins = np.stack([np.minimum(found[name] * 20, 19).astype(np.int64) for name in ("repeated_words", "wordless_tokens", "variety")])
+    bins = np.vstack((bins, np.minimum(np.log2(n + 1).astype(np.int64), 19)))
     bins = np.where(n == 0, 20, bins) + 32 * np.arange(len(bins))[:, None]
     own = (mix(bins.astype(np.uint64) + np.uint64(1 << 50)) & np.uint64((1 << BITS) - 1)).astype(np.int64)
     return codes, _buckets(distinct, 1), _shape_buckets(distinct), own
@@ -192,7 +193,7 @@ def _sparse(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def train_scorer(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, rounds: int = 200, rate: float = 2.0, decay: float = 1e-4) -> Scorer:
+def train_scorer(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, rounds: int = 400, rate: float = 2.0, decay: float = 1e-4) -> Scorer:
     """Logistic regression on soft labels; both classes weigh the same."""
     if not rows:
         return Scorer(np.zeros(1 << BITS), 0.0)
