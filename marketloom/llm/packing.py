@@ -22,11 +22,10 @@ from marketloom.llm.common import slices
 SEQUENCE_TOKENS = 1024
 OPEN_BINS = 1024
 END_ID = 2
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 PACKED = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, ids binary"
 )
-IRREGULAR = re.compile(r"\s\s|^\s|\s\Z")
 SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -43,17 +42,32 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaced: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [SINGLE_SPACE.split(t) if IRREGULAR.search(t) else t.split(" ") for t in texts]
+        split = [t.split(" ") for t in texts]
         needed = set().union(*(parts[1:] for parts in split))
-        if len(self.spaced) + len(needed) > CACHED_WORDS:
-            self.spaced = {w: self.spaced[w] for w in needed if w in self.spaced}
-        new = [w for w in needed if w not in self.spaced]
+        odd = {w for w in needed - self.spaced.keys() if not w or w[0].isspace() or w[-1].isspace()}
+        for i, parts in enumerate(split):
+            if len(parts) > 1 and (not parts[0] or parts[0][-1].isspace() or not odd.isdisjoint(parts)):
+                split[i] = SINGLE_SPACE.split(texts[i])
+                needed.update(split[i][1:])
+        if len(self.spaced) > CACHED_WORDS:
+            self.earlier, self.spaced = self.spaced, {}
+        needed = (needed - odd).union(*(parts[-1:] for parts in split if len(parts) > 1))
+        missing = needed - self.spaced.keys()
+        known = missing & self.earlier.keys()
+        spaced = self.spaced
+        spaced.update((w, self.earlier[w]) for w in known)
+        new = list(missing - known)
         found = self._ids([p[0] for p in split] + [" " + w for w in new])
-        heads, spaced = found[: len(split)], self.spaced
+        heads = found[: len(split)]
         spaced.update(zip(new, found[len(split) :], strict=True))
-        return [head + b"".join([spaced[w] for w in parts[1:]]) for head, parts in zip(heads, split, strict=True)]
+        out = [head + b"".join([spaced[w] for w in parts[1:]]) for head, parts in zip(heads, split, strict=True)]
+        for w in new:
+            if not w or w[-1].isspace():
+                del spaced[w]
+        return out
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
