@@ -11,6 +11,8 @@ from marketloom.llm.near_dedup import near_groups
 from marketloom.llm.packing import pack
 from marketloom.llm.quality import judge_quality
 from marketloom.llm.substring_dedup import remove_repeats
+from marketloom.llm.toxicity import judge_toxicity
+from marketloom.llm.toxicity import train as train_toxicity
 from marketloom.llm.url_filter import judge_urls, train
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -56,7 +58,12 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(spark, folder, "documents"))
 
 
-OPERATORS = (op1_url_filter, op2_quality_classifier, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing)
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return judge_toxicity(docs, train_toxicity(docs, table(spark, folder, "labels")))
+
+
+OPERATORS = (op1_url_filter, op2_quality_classifier, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing, op8_toxicity)
 
 
 def _with_code(query):
