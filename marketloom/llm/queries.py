@@ -10,6 +10,7 @@ from marketloom.llm.labelled_urls import labelled_urls
 from marketloom.llm.near_dedup import near_groups
 from marketloom.llm.packing import pack
 from marketloom.llm.quality import judge_quality
+from marketloom.llm.search import top_k
 from marketloom.llm.substring_dedup import remove_repeats
 from marketloom.llm.toxicity import judge_toxicity
 from marketloom.llm.toxicity import train as train_toxicity
@@ -63,7 +64,12 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return judge_toxicity(docs, train_toxicity(docs, table(spark, folder, "labels")))
 
 
-OPERATORS = (op1_url_filter, op2_quality_classifier, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing, op8_toxicity)
+def op9_exact_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return top_k(docs, docs.filter("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id"))
+
+
+OPERATORS = (op1_url_filter, op2_quality_classifier, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing, op8_toxicity, op9_exact_top_k_search)
 
 
 def _with_code(query):
@@ -103,4 +109,25 @@ SQL = {
                 list_filter(range(len(words)), lambda i: NOT list_contains(gone, i)), lambda i: words[i + 1]), ' ')) AS kept_sha256
         FROM kept
     """,
+    "op9_exact_top_k_search": """
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[a-z0-9\\x{80}-\\x{10FFFF}]+')) AS term
+            FROM documents
+        ), tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term
+        ), size AS (SELECT doc_id, sum(tf) AS size FROM tf GROUP BY doc_id
+        ), whole AS (
+            SELECT (SELECT count(*) FROM documents) AS n, (SELECT sum(size) FROM size) / (SELECT count(*) FROM documents) AS average
+        ), idf AS (SELECT term, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf, whole GROUP BY term, n
+        ), weight AS (
+            SELECT doc_id, term, tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / average)) AS impact
+            FROM tf JOIN size USING (doc_id), whole
+        ), scored AS (
+            SELECT q.doc_id AS query_id, w.doc_id, round(sum(q.tf * idf * impact), 6) AS score
+            FROM tf q JOIN weight w USING (term) JOIN idf USING (term) WHERE q.doc_id % 100 = 0 GROUP BY ALL
+        )
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 10
+    """,
 }
