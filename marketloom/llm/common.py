@@ -147,6 +147,22 @@ def group_bounds(*columns: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), n)
 
 
+def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels after the groups of i and j became one, pair by pair; a group is labelled by its first member."""
+    while len(i):
+        a, b = label[i], label[j]
+        apart = a != b
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        if not len(i):
+            break
+        parent = np.arange(len(label))
+        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        label = parent[label]
+    return label
+
+
 def ship(spark: SparkSession) -> None:
     """Gives the workers this package, once a session, where it was not installed or sent with the job."""
     if getattr(spark, "_marketloom_shipped", False):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from marketloom.llm.common import group_bounds, runs, slices, store
+from marketloom.llm.common import group_bounds, joined, runs, slices, store
 from marketloom.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -133,17 +133,7 @@ def linked(homes: np.ndarray, visitors: np.ndarray, bits: int = BITS) -> np.ndar
             i, j = np.nonzero(near)
             j = j if isinstance(others, slice) else others[j]
             i = own[part][i]
-            while len(i):
-                a, b = label[i], label[j]
-                open_ = a != b
-                i, j, a, b = i[open_], j[open_], a[open_], b[open_]
-                if not len(i):
-                    break
-                parent = np.arange(len(label))
-                np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
-                while (parent[parent] != parent).any():
-                    parent = parent[parent]
-                label = parent[label]
+            label = joined(label, i, j)
     return label
 
 

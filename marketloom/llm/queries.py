@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.llm.common import ship, table
 from marketloom.llm.exact_dedup import exact_groups
 from marketloom.llm.labelled_urls import labelled_urls
+from marketloom.llm.line_dedup import judge_lines
 from marketloom.llm.near_dedup import near_groups
 from marketloom.llm.packing import pack
 from marketloom.llm.quality import judge_quality
@@ -59,6 +60,10 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(spark, folder, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_lines(table(spark, folder, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return judge_toxicity(docs, train_toxicity(docs, table(spark, folder, "labels")))
@@ -69,7 +74,7 @@ def op9_exact_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(docs, docs.filter("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id"))
 
 
-OPERATORS = (op1_url_filter, op2_quality_classifier, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing, op8_toxicity, op9_exact_top_k_search)
+OPERATORS = (op1_url_filter, op2_quality_classifier, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing, op7_line_dedup, op8_toxicity, op9_exact_top_k_search)
 
 
 def _with_code(query):
