@@ -157,7 +157,11 @@ def anchored(docs: DataFrame, window: int, k: int) -> DataFrame:
 
 
 def path_rows(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """(k1, k2, digest, start, length) of the paths of documents with flagged anchors."""
+    """(k1, k2, digest, start, length, n) of the paths of documents with flagged anchors.
+
+    n = 1: a path. Paths that occur again among the texts read together need no count: n = 2 announces them
+    to others, without a place, and n = 0 has the spans of words they cover.
+    """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,16 +181,42 @@ def path_rows(docs: DataFrame, window: int, k: int) -> DataFrame:
                     blake2b(spaced.cut(a, a + n), digest_size=DIGEST_BYTES).digest()
                     for a, n in zip(start.tolist(), length.tolist(), strict=True)
                 ]
-                columns = {
-                    "k1": part.column("k1").take(pa.array(text)),
-                    "k2": part.column("k2").take(pa.array(text)),
-                    "digest": pa.array(digests, pa.binary()),
-                    "start": pa.array((start - first[text]).astype(np.int32)),
-                    "length": pa.array(length.astype(np.int32)),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
-
-    return docs.mapInArrow(found, "k1 long, k2 long, digest binary, start int, length int")
+                coded = pa.array(digests, pa.binary()).dictionary_encode()
+                codes = np.asarray(coded.indices)
+                counts = np.bincount(codes, minlength=len(coded.dictionary))
+                here, there = np.flatnonzero(counts[codes] > 1), np.flatnonzero(counts[codes] == 1)
+                first_of = here[np.unique(codes[here], return_index=True)[1]]
+                place, covered = _merged(start[here], length[here])
+                of = np.searchsorted(first, place, "right") - 1
+                yield _path_batch(part, text[there], coded.take(pa.array(there)), start[there] - first[text[there]], length[there], 1)
+                yield _path_batch(part, text[first_of], coded.take(pa.array(first_of)), np.full(len(first_of), -1), length[first_of], 2)
+                yield _path_batch(part, of, pa.nulls(len(of), pa.binary()), place - first[of], covered, 0)
+
+    return docs.mapInArrow(found, "k1 long, k2 long, digest binary, start int, length int, n int")
+
+
+def _merged(start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans that overlap, as one each. Spans that only touch stay apart: they may belong to two texts."""
+    if not len(start):
+        return start, length
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate((start + length)[order])
+    new = np.concatenate(([True], start[1:] >= end[:-1]))
+    last = np.concatenate((np.flatnonzero(new)[1:] - 1, [len(start) - 1]))
+    return start[new], end[last] - start[new]
+
+
+def _path_batch(part: pa.RecordBatch, text: np.ndarray, digest: pa.Array, start: np.ndarray, length: np.ndarray, n: int) -> pa.RecordBatch:
+    at = pa.array(text)
+    columns = {
+        "k1": part.column("k1").take(at),
+        "k2": part.column("k2").take(at),
+        "digest": digest.cast(pa.binary()),
+        "start": pa.array(start.astype(np.int32)),
+        "length": pa.array(length.astype(np.int32)),
+        "n": pa.array(np.full(len(text), n, np.int32)),
+    }
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def repeated_spans(docs: DataFrame, facts: DataFrame, window: int, k: int) -> DataFrame:
@@ -202,8 +232,9 @@ def repeated_spans(docs: DataFrame, facts: DataFrame, window: int, k: int) -> Da
     flagged = anchors.select("k1", "k2", "name", "pos").join(nodes, "name")
     flagged = flagged.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "plain")).alias("flags"))
     paths = store(path_rows(docs.drop("doc_id").join(flagged, ["k1", "k2"]), window, k), "paths")
-    again = paths.groupBy("digest", "length").count().filter("count > 1").select("digest", "length")
-    spans = paths.join(again, ["digest", "length"])
+    again = paths.filter("n > 0").groupBy("digest", "length").agg(F.sum("n").alias("n")).filter("n > 1").select("digest", "length")
+    spans = paths.filter("n = 1").join(again, ["digest", "length"]).select("k1", "k2", "start", "length")
+    spans = spans.union(paths.filter("n = 0").select("k1", "k2", "start", "length"))
     return spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
 
 
