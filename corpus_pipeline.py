@@ -5,8 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.llm.common import ship, store, table
+from marketloom.llm.line_dedup import without_repeated_lines
+from marketloom.llm.near_dedup import one_of_each_group
 from marketloom.llm.packing import pack
+from marketloom.llm.quality import keep_good
 from marketloom.llm.queries import TOKENIZER, tokenizer_path
+from marketloom.llm.substring_dedup import without_repeats
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    ship(spark)
+    return keep_good(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines go that are near-equal to an earlier one. A document that loses all its lines stays, empty."""
+    ship(spark)
+    return without_repeated_lines(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays; emptied documents are one group."""
+    ship(spark)
+    return one_of_each_group(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words go that lie in a passage which occurs elsewhere too."""
+    ship(spark)
+    return without_repeats(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,9 +44,14 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
     ("best_fit_packing", best_fit_packing),
 ]
 
+# The classifier and the packing are not expressible in SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

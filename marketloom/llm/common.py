@@ -10,7 +10,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.session import materialise
@@ -30,17 +30,28 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, name)
 
 
+def _keys() -> list[Column]:
+    text = F.coalesce("text", F.lit(""))
+    return [F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("k1"), F.xxhash64(text).alias("k2")]
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a key without nulls. Rows that share a key have equal ids and equal texts.
+    """doc_id, text (null as empty) and a key without nulls, k1 and k2. Rows that share a key have equal ids and texts.
 
     What an operator finds for a text depends on the text alone, so equal rows may share a result.
     """
-    return docs.select(
-        "doc_id",
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("k1"),
-        F.xxhash64("text").alias("k2"),
-    )
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *_keys())
+
+
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """The whole row as ``row``, and its key: other columns cannot clash with an operator's own."""
+    return docs.select(F.struct("*").alias("row"), *_keys())
+
+
+def fields_of(docs: DataFrame, text: Column | None = None) -> list[Column]:
+    """The columns of ``row``, under their names; with ``text`` in the place of the text."""
+    whole = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    return whole if text is None else [text.alias(c) if c == "text" else f for c, f in zip(docs.columns, whole, strict=True)]
 
 
 def byte_table(separators: bytes, lower: bool = False) -> np.ndarray:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import BLANK_CLASS, group_bounds, joined, keyed, mix, runs, slices, store
+from marketloom.llm.common import BLANK_CLASS, fields_of, group_bounds, joined, keyed, keyed_rows, mix, runs, slices, store
 from marketloom.llm.components import components
 
 ERRORS = 2
@@ -307,9 +307,7 @@ def judge_lines(docs: DataFrame, errors: int = ERRORS, min_chars: int = MIN_CHAR
 def without_repeated_lines(docs: DataFrame, errors: int = ERRORS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with all their columns, and texts without the lines that ``repeated_lines`` names."""
     gone = repeated_lines(keyed(docs), errors, min_chars)
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("k1"), F.xxhash64("text").alias("k2"))
     numbered = F.transform(F.split("row.text", "\n", -1), lambda line, no: F.struct(no.alias("no"), line.alias("line")))
     kept = F.filter(numbered, lambda x: ~F.array_contains("removed", x["no"]))
     text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(kept, lambda x: x["line"]), "\n"))
-    joined_rows = rows.join(gone, ["k1", "k2"], "left")
-    return joined_rows.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return keyed_rows(docs).join(gone, ["k1", "k2"], "left").select(*fields_of(docs, text))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from marketloom.llm.common import group_bounds, joined, runs, slices, store
+from marketloom.llm.common import fields_of, group_bounds, joined, keyed, keyed_rows, runs, slices, store
 from marketloom.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -48,18 +48,20 @@ def fingerprint(text: str) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed number. Null and wordless texts have fingerprint zero."""
+    """doc_id, k1, k2 and fp, the fingerprint as a signed number, of ``keyed`` documents.
+
+    Null and wordless texts have fingerprint zero.
+    """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text")
-            for i, j in slices(texts):
-                found = [fingerprint(t or "") for t in texts.slice(i, j - i).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), pa.array(np.array(found, np.uint64).view(np.int64))], names=["doc_id", "fp"]
-                )
+            for i, j in slices(batch.column("text")):
+                part = batch.slice(i, j - i)
+                found = np.array([fingerprint(t) for t in part.column("text").to_pylist()], np.uint64)
+                own = [part.column(c) for c in ("doc_id", "k1", "k2")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(found.view(np.int64))], names=["doc_id", "k1", "k2", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(hashed, "doc_id long, fp long")
+    return docs.select("doc_id", "k1", "k2", "text").mapInArrow(hashed, "doc_id long, k1 long, k2 long, fp long")
 
 
 class Anchors:
@@ -172,6 +174,13 @@ def links(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(starred, "a long, b long")
 
 
+def _rooted(found: DataFrame) -> DataFrame:
+    """(fp, root): each distinct fingerprint and the smallest one it can reach over links."""
+    distinct = store(found.select("fp").distinct(), "distinct_fingerprints")
+    roots = components(links(covered(distinct)))
+    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -180,12 +189,25 @@ def near_groups(docs: DataFrame) -> DataFrame:
     zero and are linked like any other. Repeated rows give repeated results, an empty table none; other
     columns are ignored.
     """
-    found = store(fingerprints(docs), "fingerprints")
-    groups = store(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct_fingerprints")
-    roots = components(links(covered(groups.select("fp"))))
-    roots = groups.join(roots, groups.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    found = store(fingerprints(keyed(docs)), "fingerprints")
+    first = found.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    roots = _rooted(found).join(first, "fp")
     firsts = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     by_print = store(roots.join(firsts, "root").select("fp", "component_id"), "by_fingerprint")
     return found.join(by_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """Of each group of near-duplicates one row of ``docs``, with all its columns: that with the smallest doc_id.
+
+    Null ids come last; of rows with the same id and text, any one stays.
+    """
+    found = store(fingerprints(keyed(docs)), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "k1", "k2")
+    first = found.groupBy("fp").agg(F.min(order).alias("first"))
+    kept = _rooted(found).join(first, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = store(kept.select("first.k1", "first.k2"), "kept")
+    rows = keyed_rows(docs).join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    return rows.select(*fields_of(docs))

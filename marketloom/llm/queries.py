@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.llm.common import ship, table
 from marketloom.llm.exact_dedup import exact_groups
 from marketloom.llm.labelled_urls import labelled_urls
+from marketloom.llm.lattice import encode_samples
 from marketloom.llm.line_dedup import judge_lines
 from marketloom.llm.near_dedup import near_groups
 from marketloom.llm.packing import pack
@@ -18,6 +19,7 @@ from marketloom.llm.toxicity import train as train_toxicity
 from marketloom.llm.url_filter import judge_urls, train
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -74,7 +76,11 @@ def op9_exact_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(docs, docs.filter("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id"))
 
 
-OPERATORS = (op1_url_filter, op2_quality_classifier, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing, op7_line_dedup, op8_toxicity, op9_exact_top_k_search)
+def op10_sentencepiece_samples(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_samples(table(spark, folder, "documents"), tokenizer_path(PIECES), with_ids=False)
+
+
+OPERATORS = (op1_url_filter, op2_quality_classifier, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing, op7_line_dedup, op8_toxicity, op9_exact_top_k_search, op10_sentencepiece_samples)
 
 
 def _with_code(query):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from marketloom.llm.common import BY_BLANKS, Words, keyed, mix, slices, store
+from marketloom.llm.common import BY_BLANKS, Words, fields_of, keyed, keyed_rows, mix, slices, store
 
 WINDOW = 35
 KMER = 10
@@ -295,7 +295,5 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> Dat
     facts = store(anchored(own, window, k), "anchors")
     spans = repeated_spans(own, facts, window, k)
     cut = cut_texts(own, spans).select("k1", "k2", "kept").dropDuplicates(["k1", "k2"])
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("k1"), F.xxhash64("text").alias("k2"))
-    joined = rows.join(cut, ["k1", "k2"], "left")
-    fields = [F.coalesce("kept", "row.text").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    return joined.select(*fields)
+    joined = keyed_rows(docs).join(cut, ["k1", "k2"], "left")
+    return joined.select(*fields_of(docs, F.coalesce("kept", "row.text")))
