@@ -13,6 +13,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ TEMPERATURE = 1.0
 UNKNOWN_PENALTY = 10.0
 SAMPLES = 2
 SLICE = 1 << 20
+MOST_ARCS = 3_000_000
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Odd multipliers for hashing.
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -98,7 +100,37 @@ class Pieces:
 
 
 class Lattice:
-    """The arcs of distinct units, with the chance of each arc at its node. Units end in a node without arcs."""
+    """The arcs of distinct units, with the chance of each arc at its node.
+
+    target: the node an arc leads to; name: its piece, or -1 - c for a character c without one; last: whether it
+    ends its unit. Units can be added, so that words met before are not built again.
+    """
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self.number: dict[str, int] = {}
+        self.first, self.start = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.target, self.name = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.log_chance, self.inverse_chance, self.last = np.zeros(0), np.zeros(0), np.zeros(0, bool)
+
+    def numbers(self, units: list[str]) -> np.ndarray:
+        """The numbers of distinct units; those not known yet are added."""
+        new = [u for u in units if u not in self.number]
+        if new:
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+            more = _Arcs(new, self.pieces)
+            nodes, arcs = self.first[-1], self.start[-1]
+            self.first = np.concatenate((self.first[:-1], more.first + nodes))
+            self.start = np.concatenate((self.start[:-1], more.start + arcs))
+            self.target = np.concatenate((self.target, more.target + nodes))
+            self.name, self.last = np.concatenate((self.name, more.name)), np.concatenate((self.last, more.last))
+            self.log_chance = np.concatenate((self.log_chance, more.log_chance))
+            self.inverse_chance = np.concatenate((self.inverse_chance, np.exp(-more.log_chance)))
+        return np.array([self.number[u] for u in units], np.int64)
+
+
+class _Arcs:
+    """The arcs of some units, sorted by their nodes."""
 
     def __init__(self, units: list[str], pieces: Pieces):
         chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -134,7 +166,6 @@ class Lattice:
         self.target, self.name, weight, source = target[order], name[order], weight[order], source[order]
         self.start = np.searchsorted(source, np.arange(n + 1))
         self.log_chance = self._chances(source, weight, left)
-        # The last arc of a unit leads out of it, to the next unit's first node or past the end: mark it.
         self.last = left[source] == self.target - source
 
     def _chances(self, source: np.ndarray, weight: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -159,19 +190,18 @@ class Lattice:
         return out
 
 
-def _uniform(seed: np.ndarray) -> np.ndarray:
-    return ((mix(seed) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
-
-
-def _gumbel(seed: np.ndarray) -> np.ndarray:
-    return -np.log(-np.log(_uniform(seed)))
+def _clock(seed: np.ndarray) -> np.ndarray:
+    """Exponential noise; the negative logarithm of it is Gumbel noise."""
+    return -np.log(((mix(seed) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53)
 
 
 @dataclass
 class Walk:
-    """Paths of some texts, one after the other: arcs taken, and the arcs beside them with their values.
+    """Paths of some texts, one after the other: arcs taken, and the arcs beside them.
 
-    step: where each text's steps start, and the end; side: where each step's other arcs start.
+    unit: the unit of each step; step: where each text's steps start, and the end; before: the log-probability
+    ahead of each step; side: where each step's other arcs start; side_lag: how far each of them is
+    behind. A side's perturbed value is -log(exp(-value) + exp(lag)), with the value of the text's path.
     """
 
     arcs: np.ndarray
@@ -180,94 +210,96 @@ class Walk:
     before: np.ndarray
     side: np.ndarray
     side_arc: np.ndarray
-    side_value: np.ndarray
+    side_lag: np.ndarray
+    value: np.ndarray
 
 
 def walk(lattice: Lattice, node: np.ndarray, unit: np.ndarray, bounds: np.ndarray, seed: np.ndarray, value: np.ndarray, before: np.ndarray) -> Walk:
     """Follows each text's best path from the given nodes of its units to their ends.
 
-    bounds: where each text's units start; seed: noise of each unit; value: the perturbed value of each
+    Of the arcs of a node the one whose clock rings first is taken; a clock is exponential noise over the arc's
+    chance. bounds: where each text's units start; seed: noise of each unit; value: the perturbed value of each
     text's prefix, which the best path keeps; before: the prefix's log-probability.
     """
-    count = len(node)
+    active, here, depth, entries = np.arange(len(node)), node, 0, 0
+    steps = np.zeros(len(node), np.int64)
     taken: list[tuple[np.ndarray, ...]] = []
     beside: list[tuple[np.ndarray, ...]] = []
-    active, here, depth = np.arange(count), node, 0
-    steps = np.zeros(count, np.int64)
     while len(active):
-        degree = lattice.start[here + 1] - lattice.start[here]
-        offset = np.cumsum(degree) - degree
-        arc = np.repeat(lattice.start[here] - offset, degree) + np.arange(degree.sum())
-        rank = np.arange(len(arc)) - np.repeat(offset, degree)
-        noisy = lattice.log_chance[arc].copy()
-        forked = np.repeat(degree > 1, degree)
-        noise = np.repeat(seed[active], degree)[forked] + (np.uint64(depth) << np.uint64(20)) + rank[forked].astype(np.uint64)
-        noisy[forked] += _gumbel(noise)
-        top = np.maximum.reduceat(noisy, offset)
-        is_top = noisy == np.repeat(top, degree)
-        chosen = np.flatnonzero(is_top)
-        owner = np.repeat(np.arange(len(active)), degree)
-        if len(chosen) > len(active):
-            chosen = chosen[np.unique(owner[chosen], return_index=True)[1]]
-        other = np.ones(len(arc), bool)
-        other[chosen] = False
-        taken.append((active, arc[chosen], top, degree))
-        beside.append((owner[other] + sum(len(t[0]) for t in taken[:-1]), arc[other], noisy[other]))
+        begin = lattice.start[here]
+        degree = lattice.start[here + 1] - begin
+        fork = np.flatnonzero(degree > 1)
+        width = degree[fork]
+        offset = np.cumsum(width) - width
+        owner = np.repeat(np.arange(len(fork)), width)
+        rank = np.arange(len(owner)) - offset[owner]
+        arc = begin[fork][owner] + rank
+        noise = (seed[active[fork]] + np.uint64(depth << 20))[owner] + rank.astype(np.uint64)
+        rings = _clock(noise) * lattice.inverse_chance[arc]
+        chosen = begin.copy()
+        if len(fork):
+            first = np.minimum.reduceat(rings, offset)
+            lag = rings - first[owner]
+            won = np.flatnonzero(lag == 0)
+            if len(won) > len(fork):
+                won = won[np.unique(owner[won], return_index=True)[1]]
+            chosen[fork] = arc[won]
+            other = np.ones(len(arc), bool)
+            other[won] = False
+            beside.append((fork[owner[other]] + entries, arc[other], lag[other]))
+        taken.append((active, chosen, degree - 1))
+        entries += len(active)
         steps[active] += 1
-        going = ~lattice.last[arc[chosen]]
-        here = lattice.target[arc[chosen]][going]
+        going = ~lattice.last[chosen]
+        here = lattice.target[chosen[going]]
         active = active[going]
         depth += 1
     return _assembled(lattice, taken, beside, steps, unit, bounds, value, before)
 
 
+def _joined(parts: list[tuple[np.ndarray, ...]], column: int, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(p[column] for p in parts)]).astype(kind, copy=False)
+
+
 def _assembled(lattice: Lattice, taken: list, beside: list, steps: np.ndarray, unit: np.ndarray, bounds: np.ndarray, value: np.ndarray, before: np.ndarray) -> Walk:
+    """Puts what the units' steps found, level by level, in the order of the texts."""
     first = np.concatenate(([0], np.cumsum(steps)))
     total = int(first[-1])
-    place = np.concatenate([first[a] + d for d, (a, *_) in enumerate(taken)]) if taken else np.zeros(0, np.int64)
-    arcs, top, degree = (np.empty(total, t) for t in (np.int64, float, np.int64))
-    for i, target in enumerate((arcs, top, degree), 1):
-        target[place] = np.concatenate([t[i] for t in taken]) if taken else []
+    place = np.concatenate([np.zeros(0, np.int64), *(first[t[0]] + depth for depth, t in enumerate(taken))])
+    arcs, others = np.empty(total, np.int64), np.empty(total, np.int64)
+    arcs[place], others[place] = _joined(taken, 1, np.int64), _joined(taken, 2, np.int64)
     text_step = first[bounds]
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(text_step))
+    lengths = np.diff(text_step)
     chance = lattice.log_chance[arcs]
-    running = np.cumsum(chance) - chance
-    prior = running - running[np.minimum(text_step[:-1], max(total - 1, 0))][text] + before[text] if total else running
-    side = np.concatenate(([0], np.cumsum(degree - 1)))
-    side_arc, noisy = np.empty(int(side[-1]), np.int64), np.empty(int(side[-1]))
-    if taken:
-        owner, arc, value_of = (np.concatenate([b[i] for b in beside]) for i in range(3))
-        # Arcs come step by step; within a step they follow their nodes, so ranks count up within each node.
-        rank = np.arange(len(owner)) - np.concatenate(([0], np.flatnonzero(np.diff(owner)) + 1))[np.cumsum(np.diff(owner, prepend=owner[:1]) != 0)] if len(owner) else owner
-        at = side[place[owner]] + rank
-        side_arc[at], noisy[at] = arc, value_of
-    step_of = np.repeat(np.arange(total), degree - 1)
-    phi = prior[step_of]
-    mine, best, up = phi + noisy, phi + top[step_of], value[text[step_of]]
-    with np.errstate(divide="ignore"):
-        v = up - mine + np.log1p(-np.exp(np.minimum(mine - best, 0)))
-    side_value = up - np.maximum(0, v) - np.log1p(np.exp(-np.abs(v)))
-    return Walk(arcs, np.repeat(unit, steps), text_step, prior, side, side_arc, side_value)
-
-
-def sample(texts: list[str], seeds: np.ndarray, pieces: Pieces, k: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float]]]:
+    running = np.concatenate(([0.0], np.cumsum(chance)))
+    prior = running[:-1] + np.repeat(before - running[text_step[:-1]], lengths)
+    side = np.concatenate(([0], np.cumsum(others)))
+    owner, arc, lag = _joined(beside, 0, np.int64), _joined(beside, 1, np.int64), _joined(beside, 2, float)
+    # The sides of a step come one after the other, so their ranks count up within each run of one owner.
+    begins = np.flatnonzero(np.diff(owner, prepend=-1))
+    rank = np.arange(len(owner)) - np.repeat(begins, np.diff(np.append(begins, len(owner))))
+    step = place[owner]
+    at = side[step] + rank
+    side_arc, side_lag = np.empty(len(at), np.int64), np.empty(len(at))
+    side_arc[at] = arc
+    side_lag[at] = np.log(lag, out=np.full(len(lag), -np.inf), where=lag > 0) - prior[step]
+    return Walk(arcs, np.repeat(unit, steps), text_step, prior, side, side_arc, side_lag, value)
+
+
+def sample(texts: list[str], seeds: np.ndarray, lattice: Lattice, k: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float]]]:
     """For each text up to ``k`` distinct segmentations as (ids, log-probability, inclusion chance), best first.
 
     The inclusion chance is that of the sample's perturbed value to pass the best value not taken; it is one
     where all segmentations are taken.
     """
     split = [UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-    number: dict[str, int] = {}
-    for units in split:
-        for u in units:
-            number.setdefault(u, len(number))
-    lattice = Lattice(list(number), pieces)
     counts = np.array([len(u) for u in split], np.int64)
     bounds = np.concatenate(([0], np.cumsum(counts)))
-    kinds = np.fromiter((number[u] for units in split for u in units), np.int64, int(bounds[-1]))
+    coded = pa.array(list(chain.from_iterable(split)), pa.string()).dictionary_encode()
+    kinds = lattice.numbers(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
     place = np.arange(len(kinds)) - np.repeat(bounds[:-1], counts)
     n = len(texts)
-    root = _gumbel(seeds)
+    root = -np.log(_clock(seeds))
     noise = mix(np.repeat(seeds, counts) + (place.astype(np.uint64) + np.uint64(1)) * BASE)
     first = walk(lattice, lattice.first[kinds], np.arange(len(kinds)), bounds, noise, root, np.zeros(n))
     # Of each walk, for each of its texts: the whole path it ends, and how many of its arcs came before the walk.
@@ -318,26 +350,37 @@ def sample(texts: list[str], seeds: np.ndarray, pieces: Pieces, k: int = SAMPLES
 def _sides(source: Walk, w: int, local: int, most: int, known: list[tuple[float, int, int, int]]) -> list[tuple[float, int, int, int]]:
     """The ``most`` best open prefixes of a text as (value, walk, text in the walk, side), best first."""
     lo, hi = int(source.side[source.step[local]]), int(source.side[source.step[local + 1]])
-    values = source.side_value[lo:hi]
-    top = np.argpartition(values, len(values) - most)[-most:] if len(values) > most else np.arange(len(values))
-    new = [(float(values[t]), w, local, lo + int(t)) for t in top if values[t] > -np.inf]
+    lags = source.side_lag[lo:hi]
+    top = np.argpartition(lags, most)[:most] if len(lags) > most else np.arange(len(lags))
+    values = -np.logaddexp(-source.value[local], lags[top])
+    new = [(v, w, local, lo + t) for v, t in zip(values.tolist(), top.tolist(), strict=True)]
     return sorted(known + new, key=lambda x: (-x[0], x[1], x[3]))[:most]
 
 
 def _ids(names: np.ndarray) -> np.ndarray:
-    if not len(names) or names.min() >= 0:
+    """Piece numbers; a character without a piece (a negative name) becomes the pieces of its UTF-8 bytes."""
+    odd = np.flatnonzero(names < 0)
+    if not len(odd):
         return names.astype(np.int32)
-    out = [[x] if x >= 0 else [FIRST_BYTE + b for b in chr(-1 - x).encode()] for x in names.tolist()]
-    return np.array([i for some in out for i in some], np.int32)
+    sizes = np.ones(len(names), np.int64)
+    spelt = "".join(map(chr, (-1 - names[odd]).tolist())).encode()
+    lead = np.frombuffer(spelt, np.uint8)
+    sizes[odd] = np.diff(np.append(np.flatnonzero((lead & 0xC0) != 0x80), len(lead)))
+    out = np.repeat(names, sizes)
+    out[out < 0] = FIRST_BYTE + lead.astype(np.int64)
+    return out.astype(np.int32)
 
 
-_PIECES: dict[tuple[str, float], Pieces] = {}
+_LATTICES: dict[tuple[str, float], Lattice] = {}
 
 
-def _pieces(path: str, temperature: float) -> Pieces:
-    if (path, temperature) not in _PIECES:
-        _PIECES[path, temperature] = Pieces(path, temperature)
-    return _PIECES[path, temperature]
+def _lattice(path: str, temperature: float) -> Lattice:
+    """This worker's lattice of the words met so far; it starts anew when it has grown large."""
+    known = _LATTICES.get((path, temperature))
+    if known is None or len(known.target) > MOST_ARCS:
+        pieces = known.pieces if known else Pieces(path, temperature)
+        known = _LATTICES[path, temperature] = Lattice(pieces)
+    return known
 
 
 def encode_samples(docs: DataFrame, model: str, k: int = SAMPLES, temperature: float = TEMPERATURE, with_ids: bool = True) -> DataFrame:
@@ -351,14 +394,15 @@ def encode_samples(docs: DataFrame, model: str, k: int = SAMPLES, temperature: f
     """
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(model, temperature)
         for batch in batches:
             for i, j in slices(batch.column("text"), SLICE):
+                lattice = _lattice(model, temperature)
+                pieces = lattice.pieces
                 part = batch.slice(i, j - i)
                 texts = part.column("text").to_pylist()
                 k1, k2 = (np.asarray(part.column(c)).view(np.uint64) for c in ("k1", "k2"))
                 rows = []
-                for at, (text, found) in enumerate(zip(texts, sample(texts, mix(k1 ^ mix(k2)), pieces, k), strict=True)):
+                for at, (text, found) in enumerate(zip(texts, sample(texts, mix(k1 ^ mix(k2)), lattice, k), strict=True)):
                     raw = text.encode()
                     for number, (ids, chance, include) in enumerate(found):
                         crc = zlib.crc32(ids.astype("<u4").tobytes())
@@ -378,7 +422,7 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
     """``rows`` (doc_id, sample, ids) with the text that the ids spell: doc_id, sample, text. Null ids give null."""
 
     def spelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(model, TEMPERATURE)
+        pieces = _lattice(model, TEMPERATURE).pieces
         for batch in batches:
             texts = [None if ids is None else pieces.decode(np.array(ids, np.int64)).decode("utf-8", "replace") for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("sample"), pa.array(texts, pa.string())], names=["doc_id", "sample", "text"])

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from marketloom.llm.common import mix
-from marketloom.llm.lattice import FIRST_PIECE, SPACE, Pieces, decode, encode_samples, sample
+from marketloom.llm.lattice import FIRST_PIECE, SPACE, Lattice, Pieces, decode, encode_samples, sample
 from marketloom.llm.queries import PIECES, tokenizer_path
 
 TEXTS = [None, "", " ", "a", "the cat", "  two  spaces ", "line\n\tnext", "été ａ 字x 𝄞", "x" * 3000, "word " * 800, "end\n"]
@@ -44,7 +44,7 @@ def seeds(n, start=0):
 @pytest.mark.parametrize("text", ["on a", "the\n", "xé 1"])
 def test_samples_are_distinct_and_have_their_probabilities(pieces, text):
     chances = everything(pieces, text)
-    for found in sample([text] * 50, seeds(50), pieces, 4):
+    for found in sample([text] * 50, seeds(50), Lattice(pieces), 4):
         names = [tuple(ids.tolist()) for ids, _, _ in found]
         assert len(set(names)) == len(names) == min(4, len(chances))
         for name, (_, chance, include) in zip(names, found, strict=True):
@@ -53,14 +53,14 @@ def test_samples_are_distinct_and_have_their_probabilities(pieces, text):
 
 def test_all_segmentations_come_when_k_is_large(pieces):
     chances = everything(pieces, "an a")
-    (found,) = sample(["an a"], seeds(1), pieces, len(chances) + 5)
+    (found,) = sample(["an a"], seeds(1), Lattice(pieces), len(chances) + 5)
     assert {tuple(ids.tolist()) for ids, _, _ in found} == set(chances) and all(include == 1 for *_, include in found)
 
 
 def test_draws_follow_the_lattice(pieces):
     text, n = "on a", 6000
     chances = everything(pieces, text)
-    drawn = sample([text] * n, seeds(n), pieces, 2)
+    drawn = sample([text] * n, seeds(n), Lattice(pieces), 2)
     first = Counter(tuple(f[0][0].tolist()) for f in drawn)
     second = Counter(tuple(f[1][0].tolist()) for f in drawn)
     p = {name: np.exp(c) for name, c in chances.items()}
@@ -73,7 +73,7 @@ def test_inclusion_scores_estimate_sums(pieces):
     text, n = "on a", 6000
     length = {name: len(name) for name in everything(pieces, text)}
     mean = sum(np.exp(c) * length[name] for name, c in everything(pieces, text).items())
-    estimates = [sum(np.exp(chance) / include * len(ids) for ids, chance, include in found) for found in sample([text] * n, seeds(n, 10**6), pieces, 3)]
+    estimates = [sum(np.exp(chance) / include * len(ids) for ids, chance, include in found) for found in sample([text] * n, seeds(n, 10**6), Lattice(pieces), 3)]
     assert abs(np.mean(estimates) - mean) < 0.1
 
 
