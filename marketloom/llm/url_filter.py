@@ -88,12 +88,12 @@ def train(labelled: DataFrame, rounds: int = 300, rate: float = 0.5, decay: floa
     label = np.asarray(rows.column("blocked"), dtype=float)
     owner, bucket = url_features(rows.column("host").combine_chunks(), rows.column("path").combine_chunks())
     value = 1 / np.sqrt(np.maximum(np.bincount(owner, minlength=n), 1))[owner]
-    weights, bias = np.zeros(1 << BITS), 0.0
+    # The bias is the share of blocked rows alone, so that a url without features is judged by that share.
+    weights, bias = np.zeros(1 << BITS), float(np.log((label.sum() + 1) / (n - label.sum() + 1)))
     for _ in range(rounds):
         error = 1 / (1 + np.exp(-(bias + sums_by(owner, weights[bucket] * value, n)))) - label
         gradient = np.bincount(bucket, weights=error[owner] * value, minlength=1 << BITS) / n
         weights -= 20 * rate * (gradient + decay * weights)
-        bias -= rate * error.mean()
     return UrlModel(weights, bias)
 
 
