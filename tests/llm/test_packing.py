@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -27,7 +28,16 @@ def whole_ids(encoder, text):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("ab'1. \n\t é !s\x1c\x85"), max_size=40), max_size=4))
 def test_words_give_the_ids_of_the_whole_text(encoder, texts):
-    for text, raw in zip(texts, encoder.encode(texts), strict=True):
+    for text, raw in zip(texts, encoder.encode(pa.array(texts, pa.string())), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == whole_ids(encoder, text)
+
+
+def test_whole_sample_texts_and_all_latin_letters(encoder, sample):
+    from pyarrow.parquet import read_table
+
+    texts = read_table(f"{sample}/documents.parquet")["text"].to_pylist()
+    texts += ["".join(chr(c) + ("" if c % 3 else " x") for c in range(1, 0x2000)), " ".join(chr(c) * 2 for c in range(1, 0x300))]
+    for text, raw in zip(texts, encoder.encode(pa.array(texts)), strict=True):
         assert np.frombuffer(raw, "<u4").tolist() == whole_ids(encoder, text)
 
 
