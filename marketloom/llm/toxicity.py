@@ -24,8 +24,9 @@ WORD_SIZE, CHAR_SIZE, HIDDEN, ATTENTION = 8, 8, 8, 8
 CHAR_BITS = 16
 NGRAMS = range(3, 6)
 VOCABULARY, LEAST_COUNT = 8192, 5
-MAX_TOXIC, MAX_OTHER, MAX_CHARS = 1500, 2500, 20_000
-EPOCHS, BATCH, RATE = 5, 32, 0.01
+MAX_TOXIC, MAX_OTHER, MAX_CHARS = 1000, 1500, 8000
+EPOCHS, BATCH, RATE = 3, 32, 0.02
+LEAST_STEPS = 240
 CHUNK = 4096
 HELD_OUT_PARTS = 5
 
@@ -233,7 +234,7 @@ def fit_network(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed
     second = {k: np.zeros_like(v) for k, v in network.p.items()}
     step = 0
     # Batches hold texts of similar length, so that one long text does not set the size of many.
-    epochs = max(epochs, -(-400 // max(1, len(texts) // BATCH)))
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, len(texts) // BATCH)))
     by_length = np.argsort([len(t) for t in texts], kind="stable")
     batches = [by_length[i : i + BATCH] for i in range(0, len(texts), BATCH)]
     prepared = [Inputs.of(pa.array([texts[i] for i in b], pa.large_string()), network.vocabulary) for b in batches]
