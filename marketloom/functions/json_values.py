@@ -25,16 +25,22 @@ def read_object(text: Column, fields: str) -> Column:
     """A struct of ``payload`` (NULL unless the text is one JSON object) and ``well_typed``.
 
     The reader stops after the first value. Reading the text as first element of a two-element array
-    whose second is a mark makes anything after the object break the array or hide the mark.
+    whose second is a mark makes anything after the object break the array or hide the mark. The mark is the
+    text's own hash, which no text can contain.
     """
-    wrapped = F.concat(F.lit('{"parts":['), text, F.lit(',{"' + END_MARK + '":true}]}'))
-    schema = f"parts ARRAY<STRUCT<{fields}, {END_MARK} BOOLEAN>>, {BAD_RECORD} STRING"
+    wrapped = F.concat(F.lit('{"parts":['), text, F.lit(',{"' + END_MARK + '":"'), end_mark(text), F.lit('"}]}'))
+    schema = f"parts ARRAY<STRUCT<{fields}, {END_MARK} STRING>>, {BAD_RECORD} STRING"
     return F.from_json(wrapped, schema, READ_OPTIONS)
 
 
-def payload_of(read: Column) -> Column:
+def end_mark(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
+def payload_of(read: Column, text: Column) -> Column:
+    """The payload that ``read_object`` found in ``text``."""
     parts = read["parts"]
-    complete = (F.size(parts) == 2) & F.coalesce(F.get(parts, F.lit(1))[END_MARK], F.lit(False))
+    complete = (F.size(parts) == 2) & F.coalesce(F.get(parts, F.lit(1))[END_MARK] == end_mark(text), F.lit(False))
     return F.when(complete, F.get(parts, F.lit(0)))
 
 

@@ -38,8 +38,8 @@ CART_FIELDS = (
 def _read(envelopes: DataFrame, fields: str) -> DataFrame:
     """Envelope columns plus the payload ``p`` and ``well_typed``."""
     read = F.col("read")
-    return envelopes.select(*ENVELOPE_COLUMNS, J.read_object(F.col("data"), fields).alias("read")).select(
-        *ENVELOPE_COLUMNS, J.payload_of(read).alias("p"), J.is_well_typed(read).alias("well_typed")
+    return envelopes.select(*ENVELOPE_COLUMNS, "data", J.read_object(F.col("data"), fields).alias("read")).select(
+        *ENVELOPE_COLUMNS, J.payload_of(read, F.col("data")).alias("p"), J.is_well_typed(read).alias("well_typed")
     )
 
 

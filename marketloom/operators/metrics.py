@@ -24,6 +24,20 @@ def kpi_daily(sales: DataFrame, funnel: DataFrame) -> DataFrame:
     )
 
 
+def kpi_of_sales(sales: DataFrame) -> DataFrame:
+    """The KPI rows of days whose funnel is that of their sales: every cart is an order and a payment."""
+    orders = F.col("order_count")
+    return sales.select(
+        "date_id",
+        "total_sales_amount",
+        orders.alias("total_order_count"),
+        F.col("pay_user_count").alias("paid_user_count"),
+        "avg_order_amount",
+        guarded_ratio(orders, orders).alias("payment_conversion_rate"),
+        "dt",
+    )
+
+
 def sales_trend_daily(sales: DataFrame) -> DataFrame:
     return sales.select(
         "date_id",

@@ -115,7 +115,7 @@ def _all_rules() -> list[Column]:
         rules.append(
             _rule(
                 name, CRITICAL, _within(value, value, smallest, largest),
-                F.lit(f"{column} is within range"), F.concat(F.lit(column), outside), kpi_rows == 1,
+                F.lit(f"{column} is within range"), F.concat(F.lit(f"{column} "), F.format_string("%.4f", value), outside), kpi_rows == 1,
             )
         )
 

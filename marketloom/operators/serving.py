@@ -2,7 +2,7 @@
 
 ``*_list`` functions answer for one date, or for the latest with data; a date without rows raises
 ``DataNotFound``. ``overview_sections`` gives all sections of all complete dates as rows, and
-``overview`` the nested answer for one date.
+``overview`` the answer for one date as ordered rows.
 """
 
 from __future__ import annotations
@@ -102,12 +102,6 @@ def complete_dates(tables: dict[str, DataFrame]) -> DataFrame:
     return sections.where(F.col("sections") == len(SECTIONS)).select("date_id")
 
 
-def _as_numbers(df_columns: list[str], table: str) -> list[Column]:
-    """Columns as the response carries them: decimals become JSON numbers."""
-    types = {f.name: f.dataType.typeName() for f in columns_of(table)}
-    return [F.col(c).cast("double").alias(c) if types[c] == "decimal" else F.col(c) for c in df_columns]
-
-
 def overview_sections(tables: dict[str, DataFrame]) -> DataFrame:
     """All sections of all complete dates as (date_id, section, item JSON); one row per item."""
     complete = complete_dates(tables)
@@ -119,26 +113,23 @@ def overview_sections(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def overview(tables: dict[str, DataFrame], date_id: str | None = None) -> DataFrame:
-    """One row: KPI struct and five ordered item arrays of one date.
+    """The answer for one date as rows: (date_id, section, item_no, item JSON), items numbered in their order.
 
-    The answer is one document, so its lists are gathered; they hold the rows of a single date of
-    the metric tables, not of the facts.
+    Decimals are JSON numbers. For a given date a section without rows raises; without one, the latest date
+    of all tables is found in the same query, and ``complete_dates`` tells where no section is missing.
     """
-    date_id = resolve_date(tables, date_id)
-    answer = None
+    if date_id is not None:
+        resolve_date(tables, date_id)
+    parts = []
     for section, (table, keys) in SECTIONS.items():
-        rows = _section_of(tables, section, date_id)
-        names = columns_of(table).names if section == "kpi" else _item_columns(section)
-        item = F.struct(*_as_numbers(names, table))
-        if section == "kpi":
-            part = rows.select("date_id", item.alias(section))
+        if date_id is None:
+            rows = tables[table].join(latest_date(tables), "date_id", "left_semi")
         else:
-            position = Window.partitionBy("date_id").orderBy(*(_ordering(keys) or [F.col("date_id")]))
-            placed = rows.select("date_id", F.struct(F.row_number().over(position).alias("n"), item.alias("item")).alias("placed"))
-            ordered = F.sort_array(F.collect_list("placed"))
-            part = placed.groupBy("date_id").agg(F.transform(ordered, lambda p: p["item"]).alias(section))
-        answer = part if answer is None else answer.join(part, "date_id")
-    return answer
+            rows = _section_of(tables, section, date_id)
+        position = Window.partitionBy("date_id").orderBy(*(_ordering(keys) or [F.col("date_id")]))
+        item = F.to_json(F.struct(*_item_columns(section)), {"ignoreNullFields": "false"})
+        parts.append(rows.select("date_id", F.lit(section).alias("section"), F.row_number().over(position).alias("item_no"), item.alias("item")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def share_slices(shares: DataFrame, limit: int = SHARE_SLICES) -> DataFrame:

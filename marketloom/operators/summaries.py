@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.numbers import guarded_ratio, money, money_sum, zero_if_null
 from marketloom.functions.text import UNKNOWN
-from marketloom.session import fits_broadcast
 
 USER_ATTRIBUTES = ("age_group", "gender", "country")
 
@@ -47,7 +46,13 @@ def sales_daily(lines: DataFrame, dates: DataFrame | None = None) -> DataFrame:
 
 
 def product_daily(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Sales per product; ``products`` is the product dimension, whose names are never NULL."""
+    """Sales per product; ``products`` is the product dimension, whose names are never NULL.
+
+    Lines are reduced before they meet the catalogue, so a hot product joins as a few rows. A listed product
+    takes its name and category from the catalogue, hence one row per product; an unlisted one keeps the
+    names and hints of its lines. Distinct carts do not add up from the finer grain to the coarser, so both
+    grains are aggregated in one pass and the join picks one.
+    """
     sold = lines.select(
         "dt",
         "product_id",
@@ -64,42 +69,6 @@ def product_daily(lines: DataFrame, products: DataFrame) -> DataFrame:
         F.col("category").alias("listed_category"),
         "brand",
     )
-    if fits_broadcast(catalogue):
-        return _product_daily_by_lookup(sold, catalogue)
-    return _product_daily_by_grain(sold, catalogue)
-
-
-def _product_daily_by_lookup(sold: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Small catalogue: look it up map-side, then one aggregation over (product, cart)."""
-    return (
-        sold.join(F.broadcast(catalogue), ["dt", "product_id"], "left")
-        .groupBy(
-            "dt",
-            "product_id",
-            F.coalesce("listed_name", "product_name").alias("product_name"),
-            F.coalesce("listed_category", "category_hint").alias("category"),
-            "brand",
-        )
-        .agg(
-            F.sum("quantity").alias("sales_quantity"),
-            money(F.sum("line_discounted_total")).alias("sales_amount"),
-            F.countDistinct("cart_id").alias("order_count"),
-        )
-        .select(
-            F.col("dt").alias("date_id"),
-            "product_id", "product_name", "category", "brand", "sales_quantity", "sales_amount", "order_count",
-            "dt",
-        )
-    )
-
-
-def _product_daily_by_grain(sold: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Large catalogue: reduce the lines before joining, so a hot product joins as a few rows.
-
-    A listed product takes its name and category from the catalogue, hence one row per product; an
-    unlisted one keeps the names and hints of its lines. Distinct carts do not add up from the finer
-    grain to the coarser, so both grains are aggregated in one pass and the join picks one.
-    """
     grains = sold.groupingSets(
         [["dt", "product_id"], ["dt", "product_id", "product_name", "category_hint"]],
         "dt", "product_id", "product_name", "category_hint",
@@ -185,9 +154,18 @@ def user_profile_daily(users: DataFrame, lines: DataFrame) -> DataFrame:
 def funnel_daily(lines: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Carts count as orders and as payments; there is no source of views."""
     daily = lines.groupBy("dt").agg(F.countDistinct("cart_id").alias("carts"))
+    return _funnel(_one_row_per_date(daily, dates))
+
+
+def funnel_of_sales(sales: DataFrame) -> DataFrame:
+    """The funnel of the carts that ``sales_daily`` has counted, without reading their lines again."""
+    return _funnel(sales.select("dt", F.col("order_count").alias("carts")))
+
+
+def _funnel(daily: DataFrame) -> DataFrame:
     carts = zero_if_null(F.col("carts"))
     none = F.lit(0).cast("bigint")
-    return _one_row_per_date(daily, dates).select(
+    return daily.select(
         F.col("dt").alias("date_id"),
         none.alias("view_count"),
         carts.alias("cart_count"),

@@ -6,31 +6,24 @@ lazy between two stores; nothing but counts reaches the driver.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marketloom.errors import BatchError
 from marketloom.operators import details, dimensions, metrics, quality, summaries
-from marketloom.schemas import FEEDS, METRICS
+from marketloom.schemas import FEEDS, METRICS, envelope_schema, table_schema
 from marketloom.session import broadcast_if_small, configure
 from marketloom.sinks import serving, snapshots
 from marketloom.sinks.tables import read_table, replace_partition, replace_partitions
-from marketloom.sources.envelopes import read_batch, read_feed, require_landed_contract
+from marketloom.sources.envelopes import checked_date, read_batch, read_feed, require_landed_contract
 
-BATCH_DATE = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")
 AUDIT = "feed STRING, dt STRING, read BIGINT, written BIGINT, invalid BIGINT"
 EXPORTS = "table_name STRING, exported BIGINT"
 
 
-def checked_date(batch_date: str) -> str:
-    if not BATCH_DATE.fullmatch(batch_date):
-        raise ValueError("a batch date must look like YYYY-MM-DD")
-    return batch_date
-
-
 def batch_dates(spark: SparkSession, *dates: str) -> DataFrame:
     """Requested dates as a one-column frame."""
     return spark.createDataFrame([(checked_date(d),) for d in dates], "dt STRING")
@@ -126,10 +119,22 @@ def export_snapshots(tables: dict[str, DataFrame], root: str, batch_date: str) -
     return spark.createDataFrame(counts, EXPORTS)
 
 
+def _or_empty(spark: SparkSession, schema: StructType, read: Callable[[], DataFrame]) -> DataFrame:
+    try:
+        return read()
+    except BatchError:
+        return spark.createDataFrame([], schema)
+
+
 def check_quality(spark: SparkSession, root: str, batch_date: str) -> DataFrame:
-    """Evaluate the rules on the landed feeds and the snapshots; stores and gives the rule rows."""
-    feeds = {source: read_batch(spark, root, source, batch_date) for source in FEEDS}
-    exported = snapshots.read_snapshots(spark, root, batch_date)
+    """Evaluate the rules on the landed feeds and the snapshots; stores and gives the rule rows.
+
+    An input that is missing or cannot be read counts as empty: its rule fails and the others are evaluated.
+    """
+    feeds = {s: _or_empty(spark, envelope_schema(), lambda s=s: read_batch(spark, root, s, batch_date)) for s in FEEDS}
+    exported = {
+        t: _or_empty(spark, table_schema(t), lambda t=t: snapshots.read_snapshot(spark, root, batch_date, t)) for t in METRICS
+    }
     rules = quality.quality_rules(feeds, exported, batch_dates(spark, batch_date))
     path = f"{root}/quality/{batch_date}"
     rules.write.mode("overwrite").json(f"{path}/rules")
@@ -141,6 +146,7 @@ def check_quality(spark: SparkSession, root: str, batch_date: str) -> DataFrame:
 def run_batch(spark: SparkSession, root: str, batch_date: str) -> dict[str, DataFrame]:
     """All stages of a landed batch in order; the first failing stage ends it."""
     configure(spark)
+    checked_date(batch_date)
     for source in FEEDS:
         require_landed_contract(spark, root, source, batch_date)
     audited = run_details(spark, root, batch_date)
@@ -149,5 +155,8 @@ def run_batch(spark: SparkSession, root: str, batch_date: str) -> dict[str, Data
     exported = export_snapshots(tables, root, batch_date)
     serving.publish(snapshots.read_snapshots(spark, root, batch_date), root, batch_date)
     rules = check_quality(spark, root, batch_date)
+    failed = [r.name for r in rules.where("status = 'failed' AND severity = 'critical'").collect()]
+    if failed:
+        raise BatchError(f"critical rules failed for {batch_date}: {', '.join(sorted(failed))}")
     return {"audit": audited, "exported": exported, "rules": rules}
 

@@ -7,26 +7,29 @@ from pyspark.sql import functions as F
 
 from marketloom.errors import BatchError
 from marketloom.schemas import FEEDS
-from marketloom.sources.envelopes import feed_path
-from marketloom.sources.payloads import broken_payloads, flatten_payloads
+from marketloom.sources.envelopes import checked_date, feed_path
+from marketloom.sources.payloads import broken_payloads, flatten_payloads, raw_path
 
 
 def land_payloads(payloads: dict[str, DataFrame], root: str, batch_date: str) -> None:
     """Land all sources of a batch, or none.
 
     ``payloads`` maps a source to its pages (source, batch_date, payload). All pages are checked
-    before the first write. Writing again replaces the batch.
+    before the first write, and must name the batch they are landed in. Raw pages are kept as one JSON text a
+    line each, so that they can be read back. Writing again replaces the batch.
     """
+    checked_date(batch_date)
     unknown = set(payloads) - set(FEEDS)
     if unknown:
         raise ValueError(f"unknown sources: {sorted(unknown)}")
     for source, pages in payloads.items():
         if pages.isEmpty():
             raise BatchError(f"no payload for {source}")
+        if not pages.where(~(F.col("source").eqNullSafe(source) & F.col("batch_date").eqNullSafe(batch_date))).isEmpty():
+            raise BatchError(f"a payload of {source} belongs to another source or batch")
         if not broken_payloads(pages).isEmpty():
             raise BatchError(f"a payload of {source} has no list named {source}")
     for source, pages in payloads.items():
-        raw = pages.select(F.col("payload").alias("value"))
-        raw.write.mode("overwrite").text(f"{root}/raw/{source}/dt={batch_date}")
+        pages.select("payload").write.mode("overwrite").json(raw_path(root, source, batch_date))
         envelopes = flatten_payloads(pages).drop("dt")
         envelopes.write.mode("overwrite").json(f"{feed_path(root, source)}/dt={batch_date}")

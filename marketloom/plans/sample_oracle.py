@@ -6,11 +6,13 @@ shares are rounded half-up in integer cents, because a decimal division may give
 
 from __future__ import annotations
 
+import re
+
 from marketloom.operators import quality, serving
 from marketloom.schemas import METRICS, SERVING, columns_of
 from marketloom.sources import sample_tables as sample
 
-YEARS = ", ".join(f"('{year}-01-01')" for year in sample.YEARS)
+YEARS = "(SELECT DISTINCT strftime(o_orderdate, '%Y-01-01') AS dt FROM orders) AS y"
 
 
 def _flaw(key: str, flaws: dict[str, tuple[int, int]], name: str) -> str:
@@ -78,7 +80,7 @@ CATALOGUE = f"""catalogue AS (
          CAST(p_partkey % 6 AS DECIMAL(10,2)) AS rating, p_size AS stock,
          CASE WHEN p_size < 10 THEN 'Low Stock' ELSE 'In Stock' END AS availability_status,
          'https://cdn.example.test/' || p_partkey || '.png' AS thumbnail, 'products' AS source, dt AS batch_date, dt
-  FROM part CROSS JOIN (VALUES {YEARS}) AS y(dt) WHERE p_partkey % 19 <> 0)"""
+  FROM part CROSS JOIN {YEARS} WHERE p_partkey % 19 <> 0)"""
 
 AGE = "CASE WHEN c_custkey % 13 <> 0 THEN CAST(c_custkey % 60 + 10 AS INTEGER) END"
 PEOPLE = f"""people AS (
@@ -91,7 +93,7 @@ PEOPLE = f"""people AS (
          CAST(c_custkey % 90 AS DECIMAL(18,6)) AS latitude, CAST(-(c_custkey % 180) AS DECIMAL(18,6)) AS longitude,
          CASE WHEN c_custkey % 50 = 0 THEN 'admin' ELSE 'user' END AS role, 'users' AS source, dt AS batch_date, dt
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
-  CROSS JOIN (VALUES {YEARS}) AS y(dt))"""
+  CROSS JOIN {YEARS})"""
 
 
 def _age_group(age: str) -> str:
@@ -153,39 +155,47 @@ def _stages(name: str, funnel: str) -> str:
     return f"{name} AS (\n  " + "\n  UNION ALL ".join(arms) + ")"
 
 
-SUMMARIES = f"""dws_product AS (
-  SELECT d.dt AS date_id, d.product_id, coalesce(p.product_name, d.product_name) AS product_name,
-         coalesce(p.category, d.category_hint, 'unknown') AS category, p.brand,
-         CAST(sum(d.quantity) AS BIGINT) AS sales_quantity,
-         CAST(sum(d.line_discounted_total) AS DECIMAL(18,2)) AS sales_amount,
-         count(DISTINCT d.cart_id) AS order_count, d.dt
-  FROM year_detail AS d LEFT JOIN dim_product AS p ON d.product_id = p.product_id AND d.dt = p.dt
-  GROUP BY d.dt, d.product_id, coalesce(p.product_name, d.product_name),
-           coalesce(p.category, d.category_hint, 'unknown'), p.brand),
+# Independent of the builders: one row per cart first, listed and unlisted products apart, users and buyers apart.
+SUMMARIES = """cart_products AS (
+  SELECT dt, cart_id, product_id, product_name, coalesce(category_hint, 'unknown') AS category,
+         sum(quantity) AS pieces, sum(line_discounted_total) AS amount
+  FROM year_detail GROUP BY ALL),
+named_products AS (
+  SELECT c.dt, c.cart_id, c.product_id, p.product_name, p.category, p.brand, sum(pieces) AS pieces, sum(amount) AS amount
+  FROM cart_products AS c JOIN dim_product AS p USING (dt, product_id) GROUP BY ALL
+  UNION ALL
+  SELECT dt, cart_id, product_id, product_name, category, NULL, sum(pieces), sum(amount)
+  FROM cart_products AS c ANTI JOIN dim_product AS p USING (dt, product_id) GROUP BY ALL),
+dws_product AS (
+  SELECT dt AS date_id, product_id, product_name, category, brand, CAST(sum(pieces) AS BIGINT) AS sales_quantity,
+         CAST(sum(amount) AS DECIMAL(18,2)) AS sales_amount, count(*) AS order_count, dt
+  FROM named_products GROUP BY ALL),
+listed_sizes AS (
+  SELECT dt, category, count(*) AS product_count
+  FROM (SELECT DISTINCT dt, category, product_id FROM dim_product) AS p GROUP BY ALL),
 dws_category AS (
-  SELECT s.dt AS date_id, s.category, max(c.product_count) AS product_count,
-         CAST(sum(s.sales_quantity) AS BIGINT) AS sales_quantity, CAST(sum(s.sales_amount) AS DECIMAL(18,2)) AS sales_amount,
-         CAST(sum(s.order_count) AS BIGINT) AS order_count, s.dt
-  FROM dws_product AS s LEFT JOIN dim_category AS c ON s.category = c.category_name AND s.dt = c.dt
-  GROUP BY s.dt, s.category),
+  SELECT dt AS date_id, category, product_count, CAST(pieces AS BIGINT) AS sales_quantity,
+         CAST(amount AS DECIMAL(18,2)) AS sales_amount, orders AS order_count, dt
+  FROM (SELECT dt, category, sum(pieces) AS pieces, sum(amount) AS amount, count(*) AS orders FROM named_products GROUP BY ALL) AS s
+  LEFT JOIN listed_sizes USING (dt, category)),
+user_facts AS (
+  SELECT dt, user_id, age_group, gender, country, 1 AS users, 0 AS orders, 0 AS amount FROM dim_user
+  UNION ALL
+  SELECT c.dt, user_id, age_group, gender, country, 0, 1, c.amount
+  FROM dim_user AS u JOIN (
+    SELECT DISTINCT dt, user_id, cart_id, cart_discounted_total AS amount FROM year_detail) AS c USING (dt, user_id)),
+per_user AS (
+  SELECT dt, user_id, age_group, gender, country, max(users) AS users, sum(orders) AS orders, sum(amount) AS amount
+  FROM user_facts GROUP BY ALL),
 dws_profile AS (
-  SELECT u.dt AS date_id, u.age_group, u.gender, u.country, count(DISTINCT u.user_id) AS user_count,
-         count(DISTINCT c.user_id) AS buyer_count, count(DISTINCT c.cart_id) AS order_count,
-         CAST(coalesce(sum(c.cart_discounted_total), 0) AS DECIMAL(18,2)) AS sales_amount, u.dt
-  FROM dim_user AS u LEFT JOIN (SELECT DISTINCT dt, cart_id, user_id, cart_discounted_total FROM year_detail) AS c
-    ON u.user_id = c.user_id AND u.dt = c.dt
-  GROUP BY u.dt, u.age_group, u.gender, u.country)"""
+  SELECT dt AS date_id, age_group, gender, country, CAST(sum(users) AS BIGINT) AS user_count,
+         count(*) FILTER (WHERE orders > 0) AS buyer_count, CAST(sum(orders) AS BIGINT) AS order_count,
+         CAST(coalesce(sum(amount), 0) AS DECIMAL(18,2)) AS sales_amount, dt
+  FROM per_user GROUP BY ALL)"""
 
 SHARE = _half_up("CAST(c.sales_amount * 100 AS HUGEINT)", "CAST(t.total * 100 AS HUGEINT)", 4, "DECIMAL(10,4)")
 
 
-def _profile_arm(name: str) -> str:
-    return f"""SELECT date_id, '{name}' AS dimension_type, {_or_unknown(name)} AS dimension_value,
-         CAST(sum(user_count) AS BIGINT) AS user_count, CAST(sum(buyer_count) AS BIGINT) AS buyer_count,
-         CAST(sum(sales_amount) AS DECIMAL(18,2)) AS sales_amount, dt
-  FROM dws_profile GROUP BY date_id, dt, {_or_unknown(name)}"""
-
-
 METRIC_TABLES = f"""ads_product_rank_daily AS (
   SELECT date_id, CAST(rank_no AS INTEGER) AS rank_no, product_id, product_name, category, sales_quantity, sales_amount, dt
   FROM (SELECT *, row_number() OVER (PARTITION BY dt ORDER BY sales_amount DESC NULLS LAST, sales_quantity DESC NULLS LAST,
@@ -196,9 +206,10 @@ ads_category_share_daily AS (
          CASE WHEN coalesce(t.total, 0) = 0 THEN CAST(0 AS DECIMAL(10,4)) ELSE {SHARE} END AS sales_share, c.dt
   FROM dws_category AS c JOIN (SELECT dt, sum(sales_amount) AS total FROM dws_category GROUP BY dt) AS t ON c.dt = t.dt),
 ads_user_profile_daily AS (
-  {_profile_arm("age_group")}
-  UNION ALL {_profile_arm("gender")}
-  UNION ALL {_profile_arm("country")})"""
+  SELECT dt AS date_id, dimension_type, {_or_unknown("value")} AS dimension_value, CAST(sum(users) AS BIGINT) AS user_count,
+         count(*) FILTER (WHERE orders > 0) AS buyer_count, CAST(coalesce(sum(amount), 0) AS DECIMAL(18,2)) AS sales_amount, dt
+  FROM per_user, LATERAL (VALUES ('age_group', age_group), ('gender', gender), ('country', country)) AS d(dimension_type, value)
+  GROUP BY ALL)"""
 
 COMMON = ",\n".join(
     (
@@ -270,8 +281,27 @@ checked AS (
   UNION ALL SELECT 'carts', dt, line_count, reject_reason FROM year_carts)"""
 
 
+NAMED = re.compile(r"^(\w+) AS \(", re.MULTILINE)
+
+
+def _by_name(text: str) -> dict[str, str]:
+    """The common table expressions of a text, each of which starts a line."""
+    starts = [m.start() for m in NAMED.finditer(text)] + [len(text)]
+    parts = [text[a:b].rstrip().rstrip(",") for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    return {NAMED.match(part)[1]: part for part in parts}
+
+
 def _select(body: str, *more: str) -> str:
-    return "WITH " + ",\n".join((COMMON, *more)) + "\n" + body
+    """``body`` after the common table expressions it needs, in their order."""
+    known = _by_name(",\n".join((COMMON, *more)))
+    wanted, todo = set(), [body]
+    while todo:
+        words = set(re.findall(r"\w+", todo.pop()))
+        for name in (known.keys() & words) - wanted:
+            wanted.add(name)
+            todo.append(known[name])
+    parts = [part for name, part in known.items() if name in wanted]
+    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
 def _columns(table: str) -> str:
@@ -302,6 +332,18 @@ def _overview_arm(section: str) -> str:
     return f"SELECT date_id, '{section}' AS section, '{{' || {pairs} || '}}' AS item FROM {table}"
 
 
+def _latest_arm(section: str) -> str:
+    """The items of a section on the latest date, with their place in its order."""
+    table, keys = serving.SECTIONS[section]
+    fields = [f for f in columns_of(table) if f.name != "date_id"]
+    pairs = " || ',' || ".join(f"'\"{f.name}\":' || {_json_value(f.name, f.dataType.typeName(), False)}" for f in fields)
+    order = ", ".join(f"{name} DESC NULLS LAST" if down else f"{name} NULLS FIRST" for name, down in keys) or "date_id"
+    return (
+        f"SELECT date_id, '{section}' AS section, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS item_no, "
+        f"'{{' || {pairs} || '}}' AS item FROM {table} JOIN latest USING (date_id)"
+    )
+
+
 def _constraint_arms(table: str) -> list[str]:
     contract = SERVING[table]
     kinds = {f.name: f.dataType.typeName() for f in columns_of(table)}
@@ -339,7 +381,7 @@ def _rule_arms() -> list[str]:
     for name, column, low, high in quality.KPI_RANGES:
         rows = f"SELECT dt, count(*) AS n, coalesce(min({column}), 0) AS v FROM ads_kpi_daily GROUP BY dt"
         ok = f"v >= {low}" + ("" if high is None else f" AND v <= {high}")
-        bad = f"'{column}' || CASE WHEN v < {low} THEN ' is below {low:g}' ELSE ' is above {high}' END"
+        bad = f"'{column} ' || printf('%.4f', CAST(v AS DOUBLE)) || CASE WHEN v < {low} THEN ' is below {low:g}' ELSE ' is above {high}' END"
         add(name, rows, ok, f"'{column} is within range'", bad, "WHERE n = 1")
     rule, table, low, high = quality.RANK_ROWS
     add(rule, counted.format(table), f"n BETWEEN {low} AND {high}", "n || ' is within range'", f"n || ' is above {high}'", "WHERE n > 0")
@@ -525,8 +567,15 @@ FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS dt, CAST(o_orderdate
             + " UNION ALL ".join(f"SELECT max(date_id) AS date_id FROM {table}" for table in METRICS) + ") AS m"
         ),
         "q5_overview_sections": _select(
-            "SELECT * FROM (" + "\nUNION ALL ".join(_overview_arm(section) for section in serving.SECTIONS) + ") AS o WHERE date_id IN ("
-            + " INTERSECT ".join(f"SELECT date_id FROM {table}" for table in METRICS) + ")"
+            "SELECT date_id, section, item FROM ("
+            "SELECT *, count(DISTINCT section) OVER (PARTITION BY date_id) AS sections FROM items) AS o "
+            f"WHERE sections = {len(serving.SECTIONS)}",
+            "items AS (\n  " + "\n  UNION ALL ".join(_overview_arm(section) for section in serving.SECTIONS) + ")",
+        ),
+        "q5_overview_latest": _select(
+            "\nUNION ALL ".join(_latest_arm(section) for section in serving.SECTIONS),
+            "latest AS (\n  SELECT max(date_id) AS date_id FROM ("
+            + " UNION ALL ".join(f"SELECT max(date_id) AS date_id FROM {table}" for table in METRICS) + ") AS m)",
         ),
         "q7_kpi_cards": _select("\nUNION ALL ".join(_card_arms())),
         "q7_profile_labels": _select(

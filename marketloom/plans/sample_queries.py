@@ -119,7 +119,7 @@ def dws_funnel_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ads_kpi_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.kpi_daily(dws_sales_daily(spark, folder), dws_funnel_daily(spark, folder))
+    return metrics.kpi_of_sales(dws_sales_daily(spark, folder))
 
 
 def ads_sales_trend_daily(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,8 +144,7 @@ def ads_funnel_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 def kpi_from_feed(spark: SparkSession, folder: str) -> DataFrame:
     """The whole way from JSON envelopes to the KPI table."""
-    lines = dwd_order_cart_detail(spark, folder)
-    return metrics.kpi_daily(summaries.sales_daily(lines), summaries.funnel_daily(lines))
+    return metrics.kpi_of_sales(summaries.sales_daily(dwd_order_cart_detail(spark, folder)))
 
 
 # ---- stored metric tables and what reads them ----------------------------------------------------

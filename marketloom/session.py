@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -60,7 +61,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[[^-]*\])?$", spark.sparkContext.master):
         raise BatchError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="marketloom-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, StringType
+from pyspark.sql.types import DateType, DecimalType, StringType, StructField, StructType
 
+from marketloom.errors import BatchError
 from marketloom.schemas import METRICS, table_schema
 
+BROKEN_LINE = "broken_line"
+
 
 def _json_text(column: str, rows: DataFrame) -> Column:
     kind = rows.schema[column].dataType
@@ -49,10 +53,20 @@ def write_snapshot(rows: DataFrame, root: str, batch_date: str, table: str) -> i
 
 
 def read_snapshot(spark: SparkSession, root: str, batch_date: str, table: str) -> DataFrame:
-    """A written snapshot; blank lines are skipped and text decimals read as decimals."""
-    return spark.read.schema(table_schema(table)).json(snapshot_path(root, batch_date, table))
+    """A written snapshot; blank lines are skipped and text decimals read as decimals.
+
+    Raises when the snapshot is missing or one of its lines cannot be read.
+    """
+    schema, path = table_schema(table), snapshot_path(root, batch_date, table)
+    try:
+        lines = spark.read.schema(StructType([*schema.fields, StructField(BROKEN_LINE, StringType())])).option("columnNameOfCorruptRecord", BROKEN_LINE).json(path)
+    except AnalysisException as error:
+        raise BatchError(f"no snapshot of {table} for {batch_date}") from error
+    if not lines.where(F.col(BROKEN_LINE).isNotNull()).isEmpty():
+        raise BatchError(f"the snapshot of {table} for {batch_date} has unreadable lines")
+    return lines.drop(BROKEN_LINE)
 
 
 def read_snapshots(spark: SparkSession, root: str, batch_date: str) -> dict[str, DataFrame]:
-    """All six snapshots; fails when one is missing, before anything is changed."""
+    """All six snapshots; fails when one is missing or broken, before anything is changed."""
     return {table: read_snapshot(spark, root, batch_date, table) for table in METRICS}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,17 @@ from marketloom.schemas import ENVELOPE, FEEDS, envelope_schema
 CONTRACT_FIELDS = ("entity", "source", "batch_date", "data")
 
 
+def checked_date(batch_date: str) -> str:
+    """``batch_date`` itself if it is YYYY-MM-DD and an existing calendar day."""
+    try:
+        good = date.fromisoformat(batch_date).isoformat() == batch_date
+    except ValueError:
+        good = False
+    if not good:
+        raise ValueError("a batch date must be a calendar day written YYYY-MM-DD")
+    return batch_date
+
+
 def feed_path(root: str, source: str) -> str:
     return f"{root}/ods/{source}"
 
@@ -23,6 +36,7 @@ def read_feed(spark: SparkSession, root: str, source: str) -> DataFrame:
 
 def read_batch(spark: SparkSession, root: str, source: str, batch_date: str) -> DataFrame:
     """Envelopes of one batch; those that name another date belong elsewhere and are left out."""
+    checked_date(batch_date)
     try:
         landed = spark.read.schema(ENVELOPE).json(f"{feed_path(root, source)}/dt={batch_date}")
     except Exception as error:
@@ -32,8 +46,8 @@ def read_batch(spark: SparkSession, root: str, source: str, batch_date: str) ->
 
 def _is_json(text: Column) -> Column:
     """A single JSON value of any type with nothing after it."""
-    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{J.END_MARK}"]')))
-    return J.holds(F.try_variant_get(pair, "$[1]", "string") == J.END_MARK) & F.try_variant_get(pair, "$[2]", "variant").isNull()
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), J.end_mark(text), F.lit('"]')))
+    return J.holds(F.try_variant_get(pair, "$[1]", "string") == J.end_mark(text)) & F.try_variant_get(pair, "$[2]", "variant").isNull()
 
 
 def contract_checked(lines: DataFrame, source: str, batch_date: Column) -> DataFrame:
@@ -41,7 +55,7 @@ def contract_checked(lines: DataFrame, source: str, batch_date: Column) -> DataF
     fields = ", ".join(f"{name} VARIANT" for name in CONTRACT_FIELDS)
     read = lines.select("*", J.read_object(F.col("value"), fields).alias("read"))
     row = F.col("row")
-    parsed = read.select(*lines.columns, J.payload_of(F.col("read")).alias("row")).select(
+    parsed = read.select(*lines.columns, J.payload_of(F.col("read"), F.col("value")).alias("row")).select(
         "*", *[J.text_value(row[name]).alias(f"{name}_text") for name in CONTRACT_FIELDS]
     )
     expected = {"entity": F.lit(FEEDS[source].entity), "source": F.lit(source), "batch_date": batch_date}
@@ -62,6 +76,7 @@ def contract_violations(lines: DataFrame, source: str, batch_date: Column) -> Da
 
 def require_landed_contract(spark: SparkSession, root: str, source: str, batch_date: str) -> None:
     """Raise if the landed text of a batch is empty or breaks the contract."""
+    checked_date(batch_date)
     lines = spark.read.text(f"{feed_path(root, source)}/dt={batch_date}")
     if lines.isEmpty():
         raise BatchError(f"landed {source} of {batch_date} is empty")

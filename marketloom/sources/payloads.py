@@ -13,16 +13,26 @@ PAYLOAD_FIELDS = ", ".join(f"{name} ARRAY<STRING>" for name in FEEDS)
 
 
 def read_payloads(spark: SparkSession, folder: str, source: str, batch_date: str) -> DataFrame:
-    """Every file of ``folder`` is one payload page of ``source``."""
+    """Every file of ``folder`` is one payload page of ``source``; a page is read whole, so keep pages small."""
     pages = spark.read.text(folder, wholetext=True)
     return pages.select(
         F.lit(source).alias("source"), F.lit(batch_date).alias("batch_date"), F.col("value").alias("payload")
     )
 
 
+def read_raw(spark: SparkSession, root: str, source: str, batch_date: str) -> DataFrame:
+    """The pages of a landed batch as they came, to land them again."""
+    pages = spark.read.schema("payload STRING").json(raw_path(root, source, batch_date))
+    return pages.select(F.lit(source).alias("source"), F.lit(batch_date).alias("batch_date"), "payload")
+
+
+def raw_path(root: str, source: str, batch_date: str) -> str:
+    return f"{root}/raw/{source}/dt={batch_date}"
+
+
 def _read_pages(payloads: DataFrame) -> DataFrame:
-    read = payloads.select("source", "batch_date", J.read_object(F.col("payload"), PAYLOAD_FIELDS).alias("read"))
-    return read.select("source", "batch_date", J.payload_of(F.col("read")).alias("page"))
+    read = payloads.select("source", "batch_date", "payload", J.read_object(F.col("payload"), PAYLOAD_FIELDS).alias("read"))
+    return read.select("source", "batch_date", J.payload_of(F.col("read"), F.col("payload")).alias("page"))
 
 
 def _items(page: Column) -> Column:

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from marketloom.functions import text
 from marketloom.schemas import columns_of
 
-# The years covered by the order table.
-YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
 WRONG_DATE = "1900-01-01"
 LINES_PER_ENVELOPE = 1000
 
@@ -49,14 +47,10 @@ def _batch(order_date: Column, batches: str) -> Column:
     return F.date_format(F.trunc(order_date, "year") if batches == "year" else order_date, "yyyy-MM-dd")
 
 
-def _republished(df: DataFrame) -> DataFrame:
-    """One copy per yearly batch: a fixed number of copies of every row."""
-    return df.withColumn("dt", F.explode(F.array(*[F.lit(f"{year}-01-01") for year in YEARS])))
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """Rows dealt evenly to all tasks, before each becomes several JSON texts."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _republished(df: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """One copy per yearly batch: the years of the orders, found by a subquery, as many as the calendar has."""
+    years = batch_dates(spark, folder, "year").agg(F.collect_set("dt")).scalar()
+    return df.withColumn("dt", F.explode(years))
 
 
 def batch_dates(spark: SparkSession, folder: str, batches: str) -> DataFrame:
@@ -239,14 +233,14 @@ def _catalogue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def product_detail(spark: SparkSession, folder: str) -> DataFrame:
-    listed = _republished(_catalogue(spark, folder))
+    listed = _republished(_catalogue(spark, folder), spark, folder)
     return listed.withColumns({"source": F.lit("products"), "batch_date": F.col("dt")}).select(
         *columns_of("dwd_product_info").names, "dt"
     )
 
 
 def product_envelopes(spark: SparkSession, folder: str, dirty: bool = True) -> DataFrame:
-    listed = _republished(_spread(_catalogue(spark, folder)))
+    listed = _republished(_catalogue(spark, folder), spark, folder)
     bad = {
         name: _every(F.col("p_partkey"), step, rest) if dirty else F.lit(False)
         for name, (step, rest) in PRODUCT_FLAWS.items()
@@ -302,7 +296,7 @@ def _people(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_detail(spark: SparkSession, folder: str) -> DataFrame:
-    people = _republished(_people(spark, folder))
+    people = _republished(_people(spark, folder), spark, folder)
     return people.withColumns(
         {
             "full_name": text.full_name(F.col("first_name"), F.col("last_name")),
@@ -318,7 +312,7 @@ def user_envelopes(spark: SparkSession, folder: str, dirty: bool = True) -> Data
 
 
 def _keyed_user_envelopes(spark: SparkSession, folder: str, dirty: bool) -> DataFrame:
-    people = _republished(_spread(_people(spark, folder)))
+    people = _republished(_people(spark, folder), spark, folder)
     bad = {
         name: _every(F.col("c_custkey"), step, rest) if dirty else F.lit(False)
         for name, (step, rest) in USER_FLAWS.items()

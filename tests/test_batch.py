@@ -8,7 +8,9 @@ from marketloom.errors import BatchError, DataNotFound
 from marketloom.operators import quality, serving as queries
 from marketloom.plans import batch, landing
 from marketloom.schemas import METRICS
-from marketloom.sinks import serving, tables
+from marketloom.sinks import serving, snapshots, tables
+from marketloom.sources import payloads
+from marketloom.sources.envelopes import read_batch
 from marketloom.sources.payloads import read_payloads
 
 DAY = "2026-07-01"
@@ -120,11 +122,13 @@ def test_served_answers(spark, done):
     assert [(r.rank_no, r.product_id, r.category, str(r.sales_amount)) for r in ranks] == [
         (1, 1, "tech", "18.00"), (2, 7, "home", "9.50"), (3, 2, "unknown", "5.00")
     ]
-    answer = queries.overview(served).first()
-    assert answer.date_id == DAY and answer.kpi.total_sales_amount == 35.0
-    assert [i.category for i in answer.category_share] == ["tech", "home", "unknown"]
-    assert [i.stage_name for i in answer.funnel] == ["cart", "order", "payment"]
-    assert [(i.dimension_type, i.dimension_value) for i in answer.user_profile] == [
+    answer = queries.overview(served).orderBy("section", "item_no").collect()
+    assert answer == queries.overview(served, DAY).orderBy("section", "item_no").collect()
+    items = {name: [json.loads(r.item) for r in answer if r.section == name] for name in queries.SECTIONS}
+    assert {r.date_id for r in answer} == {DAY} and [i["total_sales_amount"] for i in items["kpi"]] == [35.0]
+    assert [i["category"] for i in items["category_share"]] == ["tech", "home", "unknown"]
+    assert [i["stage_name"] for i in items["funnel"]] == ["cart", "order", "payment"]
+    assert [(i["dimension_type"], i["dimension_value"]) for i in items["user_profile"]] == [
         ("age_group", "25-34"), ("age_group", "35-44"), ("country", "A"), ("country", "unknown"),
         ("gender", "female"), ("gender", "male"),
     ]
@@ -186,3 +190,52 @@ def test_empty_result_clears_only_its_partition(spark, tmp_path):
     dates = spark.createDataFrame([("d1",), ("d2",), ("d3",)], "dt STRING")
     tables.replace_partitions(two.where("dt = 'd1'"), root, "dim_category", dates)
     assert rows(tables.read_table(spark, root, "dim_category"), "category_id", "dt") == [("a", "d1")]
+
+
+@pytest.mark.parametrize("day", ["2026-02-30", "2026-7-1", "20260701", "../evil", "", "2026-07-01 "])
+def test_only_calendar_days_are_batches(spark, tmp_path, day):
+    root = str(tmp_path / "root")
+    write_payloads(tmp_path / "feed", PRODUCTS, USERS, CARTS)
+    for start in (landing.land_payloads, lambda _, r, d: batch.run_batch(spark, r, d), lambda _, r, d: batch.run_details(spark, r, d)):
+        with pytest.raises(ValueError):
+            start(pages(spark, tmp_path / "feed"), root, day)
+    assert not (tmp_path / "root").exists()
+
+
+def test_foreign_pages_are_refused_before_any_write(spark, tmp_path):
+    write_payloads(tmp_path / "feed", PRODUCTS, USERS, CARTS)
+    given = pages(spark, tmp_path / "feed")
+    for source, column, value in (("users", "batch_date", "2026-07-02"), ("carts", "source", "users"), ("carts", "batch_date", None)):
+        mixed = {**given, source: given[source].withColumn(column, F.lit(value).cast("string"))}
+        with pytest.raises(BatchError):
+            landing.land_payloads(mixed, str(tmp_path / "root"), DAY)
+    assert not (tmp_path / "root").exists()
+
+
+def test_raw_pages_can_be_landed_again(spark, tmp_path):
+    root, again = str(tmp_path / "root"), str(tmp_path / "again")
+    text = json.dumps({"products": [{"id": 5, "title": "a\nb"}]}, indent=1)
+    page = [("products", DAY, text), ("products", DAY, text.replace("5", "6"))]
+    land = {"products": spark.createDataFrame(page, "source STRING, batch_date STRING, payload STRING").coalesce(1)}
+    landing.land_payloads(land, root, DAY)
+    raw = payloads.read_raw(spark, root, "products", DAY)
+    assert sorted(r.payload for r in raw.collect()) == sorted(p[2] for p in page)
+    landing.land_payloads({"products": raw}, again, DAY)
+    first, second = (read_batch(spark, r, "products", DAY) for r in (root, again))
+    assert first.count() == 2 and first.exceptAll(second).isEmpty()
+
+
+def test_quality_goes_on_without_a_readable_input(spark, done, tmp_path):
+    root, feed, _ = done
+    other = str(tmp_path / "root")
+    landing.land_payloads(pages(spark, feed), other, DAY)
+    everything = {r.name: r.status for r in batch.check_quality(spark, other, DAY).collect()}
+    assert sum(n.endswith("snapshot_non_empty") for n, s in everything.items() if s == "failed") == 6
+    assert all(s == "passed" for n, s in everything.items() if n.startswith("processed"))
+    batch.run_batch(spark, other, DAY)
+    with open(next(Path(f"{other}/snapshots/{DAY}/ads_kpi_daily").glob("part-*")), "a", encoding="utf-8") as file:
+        file.write("{broken\n")
+    rules = {r.name: r.status for r in batch.check_quality(spark, other, DAY).collect()}
+    assert rules["ads_kpi_daily_snapshot_non_empty"] == "failed" and rules["ads_funnel_daily_snapshot_non_empty"] == "passed"
+    with pytest.raises(BatchError, match="unreadable"):
+        snapshots.read_snapshots(spark, other, DAY)

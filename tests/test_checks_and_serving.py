@@ -20,12 +20,12 @@ D = Decimal
 
 def metric_rows():
     return {
-        "ads_kpi_daily": [(DAY, D("100.00"), 2, 2, D("50.00"), D("1.0000"), DAY)],
-        "ads_sales_trend_daily": [(DAY, D("100.00"), 2, 2, DAY)],
-        "ads_product_rank_daily": [(DAY, 1, 101, "Phone", "tech", 2, D("100.00"), DAY)],
-        "ads_category_share_daily": [(DAY, "tech", D("100.00"), 2, D("1.0000"), DAY)],
-        "ads_user_profile_daily": [(DAY, "gender", "male", 2, 1, D("100.00"), DAY)],
-        "ads_funnel_daily": [(DAY, "cart", 1, 2, D("1.0000"), DAY)],
+        "ads_kpi_daily": [(DAY, D("733.20"), 6, 4, D("122.20"), D("1.0000"), DAY)],
+        "ads_sales_trend_daily": [(DAY, D("733.20"), 6, 4, DAY)],
+        "ads_product_rank_daily": [(DAY, 1, 3107, "Walnut stool", "seating", 9, D("733.20"), DAY)],
+        "ads_category_share_daily": [(DAY, "seating", D("733.20"), 9, D("1.0000"), DAY)],
+        "ads_user_profile_daily": [(DAY, "country", "Portugal", 7, 4, D("733.20"), DAY)],
+        "ads_funnel_daily": [(DAY, "order", 2, 6, D("1.0000"), DAY)],
     }
 
 
@@ -49,13 +49,13 @@ def test_valid_batch_passes_all_rules(spark):
 
 
 def test_negative_sales_fail_the_batch(spark):
-    rules, summary = report(spark, ads_kpi_daily=[(DAY, D("-1.00"), 2, 2, D("50.00"), D("1.0000"), DAY)])
+    rules, summary = report(spark, ads_kpi_daily=[(DAY, D("-7.50"), 6, 4, D("122.20"), D("1.0000"), DAY)])
     assert rules["ads_kpi_daily_sales_non_negative"].status == "failed"
     assert (summary.failed_critical, summary.status) == (1, "failed")
 
 
 def test_share_sum_is_only_a_warning(spark):
-    rules, summary = report(spark, ads_category_share_daily=[(DAY, "tech", D("1"), 2, D("0.5000"), DAY)])
+    rules, summary = report(spark, ads_category_share_daily=[(DAY, "seating", D("3"), 9, D("0.6400"), DAY)])
     assert rules["ads_category_share_daily_share_sum_near_one"].status == "failed"
     assert (summary.failed, summary.failed_critical, summary.status) == (1, 0, "passed")
 
@@ -97,7 +97,7 @@ def test_contract_of_a_valid_batch(spark):
 
 def test_contract_violations(spark):
     share = metric_rows()["ads_category_share_daily"][0]
-    variants = [(DAY, c, *share[2:]) for c in ("tech", "TECH", "téch", "tech ", "other")]
+    variants = [(DAY, c, *share[2:]) for c in ("seating", "SEATING", "séating", "seating ", "other")]
     found = violations(
         spark,
         ads_category_share_daily=variants,
@@ -123,7 +123,7 @@ def test_broken_batch_leaves_the_published_one(spark, tmp_path):
     with pytest.raises(BatchError, match="not_null"):
         published.publish(bad, root, DAY)
     served = published.read_all_served(spark, root)
-    assert served["ads_sales_trend_daily"].first().sales_amount == D("100.00")
+    assert served["ads_sales_trend_daily"].first().sales_amount == D("733.20")
     published.publish(frames(spark, ads_sales_trend_daily=[(DAY, D("8.00"), 1, 1, DAY)]), root, DAY)
     assert [r.sales_amount for r in published.read_served(spark, root, "ads_sales_trend_daily").collect()] == [D("8.00")]
     with pytest.raises(ValueError):
@@ -144,11 +144,12 @@ def test_latest_date_and_missing_sections(spark):
 
 
 def test_overview_of_a_complete_date(spark):
-    answer = serving.overview(frames(spark)).first()
-    assert answer.kpi.avg_order_amount == 50.0
-    assert answer.product_rank[0].asDict() == {
-        "rank_no": 1, "product_id": 101, "product_name": "Phone", "category": "tech", "sales_quantity": 2, "sales_amount": 100.0
+    answer = {(r.date_id, r.section, r.item_no): json.loads(r.item) for r in serving.overview(frames(spark)).collect()}
+    assert answer[DAY, "kpi", 1]["avg_order_amount"] == 122.2
+    assert answer[DAY, "product_rank", 1] == {
+        "rank_no": 1, "product_id": 3107, "product_name": "Walnut stool", "category": "seating", "sales_quantity": 9, "sales_amount": 733.2
     }
+    assert len(answer) == len(serving.SECTIONS)
     assert {r.section for r in serving.overview_sections(frames(spark)).collect()} == set(serving.SECTIONS)
 
 
