@@ -23,7 +23,7 @@ K1, B = 1.2, 0.75
 BLOCK = 64
 DENSE_SHARE = 1 / 16
 MOST_DENSE = 256
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 48 << 20
 DECIMALS = 6
 
 
@@ -59,7 +59,9 @@ def statistics(docs: DataFrame) -> DataFrame:
 
 
 def weighted_queries(queries: DataFrame, stats: DataFrame, n_docs: int) -> DataFrame:
-    """(query_id, query_key, terms): each query's terms, weighted by inverse document frequency and repeats."""
+    """(query_id, query_key, text, weights): each query's distinct terms with a space between them, and what each
+    counts: inverse document frequency times repeats.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,7 +75,9 @@ def weighted_queries(queries: DataFrame, stats: DataFrame, n_docs: int) -> DataF
     terms = queries.mapInArrow(split, "query_id long, query_key long, term binary, times long")
     idf = F.log1p((F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     terms = terms.join(stats.filter("term is not null"), "term").withColumn("weight", idf * F.col("times"))
-    return terms.groupBy("query_id", "query_key").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("terms"))
+    lists = terms.groupBy("query_id", "query_key").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("terms"))
+    words = F.array_join(F.transform("terms.term", lambda t: t.cast("string")), " ")
+    return lists.select("query_id", "query_key", words.alias("text"), F.col("terms.weight").alias("weights"))
 
 
 class Shard:
@@ -88,7 +92,7 @@ class Shard:
         for texts_of in texts:
             for i, j in slices(texts_of):
                 text, term, count, names, size = term_counts(texts_of.slice(i, j - i))
-                parts.append((text + base, term, count))
+                parts.append(((text + base).astype(np.int32), term.astype(np.int32), count.astype(np.int32)))
                 terms.append(names)
                 lengths.append(size)
                 base += j - i
@@ -100,19 +104,23 @@ class Shard:
         doc = np.concatenate([p[0] for p in parts])
         term = np.concatenate([numbers[s:][p[1]] for p, s in zip(parts, starts[:-1], strict=True)])
         tf = np.concatenate([p[2] for p in parts])
-        # Documents with the same commonest term and about the same length are neighbours: tighter maxima.
+        del parts, terms, coded
+        # Documents with the same most repeated term and about the same length are neighbours: tighter maxima.
         df = np.bincount(term, minlength=len(self.terms))
-        spread = np.lexsort((-df[term], -tf, doc))
-        first = np.flatnonzero(np.diff(doc[spread], prepend=-1))
-        common = np.full(n, -1)
-        common[doc[spread][first]] = term[spread][first]
+        by_doc = np.lexsort((tf, doc))
+        last = np.flatnonzero(np.diff(doc[by_doc], append=n))
+        common = np.full(n, -1, np.int32)
+        common[doc[by_doc][last]] = term[by_doc][last]
+        del by_doc
         order = np.lexsort((sizes, common))
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.ids, self.null = self.ids[order], self.null[order]
-        impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[doc] / max(average, 1e-9)))
-        doc = place[doc]
+        norm = K1 * (1 - B + B * sizes / max(average, 1e-9))
+        impact = tf * (K1 + 1) / (tf + norm[doc])
+        doc = place[doc].astype(np.int32)
         by_term = np.lexsort((doc, term))
+        del tf, term
         self.doc, self.impact = doc[by_term], impact[by_term]
         self.start = np.concatenate(([0], np.cumsum(df)))
         self.block = np.arange(n) // BLOCK
@@ -185,10 +193,10 @@ def shard_bests(rows: DataFrame, average: float, k: int) -> DataFrame:
 
 
 def _answers(shard: Shard, batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
-    lists = batch.column("terms")
-    flat = pc.list_flatten(lists)
-    term, weight = shard.numbers(flat.field("term")), np.asarray(flat.field("weight"))
-    ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
+    lists = batch.column("weights")
+    term = shard.numbers(pc.list_flatten(pc.split_pattern(batch.column("text"), " ")))
+    weight = np.asarray(pc.list_flatten(lists))
+    ends = np.cumsum(np.asarray(pc.list_value_length(lists)))
     of, docs, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
     for q, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
         found, score = shard.best(term[a:b], weight[a:b], k)
@@ -219,11 +227,11 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, shard_bytes: int = S
     corpus = docs.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"),
         F.lit(0).alias("is_query"), F.col("doc_id").alias("id"), nothing.cast("long").alias("query_key"), "text",
-        nothing.cast("array<struct<term:binary,weight:double>>").alias("terms"),
+        nothing.cast("array<double>").alias("weights"),
     )
     asked = weighted.select(
         F.explode(F.sequence(F.lit(0), F.lit(int(shards) - 1))).alias("shard"),
-        F.lit(1).alias("is_query"), F.col("query_id").alias("id"), "query_key", nothing.cast("string").alias("text"), "terms",
+        F.lit(1).alias("is_query"), F.col("query_id").alias("id"), "query_key", "text", "weights",
     )
     rows = corpus.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "is_query")
     bests = shard_bests(rows, n_words / max(n_docs, 1), k)
