@@ -62,7 +62,7 @@ def read_snapshot(spark: SparkSession, root: str, batch_date: str, table: str) -
         lines = spark.read.schema(StructType([*schema.fields, StructField(BROKEN_LINE, StringType())])).option("columnNameOfCorruptRecord", BROKEN_LINE).json(path)
     except AnalysisException as error:
         raise BatchError(f"no snapshot of {table} for {batch_date}") from error
-    if not lines.where(F.col(BROKEN_LINE).isNotNull()).isEmpty():
+    if lines.where(F.col(BROKEN_LINE).isNotNull()).head(1):
         raise BatchError(f"the snapshot of {table} for {batch_date} has unreadable lines")
     return lines.drop(BROKEN_LINE)
 
