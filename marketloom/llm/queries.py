@@ -138,7 +138,7 @@ SQL = {
             SELECT q.doc_id AS query_id, w.doc_id, round(sum(q.tf * idf * impact), 6) AS score
             FROM tf q JOIN weight w USING (term) JOIN idf USING (term) WHERE q.doc_id % 100 = 0 GROUP BY ALL
         )
-        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
         FROM scored WHERE score > 0 QUALIFY rank <= 10
     """,
 }
