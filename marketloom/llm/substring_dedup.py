@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from hashlib import blake2b, sha256
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -245,30 +246,34 @@ def _kept(n: int, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(depth[:-1]) == 0
 
 
+def _cut_text(text: str, starts: np.ndarray, lengths: np.ndarray) -> tuple[int, str]:
+    """(number of words removed, the words outside the spans joined by one space)."""
+    words = text.encode().split()
+    keep = _kept(len(words), np.asarray(starts), np.asarray(lengths))
+    return len(words) - int(keep.sum()), b" ".join([words[i] for i in np.flatnonzero(keep).tolist()]).decode()
+
+
 def cut_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """(k1, k2, n_removed, kept): the words outside the spans, joined by one space; only documents with spans."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, kept = [], []
-            spans = batch.column("spans").to_pylist() if batch.num_rows < 64 else None
-            for row in range(batch.num_rows):
-                words = batch.column("text")[row].as_py().encode().translate(TO_SPACE).split(b" ")
-                words = [w for w in words if w]
-                some = spans[row] if spans is not None else batch.column("spans")[row].as_py()
-                keep = _kept(len(words), np.array([s["start"] for s in some]), np.array([s["length"] for s in some]))
-                kept.append(b" ".join([words[i] for i in np.flatnonzero(keep).tolist()]).decode())
-                removed.append(len(words) - int(keep.sum()))
-            columns = {"k1": batch.column("k1"), "k2": batch.column("k2"), "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.string())}
+            found = [
+                _cut_text(text.as_py(), [s["start"] for s in some], [s["length"] for s in some])
+                for text, some in zip(batch.column("text"), (x.as_py() for x in batch.column("spans")), strict=True)
+            ]
+            columns = {
+                "k1": batch.column("k1"),
+                "k2": batch.column("k2"),
+                "n_removed": pa.array([n for n, _ in found], pa.int64()),
+                "kept": pa.array([t for _, t in found], pa.string()),
+            }
             yield pa.RecordBatch.from_pydict(columns)
 
     joined = docs.drop("doc_id").join(spans, ["k1", "k2"])
     return joined.mapInArrow(cut, "k1 long, k2 long, n_removed long, kept string")
 
 
-TO_SPACE = bytes(32 if b in b"\x20\x09\x0a\x0b\x0c\x0d" else b for b in range(256))
-
-
 def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256.
 
@@ -294,6 +299,14 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> Dat
     own = keyed(docs)
     facts = store(anchored(own, window, k), "anchors")
     spans = repeated_spans(own, facts, window, k)
-    cut = cut_texts(own, spans).select("k1", "k2", "kept").dropDuplicates(["k1", "k2"])
-    joined = keyed_rows(docs).join(cut, ["k1", "k2"], "left")
-    return joined.select(*fields_of(docs, F.coalesce("kept", "row.text")))
+    spans = spans.select("k1", "k2", F.col("spans.start").alias("starts"), F.col("spans.length").alias("lengths"))
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, starts: pd.Series, lengths: pd.Series) -> pd.Series:
+        rows = zip(texts, starts, lengths, strict=True)
+        return pd.Series([None if some is None else _cut_text(text, some, sizes)[1] for text, some, sizes in rows], dtype=object)
+
+    # The texts cross the network once more, with their spans beside them.
+    joined = keyed_rows(docs).join(spans, ["k1", "k2"], "left")
+    kept = cut(F.coalesce("row.text", F.lit("")), "starts", "lengths")
+    return joined.select(*fields_of(docs, F.coalesce(kept, "row.text")))
