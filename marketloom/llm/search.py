@@ -23,7 +23,7 @@ K1, B = 1.2, 0.75
 BLOCK = 64
 DENSE_SHARE = 1 / 16
 MOST_DENSE = 256
-SHARD_BYTES = 48 << 20
+SHARD_BYTES = 20 << 20
 DECIMALS = 6
 
 
