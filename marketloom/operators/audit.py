@@ -7,18 +7,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.operators.details import CHECKS
+from marketloom.operators.details import CHECKS, RECORD, settled
 
 
 def _counted(feed: str, envelopes: DataFrame) -> DataFrame:
     checked = CHECKS[feed](envelopes)
     rows = F.size("lines") if feed == "carts" else F.lit(1)
-    return checked.select(
+    counted = checked.select(
+        *[name for name in (RECORD,) if name in checked.columns],
         F.lit(feed).alias("feed"),
         "dt",
         "reject_reason",
         F.when(F.col("reject_reason").isNull(), rows).otherwise(F.lit(0)).alias("rows"),
     )
+    return settled(counted).drop(RECORD) if RECORD in checked.columns else counted
 
 
 def _all_feeds(envelopes: dict[str, DataFrame]) -> DataFrame:
@@ -26,7 +28,7 @@ def _all_feeds(envelopes: dict[str, DataFrame]) -> DataFrame:
 
 
 def reject_counts(envelopes: dict[str, DataFrame]) -> DataFrame:
-    """Rejected envelopes per feed, batch and reason.
+    """Rejected records per feed, batch and reason.
 
     Accepted ones are dropped by their zero count: a filter on the reason would read the JSON twice.
     """
@@ -35,7 +37,7 @@ def reject_counts(envelopes: dict[str, DataFrame]) -> DataFrame:
 
 
 def batch_audit(envelopes: dict[str, DataFrame]) -> DataFrame:
-    """Envelopes read, detail rows written and envelopes rejected per feed and batch."""
+    """Records read, detail rows written and records rejected per feed and batch."""
     return _all_feeds(envelopes).groupBy("feed", "dt").agg(
         F.count(F.lit(1)).alias("read"),
         F.sum("rows").alias("written"),

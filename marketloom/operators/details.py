@@ -17,6 +17,10 @@ from marketloom.functions import text
 from marketloom.schemas import FEEDS, columns_of
 
 ENVELOPE_COLUMNS = ("source", "batch_date", "dt")
+# Names the record of an envelope where a feed lays large records over several envelopes (``parts``).
+RECORD = "record"
+# The reasons that parts of one cart can differ in, the first check first.
+LINE_REASONS = ("invalid_line", "wrong_type")
 
 
 PRODUCT_FIELDS = (
@@ -35,11 +39,15 @@ CART_FIELDS = (
 )
 
 
+def _envelope_columns(envelopes: DataFrame) -> list[str]:
+    return [*ENVELOPE_COLUMNS, *[name for name in (RECORD,) if name in envelopes.columns]]
+
+
 def _read(envelopes: DataFrame, fields: str) -> DataFrame:
     """Envelope columns plus the payload ``p`` and ``well_typed``."""
-    read = F.col("read")
-    return envelopes.select(*ENVELOPE_COLUMNS, "data", J.read_object(F.col("data"), fields).alias("read")).select(
-        *ENVELOPE_COLUMNS, J.payload_of(read, F.col("data")).alias("p"), J.is_well_typed(read).alias("well_typed")
+    read, own = F.col("read"), _envelope_columns(envelopes)
+    return envelopes.select(*own, "data", J.read_object(F.col("data"), fields).alias("read")).select(
+        *own, J.payload_of(read, F.col("data")).alias("p"), J.is_well_typed(read).alias("well_typed")
     )
 
 
@@ -128,7 +136,10 @@ def _is_valid_line(line: Column) -> Column:
 
 
 def check_carts(envelopes: DataFrame) -> DataFrame:
-    """One row per cart with its ``lines``; one bad line rejects the whole cart, counted once."""
+    """One row per envelope with its ``lines``; one bad line rejects all of them, counted once.
+
+    Carts in several envelopes are settled by ``settled`` (counts) and ``detail_rows`` (lines).
+    """
     p = F.col("p")
     return _read(envelopes, CART_FIELDS).select(
         p["id"].alias("cart_id"),
@@ -138,7 +149,7 @@ def check_carts(envelopes: DataFrame) -> DataFrame:
         p["totalProducts"].alias("total_products"),
         p["totalQuantity"].alias("total_quantity"),
         p["products"].alias("lines"),
-        *ENVELOPE_COLUMNS,
+        *_envelope_columns(envelopes),
         _reason(
             "carts",
             ("invalid_id", J.holds(p["id"] > 0)),
@@ -208,5 +219,24 @@ def accepted_rows(source: str, checked: DataFrame) -> DataFrame:
     return ROWS[source](checked).select(*columns_of(FEEDS[source].detail_table).names, "dt")
 
 
+def settled(counted: DataFrame) -> DataFrame:
+    """One row per record of (feed, dt, record, reject_reason, rows), one per part: a rejected part rejects the record."""
+    reason = F.col("reject_reason")
+    order = F.when(reason.isNotNull(), F.array_position(F.array(*map(F.lit, LINE_REASONS)), reason))
+    whole = counted.groupBy("feed", "dt", RECORD).agg(
+        F.min_by("reject_reason", order).alias("reject_reason"), F.sum("rows").alias("rows")
+    )
+    return whole.withColumn("rows", F.when(F.col("reject_reason").isNull(), F.col("rows")).otherwise(F.lit(0)))
+
+
+def _of_whole_records(source: str, envelopes: DataFrame) -> DataFrame:
+    """Without the envelopes of records that have a rejected part; only records of several parts are read for it."""
+    checked = CHECKS[source](envelopes.where(F.col("parts") > 1))
+    rejected = checked.select(_if_rejected(F.array(RECORD)).alias(RECORD)).distinct()
+    return envelopes.join(rejected, RECORD, "left_anti")
+
+
 def detail_rows(source: str, envelopes: DataFrame) -> DataFrame:
+    if RECORD in envelopes.columns:
+        envelopes = _of_whole_records(source, envelopes)
     return accepted_rows(source, CHECKS[source](envelopes))

@@ -46,6 +46,13 @@ def _feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+def _records(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The feeds for counting: one row per record, without its data."""
+    feeds = _feeds(spark, folder)
+    carts = feeds["carts"].select(details.RECORD, *details.ENVELOPE_COLUMNS).distinct()
+    return {name: df.select(*details.ENVELOPE_COLUMNS) for name, df in {**feeds, "carts": carts}.items()}
+
+
 # ---- detail ------------------------------------------------------------------------------------
 
 
@@ -65,8 +72,8 @@ def dwd_order_cart_detail(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batch_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Envelopes of each batch that name the batch they lie in."""
-    rows = reduce(DataFrame.unionByName, _feeds(spark, folder).values())
+    """Records of each batch that name the batch they lie in."""
+    rows = reduce(DataFrame.unionByName, _records(spark, folder).values())
     own = rows.where(F.col("batch_date") == F.col("dt"))
     return own.groupBy("source", "dt").agg(F.count(F.lit(1)).alias("envelopes"))
 
@@ -205,7 +212,7 @@ def export_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.quality_rules(_feeds(spark, folder), stored_metrics(spark, folder))
+    return quality.quality_rules(_records(spark, folder), stored_metrics(spark, folder))
 
 
 def quality_summary(spark: SparkSession, folder: str) -> DataFrame:

@@ -110,7 +110,7 @@ def cart_detail(spark: SparkSession, folder: str, batches: str = "year") -> Data
 
 
 def _paged_lines(spark: SparkSession, folder: str, dirty: bool) -> DataFrame:
-    """JSON lines per cart. A cart of very many lines is split over several envelopes, evenly."""
+    """JSON lines per cart. A cart of very many lines comes in several ``parts``, evenly; they are still one record."""
     lines = _lines(spark, folder).withColumn("position", F.monotonically_increasing_id())
     crowded = (
         lines.groupBy("l_orderkey")
@@ -132,7 +132,8 @@ def _paged_lines(spark: SparkSession, folder: str, dirty: bool) -> DataFrame:
     texts = lines.select("l_orderkey", "position", F.to_json(line).alias("line"))
     return (
         texts.join(crowded, "l_orderkey", "left")
-        .groupBy("l_orderkey", F.pmod("position", F.coalesce("pages", F.lit(1))).alias("page"))
+        .withColumn("parts", F.coalesce("pages", F.lit(1)))
+        .groupBy("l_orderkey", "parts", F.pmod("position", "parts").alias("page"))
         .agg(F.collect_list("line").alias("lines"))
     )
 
@@ -142,6 +143,7 @@ def _json_number(name: str) -> Column:
 
 
 def cart_envelopes(spark: SparkSession, folder: str, batches: str = "day", dirty: bool = True) -> DataFrame:
+    """Carts as landed; ``record`` is the cart of an envelope and ``parts`` in how many envelopes it may lie."""
     headers = _headers(spark, folder, batches)
     lines = _paged_lines(spark, folder, dirty)
     keys = table(spark, folder, "lineitem").select("l_orderkey")
@@ -163,7 +165,8 @@ def cart_envelopes(spark: SparkSession, folder: str, batches: str = "day", dirty
     }
     pairs = [F.concat(F.lit(f'"{name}":'), value) for name, value in values.items()]
     document = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
-    return _enveloped(carts, "carts", document, bad)
+    named = carts.withColumns({"record": key, "parts": F.coalesce("parts", F.lit(1))})
+    return _enveloped(named, "carts", document, bad, "record", "parts")
 
 
 # Fixed flaws of the sample feeds: (step, rest) of the record key.
