@@ -40,7 +40,7 @@ class WordEncoder:
 
     The tokenizer's own pattern always starts a new pre-token at a single space between two other
     characters, so the stretches between such spaces can be encoded one by one. Texts with other spaces beside
-    blanks are encoded whole. New stretches are encoded in one run: the tokens that begin with a space, which
+    blanks, or with an added token, are encoded whole. New stretches are encoded in one run: the tokens that begin with a space, which
     no stretch contains, tell where each starts. Stretches of Latin letters are encoded by a faster library
     from the tokenizer's own vocabulary and pattern, which gives the same ids.
     """
@@ -49,10 +49,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith(SPACE_SIGN) for i in range(size)])
         self.ranked = _ranked(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
 
@@ -62,7 +62,10 @@ class WordEncoder:
         first = np.asarray(lists.offsets) - np.asarray(lists.offsets)[0]
         coded = lists.flatten().dictionary_encode()
         codes, words = np.asarray(coded.indices), coded.dictionary.to_pylist()
-        inner = np.ones(len(codes), bool)
+        special = np.zeros(len(texts), bool)
+        for token in self.added:
+            special |= np.asarray(pc.match_substring(texts, token))
+        inner = ~np.repeat(special, np.diff(first))
         inner[first[:-1]] = False
         used = np.zeros(len(words), bool)
         used[codes[inner]] = True
@@ -71,6 +74,7 @@ class WordEncoder:
         heads = [words[c] for c in codes[first[:-1]].tolist()]
         irregular = np.add.reduceat(np.append(odd[codes] & inner, False), first[:-1]) > 0 if len(first) > 1 else np.zeros(0, bool)
         alone = np.diff(first) == 1
+        irregular |= special
         irregular |= ~alone & np.array([not h or h[-1].isspace() for h in heads], bool)
         whole = np.flatnonzero(irregular).tolist()
         starts = self._ids([texts[i].as_py() if odd_text else h for i, (h, odd_text) in enumerate(zip(heads, irregular.tolist(), strict=True))])

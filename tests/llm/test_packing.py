@@ -41,6 +41,16 @@ def test_whole_sample_texts_and_all_latin_letters(encoder, sample):
         assert np.frombuffer(raw, "<u4").tolist() == whole_ids(encoder, text)
 
 
+def test_added_tokens_have_their_own_ids(encoder):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(tokenizer_path(TOKENIZER))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "a b <|endoftext|>", "a <|endoftext| > b", "a b", ""]
+    found = [np.frombuffer(raw, "<u4").tolist() for raw in encoder.encode(pa.array(texts))]
+    assert found == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert found[0] == [64, 220, 50256, 275]
+
+
 def test_pieces_cut_only_long_documents():
     assert list(pieces(5, 8)) == [(0, 5)]
     assert list(pieces(16, 8)) == [(0, 8), (8, 8)]
