@@ -19,6 +19,7 @@ from xxhash import xxh64_intdigest
 
 from marketloom.llm.common import fields_of, group_bounds, joined, keyed, keyed_rows, runs, slices, store
 from marketloom.llm.components import components
+from marketloom.llm.near_copies import apart, confirmed, meetings
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -177,7 +178,11 @@ def links(rows: DataFrame) -> DataFrame:
 def _rooted(found: DataFrame) -> DataFrame:
     """(fp, root): each distinct fingerprint and the smallest one it can reach over links."""
     distinct = store(found.select("fp").distinct(), "distinct_fingerprints")
-    roots = components(links(covered(distinct)))
+    return _under_roots(distinct, links(covered(distinct)))
+
+
+def _under_roots(distinct: DataFrame, edges: DataFrame) -> DataFrame:
+    roots = components(edges)
     return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
@@ -199,15 +204,31 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each_group(docs: DataFrame) -> DataFrame:
+def _rooted_copies(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """As ``_rooted``, with links also between the fingerprints of texts whose shingles are similar."""
+    distinct = store(found.select("fp").distinct(), "distinct_fingerprints")
+    edges = store(links(covered(distinct)), "links")
+    prints = store(found.select(F.col("k2").alias("node"), "fp").distinct(), "prints")
+    met = store(meetings(docs), "meetings")
+    for star in (True, False):
+        roots = store(_under_roots(distinct, edges), "roots")
+        pairs = store(apart(met.join(prints.join(roots, "fp"), "node").select("key", "node", "root"), star), "pairs")
+        near = confirmed(docs, pairs).join(prints.toDF("a", "fp_a"), "a").join(prints.toDF("b", "fp_b"), "b")
+        edges = store(edges.union(near.select("fp_a", "fp_b")), "links")
+    return _under_roots(distinct, edges)
+
+
+def one_of_each_group(docs: DataFrame, copies: bool = False) -> DataFrame:
     """Of each group of near-duplicates one row of ``docs``, with all its columns: that with the smallest doc_id.
 
-    Null ids come last; of rows with the same id and text, any one stays.
+    Null ids come last; of rows with the same id and text, any one stays. With ``copies``, texts whose five-word
+    shingles have a Jaccard similarity of 0.8 or more are near-duplicates too.
     """
     found = store(fingerprints(keyed(docs)), "fingerprints")
+    roots = _rooted_copies(keyed(docs), found) if copies else _rooted(found)
     order = F.struct(F.col("doc_id").isNull().alias("null"), "k1", "k2")
     first = found.groupBy("fp").agg(F.min(order).alias("first"))
-    kept = _rooted(found).join(first, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = roots.join(first, "fp").groupBy("root").agg(F.min("first").alias("first"))
     kept = store(kept.select("first.k1", "first.k2"), "kept")
     rows = keyed_rows(docs).join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     return rows.select(*fields_of(docs))
