@@ -34,6 +34,8 @@ HEURISTICS = {
     "token_length": (20.0, 15.0),
 }
 SHORT_WORDS = 20
+# Different words are counted in runs of at most this many, as their share falls with the length of what is counted.
+RUN_WORDS = 200
 # Added to the word count that shares are taken of, so that a few words alone do not decide.
 FEW_WORDS = 10
 UPPER, LETTER, DIGIT, OTHER = 1, 2, 4, 8
@@ -55,6 +57,20 @@ def _per_text(words: Words, values: np.ndarray) -> np.ndarray:
     return total[words.first[1:]] - total[words.first[:-1]]
 
 
+def _variety(words: Words, codes: np.ndarray) -> np.ndarray:
+    """The share of different words in each text: the mean over its runs of (nearly) equal size, all words counted."""
+    n = np.diff(words.first)
+    parts = -(-n // RUN_WORDS)
+    place = np.arange(len(words)) - np.repeat(words.first[:-1], n)
+    run = np.repeat(np.cumsum(parts) - parts, n) + place * np.repeat(parts, n) // np.repeat(np.maximum(n, 1), n)
+    kinds = int(codes.max(initial=0)) + 1
+    total = int(parts.sum())
+    distinct = np.bincount(np.unique(run * kinds + codes) // kinds, minlength=total)
+    shares = np.concatenate(([0.0], np.cumsum(distinct / np.maximum(np.bincount(run, minlength=total), 1))))
+    ends = np.concatenate(([0], np.cumsum(parts)))
+    return (shares[ends[1:]] - shares[ends[:-1]]) / np.maximum(parts, 1)
+
+
 def measures(words: Words, codes: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """The word counts of the texts, and what the heuristics look at."""
     kinds = KINDS[words.data]
@@ -70,15 +86,13 @@ def measures(words: Words, codes: np.ndarray) -> tuple[np.ndarray, dict[str, np.
     text = np.repeat(np.arange(len(n)), n)
     again = np.zeros(len(words), bool)
     again[1:] = (codes[1:] == codes[:-1]) & (text[1:] == text[:-1])
-    pairs = np.unique(text * (int(codes.max(initial=0)) + 1) + codes)
-    distinct = np.bincount(pairs // (int(codes.max(initial=0)) + 1), minlength=len(n))[: len(n)]
     sizes = np.maximum(_per_text(words, size), 1)
     return n, {
         "capitals": _per_text(words, _per_word(words, (kinds & UPPER) > 0)) / np.maximum(_per_text(words, letters), 1),
         "symbol_ends": _per_text(words, ends & solid) / some,
         "repeated_words": _per_text(words, again) / some,
         "wordless_tokens": _per_text(words, ~solid) / some,
-        "variety": distinct / some,
+        "variety": _variety(words, codes),
         "punctuation": _per_text(words, _per_word(words, other)) / sizes,
         "token_length": sizes / some,
     }

@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 
 from marketloom.llm.common import BY_BLANKS, Words, table
-from marketloom.llm.quality import BAD, GOOD, HEURISTICS, NONE, fit_labels, judge_quality, keep_good, pattern_of, votes
+from marketloom.llm.quality import BAD, GOOD, HEURISTICS, NONE, fit_labels, judge_quality, keep_good, measures, pattern_of, votes
 
 
 def test_expectation_maximisation_finds_the_accuracies():
@@ -55,3 +55,19 @@ def test_edge_rows(spark, sample):
     assert len(found) == 7 and all(0 <= r.score <= 1 for r in found)
     assert not any(r.kept for r in found if r.doc_id in (-1, -2, -3, -4))
     assert judge_quality(docs.limit(0)).count() == 0 and keep_good(docs.limit(0)).count() == 0
+
+
+def test_variety_does_not_depend_on_length(spark, sample):
+    rng = np.random.default_rng(0)
+    clean = [r.text for r in table(spark, sample, "documents").join(table(spark, sample, "labels").filter("quality = 1"), "doc_id").orderBy("doc_id").collect()]
+    words = sorted({w for t in clean for w in t.split()})[:4000]
+    long = " ".join(rng.choice(words, 150_000))
+    spam = " ".join(rng.choice(words[:20], 150_000))
+    found = Words(pa.array([long, long[: len(long) // 500], spam]), BY_BLANKS)
+    value = measures(found, found.encoded()[0])[1]["variety"]
+    assert abs(value[0] - value[1]) < 0.05 and value[2] < HEURISTICS["variety"][0]
+    docs = table(spark, sample, "documents").select("doc_id", "text")
+    whole = "\n".join(clean)
+    longest = "\n".join([whole] * (150_000 // len(whole.split()) + 1))
+    judged = judge_quality(docs.union(spark.createDataFrame([(-1, longest), (-2, spam)], docs.schema))).filter("doc_id < 0").collect()
+    assert {r.doc_id: r.kept for r in judged} == {-1: True, -2: False}
