@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from marketloom.llm.bit_planes import CENTROIDS, ROUNDS, cluster_report
 from marketloom.llm.common import ship, table
 from marketloom.llm.exact_dedup import exact_groups
 from marketloom.llm.labelled_urls import labelled_urls
@@ -13,13 +16,17 @@ from marketloom.llm.near_dedup import near_groups
 from marketloom.llm.packing import pack
 from marketloom.llm.quality import judge_quality
 from marketloom.llm.search import top_k
+from marketloom.llm.spelling import spelling_variants
 from marketloom.llm.substring_dedup import remove_repeats
+from marketloom.llm.token_files import token_file_report
 from marketloom.llm.toxicity import judge_toxicity
 from marketloom.llm.toxicity import train as train_toxicity
 from marketloom.llm.url_filter import judge_urls, train
+from marketloom.session import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
+LOWER_CASE = "word_bpe_49k.json"
 
 
 def tokenizer_path(name: str) -> str:
@@ -80,7 +87,20 @@ def op10_sentencepiece_samples(spark: SparkSession, folder: str) -> DataFrame:
     return encode_samples(table(spark, folder, "documents"), tokenizer_path(PIECES), with_ids=False)
 
 
-OPERATORS = (op1_url_filter, op2_quality_classifier, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing, op7_line_dedup, op8_toxicity, op9_exact_top_k_search, op10_sentencepiece_samples)
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))
+
+
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_report(spark, table(spark, folder, "embeddings"))
+
+
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/marketloom/{uuid.uuid4().hex}/token_files"
+    return token_file_report(table(spark, folder, "documents"), path, tokenizer_path(LOWER_CASE))
+
+
+OPERATORS = (op1_url_filter, op2_quality_classifier, op3_exact_dedup, op4_substring_dedup, op6_simhash_near_dedup, op5_best_fit_packing, op7_line_dedup, op8_toxicity, op9_exact_top_k_search, op10_sentencepiece_samples, op11_spelling_variants, op12_centroid_clusters, op13_token_files)
 
 
 def _with_code(query):
@@ -93,6 +113,30 @@ def _with_code(query):
 
 QUERIES = {query.__name__: _with_code(query) for query in OPERATORS}
 
+
+def _clusters_sql() -> str:
+    """Every round as two expressions: the nearest centroid of every vector, then the floored means."""
+    parts = [f"""kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v FROM kept QUALIFY c < {CENTROIDS})"""]
+    for n in range(ROUNDS + 1):
+        parts.append(f"""a{n} AS MATERIALIZED (
+            SELECT r, vec_id, k.v, c, list_sum(list_transform(list_zip(k.v, o.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+            FROM kept k CROSS JOIN c{n} o QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        parts.append(f"""c{n + 1} AS MATERIALIZED (
+            SELECT c, coalesce(m.v, o.v) AS v FROM c{n} o LEFT JOIN (
+                SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v
+                FROM (SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS i FROM a{n}) GROUP BY c, i)
+                GROUP BY c) m USING (c))""")
+    return f"""WITH {", ".join(parts)}
+        SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+            CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+            sha256(array_to_string(o.v, ',')) AS centroid_sha256
+        FROM a{ROUNDS} a JOIN c{ROUNDS} o USING (c)"""
+
+
 SQL = {
     "op3_exact_dedup": """
         WITH n AS (
@@ -141,4 +185,43 @@ SQL = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
         FROM scored WHERE score > 0 QUALIFY rank <= 10
     """,
+    "op11_spelling_variants": """
+        WITH RECURSIVE crc AS (
+            SELECT list(c ORDER BY b) AS t FROM (
+                SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS c
+                FROM (SELECT unnest(range(256)) AS b))
+        ), runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{C0}-\\x{FF}]+')) AS run FROM documents)
+            WHERE length(run) >= 7
+        ), counted AS (
+            SELECT run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS bytes FROM runs GROUP BY doc_id, run
+        ), summed AS (
+            SELECT run, n, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(range(1, length(bytes), 2), lambda i: CAST('0x' || substr(bytes, i, 2) AS BIGINT))),
+                lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256))) % length(run) AS place, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(range(1, length(bytes), 2), lambda i: CAST('0x' || substr(bytes, i, 2) AS BIGINT))),
+                lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256))) % 31 = 0 AS cut
+            FROM counted, crc
+        ), words AS MATERIALIZED (
+            SELECT CASE WHEN cut THEN left(run, place) || substr(run, place + 2) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+            FROM summed GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2
+        ), less AS MATERIALIZED (
+            SELECT word, i, left(word, i) || substr(word, i + 2) AS v FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+        ), near AS (
+            SELECT a.word, b.word AS near FROM less a JOIN less b ON a.v = b.v AND a.i = b.i AND a.word <> b.word
+            UNION SELECT l.word, w.word FROM less l JOIN words w ON l.v = w.word
+            UNION SELECT w.word, l.word FROM less l JOIN words w ON l.v = w.word
+        ), best AS (
+            SELECT a.word, count(*) AS n_near, arg_min(near, (-b.n, near)) AS form FROM near a JOIN words b ON b.word = near GROUP BY a.word
+        ), formed AS MATERIALIZED (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN f.n >= 10 * w.n THEN form END AS form, CASE WHEN f.n >= 10 * w.n THEN f.n END AS form_n
+            FROM words w LEFT JOIN best USING (word) LEFT JOIN words f ON f.word = form
+        ), chain AS (
+            SELECT word, word AS root FROM formed WHERE form IS NULL
+            UNION ALL SELECT f.word, c.root FROM chain c JOIN formed f ON f.form = c.word
+        )
+        SELECT word, form, root, n, n_near, form_n FROM formed JOIN chain USING (word)
+    """,
+    "op12_centroid_clusters": _clusters_sql(),
 }
