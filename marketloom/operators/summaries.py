@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.numbers import guarded_ratio, money, money_sum, zero_if_null
 from marketloom.functions.text import UNKNOWN
+from marketloom.operators.as_of import as_of, counts_over_time, on_days, versions
+from marketloom.session import broadcast_if_small
 
 USER_ATTRIBUTES = ("age_group", "gender", "country")
 
@@ -45,14 +47,8 @@ def sales_daily(lines: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     )
 
 
-def product_daily(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Sales per product; ``products`` is the product dimension, whose names are never NULL.
-
-    Lines are reduced before they meet the catalogue, so a hot product joins as a few rows. A listed product
-    takes its name and category from the catalogue, hence one row per product; an unlisted one keeps the
-    names and hints of its lines. Distinct carts do not add up from the finer grain to the coarser, so both
-    grains are aggregated in one pass and the join picks one.
-    """
+def _product_grains(lines: DataFrame) -> DataFrame:
+    """Sales per product and per variant of its lines (``per_product`` tells which), in one pass."""
     sold = lines.select(
         "dt",
         "product_id",
@@ -62,14 +58,7 @@ def product_daily(lines: DataFrame, products: DataFrame) -> DataFrame:
         "quantity",
         "line_discounted_total",
     )
-    catalogue = products.select(
-        "dt",
-        "product_id",
-        F.col("product_name").alias("listed_name"),
-        F.col("category").alias("listed_category"),
-        "brand",
-    )
-    grains = sold.groupingSets(
+    return sold.groupingSets(
         [["dt", "product_id"], ["dt", "product_id", "product_name", "category_hint"]],
         "dt", "product_id", "product_name", "category_hint",
     ).agg(
@@ -78,6 +67,16 @@ def product_daily(lines: DataFrame, products: DataFrame) -> DataFrame:
         F.sum("line_discounted_total").alias("amount"),
         F.countDistinct("cart_id").alias("order_count"),
     )
+
+
+def _named_sales(grains: DataFrame, products: DataFrame) -> DataFrame:
+    catalogue = products.select(
+        "dt",
+        "product_id",
+        F.col("product_name").alias("listed_name"),
+        F.col("category").alias("listed_category"),
+        "brand",
+    )
     listings = catalogue.groupBy("dt", "product_id", "listed_name", "listed_category", "brand").agg(
         F.count(F.lit(1)).alias("copies")
     )
@@ -99,6 +98,27 @@ def product_daily(lines: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def product_daily(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Sales per product; ``products`` is the product dimension, whose names are never NULL.
+
+    Lines are reduced before they meet the catalogue, so a hot product joins as a few rows. A listed product
+    takes its name and category from the catalogue, hence one row per product; an unlisted one keeps the
+    names and hints of its lines. Distinct carts do not add up from the finer grain to the coarser, so both
+    grains are aggregated in one pass and the join picks one.
+    """
+    return _named_sales(_product_grains(lines), products)
+
+
+def product_daily_as_of(lines: DataFrame, products: DataFrame, withdrawn: DataFrame | None = None) -> DataFrame:
+    """As ``product_daily``, with the changes of the product dimension instead of a catalogue for every day.
+
+    Only the products that were sold are looked up, each on the days when it was.
+    """
+    grains = _product_grains(lines)
+    known = versions(products.select("dt", "product_id", "product_name", "category", "brand"), "product_id", withdrawn)
+    return _named_sales(grains, as_of(grains.where("per_product"), known, "product_id"))
+
+
 def category_daily(product_days: DataFrame, categories: DataFrame) -> DataFrame:
     """Order counts add up over products, so a cart with two products of a category counts twice."""
     sold = product_days.groupBy("dt", "category").agg(
@@ -114,17 +134,18 @@ def category_daily(product_days: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
-def user_profile_daily(users: DataFrame, lines: DataFrame) -> DataFrame:
-    """Users, buyers, orders and sales per age group, gender and country; NULL is a group of its own.
+def category_daily_as_of(product_days: DataFrame, products: DataFrame, withdrawn: DataFrame | None = None) -> DataFrame:
+    """As ``category_daily``, with the changes of the product dimension; sizes are running sums of its changes."""
+    known = versions(products.select("dt", "product_id", "category"), "product_id", withdrawn)
+    sizes = counts_over_time(known, "product_id", ["category"]).select("category", "dt", F.col("items").alias("product_count"))
+    filled = sizes.where(F.col("product_count") > 0)
+    sized = versions(filled, "category", sizes.where(F.col("product_count") == 0))
+    found = as_of(product_days, sized, "category")
+    return category_daily(product_days, found.select("dt", F.col("category").alias("category_name"), "product_count"))
 
-    Users without carts count as users only, so users and orders are reduced separately and added
-    up. That leaves an inner join of carts with users, whose skewed side AQE can split, where the
-    outer join of users with carts could not be split on the cart side.
-    """
-    people = users.groupBy("dt", "user_id", *USER_ATTRIBUTES).agg(F.count(F.lit(1)).alias("copies"))
-    user_counts = people.groupBy("dt", *USER_ATTRIBUTES).agg(
-        F.count_if(F.col("user_id").isNotNull() & (F.col("copies") > 0)).alias("user_count")
-    )
+
+def _profile_rows(user_counts: DataFrame, people: DataFrame, lines: DataFrame) -> DataFrame:
+    """Users and their carts, reduced separately and added up; ``people`` has one row per day, user and set of attributes."""
     carts = lines.select("dt", "cart_id", "user_id", "cart_discounted_total").distinct()
     bought = (
         carts.join(people, ["dt", "user_id"])
@@ -151,6 +172,36 @@ def user_profile_daily(users: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
+def user_profile_daily(users: DataFrame, lines: DataFrame) -> DataFrame:
+    """Users, buyers, orders and sales per age group, gender and country; NULL is a group of its own.
+
+    Users without carts count as users only, so users and orders are reduced separately and added
+    up. That leaves an inner join of carts with users, whose skewed side AQE can split, where the
+    outer join of users with carts could not be split on the cart side.
+    """
+    people = users.groupBy("dt", "user_id", *USER_ATTRIBUTES).agg(F.count(F.lit(1)).alias("copies"))
+    user_counts = people.groupBy("dt", *USER_ATTRIBUTES).agg(
+        F.count_if(F.col("user_id").isNotNull() & (F.col("copies") > 0)).alias("user_count")
+    )
+    return _profile_rows(user_counts, people, lines)
+
+
+def user_profile_daily_as_of(
+    users: DataFrame, lines: DataFrame, dates: DataFrame, withdrawn: DataFrame | None = None
+) -> DataFrame:
+    """As ``user_profile_daily`` for each of ``dates`` (``dt``), with the changes of the user dimension.
+
+    All users of a day are counted by running sums of changes; only buyers are looked up, on the days when they bought.
+    """
+    known = versions(users.select("dt", "user_id", *USER_ATTRIBUTES), "user_id", withdrawn)
+    groups = list(USER_ATTRIBUTES)
+    user_counts = on_days(counts_over_time(known, "user_id", groups), groups, dates).withColumnRenamed("items", "user_count")
+    days = dates.select("dt").distinct()
+    asked = lines.join(broadcast_if_small(days), "dt", "left_semi")
+    people = as_of(asked, known, "user_id").withColumn("copies", F.lit(1))
+    return _profile_rows(user_counts, people, asked)
+
+
 def funnel_daily(lines: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Carts count as orders and as payments; there is no source of views."""
     daily = lines.groupBy("dt").agg(F.countDistinct("cart_id").alias("carts"))

@@ -71,6 +71,10 @@ def _build_metrics(
     store("dws_user_profile_daily", summaries.user_profile_daily(stored("dim_user"), lines))
     store("dws_funnel_daily", summaries.funnel_daily(lines, dates))
 
+    return _shape_metrics(stored, store)
+
+
+def _shape_metrics(stored: Callable[[str], DataFrame], store: Callable[[str, DataFrame], None]) -> dict[str, DataFrame]:
     store("ads_kpi_daily", metrics.kpi_daily(stored("dws_sales_daily"), stored("dws_funnel_daily")))
     store("ads_sales_trend_daily", metrics.sales_trend_daily(stored("dws_sales_daily")))
     store("ads_product_rank_daily", metrics.product_rank_daily(stored("dws_product_daily")))
@@ -107,6 +111,36 @@ def backfill_metrics(spark: SparkSession, root: str, dates: DataFrame) -> dict[s
     )
 
 
+def backfill_metrics_of_changes(
+    spark: SparkSession, root: str, dates: DataFrame, withdrawn: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """As ``backfill_metrics`` where the product and user details are feeds of changes.
+
+    A detail row lies in the batch of the day it changed, and holds until the item's next one; ``withdrawn`` gives, per
+    source, (product_id or user_id, dt) of items that are gone from that day on. Products and users are read up to
+    the last of ``dates``, whatever their number, so a day costs its carts and not a copy of the catalogue.
+    """
+    gone = withdrawn or {}
+    last = dates.agg(F.max("dt")).scalar()
+
+    def stored(table: str) -> DataFrame:
+        return _only(read_table(spark, root, table), dates)
+
+    def store(table: str, rows: DataFrame) -> None:
+        replace_partitions(rows, root, table, dates)
+
+    products = dimensions.product_dimension(read_table(spark, root, "dwd_product_info").where(F.col("dt") <= last))
+    users = dimensions.user_dimension(read_table(spark, root, "dwd_user_info").where(F.col("dt") <= last))
+    lines = stored("dwd_order_cart_detail")
+    store("dim_date", dimensions.date_dimension(dates))
+    store("dws_sales_daily", summaries.sales_daily(lines, dates))
+    store("dws_product_daily", summaries.product_daily_as_of(lines, products, gone.get("products")))
+    store("dws_category_daily", summaries.category_daily_as_of(stored("dws_product_daily"), products, gone.get("products")))
+    store("dws_user_profile_daily", summaries.user_profile_daily_as_of(users, lines, dates, gone.get("users")))
+    store("dws_funnel_daily", summaries.funnel_daily(lines, dates))
+    return _shape_metrics(stored, store)
+
+
 def _only(rows: DataFrame, dates: DataFrame) -> DataFrame:
     """Rows of the requested batches; folders of other dates are pruned at run time."""
     return rows.join(broadcast_if_small(dates.select("dt").distinct()), "dt", "left_semi")

@@ -119,14 +119,14 @@ dim_user AS (
 
 
 def _sales(name: str, detail: str) -> str:
+    """One row per order that has lines; ids of orders do not repeat, so nothing is made distinct but the buyers."""
     money = "CAST(coalesce(sum({0}), 0) AS DECIMAL(18,2)) AS {1}"
-    average = _half_up("CAST(coalesce(sum(cart_discounted_total), 0) * 100 AS HUGEINT)", "count(DISTINCT cart_id)", 0, "BIGINT")
+    average = _half_up("CAST(coalesce(sum(cart_discounted_total), 0) * 100 AS HUGEINT)", "count(*)", 0, "BIGINT")
     return f"""{name} AS (
-  SELECT dt AS date_id, count(DISTINCT cart_id) AS order_count, count(DISTINCT user_id) AS pay_user_count,
+  SELECT dt AS date_id, count(*) AS order_count, count(DISTINCT user_id) AS pay_user_count,
          {money.format("cart_total", "total_sales_amount")}, {money.format("cart_discounted_total", "discount_sales_amount")},
          {_amount(average)} AS avg_order_amount, CAST(coalesce(sum(total_quantity), 0) AS BIGINT) AS total_quantity, dt
-  FROM (SELECT DISTINCT dt, cart_id, user_id, cart_total, cart_discounted_total, total_quantity FROM {detail}) AS h
-  GROUP BY dt)"""
+  FROM day_headers WHERE o_orderkey IN (SELECT o_orderkey FROM {detail}) GROUP BY dt)"""
 
 
 def _funnel(name: str, detail: str) -> str:
@@ -155,35 +155,83 @@ def _stages(name: str, funnel: str) -> str:
     return f"{name} AS (\n  " + "\n  UNION ALL ".join(arms) + ")"
 
 
+def _change_day(key: str, change: tuple[int, int, int], after: int = 0) -> str:
+    days = f"1 + ({key} * {change[2]}) % {sample.CHANGE_DAYS} + {after}"
+    return f"strftime(DATE '{sample.FIRST_BATCH}' + CAST({days} AS INTEGER), '%Y-%m-%d')"
+
+
+def _changes(change: tuple[int, int, int], key: str) -> str:
+    return f"{key} % {change[0]} = {change[1]}"
+
+
+_P, _U = sample.PRODUCT_CHANGES, sample.USER_CHANGES
+# Every state of an item with the days from and up to which it holds; withdrawals end a state and are none themselves.
+STATES = f"""parts AS (
+  SELECT p_partkey, p_partkey + 1 AS product_id, p_name AS product_name, {_or_unknown(KIND)} AS category,
+         {_or_unknown(f"{KIND} || ' II'")} AS changed_category, p_brand AS brand FROM part WHERE p_partkey % 19 <> 0),
+product_events AS (
+  SELECT product_id, product_name, category, brand, '{sample.FIRST_BATCH}' AS since, false AS gone FROM parts
+  UNION ALL SELECT product_id, product_name || ' II', changed_category, brand, {_change_day("p_partkey", _P["changed"])}, false
+  FROM parts WHERE {_changes(_P["changed"], "p_partkey")}
+  UNION ALL SELECT product_id, NULL, NULL, NULL, {_change_day("p_partkey", _P["withdrawn"])}, true
+  FROM parts WHERE {_changes(_P["withdrawn"], "p_partkey")}
+  UNION ALL SELECT product_id, product_name, category, brand, {_change_day("p_partkey", _P["back"], sample.BACK_AFTER)}, false
+  FROM parts WHERE {_changes(_P["back"], "p_partkey")}),
+product_states AS (
+  SELECT *, lead(since, 1, '9999-12-31') OVER (PARTITION BY product_id ORDER BY since) AS until
+  FROM (SELECT * FROM product_events QUALIFY row_number() OVER (PARTITION BY product_id, since ORDER BY gone DESC) = 1)),
+buyers AS (
+  SELECT c_custkey, c_custkey + 1 AS user_id, {AGE} AS age, CASE c_custkey % 3 WHEN 0 THEN 'female' WHEN 1 THEN 'male' ELSE '' END AS gender,
+         CASE WHEN c_custkey % 29 <> 0 THEN n_name END AS country
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
+user_events AS (
+  SELECT user_id, {_age_group("age")} AS age_group, gender, country, '{sample.FIRST_BATCH}' AS since, false AS gone FROM buyers
+  UNION ALL SELECT user_id, {_age_group("(age + 15)")}, gender, 'ABROAD', {_change_day("c_custkey", _U["changed"])}, false
+  FROM buyers WHERE {_changes(_U["changed"], "c_custkey")}
+  UNION ALL SELECT user_id, NULL, NULL, NULL, {_change_day("c_custkey", _U["withdrawn"])}, true
+  FROM buyers WHERE {_changes(_U["withdrawn"], "c_custkey")}),
+user_states AS (
+  SELECT *, lead(since, 1, '9999-12-31') OVER (PARTITION BY user_id ORDER BY since) AS until
+  FROM (SELECT * FROM user_events QUALIFY row_number() OVER (PARTITION BY user_id, since ORDER BY gone DESC) = 1)),
+batch_days AS (
+  SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS dt FROM orders)"""
+
 # Independent of the builders: one row per cart first, listed and unlisted products apart, users and buyers apart.
 SUMMARIES = """cart_products AS (
   SELECT dt, cart_id, product_id, product_name, coalesce(category_hint, 'unknown') AS category,
          sum(quantity) AS pieces, sum(line_discounted_total) AS amount
-  FROM year_detail GROUP BY ALL),
+  FROM day_detail GROUP BY ALL),
+listed_products AS (
+  SELECT * FROM product_states WHERE NOT gone),
 named_products AS (
   SELECT c.dt, c.cart_id, c.product_id, p.product_name, p.category, p.brand, sum(pieces) AS pieces, sum(amount) AS amount
-  FROM cart_products AS c JOIN dim_product AS p USING (dt, product_id) GROUP BY ALL
+  FROM cart_products AS c JOIN listed_products AS p ON c.product_id = p.product_id AND c.dt >= p.since AND c.dt < p.until
+  GROUP BY ALL
   UNION ALL
-  SELECT dt, cart_id, product_id, product_name, category, NULL, sum(pieces), sum(amount)
-  FROM cart_products AS c ANTI JOIN dim_product AS p USING (dt, product_id) GROUP BY ALL),
+  SELECT c.dt, c.cart_id, c.product_id, c.product_name, c.category, NULL, sum(c.pieces), sum(c.amount)
+  FROM cart_products AS c LEFT JOIN listed_products AS p ON c.product_id = p.product_id AND c.dt >= p.since AND c.dt < p.until
+  WHERE p.product_id IS NULL GROUP BY ALL),
 dws_product AS (
   SELECT dt AS date_id, product_id, product_name, category, brand, CAST(sum(pieces) AS BIGINT) AS sales_quantity,
          CAST(sum(amount) AS DECIMAL(18,2)) AS sales_amount, count(*) AS order_count, dt
   FROM named_products GROUP BY ALL),
 listed_sizes AS (
-  SELECT dt, category, count(*) AS product_count
-  FROM (SELECT DISTINCT dt, category, product_id FROM dim_product) AS p GROUP BY ALL),
+  SELECT b.dt, category, count(DISTINCT product_id) AS product_count
+  FROM batch_days AS b JOIN listed_products AS p ON b.dt >= p.since AND b.dt < p.until GROUP BY ALL),
 dws_category AS (
   SELECT dt AS date_id, category, product_count, CAST(pieces AS BIGINT) AS sales_quantity,
          CAST(amount AS DECIMAL(18,2)) AS sales_amount, orders AS order_count, dt
   FROM (SELECT dt, category, sum(pieces) AS pieces, sum(amount) AS amount, count(*) AS orders FROM named_products GROUP BY ALL) AS s
   LEFT JOIN listed_sizes USING (dt, category)),
+user_days AS (
+  SELECT b.dt, user_id, age_group, gender, country
+  FROM batch_days AS b JOIN user_states AS u ON b.dt >= u.since AND b.dt < u.until WHERE NOT gone),
+cart_users AS (
+  SELECT DISTINCT dt, user_id, cart_id, cart_discounted_total AS amount FROM day_detail),
 user_facts AS (
-  SELECT dt, user_id, age_group, gender, country, 1 AS users, 0 AS orders, 0 AS amount FROM dim_user
+  SELECT dt, user_id, age_group, gender, country, 1 AS users, 0 AS orders, 0 AS amount FROM user_days
   UNION ALL
-  SELECT c.dt, user_id, age_group, gender, country, 0, 1, c.amount
-  FROM dim_user AS u JOIN (
-    SELECT DISTINCT dt, user_id, cart_id, cart_discounted_total AS amount FROM year_detail) AS c USING (dt, user_id)),
+  SELECT dt, user_id, age_group, gender, country, 0, 1, c.amount FROM user_days JOIN cart_users AS c USING (dt, user_id)),
 per_user AS (
   SELECT dt, user_id, age_group, gender, country, max(users) AS users, sum(orders) AS orders, sum(amount) AS amount
   FROM user_facts GROUP BY ALL),
@@ -217,20 +265,18 @@ COMMON = ",\n".join(
         _headers("year_headers", "strftime(o_orderdate, '%Y-01-01')"),
         _lines(),
         _detail("day_detail", "day_headers"),
-        _detail("year_detail", "year_headers"),
         CATALOGUE,
         PEOPLE,
         DIMENSIONS,
         _sales("day_sales", "day_detail"),
-        _sales("year_sales", "year_detail"),
         _funnel("day_funnel", "day_detail"),
-        _funnel("year_funnel", "year_detail"),
         _kpi("day_kpi", "day_sales", "day_funnel"),
-        _kpi("ads_kpi_daily", "year_sales", "year_funnel"),
+        _kpi("ads_kpi_daily", "day_sales", "day_funnel"),
         _trend("day_trend", "day_sales"),
-        _trend("ads_sales_trend_daily", "year_sales"),
+        _trend("ads_sales_trend_daily", "day_sales"),
         _stages("day_stages", "day_funnel"),
-        _stages("ads_funnel_daily", "year_funnel"),
+        _stages("ads_funnel_daily", "day_funnel"),
+        STATES,
         SUMMARIES,
         METRIC_TABLES,
     )
@@ -363,7 +409,7 @@ def _rule_arms() -> list[str]:
     arm = (
         "SELECT dt AS batch_date, '{name}' AS name, '{severity}' AS severity, "
         "CASE WHEN {ok} THEN 'passed' ELSE 'failed' END AS status, CASE WHEN {ok} THEN {good} ELSE {bad} END AS message "
-        "FROM (SELECT DISTINCT dt FROM checked) AS b LEFT JOIN ({rows}) AS r USING (dt) {where}"
+        "FROM (SELECT DISTINCT dt FROM day_records) AS b LEFT JOIN ({rows}) AS r USING (dt) {where}"
     )
     arms = []
 
@@ -372,7 +418,7 @@ def _rule_arms() -> list[str]:
 
     counted = "SELECT dt, count(*) AS n FROM {0} GROUP BY dt"
     for feed in quality.FEED_ORDER:
-        rows = counted.format(f"(SELECT dt FROM checked WHERE feed = '{feed}') AS f")
+        rows = counted.format(f"(SELECT dt FROM day_records WHERE feed = '{feed}') AS f")
         add(f"processed_{feed}_non_empty", rows, "n > 0", f"'{feed} has ' || n || ' rows'", f"'{feed} has no rows'")
     for table in METRICS:
         add(f"{table}_snapshot_non_empty", counted.format(table), "n > 0", f"'{table} has ' || n || ' rows'", f"'{table} has no rows'")
@@ -401,6 +447,10 @@ def _rule_arms() -> list[str]:
     return arms
 
 
+DAY_RECORDS = """day_records AS (
+  SELECT 'products' AS feed, since AS dt FROM product_events WHERE NOT gone
+  UNION ALL SELECT 'users', since FROM user_events WHERE NOT gone
+  UNION ALL SELECT 'carts', dt FROM day_headers)"""
 REPORT = "report AS (\n  " + "\n  UNION ALL ".join(_rule_arms()) + ")"
 
 
@@ -553,14 +603,14 @@ FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS dt, CAST(o_orderdate
         "k14_export_counts": _select(
             "\nUNION ALL ".join(f"SELECT '{table}' AS table_name, count(*) AS exported FROM {table}" for table in METRICS)
         ),
-        "d_quality_report": _select("SELECT * FROM report", CHECKED, REPORT),
+        "d_quality_report": _select("SELECT * FROM report", DAY_RECORDS, REPORT),
         "d9_quality_summary": _select(
             "SELECT batch_date, count(*) AS total_rules, count(*) FILTER (WHERE status = 'passed') AS passed, "
             "count(*) FILTER (WHERE status = 'failed') AS failed, "
             "count(*) FILTER (WHERE status = 'failed' AND severity = 'critical') AS failed_critical, "
             "CASE WHEN count(*) FILTER (WHERE status = 'failed' AND severity = 'critical') > 0 THEN 'failed' ELSE 'passed' END AS status "
             "FROM report GROUP BY batch_date",
-            CHECKED, REPORT,
+            DAY_RECORDS, REPORT,
         ),
         "q1_latest_date": _select(
             "SELECT max(date_id) AS date_id FROM ("

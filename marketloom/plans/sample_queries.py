@@ -25,10 +25,6 @@ def _day_lines(spark: SparkSession, folder: str) -> DataFrame:
     return sample.cart_detail(spark, folder, "day")
 
 
-def _year_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return sample.cart_detail(spark, folder, "year")
-
-
 def _products(spark: SparkSession, folder: str) -> DataFrame:
     return dimensions.product_dimension(sample.product_detail(spark, folder))
 
@@ -37,6 +33,14 @@ def _users(spark: SparkSession, folder: str) -> DataFrame:
     return dimensions.user_dimension(sample.user_detail(spark, folder))
 
 
+def _product_changes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return dimensions.product_dimension(sample.product_changes(spark, folder)), sample.withdrawn_products(spark, folder)
+
+
+def _user_changes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return dimensions.user_dimension(sample.user_changes(spark, folder)), sample.withdrawn_users(spark, folder)
+
+
 def _feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     configure(spark)
     return {
@@ -48,9 +52,21 @@ def _feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def _records(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The feeds for counting: one row per record, without its data."""
-    feeds = _feeds(spark, folder)
-    carts = feeds["carts"].select(details.RECORD, *details.ENVELOPE_COLUMNS).distinct()
-    return {name: df.select(*details.ENVELOPE_COLUMNS) for name, df in {**feeds, "carts": carts}.items()}
+    feeds = {
+        "products": sample.product_envelopes(spark, folder),
+        "users": sample.user_envelopes(spark, folder),
+        "carts": sample.cart_records(spark, folder, "year"),
+    }
+    return {name: df.select(*details.ENVELOPE_COLUMNS) for name, df in feeds.items()}
+
+
+def _day_records(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The daily feeds for counting: carts, and the products and users that changed."""
+    return {
+        "products": sample.product_changes(spark, folder).select("dt"),
+        "users": sample.user_changes(spark, folder).select("dt"),
+        "carts": sample.cart_records(spark, folder, "day").select("dt"),
+    }
 
 
 # ---- detail ------------------------------------------------------------------------------------
@@ -110,15 +126,17 @@ def dws_sales_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dws_product_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return summaries.product_daily(_year_lines(spark, folder), _products(spark, folder))
+    return summaries.product_daily_as_of(_day_lines(spark, folder), *_product_changes(spark, folder))
 
 
 def dws_category_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return summaries.category_daily(dws_product_daily(spark, folder), dim_category(spark, folder))
+    return summaries.category_daily_as_of(dws_product_daily(spark, folder), *_product_changes(spark, folder))
 
 
 def dws_user_profile_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return summaries.user_profile_daily(_users(spark, folder), _year_lines(spark, folder))
+    users, withdrawn = _user_changes(spark, folder)
+    dates = sample.batch_dates(spark, folder, "day")
+    return summaries.user_profile_daily_as_of(users, _day_lines(spark, folder), dates, withdrawn)
 
 
 def dws_funnel_daily(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,20 +178,23 @@ _STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def stored_metrics(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The six metric tables of the yearly batches, stored once per application and folder.
+    """The six metric tables of the daily batches, stored once per application and folder.
 
     Serving, contract and quality queries read stored tables, as they do in a batch.
     """
     key = (spark.sparkContext.applicationId, folder)
     if key not in _STORED:
-        lines = materialise(_year_lines(spark, folder), "dwd_order_cart_detail")
-        product_days = materialise(summaries.product_daily(lines, _products(spark, folder)), "dws_product_daily")
+        lines = materialise(_day_lines(spark, folder), "dwd_order_cart_detail")
+        products, gone_products = _product_changes(spark, folder)
+        users, gone_users = _user_changes(spark, folder)
+        product_days = materialise(summaries.product_daily_as_of(lines, products, gone_products), "dws_product_daily")
         category_days = materialise(
-            summaries.category_daily(product_days, dim_category(spark, folder)), "dws_category_daily"
+            summaries.category_daily_as_of(product_days, products, gone_products), "dws_category_daily"
         )
         sales = materialise(summaries.sales_daily(lines), "dws_sales_daily")
         funnel = materialise(summaries.funnel_daily(lines), "dws_funnel_daily")
-        profile = summaries.user_profile_daily(_users(spark, folder), lines)
+        dates = sample.batch_dates(spark, folder, "day")
+        profile = summaries.user_profile_daily_as_of(users, lines, dates, gone_users)
         built = {
             "ads_kpi_daily": metrics.kpi_daily(sales, funnel),
             "ads_sales_trend_daily": metrics.sales_trend_daily(sales),
@@ -212,7 +233,7 @@ def export_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.quality_rules(_records(spark, folder), stored_metrics(spark, folder))
+    return quality.quality_rules(_day_records(spark, folder), stored_metrics(spark, folder))
 
 
 def quality_summary(spark: SparkSession, folder: str) -> DataFrame:

@@ -169,6 +169,13 @@ def cart_envelopes(spark: SparkSession, folder: str, batches: str = "day", dirty
     return _enveloped(named, "carts", document, bad, "record", "parts")
 
 
+def cart_records(spark: SparkSession, folder: str, batches: str) -> DataFrame:
+    """The carts of ``cart_envelopes`` without their data, one row each: for counting, no line is read."""
+    headers = _headers(spark, folder, batches)
+    bad = {name: _every(F.col("o_orderkey"), step, rest) for name, (step, rest) in CART_FLAWS.items()}
+    return _enveloped(headers, "carts", F.lit(None).cast("string"), bad).drop("data")
+
+
 # Fixed flaws of the sample feeds: (step, rest) of the record key.
 CART_FLAWS = {
     "broken_json": (101, 0),
@@ -242,6 +249,45 @@ def product_detail(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Fixed calendar of the change feeds: all items are listed on the first day; (step, rest) of the key tells which ones change,
+# which are withdrawn and which come back; a change falls on day 1 + (key * pace) % CHANGE_DAYS after the first.
+FIRST_BATCH = "1992-01-01"
+CHANGE_DAYS = 2400
+BACK_AFTER = 90
+PRODUCT_CHANGES = {"changed": (4, 1, 37), "withdrawn": (11, 2, 53), "back": (44, 35, 53)}
+USER_CHANGES = {"changed": (5, 2, 41), "withdrawn": (17, 4, 29)}
+
+
+def _change_day(key: Column, change: tuple[int, int, int], after: int = 0) -> Column:
+    offset = 1 + (key * change[2]) % CHANGE_DAYS + after
+    return F.date_format(F.date_add(F.lit(FIRST_BATCH).cast("date"), offset.cast("int")), "yyyy-MM-dd")
+
+
+def product_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Product detail rows on the days they are first listed, changed or listed again only."""
+    key, changes = F.col("p_partkey"), PRODUCT_CHANGES
+    rows = _catalogue(spark, folder)
+    first = rows.withColumn("dt", F.lit(FIRST_BATCH))
+    changed = rows.where(_every(key, *changes["changed"][:2])).withColumns(
+        {
+            "product_name": F.concat("product_name", F.lit(" II")),
+            "category": F.concat("category", F.lit(" II")),
+            "dt": _change_day(key, changes["changed"]),
+        }
+    )
+    back = rows.where(_every(key, *changes["back"][:2])).withColumn("dt", _change_day(key, changes["back"], BACK_AFTER))
+    listed = first.unionByName(changed).unionByName(back)
+    return listed.withColumns({"source": F.lit("products"), "batch_date": F.col("dt")}).select(
+        *columns_of("dwd_product_info").names, "dt"
+    )
+
+
+def withdrawn_products(spark: SparkSession, folder: str) -> DataFrame:
+    key, change = F.col("p_partkey"), PRODUCT_CHANGES["withdrawn"]
+    parts = table(spark, folder, "part").where(_every(key, *change[:2]) & ~_every(key, 19))
+    return parts.select((key + 1).alias("product_id"), _change_day(key, change).alias("dt"))
+
+
 def product_envelopes(spark: SparkSession, folder: str, dirty: bool = True) -> DataFrame:
     listed = _republished(_catalogue(spark, folder), spark, folder)
     bad = {
@@ -310,6 +356,32 @@ def user_detail(spark: SparkSession, folder: str) -> DataFrame:
     ).select(*columns_of("dwd_user_info").names, "dt")
 
 
+def user_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """User detail rows on the days they first appear or change only."""
+    key, change = F.col("c_custkey"), USER_CHANGES["changed"]
+    rows = _people(spark, folder)
+    first = rows.withColumn("dt", F.lit(FIRST_BATCH))
+    changed = rows.where(_every(key, *change[:2])).withColumns(
+        {"age": F.col("age") + 15, "country": F.lit("ABROAD"), "dt": _change_day(key, change)}
+    )
+    people = first.unionByName(changed)
+    return people.withColumns(
+        {
+            "full_name": text.full_name(F.col("first_name"), F.col("last_name")),
+            "age_group": text.age_group(F.col("age")),
+            "source": F.lit("users"),
+            "batch_date": F.col("dt"),
+        }
+    ).select(*columns_of("dwd_user_info").names, "dt")
+
+
+def withdrawn_users(spark: SparkSession, folder: str) -> DataFrame:
+    key, change = F.col("c_custkey"), USER_CHANGES["withdrawn"]
+    return table(spark, folder, "customer").where(_every(key, *change[:2])).select(
+        (key + 1).alias("user_id"), _change_day(key, change).alias("dt")
+    )
+
+
 def user_envelopes(spark: SparkSession, folder: str, dirty: bool = True) -> DataFrame:
     return _keyed_user_envelopes(spark, folder, dirty).drop("c_custkey")
 
