@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import BLANKS, slices
+from marketloom.llm.common import BLANKS, byte_table, slices
 
 END_ID = 2
 CACHED_WORDS = 400_000
@@ -41,6 +41,7 @@ def _classes() -> np.ndarray:
 
 
 CLASSES = _classes()
+LOWERED = byte_table(b"", lower=True)
 
 
 class LowerCaseEncoder:
@@ -81,9 +82,9 @@ class LowerCaseEncoder:
         raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and at[-1] > at[0] else np.zeros(0, np.uint8)
         at = at - at[0]
         units, codes, first = self._units(raw, at)
-        found = [np.frombuffer(u, "<u4") for u in self._ids(units)]
-        sizes = np.array([len(u) for u in found], np.int64)
-        ids = np.concatenate(found) if found else np.zeros(0, "<u4")
+        found = self._ids(units)
+        sizes = np.array(list(map(len, found)), np.int64) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
         begin = np.cumsum(sizes) - sizes
         counts = sizes[codes]
         ends = np.cumsum(counts)
@@ -94,7 +95,7 @@ class LowerCaseEncoder:
     def _units(self, raw: np.ndarray, at: np.ndarray) -> tuple[list[tuple[bytes, bool]], np.ndarray, np.ndarray]:
         """(distinct units with whether they are odd, the unit of each place, the first place of each text)."""
         kinds = CLASSES[raw]
-        lowered = raw + np.where((raw >= 65) & (raw <= 90), 32, 0).astype(np.uint8)
+        lowered = LOWERED[raw]
         lead = np.flatnonzero(raw[:-1] == 0xC3)
         follow = raw[lead + 1]
         lead = lead[(follow >= 0x80) & (follow != 0x97) & (follow != 0xB7)]
@@ -120,7 +121,8 @@ class LowerCaseEncoder:
         cuts[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)
         starts |= cuts & inside & ~is_odd
         where = np.flatnonzero(starts)
-        kept = np.where(is_odd, raw, lowered)[inside]
+        np.copyto(lowered, raw, where=is_odd)
+        kept = lowered[inside]
         offsets = np.append((np.cumsum(inside) - 1)[where], len(kept)).astype(np.int64)
         buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(kept))]
         coded = pa.Array.from_buffers(pa.large_binary(), len(where), buffers).dictionary_encode()
@@ -133,23 +135,26 @@ class LowerCaseEncoder:
         if len(self.known) > CACHED_WORDS:
             self.earlier, self.known = self.known, {}
         known, earlier = self.known, self.earlier
-        runs, odd = [], []
-        for unit, is_odd in units:
-            if unit not in known:
+        found = [known.get(u) for u, _ in units]
+        plain, marked, odd = [], [], []
+        for (unit, is_odd), ids in zip(units, found, strict=True):
+            if ids is None:
                 if unit in earlier:
                     known[unit] = earlier[unit]
                 else:
-                    (odd if is_odd else runs).append(unit)
-        if runs:
-            joined = b" ".join(runs).decode("latin-1").translate(self.shown)
-            ids = np.array(self.runs.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-            cuts = (4 * np.append(0, np.flatnonzero(self.last[ids]) + 1)).tolist()
-            raw = ids.tobytes()
-            known.update(zip(runs, (raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)), strict=True))
+                    (odd if is_odd else plain if unit.isascii() else marked).append(unit)
+        for runs, shown in ((plain, None), (marked, self.shown)):
+            if runs:
+                joined = b" ".join(runs).decode("latin-1")
+                joined = joined.translate(shown) if shown else joined
+                ids = np.array(self.runs.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+                cuts = (4 * np.append(0, np.flatnonzero(self.last[ids]) + 1)).tolist()
+                raw = ids.tobytes()
+                known.update(zip(runs, (raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)), strict=True))
         if odd:
-            found = self.whole.encode_batch_fast([u.decode() for u in odd], add_special_tokens=False)
-            known.update(zip(odd, (np.array(e.ids, "<u4").tobytes() for e in found), strict=True))
-        return [known[u] for u, _ in units]
+            encoded = self.whole.encode_batch_fast([u.decode() for u in odd], add_special_tokens=False)
+            known.update(zip(odd, (np.array(e.ids, "<u4").tobytes() for e in encoded), strict=True))
+        return [known[u] if ids is None else ids for (u, _), ids in zip(units, found, strict=True)]
 
 
 _ENCODERS: dict[str, LowerCaseEncoder] = {}
