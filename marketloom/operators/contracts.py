@@ -47,18 +47,45 @@ def _value_violations(table: str, rows: DataFrame) -> DataFrame:
     return totals.select(_constraint_rows(table, [(name, F.col(f"`{name}`")) for name in counts]))
 
 
-def _key_violations(table: str, rows: DataFrame) -> DataFrame:
-    """Rows beyond the first of each primary key."""
+def _collated_key(table: str) -> list[Column]:
+    """The primary key as it compares."""
     types = {f.name: f.dataType for f in columns_of(table)}
-    keys = [
-        (F.collate(name, KEY_COLLATION) if isinstance(types[name], StringType) else F.col(name)).alias(name)
+    return [
+        (F.collate(name, KEY_COLLATION) if isinstance(types[name], StringType) else F.col(name)).alias(f"key_{name}")
         for name in SERVING[table].key
     ]
-    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _key_violations(table: str, rows: DataFrame) -> DataFrame:
+    """Rows beyond the first of each primary key."""
+    groups = rows.groupBy(*_collated_key(table)).agg(F.count(F.lit(1)).alias("copies"))
     surplus = groups.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("surplus"))
     return surplus.select(_constraint_rows(table, [("primary_key", F.col("surplus"))]))
 
 
+def merged_rows(table: str, old: DataFrame, new: DataFrame) -> DataFrame:
+    """``old`` with the rows of ``new`` put in or in the place of those whose key compares equal.
+
+    Keys compare by the collation of the serving tables; a NULL in a key equals NULL. Of several new rows with one
+    key the greatest by its columns in order counts (``duplicate_keys`` reports them). One pass: new rows rank before
+    old ones of their key, and the aggregate keeps one row a key, combined before the shuffle.
+    """
+    columns = columns_of(table).names
+    both = serving_rows(table, old).withColumn("fresh", F.lit(0)).unionByName(serving_rows(table, new).withColumn("fresh", F.lit(1)))
+    row = F.struct("fresh", *columns)
+    kept = both.select(*_collated_key(table), row.alias("row")).groupBy(*[f"key_{k}" for k in SERVING[table].key]).agg(F.max("row").alias("row"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in columns])
+
+
+def duplicate_keys(table: str, new: DataFrame) -> DataFrame:
+    """Keys that several rows of ``new`` share (as they compare): the key's first spelling and the number of rows."""
+    names = SERVING[table].key
+    groups = serving_rows(table, new).select(*_collated_key(table), *names).groupBy(*[f"key_{k}" for k in names]).agg(
+        F.min(F.struct(*names)).alias("key"), F.count(F.lit(1)).alias("copies")
+    )
+    return groups.where(F.col("copies") > 1).select(*[F.col("key")[k].alias(k) for k in names], "copies")
+
+
 def contract_violations(tables: dict[str, DataFrame]) -> DataFrame:
     checks = []
     for table, rows in tables.items():

@@ -18,6 +18,7 @@ from marketloom.functions import display
 from marketloom.functions.numbers import zero_if_null
 from marketloom.functions.text import labelled_value
 from marketloom.schemas import METRICS, columns_of
+from marketloom.session import broadcast_if_small
 
 DATE_FORMAT = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")
 SHARE_SLICES = 6
@@ -120,10 +121,10 @@ def overview(tables: dict[str, DataFrame], date_id: str | None = None) -> DataFr
     """
     if date_id is not None:
         resolve_date(tables, date_id)
-    parts = []
+    parts, latest = [], None if date_id else latest_date(tables).scalar()
     for section, (table, keys) in SECTIONS.items():
         if date_id is None:
-            rows = tables[table].join(latest_date(tables), "date_id", "left_semi")
+            rows = tables[table].where(F.col("date_id") == latest)
         else:
             rows = _section_of(tables, section, date_id)
         position = Window.partitionBy("date_id").orderBy(*(_ordering(keys) or [F.col("date_id")]))
@@ -132,6 +133,37 @@ def overview(tables: dict[str, DataFrame], date_id: str | None = None) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
+FOUND, NOT_FOUND, BAD_DATE = "found", "not_found", "bad_date"
+
+
+def answer_states(tables: dict[str, DataFrame], asked: DataFrame) -> DataFrame:
+    """(date_id, section, status, items) of every section of every date of ``asked`` (``date_id``), each date once.
+
+    What a query of that date would be told: the number of items found, that there is no data, or that the text is no
+    date; the whole ``overview`` is found when every section is. Tables are filtered by the asked dates before they are
+    counted, which prunes folders and files at run time. NULL asks for the latest date with data.
+    """
+    latest = latest_date(tables).scalar()
+    wanted = asked.select(F.coalesce("date_id", latest).alias("date_id")).where("date_id IS NOT NULL").distinct()
+    names = F.array(*[F.lit(name) for name in SECTIONS])
+    pairs = wanted.select("date_id", F.explode(names).alias("section"))
+    small = broadcast_if_small(wanted)
+    counts = [
+        tables[table].select("date_id").join(small, "date_id", "left_semi").groupBy("date_id").agg(F.count(F.lit(1)).alias("items"))
+        .select("date_id", F.lit(name).alias("section"), "items")
+        for name, (table, _) in SECTIONS.items()
+    ]
+    found = pairs.join(reduce(DataFrame.unionByName, counts), ["date_id", "section"], "left")
+    well_formed = F.col("date_id").rlike(f"^{DATE_FORMAT.pattern}$")
+    status = F.when(~well_formed, F.lit(BAD_DATE)).when(F.col("items") > 0, F.lit(FOUND)).otherwise(F.lit(NOT_FOUND))
+    rows = found.select("date_id", "section", status.alias("status"), F.coalesce("items", F.lit(0)).alias("items"))
+    whole = rows.groupBy("date_id").agg(
+        F.min("status").alias("least"), F.max("status").alias("most"), F.sum("items").alias("items")
+    )
+    all_found = F.when(F.col("most") == F.col("least"), F.col("most")).otherwise(F.lit(NOT_FOUND))
+    return rows.unionByName(whole.select("date_id", F.lit("overview").alias("section"), all_found.alias("status"), "items"))
+
+
 def share_slices(shares: DataFrame, limit: int = SHARE_SLICES) -> DataFrame:
     """The largest categories of each date and one bucket for the rest, if there is a rest.
 

@@ -19,9 +19,11 @@ from marketloom.session import broadcast_if_small, configure
 from marketloom.sinks import serving, snapshots
 from marketloom.sinks.tables import read_table, replace_partition, replace_partitions
 from marketloom.sources.envelopes import checked_date, read_batch, read_feed, require_landed_contract
+from marketloom.sources.isolated import readable_or_empty
 
 AUDIT = "feed STRING, dt STRING, read BIGINT, written BIGINT, invalid BIGINT"
 EXPORTS = "table_name STRING, exported BIGINT"
+FAILURES = "input STRING, reason STRING"
 
 
 def batch_dates(spark: SparkSession, *dates: str) -> DataFrame:
@@ -153,30 +155,37 @@ def export_snapshots(tables: dict[str, DataFrame], root: str, batch_date: str) -
     return spark.createDataFrame(counts, EXPORTS)
 
 
-def _or_empty(spark: SparkSession, schema: StructType, read: Callable[[], DataFrame]) -> DataFrame:
-    try:
-        return read()
-    except BatchError:
-        return spark.createDataFrame([], schema)
-
-
 def check_quality(spark: SparkSession, root: str, batch_date: str) -> DataFrame:
     """Evaluate the rules on the landed feeds and the snapshots; stores and gives the rule rows.
 
-    An input that is missing or cannot be read counts as empty: its rule fails and the others are evaluated.
+    An input that is missing, broken, or fails while it is read (a damaged or lost file) counts as empty: its rule fails,
+    the reason is stored beside the report, and the others are evaluated. Each input is read once for that, so that
+    no failure can reach the job of the rules.
     """
-    feeds = {s: _or_empty(spark, envelope_schema(), lambda s=s: read_batch(spark, root, s, batch_date)) for s in FEEDS}
-    exported = {
-        t: _or_empty(spark, table_schema(t), lambda t=t: snapshots.read_snapshot(spark, root, batch_date, t)) for t in METRICS
+    inputs: dict[str, tuple[Callable[[], DataFrame], StructType]] = {
+        s: (lambda s=s: read_batch(spark, root, s, batch_date), envelope_schema()) for s in FEEDS
     }
+    inputs |= {t: (lambda t=t: snapshots.read_snapshot(spark, root, batch_date, t), table_schema(t)) for t in METRICS}
+    read, failures = {}, []
+    for name, (reader, schema) in inputs.items():
+        read[name], reason = readable_or_empty(spark, reader, lambda schema=schema: spark.createDataFrame([], schema))
+        if reason is not None:
+            failures.append((name, reason))
+    feeds, exported = ({n: read[n] for n in names} for names in (FEEDS, METRICS))
     rules = quality.quality_rules(feeds, exported, batch_dates(spark, batch_date))
     path = f"{root}/quality/{batch_date}"
+    spark.createDataFrame(failures, FAILURES).coalesce(1).write.mode("overwrite").json(f"{path}/unreadable")
     rules.write.mode("overwrite").json(f"{path}/rules")
     stored = spark.read.schema(rules.schema).json(f"{path}/rules")
     quality.quality_report(stored).coalesce(1).write.mode("overwrite").json(f"{path}/report")
     return stored
 
 
+def unreadable_inputs(spark: SparkSession, root: str, batch_date: str) -> DataFrame:
+    """The inputs that the last quality check of a batch could not read, and why."""
+    return spark.read.schema(FAILURES).json(f"{root}/quality/{batch_date}/unreadable")
+
+
 def run_batch(spark: SparkSession, root: str, batch_date: str) -> dict[str, DataFrame]:
     """All stages of a landed batch in order; the first failing stage ends it."""
     configure(spark)

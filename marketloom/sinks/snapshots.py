@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, StringType, StructField, StructType
 
 from marketloom.errors import BatchError
+from marketloom.operators.numbering import numbered
 from marketloom.schemas import METRICS, table_schema
+from marketloom.sources.isolated import failure_of
 
 BROKEN_LINE = "broken_line"
 
@@ -37,6 +41,12 @@ def snapshot_lines(rows: DataFrame) -> DataFrame:
     return rows.select("dt", canonical_json(rows).alias("line"))
 
 
+def numbered_lines(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, line_no, line): the lines of all snapshots with their place in their file, from 1."""
+    lines = [snapshot_lines(rows).select(F.lit(name).alias("table_name"), "line") for name, rows in tables.items()]
+    return numbered(reduce(DataFrame.unionByName, lines), "table_name", "line")
+
+
 def snapshot_path(root: str, batch_date: str, table: str) -> str:
     return f"{root}/snapshots/{batch_date}/{table}"
 
@@ -62,6 +72,9 @@ def read_snapshot(spark: SparkSession, root: str, batch_date: str, table: str) -
         lines = spark.read.schema(StructType([*schema.fields, StructField(BROKEN_LINE, StringType())])).option("columnNameOfCorruptRecord", BROKEN_LINE).json(path)
     except AnalysisException as error:
         raise BatchError(f"no snapshot of {table} for {batch_date}") from error
+    reason = failure_of(lines)
+    if reason is not None:
+        raise BatchError(f"the snapshot of {table} for {batch_date} is unreadable: {reason}")
     if lines.where(F.col(BROKEN_LINE).isNotNull()).head(1):
         raise BatchError(f"the snapshot of {table} for {batch_date} has unreadable lines")
     return lines.drop(BROKEN_LINE)

@@ -1,18 +1,23 @@
-"""Layer tables: Parquet under ``<root>/<layer>/<table>/dt=<batch>``."""
+"""Layer tables: Parquet under ``<root>/<layer>/<table>``, one folder per version and batch (see ``versions``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marketloom.schemas import LAYER_OF, columns_of, table_schema
+from marketloom.sinks import versions
 
 
 def table_path(root: str, table: str) -> str:
     return f"{root}/{LAYER_OF[table]}/{table}"
 
 
+def manifest_path(root: str, table: str) -> str:
+    return f"{table_path(root, table)}/_manifest"
+
+
 def align_to_schema(rows: DataFrame, target: StructType) -> DataFrame:
     """Target columns in target order, missing ones NULL, unknown ones last."""
     known = [
@@ -22,45 +27,53 @@ def align_to_schema(rows: DataFrame, target: StructType) -> DataFrame:
     return rows.select(*known, *[name for name in rows.columns if name not in target.names])
 
 
-def read_table(spark: SparkSession, root: str, table: str, batch_date: str | None = None) -> DataFrame:
-    """A layer table, pruned to one batch folder when a date is given.
+def read_table(
+    spark: SparkSession, root: str, table: str, batch_date: str | None = None, as_of: str | None = None
+) -> DataFrame:
+    """A layer table, or one batch of it, whose folder is then read alone; ``as_of`` a version, as it was then.
 
     The fixed schema keeps ``dt`` a string and reads files written before a column existed as NULL.
     """
-    rows = spark.read.schema(table_schema(table)).parquet(table_path(root, table))
-    return rows if batch_date is None else rows.where(F.col("dt") == batch_date)
+    versions.require_log(spark, manifest_path(root, table), table)
+    return versions.read_visible(
+        spark, manifest_path(root, table), table_path(root, table), table, table_schema(table), "dt", batch_date, as_of
+    )
 
 
-def replace_partition(rows: DataFrame, root: str, table: str, batch_date: str) -> None:
-    """Make ``rows`` the only content of one batch of a table, also when there are none."""
+def replace_partition(rows: DataFrame, root: str, table: str, batch_date: str) -> str:
+    """Make ``rows`` the only content of one batch of a table, also when there are none; gives the version."""
+    spark, version = rows.sparkSession, versions.new_version()
     aligned = align_to_schema(rows.drop("dt"), columns_of(table)).select(*columns_of(table).names)
-    aligned.write.mode("overwrite").parquet(f"{table_path(root, table)}/dt={batch_date}")
+    aligned.write.parquet(f"{versions.version_path(table_path(root, table), version)}/dt={batch_date}")
+    entry = spark.range(1).select(F.lit(table).alias("name"), F.lit(batch_date).alias("key"))
+    versions.commit(manifest_path(root, table), entry, version)
+    return version
 
 
-def replace_partitions(rows: DataFrame, root: str, table: str, dates: DataFrame | None = None) -> None:
-    """Replace every batch that occurs in ``rows``; of the requested ``dates`` also those that do not.
+def write_partitions(rows: DataFrame, root: str, table: str) -> tuple[str, DataFrame]:
+    """Write ``rows`` as a new version that nobody sees yet; gives the version and the batches it has (``dt``).
 
     The rebalance hint gathers each batch into files of the advised size: small batches are not
-    scattered over tasks and a large one is split over several. A dynamic overwrite leaves batches
-    without new rows alone, so requested ones that still hold old rows are emptied afterwards. Only
-    dates are noted on the driver, as many as the calendar has in the requested span.
+    scattered over tasks and a large one is split over several. The batches are read from the written folders.
     """
-    schema = table_schema(table)
-    seen = Observation(f"{table}_batches")
-    noted = rows.observe(seen, F.collect_set("dt").alias("dates"))
-    (
-        align_to_schema(noted, schema)
-        .select(*schema.names)
-        .hint("rebalance", "dt")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(table_path(root, table))
-    )
-    if dates is None:
-        return
-    filled = dates.sparkSession.createDataFrame([(d,) for d in seen.get["dates"]], "dt STRING")
-    unfilled = dates.select("dt").join(filled, "dt", "left_anti")
-    stale = read_table(rows.sparkSession, root, table).select("dt").join(unfilled, "dt", "left_semi").distinct()
-    for row in stale.collect():
-        replace_partition(rows.limit(0), root, table, row.dt)
+    schema, version = table_schema(table), versions.new_version()
+    path = versions.version_path(table_path(root, table), version)
+    align_to_schema(rows, schema).select(*schema.names).hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+    return version, rows.sparkSession.read.schema(schema).parquet(path).select("dt").distinct()
+
+
+def commit_partitions(root: str, table: str, version: str, written: DataFrame, dates: DataFrame | None = None) -> None:
+    """Show the version for all batches it has and, emptied, for all others of the requested ``dates``."""
+    keys = written if dates is None else written.unionByName(dates.select("dt"))
+    versions.commit(manifest_path(root, table), keys.where("dt IS NOT NULL").select(F.lit(table).alias("name"), F.col("dt").alias("key")), version)
+
+
+def replace_partitions(rows: DataFrame, root: str, table: str, dates: DataFrame | None = None) -> str:
+    """Replace every batch that occurs in ``rows`` and of the requested ``dates`` also those that do not, at once.
+
+    One job writes, whatever the number of batches, and one line each in the manifest shows them; a reader sees all
+    of the old batches or all of the new ones. Batches without new rows cost nothing but their line.
+    """
+    version, written = write_partitions(rows, root, table)
+    commit_partitions(root, table, version, written, dates)
+    return version

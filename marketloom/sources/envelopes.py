@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.errors import BatchError
 from marketloom.functions import json_values as J
 from marketloom.schemas import ENVELOPE, FEEDS, envelope_schema
+from marketloom.sinks import versions
 
 CONTRACT_FIELDS = ("entity", "source", "batch_date", "data")
 
@@ -29,8 +31,25 @@ def feed_path(root: str, source: str) -> str:
     return f"{root}/ods/{source}"
 
 
+def landing_log(root: str) -> str:
+    return f"{root}/ods/_landed"
+
+
+def batch_folder(spark: SparkSession, root: str, source: str, batch_date: str, base: str | None = None) -> str:
+    """Where the landed batch lies that readers see; ``dt=`` folders without a log are read as they are."""
+    base = base or feed_path(root, source)
+    if not versions.exists(spark, landing_log(root)):
+        return f"{base}/dt={batch_date}"
+    version = versions.version_of(spark, landing_log(root), source, batch_date)
+    if version is None:
+        raise BatchError(f"{source} of {batch_date} has not landed")
+    return f"{versions.version_path(base, version)}/dt={batch_date}"
+
+
 def read_feed(spark: SparkSession, root: str, source: str) -> DataFrame:
     """All landed batches of a source; ``dt`` comes from the folder names and stays a string."""
+    if versions.exists(spark, landing_log(root)):
+        return versions.read_visible(spark, landing_log(root), feed_path(root, source), source, envelope_schema(), "dt", form="json")
     return spark.read.schema(envelope_schema()).option("basePath", feed_path(root, source)).json(feed_path(root, source))
 
 
@@ -38,8 +57,8 @@ def read_batch(spark: SparkSession, root: str, source: str, batch_date: str) ->
     """Envelopes of one batch; those that name another date belong elsewhere and are left out."""
     checked_date(batch_date)
     try:
-        landed = spark.read.schema(ENVELOPE).json(f"{feed_path(root, source)}/dt={batch_date}")
-    except Exception as error:
+        landed = spark.read.schema(ENVELOPE).json(batch_folder(spark, root, source, batch_date))
+    except AnalysisException as error:
         raise BatchError(f"cannot read {source} of {batch_date}: {error}") from error
     return landed.where(F.col("batch_date") == batch_date).withColumn("dt", F.lit(batch_date))
 
@@ -77,7 +96,7 @@ def contract_violations(lines: DataFrame, source: str, batch_date: Column) -> Da
 def require_landed_contract(spark: SparkSession, root: str, source: str, batch_date: str) -> None:
     """Raise if the landed text of a batch is empty or breaks the contract."""
     checked_date(batch_date)
-    lines = spark.read.text(f"{feed_path(root, source)}/dt={batch_date}")
+    lines = spark.read.text(batch_folder(spark, root, source, batch_date))
     if lines.isEmpty():
         raise BatchError(f"landed {source} of {batch_date} is empty")
     broken = contract_violations(lines, source, F.lit(batch_date)).collect()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import json_values as J
 from marketloom.schemas import FEEDS
+from marketloom.sources.envelopes import batch_folder
 
 # Items are read as their JSON text.
 PAYLOAD_FIELDS = ", ".join(f"{name} ARRAY<STRING>" for name in FEEDS)
@@ -22,12 +23,12 @@ def read_payloads(spark: SparkSession, folder: str, source: str, batch_date: str
 
 def read_raw(spark: SparkSession, root: str, source: str, batch_date: str) -> DataFrame:
     """The pages of a landed batch as they came, to land them again."""
-    pages = spark.read.schema("payload STRING").json(raw_path(root, source, batch_date))
+    pages = spark.read.schema("payload STRING").json(batch_folder(spark, root, source, batch_date, raw_path(root, source)))
     return pages.select(F.lit(source).alias("source"), F.lit(batch_date).alias("batch_date"), "payload")
 
 
-def raw_path(root: str, source: str, batch_date: str) -> str:
-    return f"{root}/raw/{source}/dt={batch_date}"
+def raw_path(root: str, source: str) -> str:
+    return f"{root}/raw/{source}"
 
 
 def _read_pages(payloads: DataFrame) -> DataFrame:

@@ -239,3 +239,82 @@ def test_quality_goes_on_without_a_readable_input(spark, done, tmp_path):
     assert rules["ads_kpi_daily_snapshot_non_empty"] == "failed" and rules["ads_funnel_daily_snapshot_non_empty"] == "passed"
     with pytest.raises(BatchError, match="unreadable"):
         snapshots.read_snapshots(spark, other, DAY)
+    assert {r.input for r in batch.unreadable_inputs(spark, other, DAY).collect()} == {"ads_kpi_daily"}
+
+
+@pytest.mark.parametrize("with_sums", [True, False])
+def test_a_damaged_file_fails_only_its_own_rule(spark, done, tmp_path, with_sums):
+    """A changed file under its checksum fails when it is read; without one its line is broken."""
+    root, feed, _ = done
+    other = str(tmp_path / "root")
+    landing.land_payloads(pages(spark, feed), other, DAY)
+    batch.run_batch(spark, other, DAY)
+    landed = next(Path(f"{other}/ods/users").glob(f"version=*/dt={DAY}/part-*.json"))
+    metric = next(Path(f"{other}/snapshots/{DAY}/ads_funnel_daily").glob("part-*"))
+    for file in (landed, metric):
+        file.write_bytes(file.read_bytes().replace(b"user", b"\xff\xfe{") + b"{cut")
+        sums = file.with_name(f".{file.name}.crc")
+        if not with_sums:
+            sums.unlink()
+    rules = {r.name: r.status for r in batch.check_quality(spark, other, DAY).collect()}
+    failed = {n for n, s in rules.items() if s == "failed"}
+    wanted = {"ads_funnel_daily_snapshot_non_empty"} | ({"processed_users_non_empty"} if with_sums else set())
+    assert wanted <= failed and not failed & {"processed_products_non_empty", "ads_kpi_daily_snapshot_non_empty"}
+    names = {r.input for r in batch.unreadable_inputs(spark, other, DAY).collect()}
+    assert names == {"ads_funnel_daily"} | ({"users"} if with_sums else set())
+
+
+def test_unreadable_files_are_found_by_halves(spark, tmp_path):
+    from marketloom.sources.isolated import seen_and_listed, unreadable_files
+
+    spark.range(80).repartition(8).write.json(str(tmp_path / "x"))
+    files = sorted(str(f) for f in (tmp_path / "x").glob("part-*"))
+    assert unreadable_files(spark, files, lambda fs: spark.read.schema("id BIGINT").json(fs)) == []
+    for file in (files[2], files[6]):
+        Path(file).write_text("{damaged", encoding="utf-8")
+    assert unreadable_files(spark, files, lambda fs: spark.read.schema("id BIGINT").json(fs)) == [files[2], files[6]]
+    seen, listed = seen_and_listed(spark.read.schema("id BIGINT").json([f for f in files if f not in (files[2], files[6])]))
+    assert seen == listed == 6
+
+
+def test_landing_is_seen_as_a_whole(spark, tmp_path, monkeypatch):
+    """A run that ends before its last source shows none of its batches, and the one before stays."""
+    from marketloom.sinks import versions
+
+    root = str(tmp_path / "root")
+    write_payloads(tmp_path / "feed", PRODUCTS, USERS, CARTS)
+    landing.land_payloads(pages(spark, tmp_path / "feed"), root, DAY)
+    write_payloads(tmp_path / "feed", PRODUCTS[:1], USERS[:1], CARTS[:1])
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            landing.land_payloads(pages(spark, tmp_path / "feed"), root, DAY)
+    assert [read_batch(spark, root, s, DAY).count() for s in ("products", "users", "carts")] == [3, 3, 3]
+    assert payloads.read_raw(spark, root, "carts", DAY).count() == 1
+    landing.land_payloads(pages(spark, tmp_path / "feed"), root, DAY)
+    assert [read_batch(spark, root, s, DAY).count() for s in ("products", "users", "carts")] == [1, 1, 1]
+    with pytest.raises(BatchError, match="has not landed"):
+        read_batch(spark, root, "users", "2026-07-09")
+
+
+def test_versions_can_be_read_until_they_are_removed(spark, tmp_path):
+    root = str(tmp_path)
+    two = spark.createDataFrame([("a", "A", 1, "d1"), ("b", "B", 2, "d2")], "category_id STRING, category_name STRING, product_count BIGINT, dt STRING")
+    first = tables.replace_partitions(two, root, "dim_category")
+    second = tables.replace_partitions(two.where("dt = 'd1'").withColumn("product_count", F.lit(5).cast("bigint")), root, "dim_category", spark.createDataFrame([("d2",)], "dt STRING"))
+    third = tables.replace_partition(two.where("dt = 'd2'"), root, "dim_category", "d2")
+    read = lambda as_of=None: rows(tables.read_table(spark, root, "dim_category", None, as_of), "category_id", "product_count")
+    assert read(first) == [("a", 1), ("b", 2)] and read(second) == [("a", 5)] and read(third) == read() == [("a", 5), ("b", 2)]
+    from marketloom.sinks import versions
+
+    base, log = tables.table_path(root, "dim_category"), tables.manifest_path(root, "dim_category")
+    stray = Path(versions.version_path(base, "20000101T000000000000-dead")) / "dt=d9"
+    stray.mkdir(parents=True)
+    running = tables.read_table(spark, root, "dim_category")
+    assert versions.vacuum(spark, log, {"dim_category": base}, "dt", second) == 3  # both first batches and the stray one
+    assert read(second) == [("a", 5)] and read() == [("a", 5), ("b", 2)] and running.count() == 2
+    assert versions.vacuum(spark, log, {"dim_category": base}, "dt", second) == 0
+    assert len(list(Path(log).glob("part-*"))) == 4
+    assert versions.vacuum(spark, log, {"dim_category": base}, "dt", versions.new_version()) == 1  # d1 is what second left; d2 is third's
+    assert len(list(Path(log).glob("part-*"))) == 1 and read() == [("a", 5), ("b", 2)]
+
