@@ -134,7 +134,7 @@ def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def edge_table(words: DataFrame) -> DataFrame:
-    """node and its children (label, whether the child is a word, the first letters that lead on from it).
+    """One row an edge: node, its depth, label, whether the child is a word, the first letters that lead on from the child.
 
     The words are sorted into ranges; a task builds the edges of its ranges from neighbouring words alone. A node has at most
     one child a letter.
@@ -147,9 +147,8 @@ def edge_table(words: DataFrame) -> DataFrame:
     edges = sorted_words.select("part", "word", "before", "after").mapInArrow(_built, EDGES)
     edges = store(edges.groupBy("node", "label").agg(F.max("terminal").alias("terminal")), "edges")
     letters = edges.groupBy("node").agg(F.array_join(F.collect_set(F.left("label", F.lit(1))), "").alias("next"))
-    children = edges.withColumn("child", F.concat("node", "label")).join(letters.withColumnRenamed("node", "child"), "child", "left")
-    child = F.struct("label", "terminal", F.coalesce("next", F.lit("")).alias("next"))
-    return store(children.groupBy("node").agg(F.collect_list(child).alias("children")), "nodes")
+    child = edges.withColumn("child", F.concat("node", "label")).join(letters.withColumnRenamed("node", "child"), "child", "left")
+    return store(child.select("node", F.length("node").alias("depth"), "label", "terminal", F.coalesce("next", F.lit("")).alias("next")), "nodes")
 
 
 def _half(word: Column) -> Column:
@@ -161,34 +160,29 @@ def _rest(word: Column, start: Column) -> Column:
     return F.substring(word, start + 1, F.length(word))
 
 
-def _step(states: DataFrame, nodes: DataFrame) -> DataFrame:
+def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
     """The states one edge further. Those with ``found`` have ended at another word, with one edit."""
-    word, position = F.col("word"), F.col("position")
-    rest, size = _rest(word, position), F.length(word)
-
-    def moved(child: Column, edits: int, eaten: Column) -> Column:
-        end = position + eaten
-        found = F.when((F.lit(edits) == 1) & (end == size) & child.terminal, F.concat("node", child.label))
-        onward = child.next.contains(F.substring(word, end + 1, F.lit(1))) & (end < size) if edits else child.next != ""
-        lives = found.isNotNull() | onward
-        return F.when(lives, F.struct(end.alias("position"), F.concat("node", child.label).alias("node"), F.lit(edits).alias("edits"), found.alias("found")))
-
-    def ways(child: Column) -> Column:
-        length, tail = F.length(child.label), F.substring(child.label, F.lit(2), F.length(child.label))
-        head, own = F.left(child.label, F.lit(1)), F.left(rest, F.lit(1))
-        straight = rest.startswith(child.label)
-        may_edit = (F.col("edits") == 0) & (position >= _half(word)) & (head != own)
-        replaced = may_edit & (own != "") & (head > own) & _rest(rest, F.lit(1)).startswith(tail)
-        inserted = may_edit & rest.startswith(tail)
-        return F.array(
-            F.when(straight & (F.col("edits") == 0), moved(child, 0, length)),
-            F.when(straight & (F.col("edits") == 1), moved(child, 1, length)),
-            F.when(replaced, moved(child, 1, length)),
-            F.when(inserted, moved(child, 1, length - 1)),
-        )
-
-    reached = F.filter(F.flatten(F.transform("children", ways)), lambda way: way.isNotNull())
-    return states.filter("found IS NULL").drop("found").join(nodes, "node").select("word", F.inline(reached))
+    pairs = states.filter("found IS NULL").drop("found").join(edges, "node")
+    rest = _rest(F.col("word"), F.col("position"))
+    pairs = pairs.withColumns({"rest": rest, "own": F.left(rest, F.lit(1)), "head": F.left("label", F.lit(1)), "size": F.length("label")})
+    unedited, same = F.col("edits") == 0, F.col("own") == F.col("head")
+    may_edit = unedited & (F.col("position") >= _half(F.col("word"))) & ~same
+    pairs = pairs.filter(same | may_edit)
+    tail = _rest(F.col("label"), F.lit(1))
+    replaced = may_edit & (F.col("own") != "") & (F.col("head") > F.col("own")) & _rest(F.col("rest"), F.lit(1)).startswith(tail)
+    ways = F.array(
+        F.struct((same & F.col("rest").startswith(F.col("label"))).alias("goes"), F.col("size").alias("eaten"), F.col("edits").alias("spent")),
+        F.struct(replaced.alias("goes"), F.col("size").alias("eaten"), F.lit(1).alias("spent")),
+        F.struct((may_edit & F.col("rest").startswith(tail)).alias("goes"), (F.col("size") - 1).alias("eaten"), F.lit(1).alias("spent")),
+    )
+    moved = pairs.select("word", "position", "node", "label", "terminal", "next", F.inline(ways)).filter("goes")
+    end, child = F.col("position") + F.col("eaten"), F.concat("node", "label")
+    at_end = end == F.length("word")
+    found = F.when((F.col("spent") == 1) & at_end & F.col("terminal"), child)
+    onward = F.when(F.col("spent") == 0, F.col("next") != "").otherwise(~at_end & F.col("next").contains(F.substring("word", end + 1, F.lit(1))))
+    return moved.select("word", end.alias("position"), child.alias("node"), F.col("spent").alias("edits"), found.alias("found"), onward.alias("onward")).filter(
+        "found IS NOT NULL OR onward"
+    ).drop("onward")
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -206,7 +200,8 @@ def near_words(words: DataFrame) -> DataFrame:
     states = signed.select("word", start.alias("position"), F.left("word", start).alias("node"), F.lit(0).alias("edits"), F.lit(None).cast("string").alias("found"))
     levels: list[DataFrame] = []
     while True:
-        states = store(_step(states, nodes), f"level_{len(levels)}")
+        deeper = nodes.filter(F.col("depth") >= FIRST_DEPTH + len(levels))  # every round goes a letter deeper at least
+        states = store(_step(states, deeper), f"level_{len(levels)}")
         levels.append(states.filter("found IS NOT NULL").select("word", "found"))
         if states.filter("found IS NULL").isEmpty():
             break
