@@ -31,8 +31,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def _keys() -> list[Column]:
-    text = F.coalesce("text", F.lit(""))
-    return [F.coalesce("doc_id", F.lit(-(2**63))).cast("long").alias("k1"), F.xxhash64(text).alias("k2")]
+    """Halves of the text's sha256: k2 is the first, and k1 the id, or the second half where there is no id."""
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    first, second = (F.conv(F.substring(digest, at, 16), 16, -10).cast("long") for at in (1, 17))
+    return [F.coalesce(F.col("doc_id").cast("long"), second).alias("k1"), first.alias("k2")]
+
+
+def text_name(text: str = "text") -> Column:
+    """16 bytes that name a text, whoever has it."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
 def keyed(docs: DataFrame) -> DataFrame:

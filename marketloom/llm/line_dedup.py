@@ -27,7 +27,6 @@ PAIRS_AT_ONCE = 1 << 18
 COMPARED_AT_ONCE = 4096
 GROUP_ROWS = 4096
 BROADCAST_IDS = 1_000_000
-SEEDS = 8
 # An odd multiplier for rolling hashes, and its inverse modulo 2**64.
 BASE = 0xD6E8FEB86659FD93
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -248,21 +247,29 @@ def linked_lines(rows: DataFrame, errors: int) -> DataFrame:
     return dealt.mapInArrow(compared, "a long, b long")
 
 
-def _split(docs: DataFrame, seed: int) -> DataFrame:
-    """(k1, k2, no, line, id) of every line that is not blank."""
+def _split(docs: DataFrame, hash_bits: int) -> DataFrame:
+    """(k1, k2, no, line, id) of every line that is not blank; ids are hashes, not negative."""
     lines = docs.select("doc_id", "k1", "k2", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
     lines = lines.filter(~F.col("line").rlike(f"^{BLANK_CLASS}*$"))
-    return lines.withColumn("id", F.xxhash64("line", F.lit(seed)))
+    return lines.withColumn("id", F.shiftrightunsigned(F.xxhash64("line"), 64 - hash_bits))
 
 
-def _identified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The lines of ``docs``, and the distinct lines, under ids that no two lines share."""
-    for seed in range(SEEDS):
-        lines = _split(docs, seed)
-        distinct = store(lines.select("id", "line").distinct(), "lines")
-        if distinct.groupBy("id").count().filter("count > 1").isEmpty():
-            return lines, distinct
-    raise ValueError("no seed gives every line a hash of its own")
+def _identified(docs: DataFrame, hash_bits: int = 63) -> tuple[DataFrame, DataFrame]:
+    """The lines of ``docs``, and the distinct lines, under ids that no two lines share.
+
+    Lines that share a hash with another line are numbered, below zero, and find their number by their content.
+    """
+    lines = _split(docs, hash_bits)
+    distinct = store(lines.select("id", "line").distinct(), "lines")
+    clashes = distinct.groupBy("id").count().filter("count > 1").select("id")
+    if clashes.isEmpty():
+        return lines, distinct
+    named = store(distinct.join(clashes, "id", "left_semi").withColumn("own", -1 - F.monotonically_increasing_id()), "clash_names")
+
+    def renamed(rows: DataFrame) -> DataFrame:
+        return rows.join(named, ["id", "line"], "left").withColumn("id", F.coalesce("own", "id")).drop("own")
+
+    return renamed(lines), store(renamed(distinct), "named_lines")
 
 
 def repeated_lines(docs: DataFrame, errors: int = ERRORS, min_chars: int = MIN_CHARS) -> DataFrame:

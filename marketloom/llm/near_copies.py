@@ -1,8 +1,9 @@
 """Near copies by the Jaccard similarity of their shingles.
 
 Minima of hashed shingles, some to a band, name the groups in which texts meet. Texts that meet and are not linked
-yet are compared by their whole sets of shingles: first every text with the smallest of its group, then every
-pair that is still apart, so that a large group of near copies costs about its size.
+yet are compared by their whole sets of shingles: first every text with the best connected of its group, then all
+that are still apart, inside the tasks. Only links that join something leave a task, so a large group of
+near copies gives about as many rows as it has texts.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 24, 5
 SEED = 42
 CHUNK = 1024
+SHARE_BYTES = 16 << 20
 LOWER = byte_table(BLANKS, lower=True)
 FACTORS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) << np.uint64(20)) | np.uint64(1)
 
@@ -60,54 +62,55 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
 
 
 def meetings(docs: DataFrame) -> DataFrame:
-    """(key, node) of each band in which different texts of ``keyed`` documents meet; a node is a text's k2."""
+    """(key, node) of each band in which different texts meet; ``docs`` has the texts and their names, ``node``."""
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in slices(batch.column("text")):
                 part = batch.slice(i, j - i)
                 keys = [band_keys(s) for s in shingle_sets(part.column("text"))]
-                node = np.repeat(np.asarray(part.column("k2")), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(node)], names=["key", "node"])
+                node = part.column("node").take(pa.array(np.repeat(np.arange(j - i), BANDS)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), node], names=["key", "node"])
 
-    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in runs(batches, ["key"]):
-            key, node = (rows.column(c).to_numpy() for c in ("key", "node"))
-            first = group_bounds(key, node)[:-1]
-            key, node = key[first], node[first]
-            sizes = np.diff(group_bounds(key))
-            met = np.repeat(sizes > 1, sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(key[met]), pa.array(node[met])], names=["key", "node"])
+    rows = store(docs.select("node", "text").mapInArrow(banded, "key long, node binary"), "bands")
+    several = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
+    return rows.join(several.select("key"), "key", "left_semi").distinct()
 
-    rows = docs.select("k2", "text").mapInArrow(banded, "key long, node long")
-    return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(several, "key long, node long")
 
+def with_degrees(met: DataFrame) -> DataFrame:
+    """(key, node, degree): in how large bands a text meets others. The text that many were copied from has most."""
+    met = store(met, "met")
+    sizes = met.groupBy("key").agg(F.count("*").alias("size"))
+    degrees = met.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("degree"))
+    return met.join(degrees, "node").select("key", "node", "degree")
 
-def apart(rows: DataFrame, star: bool) -> DataFrame:
-    """(a, b): texts that meet under different roots; with ``star`` only those with the smallest of a group."""
 
-    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["key"]):
-            key, node, root = (group.column(c).to_numpy() for c in ("key", "node", "root"))
-            bounds = group_bounds(key)
-            for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                for at in range(i, i + 1 if star else j - 1):
-                    other = node[at + 1 : j][root[at + 1 : j] != root[at]]
-                    if len(other):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(other), node[at])), pa.array(other)], names=["a", "b"])
-
-    return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(paired, "a long, b long").distinct()
-
-
-def confirmed(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Those of the pairs whose shingles have at least this Jaccard similarity."""
+def shingles_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shingles) of some texts, once each; shingles are sorted 64-bit hashes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in slices(batch.column("text")):
                 part = batch.slice(i, j - i)
                 sets = pa.array([s.tobytes() for s in shingle_sets(part.column("text"))], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("k2"), sets], names=["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column("node"), sets], names=["node", "shingles"])
+
+    texts = docs.select("node", "text").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return texts.mapInArrow(cut, "node binary, shingles binary")
+
+
+def star_pairs(rooted: DataFrame) -> DataFrame:
+    """(a, b): a text of each band whose texts are under several roots, and all its texts under other roots than that one.
+
+    The centre is the best connected text of the band.
+    """
+    seen = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.struct("degree", "node", "root")).alias("top"))
+    centres = seen.filter("low <> high").select("key", F.col("top.node").alias("a"), F.col("top.root").alias("a_root"))
+    return rooted.join(centres, "key").filter("root <> a_root").select("a", F.col("node").alias("b")).distinct()
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Those of the pairs whose shingles have at least this Jaccard similarity."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,8 +118,67 @@ def confirmed(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY)
             near = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similarity) for x, y in zip(left, right, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    members = pairs.select(F.col("a").alias("k2")).union(pairs.select("b")).distinct()
-    texts = docs.select("k2", "text").join(members, "k2", "left_semi").dropDuplicates(["k2"])
-    sets = store(texts.mapInArrow(cut, "node long, shingles binary"), "shingles")
     both = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
-    return both.select("a", "b", "left", "right").mapInArrow(compared, "a long, b long")
+    return both.select("a", "b", "left", "right").mapInArrow(compared, "a binary, b binary")
+
+
+def settled(rooted: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, share_bytes: int = SHARE_BYTES) -> DataFrame:
+    """(a, b): links between all similar texts of a band that are under different roots, as far as they join anything new.
+
+    The shingles come to the band's task and no pair leaves it. A band of many shingles becomes a grid of shares of
+    about ``share_bytes``: every text meets every other in one of them.
+    """
+    apart = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
+    rows = store(rooted.join(apart, "key", "left_semi").select("key", "node", "root").join(sets, "node"), "still_apart")
+    sizes = rows.groupBy("key").agg(F.sum(F.octet_length("shingles")).alias("bytes"))
+    sizes = sizes.filter(F.col("bytes") > share_bytes).select("key", F.ceil(F.col("bytes") / share_bytes).cast("int").alias("parts"))
+    rows = rows.join(sizes, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.hash("node"), "parts"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    share = F.least("own", "other") * F.col("parts") + F.greatest("own", "other")
+    dealt = rows.select("key", share.alias("share"), "own", "node", "root", "shingles").repartition("key", "share")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, ["key", "share"]):
+            key, share = (group.column(c).to_numpy() for c in ("key", "share"))
+            bounds = group_bounds(key, share).tolist()
+            for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+                part = group.slice(i, j - i)
+                sets = [np.frombuffer(x, np.uint64) for x in part.column("shingles").to_pylist()]
+                first, second = new_links(sets, part.column("root").to_numpy(), part.column("own").to_numpy(), similarity)
+                if len(first):
+                    nodes = part.column("node").combine_chunks()
+                    yield pa.RecordBatch.from_arrays([nodes.take(pa.array(first)), nodes.take(pa.array(second))], names=["a", "b"])
+
+    return dealt.sortWithinPartitions("key", "share", "node").mapInArrow(compared, "a binary, b binary")
+
+
+def new_links(sets: list[np.ndarray], roots: np.ndarray, own: np.ndarray, similarity: float) -> tuple[list[int], list[int]]:
+    """Pairs of similar sets that join different roots; where ``own`` has two values, pairs across them only."""
+    _, label = np.unique(roots, return_inverse=True)
+    sizes = np.array([len(s) for s in sets])
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    _, names = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_inverse=True)
+    mixed = len(np.unique(own)) > 1
+    first: list[int] = []
+    second: list[int] = []
+    mark = np.zeros(int(names.max(initial=-1)) + 1, bool)
+    for i in range(len(sets)):
+        fits = (label != label[i]) & (np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i]))
+        fits[: i + 1] = False
+        if mixed:
+            fits &= own != own[i]
+        other = np.flatnonzero(fits)
+        if not len(other):
+            continue
+        mark[names[bounds[i] : bounds[i + 1]]] = True
+        for j in other.tolist():
+            if label[j] == label[i]:
+                continue
+            shared = int(mark[names[bounds[j] : bounds[j + 1]]].sum())
+            if shared >= similarity * (sizes[i] + sizes[j] - shared):
+                first.append(i)
+                second.append(j)
+                label[label == label[j]] = label[i]
+        mark[names[bounds[i] : bounds[i + 1]]] = False
+    return first, second

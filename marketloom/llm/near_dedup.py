@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from marketloom.llm.common import fields_of, group_bounds, joined, keyed, keyed_rows, runs, slices, store
+from marketloom.llm.common import fields_of, group_bounds, joined, keyed, keyed_rows, runs, slices, store, text_name
 from marketloom.llm.components import components
-from marketloom.llm.near_copies import apart, confirmed, meetings
+from marketloom.llm.near_copies import confirmed, meetings, settled, shingles_of, star_pairs, with_degrees
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -51,18 +51,20 @@ def fingerprint(text: str) -> int:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, k1, k2 and fp, the fingerprint as a signed number, of ``keyed`` documents.
 
-    Null and wordless texts have fingerprint zero.
+    Null and wordless texts have fingerprint zero. A column ``node`` is kept.
     """
+    kept = [c for c in ("doc_id", "k1", "k2", "node") if c in docs.columns]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in slices(batch.column("text")):
                 part = batch.slice(i, j - i)
                 found = np.array([fingerprint(t) for t in part.column("text").to_pylist()], np.uint64)
-                own = [part.column(c) for c in ("doc_id", "k1", "k2")]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(found.view(np.int64))], names=["doc_id", "k1", "k2", "fp"])
+                own = [part.column(c) for c in kept]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(found.view(np.int64))], names=[*kept, "fp"])
 
-    return docs.select("doc_id", "k1", "k2", "text").mapInArrow(hashed, "doc_id long, k1 long, k2 long, fp long")
+    schema = "doc_id long, k1 long, k2 long, fp long" if "node" not in kept else "doc_id long, k1 long, k2 long, node binary, fp long"
+    return docs.select(*kept, "text").mapInArrow(hashed, schema)
 
 
 class Anchors:
@@ -205,15 +207,21 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 
 def _rooted_copies(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """As ``_rooted``, with links also between the fingerprints of texts whose shingles are similar."""
+    """As ``_rooted``, with links also between the fingerprints of texts whose shingles are similar.
+
+    The first round compares the texts of a band with one of them, the best connected; the second compares those that
+    are under different roots still, within the tasks, and gives links only.
+    """
     distinct = store(found.select("fp").distinct(), "distinct_fingerprints")
     edges = store(links(covered(distinct)), "links")
-    prints = store(found.select(F.col("k2").alias("node"), "fp").distinct(), "prints")
-    met = store(meetings(docs), "meetings")
+    prints = store(found.select("node", "fp").distinct(), "prints")
+    met = store(with_degrees(meetings(docs)), "meetings")
+    sets = store(shingles_of(docs, met.select("node").distinct()), "shingles")
     for star in (True, False):
-        roots = store(_under_roots(distinct, edges), "roots")
-        pairs = store(apart(met.join(prints.join(roots, "fp"), "node").select("key", "node", "root"), star), "pairs")
-        near = confirmed(docs, pairs).join(prints.toDF("a", "fp_a"), "a").join(prints.toDF("b", "fp_b"), "b")
+        roots = store(prints.join(_under_roots(distinct, edges), "fp").select("node", "root"), "roots")
+        rooted = met.join(roots, "node")
+        near = confirmed(star_pairs(rooted), sets) if star else settled(rooted, sets)
+        near = near.join(prints.toDF("a", "fp_a"), "a").join(prints.toDF("b", "fp_b"), "b")
         edges = store(edges.union(near.select("fp_a", "fp_b")), "links")
     return _under_roots(distinct, edges)
 
@@ -224,8 +232,9 @@ def one_of_each_group(docs: DataFrame, copies: bool = False) -> DataFrame:
     Null ids come last; of rows with the same id and text, any one stays. With ``copies``, texts whose five-word
     shingles have a Jaccard similarity of 0.8 or more are near-duplicates too.
     """
-    found = store(fingerprints(keyed(docs)), "fingerprints")
-    roots = _rooted_copies(keyed(docs), found) if copies else _rooted(found)
+    named = keyed(docs).withColumn("node", text_name())
+    found = store(fingerprints(named), "fingerprints")
+    roots = _rooted_copies(named, found) if copies else _rooted(found)
     order = F.struct(F.col("doc_id").isNull().alias("null"), "k1", "k2")
     first = found.groupBy("fp").agg(F.min(order).alias("first"))
     kept = roots.join(first, "fp").groupBy("root").agg(F.min("first").alias("first"))

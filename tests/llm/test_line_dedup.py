@@ -98,3 +98,17 @@ def test_repeated_rows_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "one line\none line"), (1, "one line\none line")], "doc_id long, text string")
     assert [r.removed for r in judge_lines(docs).collect()] == [[1], [1]]
     assert judge_lines(docs.limit(0)).count() == 0
+
+
+def test_lines_that_clash_in_a_hash_are_told_apart(spark):
+    from marketloom.llm.common import keyed
+    from marketloom.llm.line_dedup import _identified
+
+    first, second = "the quick brown ", "6Gt|hCNo@3)@hCmW"
+    docs = spark.createDataFrame([(1, f"{first}\n{second}"), (2, second), (None, first)], "doc_id long, text string")
+    found = {r.doc_id: (r.n_lines, r.removed) for r in judge_lines(docs).collect()}
+    assert found == {1: (2, []), 2: (1, [0]), None: (1, [0])}
+    lines, distinct = _identified(keyed(spark.createDataFrame([(i, f"line {i % 40}") for i in range(80)], "doc_id long, text string")), hash_bits=3)
+    assert distinct.count() == distinct.select("id").distinct().count() == 40
+    assert lines.count() == 80 and lines.join(distinct, ["id", "line"]).count() == 80
+
