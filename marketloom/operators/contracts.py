@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import NumericType, StringType
 
 from marketloom.errors import BatchError
 from marketloom.schemas import METRICS, SERVING, columns_of
@@ -77,6 +77,18 @@ def merged_rows(table: str, old: DataFrame, new: DataFrame) -> DataFrame:
     return kept.select(*[F.col("row")[c].alias(c) for c in columns])
 
 
+def with_defaults(table: str, rows: DataFrame) -> DataFrame:
+    """Serving rows with 0 for a missing number of a required column; a missing text stays and breaks the contract."""
+    required = set(SERVING[table].required)
+    return serving_rows(table, rows).select(
+        *[
+            F.coalesce(f.name, F.lit(0).cast(f.dataType)).alias(f.name)
+            if f.name in required and isinstance(f.dataType, NumericType) else F.col(f.name)
+            for f in columns_of(table)
+        ]
+    )
+
+
 def duplicate_keys(table: str, new: DataFrame) -> DataFrame:
     """Keys that several rows of ``new`` share (as they compare): the key's first spelling and the number of rows."""
     names = SERVING[table].key

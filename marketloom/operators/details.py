@@ -178,22 +178,26 @@ def _flat_rows(checked: DataFrame) -> DataFrame:
     return checked.select(_unless_rejected(F.array(F.struct(*kept))).alias("row")).select("row.*")
 
 
+def _line_columns(exploded: DataFrame) -> DataFrame:
+    line = F.col("line")
+    return exploded.withColumns(
+        {
+            "product_id": line["id"],
+            "product_name": line["title"],
+            "unit_price": J.to_decimal(line["price"], 18, 2),
+            "quantity": line["quantity"],
+            "line_total": J.to_decimal(line["total"], 18, 2),
+            "discount_percentage": J.to_decimal(line["discountPercentage"], 10, 2),
+            "line_discounted_total": J.to_decimal(line["discountedTotal"], 18, 2),
+            "thumbnail": J.text_value(line["thumbnail"]),
+        }
+    ).withColumn("category_hint", text.category_hint(F.col("thumbnail")))
+
+
 def _cart_lines(checked: DataFrame) -> DataFrame:
     """One row per line of an accepted cart, header columns repeated."""
-    line = F.col("line")
     header = [name for name in checked.columns if name not in ("lines", "reject_reason")]
-    rows = checked.select(*header, _unless_rejected(F.col("lines")).alias("line")).select(
-        *header,
-        line["id"].alias("product_id"),
-        line["title"].alias("product_name"),
-        J.to_decimal(line["price"], 18, 2).alias("unit_price"),
-        line["quantity"].alias("quantity"),
-        J.to_decimal(line["total"], 18, 2).alias("line_total"),
-        J.to_decimal(line["discountPercentage"], 10, 2).alias("discount_percentage"),
-        J.to_decimal(line["discountedTotal"], 18, 2).alias("line_discounted_total"),
-        J.text_value(line["thumbnail"]).alias("thumbnail"),
-    )
-    return rows.withColumn("category_hint", text.category_hint(F.col("thumbnail")))
+    return _line_columns(checked.select(*header, _unless_rejected(F.col("lines")).alias("line")))
 
 
 def rejects(checked: DataFrame) -> DataFrame:
@@ -236,6 +240,30 @@ def _of_whole_records(source: str, envelopes: DataFrame) -> DataFrame:
     return envelopes.join(rejected, RECORD, "left_anti")
 
 
+ROW, RECORD_SEEN = "row", "record"
+
+
+def audited_rows(source: str, envelopes: DataFrame) -> DataFrame:
+    """Detail rows (``kind`` row) and one row per envelope with its reason (``kind`` record), from one parse.
+
+    Both are written by one job; the second kind has nothing but dt and ``reject_reason``, and counts what was read,
+    whatever the number of batches. Every envelope is a record here.
+    """
+    checked = CHECKS[source](envelopes)
+    columns = columns_of(FEEDS[source].detail_table).names
+    if source == "carts":
+        lines = F.when(F.col("reject_reason").isNull(), F.col("lines"))
+        entries = F.concat(F.array(F.lit(None).cast(checked.schema["lines"].dataType.elementType)), F.coalesce(lines, F.array().cast(checked.schema["lines"].dataType)))
+        rows = _line_columns(checked.select("*", F.posexplode(entries).alias("at", "line")))
+    else:
+        kept = F.when(F.col("reject_reason").isNull(), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        rows = checked.select("*", F.explode(kept).alias("at"))
+    is_row = F.col("at") > 0
+    values = [F.when(is_row, F.col(name)).alias(name) for name in columns]
+    reason = F.when(~is_row, F.col("reject_reason")).alias("reject_reason")
+    return rows.select(*values, reason, "dt", F.when(is_row, F.lit(ROW)).otherwise(F.lit(RECORD_SEEN)).alias("kind"))
+
+
 def detail_rows(source: str, envelopes: DataFrame) -> DataFrame:
     if RECORD in envelopes.columns:
         envelopes = _of_whole_records(source, envelopes)

@@ -156,7 +156,7 @@ def _all_rules() -> list[Column]:
     return rules
 
 
-def _rule_names() -> list[str]:
+def rule_names() -> list[str]:
     """All rules in the order they are evaluated."""
     names = [f"processed_{feed}_non_empty" for feed in FEED_ORDER]
     names += [f"{table}_snapshot_non_empty" for table in METRICS] + ["ads_kpi_daily_single_row"]
@@ -197,7 +197,7 @@ def quality_summary(rules: DataFrame) -> DataFrame:
 def quality_report(rules: DataFrame) -> DataFrame:
     """One document per batch date: status, time, counts, and its rules (never more than there are kinds)."""
     counts = ("total_rules", "passed", "failed", "failed_critical")
-    number = F.array_position(F.array(*[F.lit(name) for name in _rule_names()]), F.col("name"))
+    number = F.array_position(F.array(*[F.lit(name) for name in rule_names()]), F.col("name"))
     rule = F.struct(number.alias("number"), F.struct("name", "severity", "status", "message").alias("rule"))
     listed = rules.groupBy("batch_date").agg(F.sort_array(F.collect_list(rule)).alias("numbered"))
     return listed.join(quality_summary(rules), "batch_date").select(

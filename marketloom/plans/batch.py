@@ -7,6 +7,7 @@ lazy between two stores; nothing but counts reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,10 @@ from pyspark.sql.types import StructType
 
 from marketloom.errors import BatchError
 from marketloom.operators import details, dimensions, metrics, quality, summaries
-from marketloom.schemas import FEEDS, METRICS, envelope_schema, table_schema
-from marketloom.session import broadcast_if_small, configure
+from marketloom.schemas import FEEDS, METRICS, envelope_schema, schema_of, table_schema
+from marketloom.session import broadcast_if_small, configure, materialise
 from marketloom.sinks import serving, snapshots
-from marketloom.sinks.tables import read_table, replace_partition, replace_partitions
+from marketloom.sinks.tables import commit_partitions, read_table, replace_partition, replace_partitions, rows_per_batch, write_kinds
 from marketloom.sources.envelopes import checked_date, read_batch, read_feed, require_landed_contract
 from marketloom.sources.isolated import readable_or_empty
 
@@ -95,13 +96,34 @@ def run_metrics(spark: SparkSession, root: str, batch_date: str) -> dict[str, Da
     )
 
 
-def backfill_details(spark: SparkSession, root: str, dates: DataFrame) -> None:
-    """Rebuild the detail tables of many batches (column ``dt``), one job per source."""
+def backfill_details(spark: SparkSession, root: str, dates: DataFrame) -> DataFrame:
+    """Rebuild the detail tables of many batches (column ``dt``), one job per source; gives their audit rows.
+
+    Every envelope is parsed once: rows and what is to be counted are written together, and counted from the written
+    columns. As in ``run_details`` a batch with nothing landed or no valid record fails, here for all sources and before any
+    table changes; a requested date on which nothing at all has landed is an empty batch.
+    """
     configure(spark)
+    written, audits = {}, []
     for source, feed in FEEDS.items():
         landed = read_feed(spark, root, source).where(F.col("batch_date") == F.col("dt"))
-        rows = details.detail_rows(source, _only(landed, dates))
-        replace_partitions(rows, root, feed.detail_table, dates)
+        rows = details.audited_rows(source, _only(landed, dates))
+        version, records = write_kinds(rows, root, feed.detail_table, schema_of("reject_reason STRING"))
+        counts = records.groupBy("dt").agg(F.count(F.lit(1)).alias("read"), F.count("reject_reason").alias("invalid"))
+        stored = rows_per_batch(spark, root, feed.detail_table, version)
+        audit = counts.join(stored, "dt", "left").select(
+            F.lit(source).alias("feed"), "dt", "read", F.coalesce("written", F.lit(0)).alias("written"), "invalid"
+        )
+        audits.append(audit)
+        written[feed.detail_table] = version
+    audit = materialise(reduce(DataFrame.unionByName, audits), "audit")
+    landed = audit.groupBy("dt").agg(F.collect_set("feed").alias("feeds"), F.count_if(F.col("read") == F.col("invalid")).alias("empty"))
+    broken = [r.dt for r in landed.where((F.size("feeds") < len(FEEDS)) | (F.col("empty") > 0)).orderBy("dt").limit(20).collect()]
+    if broken:
+        raise BatchError(f"sources without a valid record, or not landed: {', '.join(broken)}")
+    for table, version in written.items():
+        commit_partitions(root, table, version, audit.select("dt").distinct(), dates)
+    return audit
 
 
 def backfill_metrics(spark: SparkSession, root: str, dates: DataFrame) -> dict[str, DataFrame]:

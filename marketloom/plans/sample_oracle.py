@@ -510,17 +510,57 @@ def _landed() -> str:
   FROM people) AS v WHERE violation IS NOT NULL GROUP BY violation"""
 
 
+# Table, key and item text of each source's pages.
+PAGED = {
+    "products": ("part", "p_partkey", "'{\"id\":' || (p_partkey + 1) || ',\"title\":\"' || p_name || '\",\"stock\":' || p_size || '}'"),
+    "users": ("customer", "c_custkey", "'{\"id\":' || (c_custkey + 1) || ',\"username\":\"' || c_name || '\"}'"),
+    "carts": ("orders", "o_orderkey", "'{\"id\":' || (o_orderkey + 1) || ',\"userId\":' || (o_custkey + 1) || '}'"),
+}
+
+
 def _pages(listed: bool) -> str:
-    step, rest = sample.BROKEN_PAGE
-    page = f"p_partkey // {sample.ITEMS_PER_PAGE}"
-    day = f"'2026-07-0' || ({page} % 9 + 1)"
-    item = "'{\"id\":' || (p_partkey + 1) || ',\"title\":\"' || p_name || '\",\"stock\":' || p_size || '}'"
-    if listed:
-        return (
-            f"SELECT 'product' AS entity, 'products' AS source, {day} AS batch_date, {item} AS data "
-            f"FROM part WHERE {page} % {step} <> {rest}"
-        )
-    return f"SELECT DISTINCT 'products' AS source, {day} AS batch_date FROM part WHERE {page} % {step} = {rest}"
+    arms = []
+    for source, (table, key, item) in PAGED.items():
+        step, rest = sample.BROKEN_PAGES[source]
+        page = f"{key} // {sample.ITEMS_PER_PAGE}"
+        day = f"'2026-07-0' || ({page} % 9 + 1)"
+        if listed:
+            arms.append(
+                f"SELECT '{sample.ENTITIES[source]}' AS entity, '{source}' AS source, {day} AS batch_date, {item} AS data "
+                f"FROM {table} WHERE {page} % {step} <> {rest}"
+            )
+        else:
+            arms.append(f"SELECT DISTINCT '{source}' AS source, {day} AS batch_date FROM {table} WHERE {page} % {step} = {rest}")
+    return "\nUNION ALL ".join(arms)
+
+
+def _merged(table: str, old: str, state: str = "") -> str:
+    """Lines of a table with the corrections merged: of rows with one key, without case and spaces behind, the new one."""
+    kinds = {f.name: f.dataType.typeName() for f in columns_of(table)}
+    names = list(kinds)
+    texts = [k for k in SERVING[table].key if k != "date_id" and kinds[k] == "string"]
+    capital = ", ".join(f"upper({n}) || '  ' AS {n}" if n in texts else n for n in names)
+    later = ", ".join("'29' || substr(date_id, 3) AS date_id" if n == "date_id" else n for n in names)
+    keys = ", ".join(f"lower(rtrim({k}))" if kinds[k] == "string" else k for k in SERVING[table].key)
+    order = ", ".join(f"{n} DESC NULLS LAST" for n in names)
+    columns = ", ".join(names)
+    if state:
+        numbers = {n for n in SERVING[table].required if kinds[n] != "string"}
+        filled = ", ".join(f"coalesce({n}, 0) AS {n}" if n in numbers else n for n in names)
+        old = f"(SELECT {filled} FROM {old}) AS o"
+    fresh = (
+        f" UNION ALL SELECT {capital}, 1 FROM {old} WHERE date_id LIKE '%-15'"
+        f" UNION ALL SELECT {later}, 1 FROM {old} WHERE date_id LIKE '%-16' AND date_id LIKE '19%'"
+        if state != "before" else ""
+    )
+    pairs = [f"'\"{name}\": ' || {_json_value(name, kinds.get(name, 'string'), True)}" for name in sorted([*names, "dt"])]
+    line = "'{' || " + " || ', ' || ".join(pairs) + " || '}'"
+    extra = f", '{state}' AS state" if state else ""
+    return (
+        f"SELECT '{table}' AS table_name, {line} AS line{extra} FROM (SELECT *, date_id AS dt FROM ("
+        f"SELECT {columns}, 0 AS fresh FROM {old}{fresh}) AS b "
+        f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY fresh DESC, {order}) = 1) AS m"
+    )
 
 
 DATE_TEXTS = """date_texts AS (
@@ -537,6 +577,33 @@ ACCEPTED_USER = f"""SELECT user_id, username, full_name, gender,
 FROM people WHERE {_no_flaw("c_custkey", sample.USER_FLAWS, "fractional_age", "address_text")}"""
 
 
+RULE_ORDER = "rule_order AS (\n  SELECT unnest([" + ", ".join(f"'{n}'" for n in quality.rule_names()) + "]) AS name, unnest(range(40)) AS number)"
+
+
+def _duplicates(table: str) -> str:
+    kinds = {f.name: f.dataType.typeName() for f in columns_of(table)}
+    keys = ", ".join(f"lower(rtrim({k}))" if kinds[k] == "string" else k for k in SERVING[table].key)
+    groups = f"(SELECT count(*) AS n FROM {table} GROUP BY {keys} HAVING count(*) > 1) AS g"
+    return f"SELECT '{table}' AS table_name, count(*) AS keys, CAST(sum(n) AS BIGINT) AS rows FROM {groups} HAVING count(*) > 0"
+
+
+def _asked() -> str:
+    """The sections one by one, then the overview of each date."""
+    counts = " UNION ALL ".join(
+        f"SELECT '{section}' AS section, date_id, count(*) AS items FROM {table} GROUP BY date_id" for section, (table, _) in serving.SECTIONS.items()
+    )
+    names = ", ".join(f"('{section}')" for section in serving.SECTIONS)
+    return f"""SELECT date_id, section, status, items FROM (
+  WITH wanted AS (SELECT batch_date AS date_id FROM date_texts UNION SELECT regexp_replace(batch_date, '^19', '29') FROM date_texts),
+  told AS (
+    SELECT date_id, section, coalesce(items, 0) AS items, CASE WHEN NOT regexp_full_match(date_id, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN 'bad_date'
+      WHEN items > 0 THEN 'found' ELSE 'not_found' END AS status
+    FROM wanted CROSS JOIN (VALUES {names}) AS n(section) LEFT JOIN ({counts}) AS c USING (date_id, section))
+  SELECT date_id, section, status, items FROM told
+  UNION ALL SELECT date_id, 'overview', CASE WHEN bool_and(status = 'found') THEN 'found' WHEN bool_or(status = 'bad_date') THEN 'bad_date' ELSE 'not_found' END,
+    CAST(sum(items) AS BIGINT) FROM told GROUP BY date_id) AS a"""
+
+
 def all_sql() -> dict[str, str]:
     cart_columns = _columns("dwd_order_cart_detail")
     accepted_carts = "o_orderkey IN (SELECT o_orderkey FROM day_carts WHERE reject_reason IS NULL)"
@@ -580,6 +647,42 @@ FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS dt, CAST(o_orderdate
         ),
         "s4_flatten_payload": _pages(True),
         "k3_broken_payload": _pages(False),
+        "k1_raw_pages": "SELECT source, batch_date AS dt, count(*) AS items FROM (" + _pages(True) + ") AS p GROUP BY ALL",
+        "k4_landed_feeds": "SELECT *, batch_date AS dt FROM (" + _pages(True) + ") AS p",
+        "k5_replaced_partitions": _select(
+            "SELECT *, 'before' AS state FROM month_sales UNION ALL "
+            "SELECT * REPLACE (CASE WHEN substr(dt, 6, 2) = '07' THEN 0 ELSE total_quantity END AS total_quantity), 'after' "
+            "FROM month_sales WHERE substr(dt, 6, 2) <> '03'",
+            _headers("month_headers", "strftime(o_orderdate, '%Y-%m-01')"),
+            _sales("month_sales", "day_detail").replace("FROM day_headers", "FROM month_headers"),
+        ),
+        "k6_backfilled_batches": _select(
+            "SELECT feed, dt, count(*) AS read, CAST(sum(CASE WHEN reject_reason IS NULL THEN line_count ELSE 0 END) AS BIGINT) AS written, "
+            "count(reject_reason) AS invalid FROM own_batch GROUP BY feed, dt",
+            CHECKED,
+            f"""own_batch AS (
+  SELECT 'products' AS feed, dt, 1 AS line_count, {PRODUCT_REASON} AS reject_reason FROM catalogue
+  WHERE NOT ({_flaw("p_partkey", sample.PRODUCT_FLAWS, "wrong_date")})
+  UNION ALL SELECT 'users', dt, 1, {USER_REASON} FROM people WHERE NOT ({_flaw("c_custkey", sample.USER_FLAWS, "wrong_date")})
+  UNION ALL SELECT 'carts', dt, line_count, reject_reason FROM year_carts WHERE NOT ({_flaw("o_orderkey", sample.CART_FLAWS, "wrong_date")}))""",
+        ),
+        "k10_merged_tables": _select("\nUNION ALL ".join(_merged(table, table) for table in METRICS)),
+        "k10_duplicate_keys": _select("\nUNION ALL ".join(_duplicates(table) for table in METRICS)),
+        "k12_published_versions": _select(
+            "\nUNION ALL ".join(_merged(table, table, state) for state in ("before", "after") for table in METRICS)
+        ),
+        "k15_quality_documents": _select(
+            "SELECT batch_date, CASE WHEN count(*) FILTER (WHERE status = 'failed' AND severity = 'critical') > 0 THEN 'failed' ELSE 'passed' END AS status, "
+            "count(*) AS total_rules, count(*) FILTER (WHERE status = 'passed') AS passed, count(*) FILTER (WHERE status = 'failed') AS failed, "
+            "count(*) FILTER (WHERE status = 'failed' AND severity = 'critical') AS failed_critical, "
+            "string_agg(name || '=' || status, ';' ORDER BY number) AS rules FROM report JOIN rule_order USING (name) GROUP BY batch_date",
+            DAY_RECORDS, REPORT, RULE_ORDER,
+        ),
+        "t7_numbered_snapshots": _select(
+            "SELECT table_name, row_number() OVER (PARTITION BY table_name ORDER BY line) AS line_no, line FROM ("
+            + "\nUNION ALL ".join(_snapshot_arm(table) for table in METRICS) + ") AS l"
+        ),
+        "q6_asked_dates": _select(_asked(), DATE_TEXTS),
         "p7_reject_counts": _select(
             "SELECT feed, dt, reject_reason, count(*) AS rejected FROM checked WHERE reject_reason IS NOT NULL GROUP BY ALL", CHECKED
         ),

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from marketloom.errors import BatchError
 from marketloom.functions.text import is_batch_date
 from marketloom.operators import audit, contracts, details, dimensions, metrics, quality, serving, summaries
-from marketloom.schemas import table_schema
-from marketloom.session import configure, materialise
-from marketloom.sinks.snapshots import snapshot_lines
+from marketloom.plans import batch, landing
+from marketloom.schemas import FEEDS, SERVING, table_schema
+from marketloom.session import configure, materialise, shared_folder
+from marketloom.sinks import serving as served
+from marketloom.sinks import tables, versions
+from marketloom.sinks.snapshots import numbered_lines, snapshot_lines
 from marketloom.sinks.tables import align_to_schema
 from marketloom.sources import envelopes as landed
 from marketloom.sources import payloads
@@ -272,13 +278,145 @@ def profile_labels(spark: SparkSession, folder: str) -> DataFrame:
 # ---- landing -------------------------------------------------------------------------------------
 
 
+def _pages(spark: SparkSession, folder: str, broken: bool = True) -> DataFrame:
+    return reduce(DataFrame.unionByName, [sample.payload_pages(spark, folder, source, broken) for source in FEEDS])
+
+
 def flatten_payload(spark: SparkSession, folder: str) -> DataFrame:
-    return payloads.flatten_payloads(sample.payload_pages(spark, folder)).drop("dt")
+    return payloads.flatten_payloads(_pages(spark, folder)).drop("dt")
 
 
 def broken_payload(spark: SparkSession, folder: str) -> DataFrame:
     """Batches with a page that has no list under its source's name."""
-    return payloads.broken_payloads(sample.payload_pages(spark, folder)).select("source", "batch_date")
+    return payloads.broken_payloads(_pages(spark, folder)).select("source", "batch_date")
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for a query that writes and reads back."""
+    return f"{shared_folder(spark)}/marketloom/{uuid.uuid4().hex}/{name}"
+
+
+def landed_feeds(spark: SparkSession, folder: str) -> DataFrame:
+    """Land three sources twice, then once with a broken page in the third, which is refused; what readers see then."""
+    root = _scratch(spark, "landed")
+    dated = lambda broken: {
+        source: sample.payload_pages(spark, folder, source, broken).withColumn("dt", F.col("batch_date")) for source in FEEDS
+    }
+    good, bad = dated(False), dated(True)
+    landing.land_batches(good, root)
+    landing.land_batches(good, root)
+    try:
+        landing.land_batches({**good, "carts": bad["carts"]}, root)
+    except BatchError:
+        seen = [landed.read_feed(spark, root, source) for source in FEEDS]
+        return reduce(DataFrame.unionByName, seen).select("entity", "source", "batch_date", "data", "dt")
+    raise AssertionError("a broken page was landed")
+
+
+def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw pages landed and read back: their items per batch."""
+    root = _scratch(spark, "raw")
+    pages = {s: sample.payload_pages(spark, folder, s, False).withColumn("dt", F.col("batch_date")) for s in FEEDS}
+    landing.land_batches(pages, root)
+    read = reduce(DataFrame.unionByName, [payloads.read_raw_batches(spark, root, source) for source in FEEDS])
+    return payloads.flatten_payloads(read).groupBy("source", "dt").agg(F.count(F.lit(1)).alias("items"))
+
+
+REPLACED, EMPTIED = "07", "03"
+
+
+def replaced_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly sales written, then the Julys replaced and the Marches emptied by one commit, twice; what is read then."""
+    root = _scratch(spark, "partitions")
+    sales = materialise(summaries.sales_daily(sample.cart_detail(spark, folder, "month")), "dws_sales_daily")
+    month = F.substring("dt", 6, 2)
+    tables.replace_partitions(sales.withColumn("order_count", F.lit(-1).cast("bigint")), root, "dws_sales_daily")
+    first = tables.replace_partitions(sales, root, "dws_sales_daily")
+    changed = sales.where(month == REPLACED).withColumn("total_quantity", F.lit(0).cast("bigint"))
+    dates = sales.where(month.isin(REPLACED, EMPTIED)).select("dt")
+    for _ in range(2):
+        tables.replace_partitions(changed, root, "dws_sales_daily", dates)
+    before = tables.read_table(spark, root, "dws_sales_daily", None, first).withColumn("state", F.lit("before"))
+    after = tables.read_table(spark, root, "dws_sales_daily").withColumn("state", F.lit("after"))
+    return before.unionByName(after)
+
+
+def _lines_of(rows: dict[str, DataFrame], **extra: Column) -> DataFrame:
+    parts = [snapshot_lines(df.withColumn("dt", F.col("date_id"))).select(F.lit(name).alias("table_name"), "line") for name, df in rows.items()]
+    return reduce(DataFrame.unionByName, parts).withColumns(extra)
+
+
+def _corrections(tables_: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Rows to merge: on the 15th of a month keys in capitals with spaces behind, and whole new dates."""
+    out = {}
+    for name, rows in tables_.items():
+        old = contracts.serving_rows(name, rows)
+        texts = [k for k in SERVING[name].key if k != "date_id" and isinstance(old.schema[k].dataType, StringType)]
+        capital = {k: F.concat(F.upper(k), F.lit("  ")) for k in texts}
+        again = old.where(F.col("date_id").endswith("-15")).withColumns(capital)
+        new = old.where(F.col("date_id").endswith("-16")).withColumn("date_id", F.regexp_replace("date_id", "^19", "29"))
+        out[name] = again.unionByName(new)
+    return out
+
+
+def merged_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """All six tables with corrections merged by their collated keys."""
+    stored = stored_metrics(spark, folder)
+    fixes = _corrections(stored)
+    return _lines_of({name: contracts.merged_rows(name, rows, fixes[name]) for name, rows in stored.items()})
+
+
+def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of the tables that differ only in case, and how often they occur."""
+    found = [
+        contracts.duplicate_keys(name, rows).groupBy(F.lit(name).alias("table_name")).agg(F.count(F.lit(1)).alias("keys"), F.sum("copies").alias("rows"))
+        for name, rows in stored_metrics(spark, folder).items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def published_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """All dates published, corrected by an upsert, the first version read again, old versions removed: both states."""
+    root = _scratch(spark, "published")
+    stored = {name: contracts.with_defaults(name, rows) for name, rows in stored_metrics(spark, folder).items()}
+    clean = {name: contracts.merged_rows(name, rows.limit(0), rows) for name, rows in stored.items()}
+    dates = reduce(DataFrame.unionByName, [rows.select("date_id") for rows in stored.values()])
+    first = served.publish_dates(clean, root, dates)
+    before = materialise(_lines_of({n: df.drop("updated_at") for n, df in served.read_all_served(spark, root, first).items()}), "first")
+    second = served.upsert(_corrections(stored), root)
+    served.vacuum(spark, root, second)
+    after = _lines_of({n: df.drop("updated_at") for n, df in served.read_all_served(spark, root).items()})
+    return before.withColumn("state", F.lit("before")).unionByName(after.withColumn("state", F.lit("after")))
+
+
+def numbered_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    return numbered_lines(stored_metrics(spark, folder))
+
+
+def backfilled_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The yearly feeds landed as files and backfilled in one pass each: the audit of every batch."""
+    configure(spark)
+    root, version = _scratch(spark, "backfill"), versions.new_version()
+    for source, rows in _feeds(spark, folder).items():
+        landed_rows = rows.select("entity", "source", "batch_date", "data", "dt")
+        landed_rows.write.partitionBy("dt").json(versions.version_path(landed.feed_path(root, source), version))
+    dates = sample.batch_dates(spark, folder, "year")
+    names = F.explode(F.array(*[F.lit(source) for source in FEEDS])).alias("name")
+    versions.commit(landed.landing_log(root), dates.select(names, F.col("dt").alias("key")), version)
+    return batch.backfill_details(spark, root, dates)
+
+
+def asked_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """What queries of all kinds of dates are told: days with data, days without, and texts that are no date."""
+    texts = sample.batch_date_texts(spark, folder).select(F.col("batch_date").alias("date_id"))
+    absent = sample.batch_date_texts(spark, folder).select(F.regexp_replace("batch_date", "^19", "29").alias("date_id"))
+    return serving.answer_states(stored_metrics(spark, folder), texts.union(absent))
+
+
+def quality_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality document of every batch: its status, its counts, and its rules in their order."""
+    rules = F.array_join(F.transform("rules", lambda r: F.concat(r["name"], F.lit("="), r["status"])), ";")
+    return quality.quality_report(quality_report(spark, folder)).select("batch_date", "status", "summary.*", rules.alias("rules"))
 
 
 def landed_violations(spark: SparkSession, folder: str) -> DataFrame:
@@ -316,6 +454,16 @@ QUERIES: dict[str, Query] = {
     "s1_batch_rows": batch_rows,
     "s4_flatten_payload": flatten_payload,
     "k3_broken_payload": broken_payload,
+    "k1_raw_pages": raw_pages,
+    "k4_landed_feeds": landed_feeds,
+    "k5_replaced_partitions": replaced_partitions,
+    "k6_backfilled_batches": backfilled_batches,
+    "k10_merged_tables": merged_tables,
+    "k10_duplicate_keys": duplicate_keys,
+    "k12_published_versions": published_versions,
+    "k15_quality_documents": quality_documents,
+    "t7_numbered_snapshots": numbered_snapshots,
+    "q6_asked_dates": asked_dates,
     "p7_reject_counts": reject_counts,
     "p13_landed_violations": landed_violations,
     "p15_batch_date_check": batch_date_check,

@@ -10,6 +10,10 @@ from marketloom.schemas import LAYER_OF, columns_of, table_schema
 from marketloom.sinks import versions
 
 
+# Folders of counted records, which no manifest line names.
+RECORDS_OF = "records-of-"
+
+
 def table_path(root: str, table: str) -> str:
     return f"{root}/{LAYER_OF[table]}/{table}"
 
@@ -77,3 +81,26 @@ def replace_partitions(rows: DataFrame, root: str, table: str, dates: DataFrame
     version, written = write_partitions(rows, root, table)
     commit_partitions(root, table, version, written, dates)
     return version
+
+
+def write_kinds(rows: DataFrame, root: str, table: str, audit_columns: StructType) -> tuple[str, DataFrame]:
+    """As ``write_partitions`` for rows of two kinds (column ``kind``): those of the table, and records to be counted.
+
+    One job writes both. Gives the version and the records, which lie beside the table's batches in the version's folder
+    and are no part of it.
+    """
+    version = versions.new_version()
+    path = versions.version_path(table_path(root, table), version)
+    names = [*columns_of(table).names, *audit_columns.names]
+    placed = rows.select(*names, F.when(F.col("kind") == "row", F.col("dt")).otherwise(F.concat(F.lit(RECORDS_OF), "dt")).alias("dt"))
+    placed.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+    stored = StructType([*audit_columns.fields, *table_schema(table).fields[-1:]])
+    seen = rows.sparkSession.read.schema(stored).parquet(path).where(F.col("dt").startswith(RECORDS_OF))
+    return version, seen.withColumn("dt", F.substring("dt", len(RECORDS_OF) + 1, 10))
+
+
+def rows_per_batch(spark: SparkSession, root: str, table: str, version: str) -> DataFrame:
+    """(dt, written) of a version, from its files' footers."""
+    path = versions.version_path(table_path(root, table), version)
+    rows = spark.read.schema(table_schema(table)).parquet(path).where(~F.col("dt").startswith(RECORDS_OF))
+    return rows.groupBy("dt").agg(F.count(F.lit(1)).alias("written"))

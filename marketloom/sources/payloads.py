@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.functions import json_values as J
-from marketloom.schemas import FEEDS
-from marketloom.sources.envelopes import batch_folder
+from marketloom.schemas import FEEDS, schema_of
+from marketloom.sinks import versions
+from marketloom.sources.envelopes import batch_folder, landing_log
 
 # Items are read as their JSON text.
 PAYLOAD_FIELDS = ", ".join(f"{name} ARRAY<STRING>" for name in FEEDS)
@@ -27,6 +28,12 @@ def read_raw(spark: SparkSession, root: str, source: str, batch_date: str) -> Da
     return pages.select(F.lit(source).alias("source"), F.lit(batch_date).alias("batch_date"), "payload")
 
 
+def read_raw_batches(spark: SparkSession, root: str, source: str) -> DataFrame:
+    """The pages of all landed batches of a source."""
+    pages = versions.read_visible(spark, landing_log(root), raw_path(root, source), source, schema_of("payload STRING, dt STRING"), "dt", form="json")
+    return pages.select(F.lit(source).alias("source"), F.col("dt").alias("batch_date"), "payload", "dt")
+
+
 def raw_path(root: str, source: str) -> str:
     return f"{root}/raw/{source}"
 

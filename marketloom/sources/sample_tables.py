@@ -44,7 +44,8 @@ def _per_cent_off(cents: Column, per_cent: Column) -> Column:
 
 
 def _batch(order_date: Column, batches: str) -> Column:
-    return F.date_format(F.trunc(order_date, "year") if batches == "year" else order_date, "yyyy-MM-dd")
+    """The batch of an order: its day, or the first day of its ``month`` or ``year``."""
+    return F.date_format(order_date if batches == "day" else F.trunc(order_date, batches), "yyyy-MM-dd")
 
 
 def _republished(df: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
@@ -423,27 +424,42 @@ def _keyed_user_envelopes(spark: SparkSession, folder: str, dirty: bool) -> Data
 # ---- landing -------------------------------------------------------------------------------------
 
 ITEMS_PER_PAGE = 100
-BROKEN_PAGE = (7, 3)
+# (step, rest) of the page number: pages without a list.
+BROKEN_PAGES = {"products": (7, 3), "users": (5, 2), "carts": (11, 4)}
+
+
+def _items(spark: SparkSession, folder: str, source: str) -> tuple[Column, DataFrame, Column]:
+    """The key, the rows and the item texts of a source."""
+    if source == "products":
+        key = F.col("p_partkey")
+        fields = [(key + 1).alias("id"), F.col("p_name").alias("title"), F.col("p_size").alias("stock")]
+        return key, table(spark, folder, "part"), F.to_json(F.struct(*fields))
+    if source == "users":
+        key = F.col("c_custkey")
+        return key, table(spark, folder, "customer"), F.to_json(F.struct((key + 1).alias("id"), F.col("c_name").alias("username")))
+    key = F.col("o_orderkey")
+    return key, table(spark, folder, "orders"), F.to_json(F.struct((key + 1).alias("id"), (F.col("o_custkey") + 1).alias("userId")))
 
 
-def payload_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Product payload pages of at most 100 items; some pages have no list.
+def payload_pages(spark: SparkSession, folder: str, source: str, broken: bool = True) -> DataFrame:
+    """Payload pages of at most 100 items of a source; some pages have no list.
 
     Cutting by row position as well as by key keeps a page small whatever the keys are.
     """
-    key = F.col("p_partkey")
-    item = F.to_json(F.struct((key + 1).alias("id"), F.col("p_name").alias("title"), F.col("p_size").alias("stock")))
-    items = table(spark, folder, "part").select(
+    key, rows, item = _items(spark, folder, source)
+    items = rows.select(
         F.floor(key / ITEMS_PER_PAGE).alias("page"),
         F.floor(F.monotonically_increasing_id() / ITEMS_PER_PAGE).alias("stretch"),
         item.alias("item"),
     )
-    listed = F.concat(F.lit('{"products":['), F.array_join("items", ","), F.lit('],"total":1}'))
+    listed = F.concat(F.lit(f'{{"{source}":['), F.array_join("items", ","), F.lit('],"total":1}'))
     pages = items.groupBy("page", "stretch").agg(F.collect_list("item").alias("items"))
+    is_broken = _every(F.col("page"), *BROKEN_PAGES[source])
+    pages = pages if broken else pages.where(~is_broken)
     return pages.select(
-        F.lit("products").alias("source"),
+        F.lit(source).alias("source"),
         F.concat(F.lit("2026-07-0"), (F.col("page") % 9 + 1).cast("string")).alias("batch_date"),
-        F.when(_every(F.col("page"), *BROKEN_PAGE), F.lit('{"products":"none"}')).otherwise(listed).alias("payload"),
+        F.when(is_broken, F.lit(f'{{"{source}":"none"}}')).otherwise(listed).alias("payload"),
     )
 
 

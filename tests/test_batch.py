@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketloom.errors import BatchError, DataNotFound
 from marketloom.operators import quality, serving as queries
 from marketloom.plans import batch, landing
-from marketloom.schemas import METRICS
+from marketloom.schemas import FEEDS, METRICS
 from marketloom.sinks import serving, snapshots, tables
 from marketloom.sources import payloads
 from marketloom.sources.envelopes import read_batch
@@ -100,7 +100,13 @@ def test_backfill_gives_what_single_batches_give(spark, done, tmp_path):
     for day in (DAY, "2026-07-02"):
         dated = {s: p.withColumn("batch_date", F.lit(day)) for s, p in pages(spark, feed).items()}
         landing.land_payloads(dated, other, day)
-    batch.backfill_details(spark, other, dates)
+    audit = batch.backfill_details(spark, other, dates)
+    assert rows(audit, "dt", "feed", "read", "written", "invalid") == [
+        (day, feed, 3, n, 1) for day in (DAY, "2026-07-02") for feed, n in (("carts", 3), ("products", 2), ("users", 2))
+    ]
+    for source, feed in FEEDS.items():
+        one, many = (tables.read_table(spark, r, feed.detail_table, DAY).drop("batch_date") for r in (root, other))
+        assert sorted(map(str, one.collect())) == sorted(map(str, many.collect())), source
     batch.backfill_metrics(spark, other, dates)
     for table in METRICS:
         built, single = tables.read_table(spark, other, table), tables.read_table(spark, root, table)
@@ -315,6 +321,20 @@ def test_versions_can_be_read_until_they_are_removed(spark, tmp_path):
     assert read(second) == [("a", 5)] and read() == [("a", 5), ("b", 2)] and running.count() == 2
     assert versions.vacuum(spark, log, {"dim_category": base}, "dt", second) == 0
     assert len(list(Path(log).glob("part-*"))) == 4
-    assert versions.vacuum(spark, log, {"dim_category": base}, "dt", versions.new_version()) == 1  # d1 is what second left; d2 is third's
+    assert versions.vacuum(spark, log, {"dim_category": base}, "dt", versions.new_version()) == 0
     assert len(list(Path(log).glob("part-*"))) == 1 and read() == [("a", 5), ("b", 2)]
 
+
+def test_a_backfill_without_valid_records_changes_nothing(spark, done, tmp_path):
+    root, feed, _ = done
+    dates = batch.batch_dates(spark, DAY)
+    other = str(tmp_path / "root")
+    landing.land_payloads(pages(spark, feed), other, DAY)
+    batch.backfill_details(spark, other, dates)
+    write_payloads(tmp_path / "feed", PRODUCTS, [{"id": 0}], CARTS)
+    landing.land_payloads(pages(spark, tmp_path / "feed"), other, DAY)
+    with pytest.raises(BatchError, match=DAY):
+        batch.backfill_details(spark, other, dates)
+    assert tables.read_table(spark, other, "dwd_user_info", DAY).count() == 2
+    assert tables.read_table(spark, other, "dwd_order_cart_detail").count() == 3
+
