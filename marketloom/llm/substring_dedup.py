@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from marketloom.llm.common import BY_BLANKS, Words, fields_of, keyed, keyed_rows, mix, slices, store
+from marketloom.session import discard
 
 WINDOW = 35
 KMER = 10
@@ -236,7 +237,9 @@ def repeated_spans(docs: DataFrame, facts: DataFrame, window: int, k: int) -> Da
     again = paths.filter("n > 0").groupBy("digest", "length").agg(F.sum("n").alias("n")).filter("n > 1").select("digest", "length")
     spans = paths.filter("n = 1").join(again, ["digest", "length"]).select("k1", "k2", "start", "length")
     spans = spans.union(paths.filter("n = 0").select("k1", "k2", "start", "length"))
-    return spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
+    spans = store(spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "length")).alias("spans")), "spans")
+    discard(paths)
+    return spans
 
 
 def _kept(n: int, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -284,9 +287,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> Data
     """
     docs = keyed(docs)
     facts = store(anchored(docs, window, k), "anchors")
-    cut = cut_texts(docs, repeated_spans(docs, facts, window, k))
+    spans = repeated_spans(docs, facts, window, k)
+    # The anchors are read no more; what is left of the facts is small.
+    facts, anchors = store(facts.drop("name", "around", "pos"), "facts"), facts
+    discard(anchors)
+    cut = cut_texts(docs, spans)
     cut = cut.select("k1", "k2", "n_removed", F.sha2("kept", 256).alias("cut_sha256")).dropDuplicates(["k1", "k2"])
-    return facts.drop("name", "around", "pos").join(cut, ["k1", "k2"], "left").select(
+    return facts.join(cut, ["k1", "k2"], "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
@@ -299,6 +306,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> Dat
     own = keyed(docs)
     facts = store(anchored(own, window, k), "anchors")
     spans = repeated_spans(own, facts, window, k)
+    discard(facts)
     spans = spans.select("k1", "k2", F.col("spans.start").alias("starts"), F.col("spans.length").alias("lengths"))
 
     @F.pandas_udf("string")

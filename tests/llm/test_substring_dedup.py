@@ -68,3 +68,11 @@ def test_rows_keep_their_columns(spark):
 
 def test_an_empty_table_gives_nothing(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_texts_that_clash_in_a_hash_keep_their_own_words(spark):
+    """The two texts share a 64-bit hash and have no id: each keeps its own result."""
+    rows = [(None, "the quick brown "), (None, "6Gt|hCNo@3)@hCmW")]
+    found = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.n_words, r.kept_sha256) for r in found) == sorted((w[1], w[3]) for w in brute(rows, 35))
+
