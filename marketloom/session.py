@@ -68,12 +68,35 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Spark removes the shuffle files of a query when it has ended. What is stored does not need them any more.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back.
 
     Used where several consumers read one result: columnar, prunable, sized by its files, and
-    safe against lost executors because it no longer depends on their shuffle output.
+    safe against lost executors because it no longer depends on their shuffle output, which is removed.
     """
-    path = f"{shared_folder(df.sparkSession)}/marketloom/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/marketloom/{uuid.uuid4().hex}/{name}"
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._marketloom_folder = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove what ``materialise`` has stored, when all that read it has been stored in turn."""
+    for df in stored:
+        jvm = df.sparkSession._jvm
+        place = jvm.org.apache.hadoop.fs.Path(df._marketloom_folder)
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
