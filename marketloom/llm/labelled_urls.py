@@ -4,16 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Sites of unwanted kinds and ordinary sites.
-UNWANTED = (
-    "spam-farm", "spam-links", "link-farm", "adult-x", "adult-video", "xxx-cams", "cheap-pills", "cheap-meds", "pills-shop",
-    "ads-track", "ads-click", "track-click", "casino-win", "casino-bonus", "poker-win", "free-bets", "free-spins", "bets-bonus",
+# Words of kinds of sites that are usually not wanted, and of ordinary ones. No name of a site is among them; sites are
+# made by pairing the words in turn.
+UNWANTED_KINDS = (
+    "casino", "poker", "slots", "roulette", "betting", "bets", "jackpot", "pills", "pharma", "meds", "viagra", "adult", "porn", "xxx",
+    "sexcams", "escort", "spam", "malware", "warez", "cracks", "torrent", "ads", "adserver", "tracker", "popups", "clickbait",
 )
-ORDINARY = (
-    "library", "garden", "museum", "weather", "city-news", "school", "science", "recipes", "history", "forum", "travel",
-    "football", "health", "theatre", "nature", "music", "radio", "physics", "kitchen", "letters", "there", "nation", "thought",
-    "another", "the-times", "station", "author", "mother",
+UNWANTED_OFFERS = ("bonus", "online", "deals", "free", "hot", "cheap", "now", "zone", "live", "best")
+ORDINARY_KINDS = (
+    "library", "garden", "museum", "weather", "news", "school", "science", "recipes", "history", "forum", "travel", "football",
+    "health", "theatre", "nature", "music", "radio", "physics", "kitchen", "letters", "village", "river", "painting", "chess", "bakery", "language",
 )
+ORDINARY_PLACES = ("city", "old", "public", "north", "open", "daily", "little", "county", "green", "home")
+
+
+def _sites(kinds: tuple[str, ...], others: tuple[str, ...], paired: int) -> tuple[str, ...]:
+    """Every kind alone, and before and behind so many of the other words."""
+    names = list(kinds)
+    for i, kind in enumerate(kinds):
+        for k in range(paired):
+            names += [f"{kind}-{others[(i + k) % len(others)]}", f"{others[(3 * i + k + 1) % len(others)]}-{kind}"]
+    return tuple(names)
+
+
+# There are more ordinary sites, so what is like neither is allowed.
+UNWANTED = _sites(UNWANTED_KINDS, UNWANTED_OFFERS, 1)
+ORDINARY = _sites(ORDINARY_KINDS, ORDINARY_PLACES, 2)
 PREFIXES = ("", "www.", "m.", "blog.")
 ENDINGS = ("example.com", "example.net", "example.org")
 PATHS = ("/en/12", "/de/345.html", "/fr/6789/", "/es/40?page=2", "/en/77#top", "/")
