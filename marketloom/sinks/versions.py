@@ -64,9 +64,8 @@ def commit(log: str, entries: DataFrame, version: str) -> None:
 def current(spark: SparkSession, log: str, as_of: str | None = None) -> DataFrame:
     """(name, key, version) of all keys; with ``as_of`` a version, as it was when that one was the last."""
     lines = spark.read.schema(LOG).json(log)
-    if as_of is not None:
-        lines = lines.where(F.col("version") <= as_of)
-    return lines.groupBy("name", "key").agg(F.max("version").alias("version"))
+    seen = F.col("version") if as_of is None else F.when(F.col("version") <= as_of, F.col("version"))
+    return lines.groupBy("name", "key").agg(F.max(seen).alias("version")).where("version IS NOT NULL")
 
 
 def version_of(spark: SparkSession, log: str, name: str, key: str, as_of: str | None = None) -> str | None:
@@ -113,8 +112,8 @@ def vacuum(spark: SparkSession, log: str, data: dict[str, str], key: str, before
     place, files = _hadoop(spark, log)
     listed = [s for s in files.listStatus(place) if s.getPath().getName().startswith("part-")]
     lines_of_log = spark.read.schema(LOG).json(log)
-    compacted = lines_of_log.where((F.col("name") == COMPACTED) & (F.col("version") <= before)).agg(F.max("version")).first()[0]
-    marks = lines_of_log.where(F.col("name") == COMPACTED).agg(F.max("version")).first()[0]
+    usable = F.when(F.col("version") <= before, F.col("version"))
+    compacted, marks = lines_of_log.where(F.col("name") == COMPACTED).agg(F.max(usable), F.max("version")).first()
     lines = lines_of_log.where(F.col("name") != COMPACTED)
     last = current(spark, log, before).withColumnRenamed("version", "last")
     kept = lines.join(last, ["name", "key"], "left").where(F.col("last").isNull() | (F.col("version") >= F.col("last")))

@@ -122,7 +122,7 @@ def test_backfill_of_changes_stores_every_day(spark, sample, tmp_path):
     from marketloom.sources import sample_tables
 
     root = str(tmp_path)
-    lines = sample_tables.cart_detail(spark, sample, "day").where("dt < '1992-03-01'")
+    lines = sample_tables.cart_detail(spark, sample, "day").where("dt < '1995-03-01'")
     dates = lines.select("dt").distinct()
     replace_partitions(lines, root, "dwd_order_cart_detail")
     replace_partitions(sample_tables.product_changes(spark, sample), root, "dwd_product_info")
@@ -130,12 +130,12 @@ def test_backfill_of_changes_stores_every_day(spark, sample, tmp_path):
     gone = {"products": sample_tables.withdrawn_products(spark, sample), "users": sample_tables.withdrawn_users(spark, sample)}
     tables = batch.backfill_metrics_of_changes(spark, root, dates, gone)
     wanted = {r.dt for r in dates.collect()}
-    assert len(wanted) > 30
+    assert len(wanted) > 20
     for name, rows in tables.items():
         assert {r.dt for r in rows.select("dt").distinct().collect()} == wanted, name
         assert rows.schema.names == table_schema(name).names
     from marketloom.plans import sample_queries
 
-    whole = sample_queries.ads_category_share_daily(spark, sample).where("dt < '1992-03-01'")
+    whole = sample_queries.ads_category_share_daily(spark, sample).where("dt < '1995-03-01'")
     assert sorted(map(str, tables["ads_category_share_daily"].collect())) == sorted(map(str, whole.collect()))
-    assert read_table(spark, root, "dws_user_profile_daily", "1992-02-01").count() > 0
+    assert read_table(spark, root, "dws_user_profile_daily", max(wanted)).count() > 0
