@@ -167,7 +167,7 @@ def backfill_metrics_of_changes(
 
 def _only(rows: DataFrame, dates: DataFrame) -> DataFrame:
     """Rows of the requested batches; folders of other dates are pruned at run time."""
-    return rows.join(broadcast_if_small(dates.select("dt").distinct()), "dt", "left_semi")
+    return rows.join(broadcast_if_small(dates.select("dt").distinct()), "dt", "left_semi").select(*rows.columns)
 
 
 def export_snapshots(tables: dict[str, DataFrame], root: str, batch_date: str) -> DataFrame:
