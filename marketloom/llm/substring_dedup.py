@@ -26,6 +26,8 @@ from marketloom.session import discard
 WINDOW = 35
 KMER = 10
 DIGEST_BYTES = 16
+# Texts read together: a word takes some twenty numbers, and a window of a branching anchor a digest.
+SLICE = 1 << 20
 # An odd multiplier for rolling hashes, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -134,7 +136,7 @@ def anchored(docs: DataFrame, window: int, k: int) -> DataFrame:
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j in slices(batch.column("text")):
+            for i, j in slices(batch.column("text"), SLICE):
                 part = batch.slice(i, j - i)
                 graph = Graph(part.column("text"), window, k)
                 first, spaced = graph.words.first, Spaced(graph.words)
@@ -167,7 +169,7 @@ def path_rows(docs: DataFrame, window: int, k: int) -> DataFrame:
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j in slices(batch.column("text")):
+            for i, j in slices(batch.column("text"), SLICE):
                 part = batch.slice(i, j - i)
                 graph = Graph(part.column("text"), window, k)
                 first = graph.words.first
