@@ -47,6 +47,22 @@ def as_of(asked: DataFrame, known: DataFrame, on: str) -> DataFrame:
     return found.select(on, "dt", f"{VERSION}.*").drop("withdrawn")
 
 
+def rows_as_of(rows: DataFrame, known: DataFrame, on: str) -> DataFrame:
+    """``rows`` (``on``, ``dt`` and others) with ``version``: the item as it was on that day, NULL where it was not listed.
+
+    As ``as_of`` without a join back, for rows that are reduced already: they pass one shuffle, by ``on`` and ``apart``.
+    ``apart`` deals rows without a key over their days, as they match no version. The rows come sorted by ``on``, ``apart``,
+    ``dt`` and ``asks``, so windows over these need neither a shuffle nor a sort.
+    """
+    apart = F.when(F.col(on).isNull(), F.col("dt")).alias("apart")
+    asks = rows.select(*rows.columns, apart, F.lit(1).alias("asks"))
+    told = known.where(F.col(on).isNotNull()).select(on, "dt", VERSION, F.lit(0).alias("asks"))
+    marked = asks.unionByName(told, allowMissingColumns=True)
+    until_now = Window.partitionBy(on, "apart").orderBy("dt", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = marked.withColumn(VERSION, F.last(VERSION, ignorenulls=True).over(until_now)).where(F.col("asks") == 1)
+    return last.select(*rows.columns, "apart", "asks", F.when(~F.col(VERSION)["withdrawn"], F.col(VERSION)).alias(VERSION))
+
+
 def counts_over_time(known: DataFrame, on: str, by: list[str]) -> DataFrame:
     """(by, dt, items): how many items a group has from each day on when that changes; NULL is a group of its own.
 

@@ -7,12 +7,12 @@ includes the cart, after a map-side combine, so a hot day or product spreads ove
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.numbers import guarded_ratio, money, money_sum, zero_if_null
 from marketloom.functions.text import UNKNOWN
-from marketloom.operators.as_of import as_of, counts_over_time, on_days, versions
+from marketloom.operators.as_of import VERSION, as_of, counts_over_time, on_days, rows_as_of, versions
 from marketloom.session import broadcast_if_small
 
 USER_ATTRIBUTES = ("age_group", "gender", "country")
@@ -109,23 +109,79 @@ def product_daily(lines: DataFrame, products: DataFrame) -> DataFrame:
     return _named_sales(_product_grains(lines), products)
 
 
+def _variant_sales(lines: DataFrame) -> DataFrame:
+    """Sales per product and variant of its lines, with the distinct carts of the variant and, in ``first_carts``, of its product.
+
+    ``first_carts`` counts a cart in one variant only, so it adds up over the variants of a product. A group is the lines
+    of one product in one cart.
+    """
+    sold = lines.select(
+        "dt",
+        "product_id",
+        "product_name",
+        F.coalesce("category_hint", F.lit(UNKNOWN)).alias("category_hint"),
+        "cart_id",
+        "quantity",
+        "line_discounted_total",
+    )
+    of_cart = Window.partitionBy("cart_id", "product_id", "dt").orderBy("product_name", "category_hint")
+    again = [F.lag(name).over(of_cart).eqNullSafe(F.col(name)) for name in ("product_name", "category_hint")]
+    marked = sold.withColumns({"place": F.row_number().over(of_cart), "again": again[0] & again[1]})
+    seen, first = F.col("cart_id").isNotNull(), F.col("place") == 1
+    return marked.groupBy("dt", "product_id", "product_name", "category_hint").agg(
+        F.sum("quantity").alias("quantity"),
+        F.sum("line_discounted_total").alias("amount"),
+        F.count_if(seen & (first | ~F.col("again"))).alias("carts"),
+        F.count_if(seen & first).alias("first_carts"),
+    )
+
+
 def product_daily_as_of(lines: DataFrame, products: DataFrame, withdrawn: DataFrame | None = None) -> DataFrame:
     """As ``product_daily``, with the changes of the product dimension instead of a catalogue for every day.
 
-    Only the products that were sold are looked up, each on the days when it was.
+    Lines are reduced to the variants of a product and day, which meet the versions of the product once: the variants of
+    a listed product are added up under its listed name and category, others stay apart.
     """
-    grains = _product_grains(lines)
     known = versions(products.select("dt", "product_id", "product_name", "category", "brand"), "product_id", withdrawn)
-    return _named_sales(grains, as_of(grains.where("per_product"), known, "product_id"))
+    found = rows_as_of(_variant_sales(lines), known, "product_id").withColumn("listed", F.col(VERSION).isNotNull())
+    of_day = Window.partitionBy("product_id", "apart", "dt")
+    listed, version = F.col("listed"), F.col(VERSION)
+
+    def measure(listed_name: str, name: str) -> Column:
+        return F.when(listed, F.sum(listed_name).over(of_day)).otherwise(F.col(name))
+
+    added = found.withColumns(
+        {
+            "place": F.row_number().over(of_day.orderBy("asks")),
+            "sales_quantity": measure("quantity", "quantity"),
+            "sales_amount": money(measure("amount", "amount")),
+            "order_count": zero_if_null(measure("first_carts", "carts")),
+        }
+    )
+    return added.where(~listed | (F.col("place") == 1)).select(
+        F.col("dt").alias("date_id"),
+        "product_id",
+        F.when(listed, version["product_name"]).otherwise(F.col("product_name")).alias("product_name"),
+        F.when(listed, version["category"]).otherwise(F.col("category_hint")).alias("category"),
+        version["brand"].alias("brand"),
+        "sales_quantity",
+        "sales_amount",
+        "order_count",
+        "dt",
+    )
 
 
-def category_daily(product_days: DataFrame, categories: DataFrame) -> DataFrame:
-    """Order counts add up over products, so a cart with two products of a category counts twice."""
-    sold = product_days.groupBy("dt", "category").agg(
+def _category_sales(product_days: DataFrame) -> DataFrame:
+    return product_days.groupBy("dt", "category").agg(
         F.sum("sales_quantity").alias("sales_quantity"),
         money(F.sum("sales_amount")).alias("sales_amount"),
         F.sum("order_count").alias("order_count"),
     )
+
+
+def category_daily(product_days: DataFrame, categories: DataFrame) -> DataFrame:
+    """Order counts add up over products, so a cart with two products of a category counts twice."""
+    sold = _category_sales(product_days)
     sizes = categories.groupBy("dt", F.col("category_name").alias("category")).agg(
         F.max("product_count").alias("product_count")
     )
@@ -135,13 +191,19 @@ def category_daily(product_days: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def category_daily_as_of(product_days: DataFrame, products: DataFrame, withdrawn: DataFrame | None = None) -> DataFrame:
-    """As ``category_daily``, with the changes of the product dimension; sizes are running sums of its changes."""
+    """As ``category_daily``, with the changes of the product dimension; sizes are running sums of its changes.
+
+    Products are added up first, once, so days and categories are all that meets the sizes.
+    """
     known = versions(products.select("dt", "product_id", "category"), "product_id", withdrawn)
     sizes = counts_over_time(known, "product_id", ["category"]).select("category", "dt", F.col("items").alias("product_count"))
     filled = sizes.where(F.col("product_count") > 0)
     sized = versions(filled, "category", sizes.where(F.col("product_count") == 0))
-    found = as_of(product_days, sized, "category")
-    return category_daily(product_days, found.select("dt", F.col("category").alias("category_name"), "product_count"))
+    found = rows_as_of(_category_sales(product_days), sized, "category")
+    return found.select(
+        F.col("dt").alias("date_id"), "category", F.col(VERSION)["product_count"].alias("product_count"),
+        "sales_quantity", "sales_amount", "order_count", "dt",
+    )
 
 
 def _profile_rows(user_counts: DataFrame, people: DataFrame, lines: DataFrame) -> DataFrame:
