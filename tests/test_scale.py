@@ -6,9 +6,11 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.operators import summaries
 from marketloom.schemas import columns_of
+from marketloom.sources import sample_tables
 
 LINE = "dt STRING, cart_id BIGINT, product_id BIGINT, product_name STRING, category_hint STRING, quantity INT, line_discounted_total DECIMAL(18,2)"
 LISTING = "dt STRING, product_id BIGINT, product_name STRING, category STRING, brand STRING"
@@ -74,3 +76,21 @@ def test_category_days_read_product_days_once_and_reduce_them_first(spark, tmp_p
     assert {(r.category, r.product_count, r.sales_quantity, r.order_count) for r in found.collect()} == {
         ("C", 2, 4, 6), ("D", None, 2, 3), (None, None, 2, 3)
     }
+
+
+def test_republished_records_are_made_by_all_tasks(spark, tmp_path):
+    """The customers lie in one file of few bytes, which one task reads."""
+    folder = str(tmp_path)
+    spark.range(1).select(F.lit(date(1995, 5, 5)).alias("o_orderdate")).write.parquet(f"{folder}/orders.parquet")
+    rows = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).coalesce(1)
+    rows.write.parquet(f"{folder}/rows.parquet")
+    name = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1k")
+    try:
+        made = sample_tables._republished(spark.read.parquet(f"{folder}/rows.parquet"), spark, folder)
+        per_task = made.groupBy(F.spark_partition_id().alias("task")).agg(F.count("text").alias("rows"), F.max("text")).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sum(r["rows"] for r in per_task) == 20_000 and len(per_task) > 1
+    assert max(r["rows"] for r in per_task) < 10_000
