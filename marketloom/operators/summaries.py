@@ -16,6 +16,11 @@ from marketloom.operators.as_of import VERSION, as_of, counts_over_time, on_days
 from marketloom.session import broadcast_if_small
 
 USER_ATTRIBUTES = ("age_group", "gender", "country")
+# What the builders read of a cart line.
+LINE_COLUMNS = (
+    "dt", "cart_id", "user_id", "cart_total", "cart_discounted_total", "total_quantity", "product_id", "product_name",
+    "category_hint", "quantity", "line_discounted_total",
+)
 
 
 def _one_row_per_date(daily: DataFrame, dates: DataFrame | None) -> DataFrame:

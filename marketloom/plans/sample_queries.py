@@ -190,7 +190,7 @@ def stored_metrics(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """
     key = (spark.sparkContext.applicationId, folder)
     if key not in _STORED:
-        lines = materialise(_day_lines(spark, folder), "dwd_order_cart_detail")
+        lines = materialise(_day_lines(spark, folder).select(*summaries.LINE_COLUMNS), "dwd_order_cart_detail")
         products, gone_products = _product_changes(spark, folder)
         users, gone_users = _user_changes(spark, folder)
         product_days = materialise(summaries.product_daily_as_of(lines, products, gone_products), "dws_product_daily")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketloom.operators import summaries
+from marketloom.plans import sample_queries
 from marketloom.schemas import columns_of
 from marketloom.sources import sample_tables
 
@@ -94,3 +95,17 @@ def test_republished_records_are_made_by_all_tasks(spark, tmp_path):
         spark.conf.set(name, before)
     assert sum(r["rows"] for r in per_task) == 20_000 and len(per_task) > 1
     assert max(r["rows"] for r in per_task) < 10_000
+
+
+def test_stored_lines_have_the_columns_that_are_read(spark, sample, monkeypatch):
+    class Stored(Exception):
+        pass
+
+    def stop(df, name):
+        raise Stored(name, df.columns)
+
+    monkeypatch.setattr(sample_queries, "materialise", stop)
+    monkeypatch.setattr(sample_queries, "_STORED", {})
+    with pytest.raises(Stored) as seen:
+        sample_queries.stored_metrics(spark, sample)
+    assert seen.value.args == ("dwd_order_cart_detail", list(summaries.LINE_COLUMNS))
