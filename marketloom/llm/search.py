@@ -4,6 +4,10 @@ Every shard has the postings of its documents, in blocks of similar documents, a
 the largest weight in each block. What the rare terms give a document, and the block maxima of the
 frequent ones, bound its score: only documents that can reach the k-th best score so far are scored in
 full. Term statistics are global, so the shards' best lists merge to the exact answer.
+
+A fixed number of slots share the documents. A slot's task holds the queries, makes one shard after the other
+of the documents that stream in, and keeps the best of all its shards, so queries are sent and answers
+returned once for each slot, however many shards there are.
 """
 
 from __future__ import annotations
@@ -13,17 +17,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marketloom.llm.common import BY_ALNUM, Words, slices, store
+from marketloom.llm.common import BY_ALNUM, Words, group_bounds, slices, store
 
 K1, B = 1.2, 0.75
 BLOCK = 64
 DENSE_SHARE = 1 / 16
 MOST_DENSE = 256
 SHARD_BYTES = 20 << 20
+SLOTS = 48
+QUERY_BYTES = 64 << 20
 DECIMALS = 6
 
 
@@ -138,8 +144,11 @@ class Shard:
     def numbers(self, terms: pa.Array) -> np.ndarray:
         return np.asarray(pc.fill_null(pc.index_in(terms.cast(self.terms.type), value_set=self.terms), -1), dtype=np.int64)
 
-    def best(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, rounded scores) of the k best by score, then id; only scores above zero."""
+    def best(self, term: np.ndarray, weight: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """(documents, rounded scores) of the k best by score, then id; only scores above zero.
+
+        Documents that stay under ``least`` may be left out.
+        """
         here = term >= 0
         term, weight = term[here], weight[here]
         row = self.row[term]
@@ -148,10 +157,10 @@ class Shard:
         at = np.repeat(self.start[rare] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
         known = np.bincount(self.doc[at], weights=self.impact[at] * np.repeat(weight[row < 0], sizes), minlength=len(self.ids))
         bound = known + (w @ self.maxima[dense])[self.block]
-        floor = 0.0
+        floor = least
         if len(bound) > 4 * k:
             likely = np.argpartition(bound, -4 * k)[-4 * k :]
-            floor = np.partition(known[likely] + w @ self.dense[np.ix_(dense, likely)], -k)[-k]
+            floor = max(floor, np.partition(known[likely] + w @ self.dense[np.ix_(dense, likely)], -k)[-k])
         chosen = np.flatnonzero(bound >= floor - 2 * 10.0**-DECIMALS)
         if len(chosen) > len(bound) // 2:
             score = (known + w @ self.dense[dense])[chosen]
@@ -163,77 +172,129 @@ class Shard:
         return chosen[top], score[top]
 
 
-def shard_bests(rows: DataFrame, average: float, k: int) -> DataFrame:
-    """(query_id, query_key, doc_id, score): the k best of each shard for each query."""
+class Asked:
+    """The queries that a task answers, with the best documents found so far."""
+
+    def __init__(self, batches: list[pa.RecordBatch], k: int):
+        self.k = k
+        self.ids = pa.concat_arrays([b.column("id") for b in batches])
+        self.keys = pa.concat_arrays([b.column("query_key") for b in batches])
+        coded = pa.chunked_array([pc.list_flatten(pc.split_pattern(b.column("text"), " ")).dictionary_encode() for b in batches]).unify_dictionaries()
+        self.terms = coded.chunk(0).dictionary
+        self.term = np.concatenate([np.asarray(c.indices) for c in coded.chunks])
+        lists = [b.column("weights") for b in batches]
+        self.weight = np.concatenate([np.asarray(pc.list_flatten(w)) for w in lists])
+        self.start = np.concatenate(([0], np.cumsum(np.concatenate([np.asarray(pc.list_value_length(w)) for w in lists]))))
+        self.of, self.score = np.zeros(0, np.int64), np.zeros(0)
+        self.doc, self.null = np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def answer(self, shard: Shard) -> None:
+        """Adds a shard's documents to the best."""
+        number = shard.numbers(self.terms)
+        full = np.flatnonzero(np.bincount(self.of, minlength=len(self.ids)) == self.k)
+        least = np.zeros(len(self.ids))
+        least[full] = self.score[np.searchsorted(self.of, full, "right") - 1]
+        of, docs, scores = [self.of], [np.zeros(0, np.int64)], [self.score]
+        for q, (a, b) in enumerate(zip(self.start[:-1].tolist(), self.start[1:].tolist(), strict=True)):
+            found, score = shard.best(number[self.term[a:b]], self.weight[a:b], self.k, least[q])
+            of.append(np.full(len(found), q))
+            docs.append(found)
+            scores.append(score)
+        of, score, found = np.concatenate(of), np.concatenate(scores), np.concatenate(docs)
+        doc, null = np.concatenate((self.doc, shard.ids[found])), np.concatenate((self.null, shard.null[found]))
+        order = np.lexsort((doc, null, -score, of))
+        first = np.searchsorted(of[order], np.arange(len(self.ids)))
+        order = order[np.arange(len(order)) - first[of[order]] < self.k]
+        self.of, self.score, self.doc, self.null = of[order], score[order], doc[order], null[order]
+
+    def found(self) -> pa.RecordBatch:
+        at = pa.array(self.of)
+        columns = [self.ids.take(at), self.keys.take(at), pa.array(self.doc, mask=self.null), pa.array(self.score)]
+        return pa.RecordBatch.from_arrays(columns, names=["query_id", "query_key", "doc_id", "score"])
+
+
+def slot_bests(rows: DataFrame, average: float, k: int, shard_bytes: int) -> DataFrame:
+    """(query_id, query_key, doc_id, score): the k best of each task for each of its queries.
+
+    rows: sorted by task and is_query, queries first.
+    """
 
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, texts, shard = None, [], [], None
+        task, held, asked, ids, texts, size = None, [], None, [], [], 0
         for whole in batches:
-            numbers = np.asarray(whole.column("shard"))
-            is_query = np.asarray(whole.column("is_query"))
-            change = np.flatnonzero((np.diff(numbers) != 0) | (np.diff(is_query) != 0)) + 1
-            for a, b in zip([0, *change.tolist()], [*change.tolist(), len(numbers)], strict=True):
-                if a == b:
-                    continue
+            tasks, is_query = np.asarray(whole.column("task")), np.asarray(whole.column("is_query"))
+            edges = group_bounds(tasks, is_query).tolist()
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
                 batch = whole.slice(a, b - a)
-                if numbers[a] != now:
-                    now, ids, texts, shard = numbers[a], [], [], None
-                if not is_query[a]:
-                    ids.append(batch.column("id"))
-                    texts.append(batch.column("text"))
+                if tasks[a] != task:
+                    if ids:
+                        asked.answer(Shard(ids, texts, average))
+                    if asked:
+                        yield asked.found()
+                    task, held, asked, ids, texts, size = tasks[a], [], None, [], [], 0
+                if is_query[a]:
+                    held.append(batch)
                     continue
-                if not ids:
+                if not held and not asked:
                     continue
-                shard = shard or Shard(ids, texts, average)
-                texts = []
-                yield _answers(shard, batch, k)
+                if not asked:
+                    asked, held = Asked(held, k), []
+                for i, j in slices(batch.column("text"), shard_bytes):
+                    part = batch.slice(i, j - i)
+                    more = pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+                    if ids and size + more > shard_bytes:
+                        asked.answer(Shard(ids, texts, average))
+                        ids, texts, size = [], [], 0
+                    ids.append(part.column("id"))
+                    texts.append(part.column("text"))
+                    size += more
+        if ids:
+            asked.answer(Shard(ids, texts, average))
+        if asked:
+            yield asked.found()
 
     schema = "query_id long, query_key long, doc_id long, score double"
     return rows.mapInArrow(answered, schema)
 
 
-def _answers(shard: Shard, batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
-    lists = batch.column("weights")
-    term = shard.numbers(pc.list_flatten(pc.split_pattern(batch.column("text"), " ")))
-    weight = np.asarray(pc.list_flatten(lists))
-    ends = np.cumsum(np.asarray(pc.list_value_length(lists)))
-    of, docs, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-    for q, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
-        found, score = shard.best(term[a:b], weight[a:b], k)
-        of.append(np.full(len(found), q))
-        docs.append(found)
-        scores.append(score)
-    at, doc = pa.array(np.concatenate(of)), np.concatenate(docs)
-    columns = [batch.column("id").take(at), batch.column("query_key").take(at), pa.array(shard.ids[doc], mask=shard.null[doc]), pa.array(np.concatenate(scores))]
-    return pa.RecordBatch.from_arrays(columns, names=["query_id", "query_key", "doc_id", "score"])
-
-
-def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, shard_bytes: int = SHARD_BYTES, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """The ``k`` best documents for each query: query_id, rank, doc_id, score (BM25, six decimals).
 
     docs: doc_id, text; queries: query_id, text. Terms are runs of ASCII letters and digits and of other
     characters, A-Z lower-cased; a query's repeats count. Ties go to the smaller doc_id, null ids last. Only
     documents that share a term are listed, so null, empty and unknown queries have no rows. Equal query rows
     are one query; rows with one id and different texts are ranked apart. Repeated documents are all ranked.
+
+    A task indexes ``shard_bytes`` of text at a time and holds about ``query_bytes`` of queries; where they are more,
+    groups of queries are answered apart, and every group reads the documents.
     """
     stats = store(statistics(docs), "terms")
     whole = stats.filter("term is null").first()
     n_docs, n_words = (whole.df, whole.words) if whole else (0, 0)
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-size // shard_bytes))
     queries = queries.select("query_id", F.xxhash64("text").alias("query_key"), "text").distinct()
     weighted = store(weighted_queries(queries, stats, n_docs), "queries")
+    size = weighted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    groups = max(1, -(-size // query_bytes))
+    slots = max(SLOTS, docs.sparkSession.sparkContext.defaultParallelism)
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(int(n) - 1)))
+
+    def dealt(n: int, *by: str) -> Column:
+        return F.pmod(F.xxhash64(*by), F.lit(n)).cast("int")
+
     nothing = F.lit(None)
     corpus = docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"),
+        dealt(slots, "doc_id", "text").alias("slot"), every(groups).alias("group"),
         F.lit(0).alias("is_query"), F.col("doc_id").alias("id"), nothing.cast("long").alias("query_key"), "text",
         nothing.cast("array<double>").alias("weights"),
     )
     asked = weighted.select(
-        F.explode(F.sequence(F.lit(0), F.lit(int(shards) - 1))).alias("shard"),
+        every(slots).alias("slot"), dealt(groups, "query_id", "query_key").alias("group"),
         F.lit(1).alias("is_query"), F.col("query_id").alias("id"), "query_key", "text", "weights",
     )
-    rows = corpus.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "is_query")
-    bests = shard_bests(rows, n_words / max(n_docs, 1), k)
+    rows = corpus.unionByName(asked).select((F.col("group") * slots + F.col("slot")).alias("task"), "is_query", "id", "query_key", "text", "weights")
+    rows = rows.repartitionById(slots * groups, "task").sortWithinPartitions("task", F.desc("is_query"))
+    bests = slot_bests(rows, n_words / max(n_docs, 1), k, shard_bytes)
     order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return bests.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

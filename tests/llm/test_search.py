@@ -58,3 +58,18 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame(corpus(2, 5), "doc_id long, text string")
     queries = docs.withColumnRenamed("doc_id", "query_id")
     assert top_k(docs.limit(0), queries).count() == 0 and top_k(docs, queries.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("query_bytes", [1 << 26, 700])
+def test_answers_do_not_grow_with_the_shards(spark, monkeypatch, query_bytes):
+    monkeypatch.setattr(search, "SLOTS", 8)
+    made = []
+    plain = search.slot_bests
+    monkeypatch.setattr(search, "slot_bests", lambda *given: made.append(plain(*given)) or made[-1])
+    rows = [(i, t) for i, t in corpus(3, 400)] + [(7, "w1 w2 w3")] * 40
+    queries = [(i, t) for i, t in rows if i % 40 == 0] + [(None, "w1 w2"), (7, "w1 w2 w3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = spark.createDataFrame(queries, "query_id long, text string")
+    found = [Counter(map(tuple, top_k(docs, asked, 3, size, query_bytes).collect())) for size in (1 << 20, 400)]
+    assert found[0] == found[1] == brute(rows, queries, 3)
+    assert max(m.count() for m in made) <= 8 * 3 * len(queries)
