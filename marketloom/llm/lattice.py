@@ -9,14 +9,13 @@ the row's key and the place in the text, so a row gets the same samples wherever
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from marketloom.llm.common import keyed, mix, slices
@@ -29,7 +28,6 @@ UNKNOWN_PENALTY = 10.0
 SAMPLES = 2
 SLICE = 1 << 20
 MOST_ARCS = 3_000_000
-UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Odd multipliers for hashing.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 ROUND = np.uint64(0xD6E8FEB86659FD93)
@@ -109,24 +107,66 @@ class Lattice:
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.number: dict[str, int] = {}
+        self.met = np.zeros(0, np.int64)
+        self.nodes, self.arcs = 0, 0
         self.first, self.start = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.target, self.name = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.log_chance, self.inverse_chance, self.last = np.zeros(0), np.zeros(0), np.zeros(0, bool)
 
     def numbers(self, units: list[str]) -> np.ndarray:
         """The numbers of distinct units; those not known yet are added."""
+        known = len(self.number)
         new = [u for u in units if u not in self.number]
         if new:
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+            self.number.update(zip(new, range(known, known + len(new)), strict=True))
             more = _Arcs(new, self.pieces)
-            nodes, arcs = self.first[-1], self.start[-1]
-            self.first = np.concatenate((self.first[:-1], more.first + nodes))
-            self.start = np.concatenate((self.start[:-1], more.start + arcs))
-            self.target = np.concatenate((self.target, more.target + nodes))
-            self.name, self.last = np.concatenate((self.name, more.name)), np.concatenate((self.last, more.last))
-            self.log_chance = np.concatenate((self.log_chance, more.log_chance))
-            self.inverse_chance = np.concatenate((self.inverse_chance, np.exp(-more.log_chance)))
-        return np.array([self.number[u] for u in units], np.int64)
+            self.first = _put(self.first, known, more.first + self.nodes)
+            self.start = _put(self.start, self.nodes, more.start + self.arcs)
+            self.target = _put(self.target, self.arcs, more.target + self.nodes)
+            self.name, self.last = _put(self.name, self.arcs, more.name), _put(self.last, self.arcs, more.last)
+            self.log_chance = _put(self.log_chance, self.arcs, more.log_chance)
+            self.inverse_chance = _put(self.inverse_chance, self.arcs, np.exp(-more.log_chance))
+            self.met = _put(self.met, known, np.zeros(len(new), np.int64))
+            self.nodes, self.arcs = self.nodes + int(more.first[-1]), self.arcs + len(more.target)
+        found = np.array([self.number[u] for u in units], np.int64)
+        self.met[found] += 1
+        return found
+
+    def forget(self, most: int) -> None:
+        """Drops the units that were asked for once; all units where the others have more than ``most`` arcs."""
+        n = len(self.number)
+        first = self.first[: n + 1]
+        begin = self.start[first]
+        keep = np.flatnonzero(self.met[:n] > 1)
+        if np.diff(begin)[keep].sum() > most:
+            keep = keep[:0]
+        nodes, arcs = np.diff(first)[keep], np.diff(begin)[keep]
+        node, arc = _spans(first[keep], nodes), _spans(begin[keep], arcs)
+        degree = np.diff(self.start[: self.nodes + 1])[node]
+        new_first = np.concatenate(([0], np.cumsum(nodes)))
+        self.target = self.target[arc] + np.repeat(new_first[:-1] - first[keep], arcs)
+        self.name, self.last, self.log_chance, self.inverse_chance = self.name[arc], self.last[arc], self.log_chance[arc], self.inverse_chance[arc]
+        self.first, self.start = new_first, np.concatenate(([0], np.cumsum(degree)))
+        self.nodes, self.arcs = len(node), len(arc)
+        names = list(self.number)
+        self.number = {names[i]: at for at, i in enumerate(keep.tolist())}
+        self.met = np.ones(len(keep), np.int64)
+
+
+def _spans(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each range, one range after the other."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def _put(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """``array`` with ``values`` from ``at`` on; made twice as long where it is too short, so that few additions copy it."""
+    end = at + len(values)
+    if end > len(array):
+        longer = np.empty(2 * end, array.dtype)
+        longer[:at] = array[:at]
+        array = longer
+    array[at:end] = values
+    return array
 
 
 class _Arcs:
@@ -138,170 +178,211 @@ class _Arcs:
         self.first = np.concatenate(([0], np.cumsum(sizes)))
         n = len(chars)
         left = np.repeat(self.first[1:], sizes) - np.arange(n)
-        source, target, name, weight = [], [], [], []
+        source, target, name, weight, slot = [], [], [], [], []
         live = np.arange(n)
         value = np.zeros(n, np.uint64)
         alone = np.zeros(n, bool)
+        degree = np.zeros(n, np.int64)
+
+        def add(nodes: np.ndarray, length: int, names: np.ndarray, weights: np.ndarray) -> None:
+            source.append(nodes)
+            target.append(nodes + length)
+            name.append(names)
+            weight.append(weights)
+            slot.append(degree[nodes])
+            degree[nodes] += 1
+
         for length in range(1, pieces.longest + 1):
             live = live[left[live] >= length]
             if not len(live):
                 break
             value[live] = (value[live] ^ (chars[live + length - 1] + np.uint64(1))) * BASE
             prefix, piece = pieces.find(value[live])
-            found = piece >= 0
-            source.append(live[found])
-            target.append(live[found] + length)
-            name.append(piece[found])
-            weight.append(pieces.weight[piece[found]])
+            found = np.flatnonzero(piece >= 0)
+            piece = piece[found]
+            add(live[found], length, piece, pieces.weight[piece])
             if length == 1:
                 alone[live[found]] = True
             live = live[prefix]
         odd = np.flatnonzero(~alone)
-        source.append(odd)
-        target.append(odd + 1)
-        name.append(-1 - chars[odd].astype(np.int64))
-        weight.append(np.full(len(odd), pieces.unknown))
-        source, target, name, weight = map(np.concatenate, (source, target, name, weight))
-        order = np.argsort(source, kind="stable")
-        self.target, self.name, weight, source = target[order], name[order], weight[order], source[order]
-        self.start = np.searchsorted(source, np.arange(n + 1))
-        self.log_chance = self._chances(source, weight, left)
-        self.last = left[source] == self.target - source
-
-    def _chances(self, source: np.ndarray, weight: np.ndarray, left: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(left) + 1)
-        out = np.zeros(len(source))
-        far = left[source]
-        by_left = np.argsort(far, kind="stable")
-        edges = np.searchsorted(far[by_left], np.arange(1, (far.max() if len(far) else 0) + 2))
-        ends = self.target - source == far
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            if a == b:
-                continue
-            arcs = by_left[a:b]
-            whole = weight[arcs] + np.where(ends[arcs], 0.0, total[self.target[arcs]])
-            node = source[arcs]
-            begins = np.flatnonzero(np.diff(node, prepend=-1))
-            width = np.diff(np.append(begins, len(arcs)))
-            top = np.maximum.reduceat(whole, begins)
-            sums = top + np.log(np.add.reduceat(np.exp(whole - np.repeat(top, width)), begins))
-            total[node[begins]] = sums
-            out[arcs] = whole - np.repeat(sums, width)
-        return out
+        add(odd, 1, -1 - chars[odd].astype(np.int64), np.full(len(odd), pieces.unknown))
+        source, target, name, weight, slot = map(np.concatenate, (source, target, name, weight, slot))
+        self.start = np.concatenate(([0], np.cumsum(degree)))
+        place = self.start[source] + slot
+        self.target, self.name, self.last = np.empty_like(target), np.empty_like(name), np.empty(len(place), bool)
+        self.target[place], self.name[place] = target, name
+        ends = left[source] == target - source
+        self.last[place] = ends
+        self.log_chance = np.empty(len(place))
+        self.log_chance[place] = self._chances(source, np.where(ends, n, target), weight, slot, left, degree)
+
+    @staticmethod
+    def _chances(source: np.ndarray, target: np.ndarray, weight: np.ndarray, slot: np.ndarray, left: np.ndarray, degree: np.ndarray) -> np.ndarray:
+        """The log-chance of each arc at its node, from the ends of the units backwards; an arc to a unit's end has the target n."""
+        n = len(left)
+        by_left = np.argsort(left.astype(np.uint16) if n and left.max() < 1 << 16 else left, kind="stable")
+        start = np.concatenate(([0], np.cumsum(degree[by_left])))
+        begin = np.empty(n, np.int64)
+        begin[by_left] = start[:-1]
+        place = begin[source] + slot
+        whole, ahead = np.empty(len(place)), np.empty(len(place), np.int64)
+        whole[place], ahead[place] = weight, target
+        total = np.zeros(n + 1)
+        levels = np.flatnonzero(np.diff(left[by_left], prepend=0, append=-1)).tolist()
+        for a, b in zip(levels[:-1], levels[1:], strict=True):
+            lo, hi = start[a], start[b]
+            part = whole[lo:hi]
+            part += total[ahead[lo:hi]]
+            begins, width = start[a:b] - lo, degree[by_left[a:b]]
+            top = np.maximum.reduceat(part, begins)
+            sums = top + np.log(np.add.reduceat(np.exp(part - np.repeat(top, width)), begins))
+            total[by_left[a:b]] = sums
+            part -= np.repeat(sums, width)
+        return whole[place]
 
 
 def _clock(seed: np.ndarray) -> np.ndarray:
     """Exponential noise; the negative logarithm of it is Gumbel noise."""
-    return -np.log(((mix(seed) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53)
+    out = (mix(seed) >> np.uint64(11)).astype(np.float64)
+    out += 0.5
+    out /= 2.0**53
+    return np.negative(np.log(out, out=out), out=out)
 
 
 @dataclass
 class Walk:
-    """Paths of some texts, one after the other: arcs taken, and the arcs beside them.
+    """Paths of some texts, one after the other: arcs taken, and the best of the arcs beside them.
 
     unit: the unit of each step; step: where each text's steps start, and the end; before: the log-probability
-    ahead of each step; side: where each step's other arcs start; side_lag: how far each of them is
-    behind. A side's perturbed value is -log(exp(-value) + exp(lag)), with the value of the text's path.
+    ahead of each step; side_arc, side_lag: for each step its best other arcs, and how far each of them is
+    behind (infinite where there is none). A side's perturbed value is -log(exp(-value) + exp(lag)), with the
+    value of the text's path.
     """
 
     arcs: np.ndarray
     unit: np.ndarray
     step: np.ndarray
     before: np.ndarray
-    side: np.ndarray
     side_arc: np.ndarray
     side_lag: np.ndarray
     value: np.ndarray
 
 
-def walk(lattice: Lattice, node: np.ndarray, unit: np.ndarray, bounds: np.ndarray, seed: np.ndarray, value: np.ndarray, before: np.ndarray) -> Walk:
+def walk(lattice: Lattice, node: np.ndarray, unit: np.ndarray, bounds: np.ndarray, seed: np.ndarray, value: np.ndarray, before: np.ndarray, most: int) -> Walk:
     """Follows each text's best path from the given nodes of its units to their ends.
 
     Of the arcs of a node the one whose clock rings first is taken; a clock is exponential noise over the arc's
     chance. bounds: where each text's units start; seed: noise of each unit; value: the perturbed value of each
-    text's prefix, which the best path keeps; before: the prefix's log-probability.
+    text's prefix, which the best path keeps; before: the prefix's log-probability; most: how many sides of a
+    text will be asked for, so no step needs more.
     """
-    active, here, depth, entries = np.arange(len(node)), node, 0, 0
+    active, here, depth = np.arange(len(node)), node, 0
     steps = np.zeros(len(node), np.int64)
-    taken: list[tuple[np.ndarray, ...]] = []
-    beside: list[tuple[np.ndarray, ...]] = []
+    levels: list[tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]] = []
     while len(active):
-        begin = lattice.start[here]
-        degree = lattice.start[here + 1] - begin
+        chosen = lattice.start[here]
+        degree = lattice.start[here + 1] - chosen
         fork = np.flatnonzero(degree > 1)
-        width = degree[fork]
-        offset = np.cumsum(width) - width
-        owner = np.repeat(np.arange(len(fork)), width)
-        rank = np.arange(len(owner)) - offset[owner]
-        arc = begin[fork][owner] + rank
-        noise = (seed[active[fork]] + np.uint64(depth << 20))[owner] + rank.astype(np.uint64)
-        rings = _clock(noise) * lattice.inverse_chance[arc]
-        chosen = begin.copy()
+        sides: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if len(fork):
-            first = np.minimum.reduceat(rings, offset)
-            lag = rings - first[owner]
-            won = np.flatnonzero(lag == 0)
-            if len(won) > len(fork):
-                won = won[np.unique(owner[won], return_index=True)[1]]
+            width = degree[fork]
+            offset = np.cumsum(width) - width
+            count = np.arange(offset[-1] + width[-1])
+            noise = np.repeat(seed[active[fork]] + np.uint64(depth << 20) - offset.astype(np.uint64), width)
+            noise += count.view(np.uint64)
+            arc = np.repeat(chosen[fork] - offset, width)
+            arc += count
+            lag = _clock(noise)
+            lag *= lattice.inverse_chance[arc]
+            lag -= np.repeat(np.minimum.reduceat(lag, offset), width)
+            won = _firsts(lag, np.zeros(len(fork)), offset, width, len(fork))
             chosen[fork] = arc[won]
-            other = np.ones(len(arc), bool)
-            other[won] = False
-            beside.append((fork[owner[other]] + entries, arc[other], lag[other]))
-        taken.append((active, chosen, degree - 1))
-        entries += len(active)
+            for _ in range(min(most, int(width.max()) - 1)):
+                lag[won] = np.inf
+                least = np.minimum.reduceat(lag, offset)
+                there = np.flatnonzero(least < np.inf)
+                won = _firsts(lag, np.where(least < np.inf, least, -1.0), offset, width, len(there))
+                sides.append((fork[there], arc[won], lag[won]))
+        levels.append((active, chosen, sides))
         steps[active] += 1
         going = ~lattice.last[chosen]
         here = lattice.target[chosen[going]]
         active = active[going]
         depth += 1
-    return _assembled(lattice, taken, beside, steps, unit, bounds, value, before)
+    return _assembled(lattice, levels, steps, unit, bounds, value, before)
 
 
-def _joined(parts: list[tuple[np.ndarray, ...]], column: int, kind: type) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *(p[column] for p in parts)]).astype(kind, copy=False)
+def _firsts(lag: np.ndarray, wanted: np.ndarray, offset: np.ndarray, width: np.ndarray, groups: int) -> np.ndarray:
+    """Where each group of ``lag`` first has its wanted value; only ``groups`` of them have it at all."""
+    at = np.flatnonzero(lag == np.repeat(wanted, width))
+    if len(at) == groups:
+        return at
+    group = np.searchsorted(offset, at, "right")
+    return at[np.diff(group, prepend=-1) != 0]
 
 
-def _assembled(lattice: Lattice, taken: list, beside: list, steps: np.ndarray, unit: np.ndarray, bounds: np.ndarray, value: np.ndarray, before: np.ndarray) -> Walk:
+def _assembled(lattice: Lattice, levels: list, steps: np.ndarray, unit: np.ndarray, bounds: np.ndarray, value: np.ndarray, before: np.ndarray) -> Walk:
     """Puts what the units' steps found, level by level, in the order of the texts."""
     first = np.concatenate(([0], np.cumsum(steps)))
     total = int(first[-1])
-    place = np.concatenate([np.zeros(0, np.int64), *(first[t[0]] + depth for depth, t in enumerate(taken))])
-    arcs, others = np.empty(total, np.int64), np.empty(total, np.int64)
-    arcs[place], others[place] = _joined(taken, 1, np.int64), _joined(taken, 2, np.int64)
+    kept = max((len(sides) for *_, sides in levels), default=0)
+    arcs = np.empty(total, np.int64)
+    side_arc, side_lag = np.zeros((kept, total), np.int64), np.full((kept, total), np.inf)
+    for depth, (active, chosen, sides) in enumerate(levels):
+        place = first[active] + depth
+        arcs[place] = chosen
+        for rank, (fork, arc, lag) in enumerate(sides):
+            at = place[fork]
+            side_arc[rank, at], side_lag[rank, at] = arc, lag
     text_step = first[bounds]
-    lengths = np.diff(text_step)
     chance = lattice.log_chance[arcs]
     running = np.concatenate(([0.0], np.cumsum(chance)))
-    prior = running[:-1] + np.repeat(before - running[text_step[:-1]], lengths)
-    side = np.concatenate(([0], np.cumsum(others)))
-    owner, arc, lag = _joined(beside, 0, np.int64), _joined(beside, 1, np.int64), _joined(beside, 2, float)
-    # The sides of a step come one after the other, so their ranks count up within each run of one owner.
-    begins = np.flatnonzero(np.diff(owner, prepend=-1))
-    rank = np.arange(len(owner)) - np.repeat(begins, np.diff(np.append(begins, len(owner))))
-    step = place[owner]
-    at = side[step] + rank
-    side_arc, side_lag = np.empty(len(at), np.int64), np.empty(len(at))
-    side_arc[at] = arc
-    side_lag[at] = np.log(lag, out=np.full(len(lag), -np.inf), where=lag > 0) - prior[step]
-    return Walk(arcs, np.repeat(unit, steps), text_step, prior, side, side_arc, side_lag, value)
-
-
-def sample(texts: list[str], seeds: np.ndarray, lattice: Lattice, k: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float]]]:
+    prior = running[:-1] + np.repeat(before - running[text_step[:-1]], np.diff(text_step))
+    with np.errstate(divide="ignore"):
+        np.log(side_lag, out=side_lag)
+    side_lag -= prior
+    return Walk(arcs, np.repeat(unit, steps), text_step, prior, side_arc, side_lag, value)
+
+
+def _units(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many units each text has, and all units: spaces and what follows them up to the next space.
+
+    A text has a space mark put before it and marks for its spaces; an empty one has no units.
+    """
+    texts = texts.cast(pa.large_string())
+    marked = pc.binary_join_element_wise(pa.scalar(SPACE, pa.large_string()), pc.replace_substring(texts, " ", SPACE), pa.scalar("", pa.large_string()))
+    marked = pc.if_else(pc.equal(texts, ""), pa.scalar("", pa.large_string()), marked)
+    at = np.frombuffer(marked.buffers()[1], np.int64)[marked.offset : marked.offset + len(marked) + 1] if len(marked) else np.zeros(1, np.int64)
+    if at[0] == at[-1]:
+        return np.zeros(len(texts), np.int64), pa.array([], pa.large_string())
+    raw = np.frombuffer(marked.buffers()[2], np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    one, two, three = SPACE.encode()
+    space = np.zeros(len(raw), bool)
+    space[:-2] = (raw[:-2] == one) & (raw[1:-1] == two) & (raw[2:] == three)
+    starts = space.copy()
+    starts[3:] &= ~space[:-3]
+    starts[at[:-1][at[:-1] < at[1:]]] = True
+    where = np.flatnonzero(starts)
+    buffers = [None, pa.py_buffer(np.append(where, len(raw))), pa.py_buffer(raw)]
+    return np.diff(np.searchsorted(where, at)), pa.Array.from_buffers(pa.large_string(), len(where), buffers)
+
+
+def sample(texts: list[str] | pa.Array, seeds: np.ndarray, lattice: Lattice, k: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float]]]:
     """For each text up to ``k`` distinct segmentations as (ids, log-probability, inclusion chance), best first.
 
     The inclusion chance is that of the sample's perturbed value to pass the best value not taken; it is one
     where all segmentations are taken.
     """
-    split = [UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-    counts = np.array([len(u) for u in split], np.int64)
+    counts, split = _units(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
     bounds = np.concatenate(([0], np.cumsum(counts)))
-    coded = pa.array(list(chain.from_iterable(split)), pa.string()).dictionary_encode()
+    coded = split.dictionary_encode()
     kinds = lattice.numbers(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
     place = np.arange(len(kinds)) - np.repeat(bounds[:-1], counts)
     n = len(texts)
     root = -np.log(_clock(seeds))
     noise = mix(np.repeat(seeds, counts) + (place.astype(np.uint64) + np.uint64(1)) * BASE)
-    first = walk(lattice, lattice.first[kinds], np.arange(len(kinds)), bounds, noise, root, np.zeros(n))
+    first = walk(lattice, lattice.first[kinds], np.arange(len(kinds)), bounds, noise, root, np.zeros(n), k)
     # Of each walk, for each of its texts: the whole path it ends, and how many of its arcs came before the walk.
     walks = [first]
     paths = [[(first.arcs[a:b], 0) for a, b in zip(first.step[:-1].tolist(), first.step[1:].tolist(), strict=True)]]
@@ -315,8 +396,8 @@ def sample(texts: list[str], seeds: np.ndarray, lattice: Lattice, k: int = SAMPL
         for i in going:
             value, w, local, at = open_sides[i].pop(0)
             source = walks[w]
-            where = int(np.searchsorted(source.side, at, "right")) - 1
-            arc, own = int(source.side_arc[at]), int(source.unit[where])
+            rank, where = divmod(at, len(source.arcs))
+            arc, own = int(source.side_arc[rank, where]), int(source.unit[where])
             path, given = paths[w][local]
             stems.append(np.append(path[: given + where - int(source.step[local])], arc))
             rest = np.arange(own + 1, bounds[i + 1])
@@ -328,7 +409,7 @@ def sample(texts: list[str], seeds: np.ndarray, lattice: Lattice, k: int = SAMPL
             befores.append(source.before[where] + lattice.log_chance[arc])
         unit = np.concatenate(units)
         fresh = mix(noise[unit] + np.uint64(round_ * int(ROUND) % (1 << 64)))
-        now = walk(lattice, np.concatenate(nodes), unit, np.array(starts), fresh, np.array(values), np.array(befores))
+        now = walk(lattice, np.concatenate(nodes), unit, np.array(starts), fresh, np.array(values), np.array(befores), k - round_)
         walks.append(now)
         paths.append([])
         for j, (i, stem) in enumerate(zip(going, stems, strict=True)):
@@ -339,21 +420,22 @@ def sample(texts: list[str], seeds: np.ndarray, lattice: Lattice, k: int = SAMPL
     out = []
     for mine, sides in zip(found, open_sides, strict=True):
         rows = []
-        for arcs in mine:
-            chance = float(lattice.log_chance[arcs].sum())
+        for path in mine:
+            chance = float(lattice.log_chance[path].sum())
             include = float(-np.expm1(-np.exp(min(chance - sides[0][0], 50)))) if sides else 1.0
-            rows.append((_ids(lattice.name[arcs]), chance, include))
+            rows.append((_ids(lattice.name[path]), chance, include))
         out.append(rows)
     return out
 
 
 def _sides(source: Walk, w: int, local: int, most: int, known: list[tuple[float, int, int, int]]) -> list[tuple[float, int, int, int]]:
     """The ``most`` best open prefixes of a text as (value, walk, text in the walk, side), best first."""
-    lo, hi = int(source.side[source.step[local]]), int(source.side[source.step[local + 1]])
-    lags = source.side_lag[lo:hi]
+    lo, hi = int(source.step[local]), int(source.step[local + 1])
+    lags = source.side_lag[:, lo:hi].ravel()
     top = np.argpartition(lags, most)[:most] if len(lags) > most else np.arange(len(lags))
+    top = top[lags[top] < np.inf]
     values = -np.logaddexp(-source.value[local], lags[top])
-    new = [(v, w, local, lo + t) for v, t in zip(values.tolist(), top.tolist(), strict=True)]
+    new = [(v, w, local, t // (hi - lo) * len(source.arcs) + lo + t % (hi - lo)) for v, t in zip(values.tolist(), top.tolist(), strict=True)]
     return sorted(known + new, key=lambda x: (-x[0], x[1], x[3]))[:most]
 
 
@@ -375,11 +457,12 @@ _LATTICES: dict[tuple[str, float], Lattice] = {}
 
 
 def _lattice(path: str, temperature: float) -> Lattice:
-    """This worker's lattice of the words met so far; it starts anew when it has grown large."""
+    """This worker's lattice of the words met so far; when it has grown large, words met once are dropped."""
     known = _LATTICES.get((path, temperature))
-    if known is None or len(known.target) > MOST_ARCS:
-        pieces = known.pieces if known else Pieces(path, temperature)
-        known = _LATTICES[path, temperature] = Lattice(pieces)
+    if known is None:
+        known = _LATTICES[path, temperature] = Lattice(Pieces(path, temperature))
+    if known.arcs > MOST_ARCS:
+        known.forget(MOST_ARCS // 2)
     return known
 
 
@@ -399,11 +482,10 @@ def encode_samples(docs: DataFrame, model: str, k: int = SAMPLES, temperature: f
                 lattice = _lattice(model, temperature)
                 pieces = lattice.pieces
                 part = batch.slice(i, j - i)
-                texts = part.column("text").to_pylist()
+                texts = part.column("text")
                 k1, k2 = (np.asarray(part.column(c)).view(np.uint64) for c in ("k1", "k2"))
                 rows = []
-                for at, (text, found) in enumerate(zip(texts, sample(texts, mix(k1 ^ mix(k2)), lattice, k), strict=True)):
-                    raw = text.encode()
+                for at, (raw, found) in enumerate(zip(texts.cast(pa.binary()).to_pylist(), sample(texts, mix(k1 ^ mix(k2)), lattice, k), strict=True)):
                     for number, (ids, chance, include) in enumerate(found):
                         crc = zlib.crc32(ids.astype("<u4").tobytes())
                         rows.append((at, number, len(ids), chance, include, crc, pieces.decode(ids) == raw, ids if with_ids else None))

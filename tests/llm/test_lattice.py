@@ -1,10 +1,12 @@
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marketloom.llm.common import mix
-from marketloom.llm.lattice import FIRST_PIECE, SPACE, Lattice, Pieces, decode, encode_samples, sample
+from marketloom.llm.lattice import FIRST_PIECE, SPACE, Lattice, Pieces, _units, decode, encode_samples, sample
 from marketloom.llm.queries import PIECES, tokenizer_path
 
 TEXTS = [None, "", " ", "a", "the cat", "  two  spaces ", "line\n\tnext", "été ａ 字x 𝄞", "x" * 3000, "word " * 800, "end\n"]
@@ -89,3 +91,27 @@ def test_round_trip_and_columns(spark, pieces):
         assert r.text == ("no id" if r.doc_id is None else TEXTS[r.doc_id] or "")
     assert [r.n_pieces for r in found if r.doc_id in (0, 1)] == [0, 0]
     assert encode_samples(docs.limit(0), path).count() == 0
+
+
+def test_units_are_spaces_and_what_follows():
+    texts = [t or "" for t in TEXTS] + ["", "▁", "a▁", "▁▁x▁ ", " a", "字 字"]
+    wanted = [re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+    counts, units = _units(pa.array(texts))
+    assert counts.tolist() == [len(w) for w in wanted] and units.to_pylist() == [u for w in wanted for u in w]
+
+
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_samples_are_the_same_after_words_were_dropped(pieces, most):
+    def plain(found):
+        return [(ids.tolist(), round(chance, 9), round(include, 9)) for f in found for ids, chance, include in f]
+
+    texts = ["on a mat", "the cat sat", "a mat", "on the 字 x"] * 3
+    wanted = [plain(sample([t], seeds(1, i), Lattice(pieces), 3)) for i, t in enumerate(texts)]
+    lattice, found = Lattice(pieces), []
+    for i, t in enumerate(texts):
+        found.append(plain(sample([t], seeds(1, i), lattice, 3)))
+        if i % 5 == 4:
+            before = len(lattice.number)
+            lattice.forget(most)
+            assert len(lattice.number) < before and bool(lattice.number) == (most > 0)
+    assert found == wanted
