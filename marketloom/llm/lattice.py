@@ -26,8 +26,9 @@ FIRST_BYTE = 3
 TEMPERATURE = 1.0
 UNKNOWN_PENALTY = 10.0
 SAMPLES = 2
-SLICE = 1 << 20
+SLICE = 2 << 20
 MOST_ARCS = 3_000_000
+UNITS_TOGETHER = 4096
 # Odd multipliers for hashing.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 ROUND = np.uint64(0xD6E8FEB86659FD93)
@@ -115,23 +116,26 @@ class Lattice:
 
     def numbers(self, units: list[str]) -> np.ndarray:
         """The numbers of distinct units; those not known yet are added."""
-        known = len(self.number)
         new = [u for u in units if u not in self.number]
-        if new:
-            self.number.update(zip(new, range(known, known + len(new)), strict=True))
-            more = _Arcs(new, self.pieces)
-            self.first = _put(self.first, known, more.first + self.nodes)
-            self.start = _put(self.start, self.nodes, more.start + self.arcs)
-            self.target = _put(self.target, self.arcs, more.target + self.nodes)
-            self.name, self.last = _put(self.name, self.arcs, more.name), _put(self.last, self.arcs, more.last)
-            self.log_chance = _put(self.log_chance, self.arcs, more.log_chance)
-            self.inverse_chance = _put(self.inverse_chance, self.arcs, np.exp(-more.log_chance))
-            self.met = _put(self.met, known, np.zeros(len(new), np.int64))
-            self.nodes, self.arcs = self.nodes + int(more.first[-1]), self.arcs + len(more.target)
+        for at in range(0, len(new), UNITS_TOGETHER):
+            self._add(new[at : at + UNITS_TOGETHER])
         found = np.array([self.number[u] for u in units], np.int64)
         self.met[found] += 1
         return found
 
+    def _add(self, new: list[str]) -> None:
+        known = len(self.number)
+        self.number.update(zip(new, range(known, known + len(new)), strict=True))
+        more = _Arcs(new, self.pieces)
+        self.first = _put(self.first, known, more.first + self.nodes)
+        self.start = _put(self.start, self.nodes, more.start + self.arcs)
+        self.target = _put(self.target, self.arcs, more.target + self.nodes)
+        self.name, self.last = _put(self.name, self.arcs, more.name), _put(self.last, self.arcs, more.last)
+        self.log_chance = _put(self.log_chance, self.arcs, more.log_chance)
+        self.inverse_chance = _put(self.inverse_chance, self.arcs, np.exp(-more.log_chance))
+        self.met = _put(self.met, known, np.zeros(len(new), np.int64))
+        self.nodes, self.arcs = self.nodes + int(more.first[-1]), self.arcs + len(more.target)
+
     def forget(self, most: int) -> None:
         """Drops the units that were asked for once; all units where the others have more than ``most`` arcs."""
         n = len(self.number)
@@ -251,97 +255,82 @@ def _clock(seed: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Walk:
-    """Paths of some texts, one after the other: arcs taken, and the best of the arcs beside them.
+    """Paths of some texts, one after the other: arcs taken, and how far the next best arc of each step is behind.
 
-    unit: the unit of each step; step: where each text's steps start, and the end; before: the log-probability
-    ahead of each step; side_arc, side_lag: for each step its best other arcs, and how far each of them is
-    behind (infinite where there is none). A side's perturbed value is -log(exp(-value) + exp(lag)), with the
-    value of the text's path.
+    node, seed, unit: of each unit its first node, its noise and its number; first: where each unit's steps start, and
+    the end; step: the same for texts; before: the log-probability ahead of each step; side_lag: infinite where
+    a step has one arc only. A side's perturbed value is -log(exp(-value) + exp(lag)), with the value of the
+    text's path.
     """
 
-    arcs: np.ndarray
+    node: np.ndarray
+    seed: np.ndarray
     unit: np.ndarray
+    first: np.ndarray
+    arcs: np.ndarray
     step: np.ndarray
     before: np.ndarray
-    side_arc: np.ndarray
     side_lag: np.ndarray
     value: np.ndarray
 
 
-def walk(lattice: Lattice, node: np.ndarray, unit: np.ndarray, bounds: np.ndarray, seed: np.ndarray, value: np.ndarray, before: np.ndarray, most: int) -> Walk:
+def _rings(lattice: Lattice, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(arc, when its clock rings) of every arc of some nodes; where each node's arcs start, and how many they are."""
+    begin = lattice.start[node]
+    width = lattice.start[node + 1] - begin
+    offset = np.cumsum(width) - width
+    count = np.arange(width.sum())
+    noise = np.repeat(seed - offset.astype(np.uint64), width)
+    noise += count.view(np.uint64)
+    arc = np.repeat(begin - offset, width)
+    arc += count
+    rings = _clock(noise)
+    rings *= lattice.inverse_chance[arc]
+    return arc, rings, offset, width
+
+
+def walk(lattice: Lattice, node: np.ndarray, unit: np.ndarray, bounds: np.ndarray, seed: np.ndarray, value: np.ndarray, before: np.ndarray) -> Walk:
     """Follows each text's best path from the given nodes of its units to their ends.
 
     Of the arcs of a node the one whose clock rings first is taken; a clock is exponential noise over the arc's
     chance. bounds: where each text's units start; seed: noise of each unit; value: the perturbed value of each
-    text's prefix, which the best path keeps; before: the prefix's log-probability; most: how many sides of a
-    text will be asked for, so no step needs more.
+    text's prefix, which the best path keeps; before: the prefix's log-probability.
     """
     active, here, depth = np.arange(len(node)), node, 0
     steps = np.zeros(len(node), np.int64)
-    levels: list[tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]] = []
+    levels: list[tuple[np.ndarray, ...]] = []
     while len(active):
         chosen = lattice.start[here]
-        degree = lattice.start[here + 1] - chosen
-        fork = np.flatnonzero(degree > 1)
-        sides: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        fork = np.flatnonzero(lattice.start[here + 1] - chosen > 1)
+        lags = np.zeros(0)
         if len(fork):
-            width = degree[fork]
-            offset = np.cumsum(width) - width
-            count = np.arange(offset[-1] + width[-1])
-            noise = np.repeat(seed[active[fork]] + np.uint64(depth << 20) - offset.astype(np.uint64), width)
-            noise += count.view(np.uint64)
-            arc = np.repeat(chosen[fork] - offset, width)
-            arc += count
-            lag = _clock(noise)
-            lag *= lattice.inverse_chance[arc]
-            lag -= np.repeat(np.minimum.reduceat(lag, offset), width)
-            won = _firsts(lag, np.zeros(len(fork)), offset, width, len(fork))
+            arc, rings, offset, width = _rings(lattice, here[fork], seed[active[fork]] + np.uint64(depth << 20))
+            least = np.minimum.reduceat(rings, offset)
+            won = np.flatnonzero(rings == np.repeat(least, width))
+            if len(won) > len(fork):
+                won = won[np.diff(np.searchsorted(offset, won, "right"), prepend=0) != 0]
             chosen[fork] = arc[won]
-            for _ in range(min(most, int(width.max()) - 1)):
-                lag[won] = np.inf
-                least = np.minimum.reduceat(lag, offset)
-                there = np.flatnonzero(least < np.inf)
-                won = _firsts(lag, np.where(least < np.inf, least, -1.0), offset, width, len(there))
-                sides.append((fork[there], arc[won], lag[won]))
-        levels.append((active, chosen, sides))
+            rings[won] = np.inf
+            lags = np.minimum.reduceat(rings, offset) - least
+        levels.append((active, chosen, fork, lags))
         steps[active] += 1
         going = ~lattice.last[chosen]
         here = lattice.target[chosen[going]]
         active = active[going]
         depth += 1
-    return _assembled(lattice, levels, steps, unit, bounds, value, before)
-
-
-def _firsts(lag: np.ndarray, wanted: np.ndarray, offset: np.ndarray, width: np.ndarray, groups: int) -> np.ndarray:
-    """Where each group of ``lag`` first has its wanted value; only ``groups`` of them have it at all."""
-    at = np.flatnonzero(lag == np.repeat(wanted, width))
-    if len(at) == groups:
-        return at
-    group = np.searchsorted(offset, at, "right")
-    return at[np.diff(group, prepend=-1) != 0]
-
-
-def _assembled(lattice: Lattice, levels: list, steps: np.ndarray, unit: np.ndarray, bounds: np.ndarray, value: np.ndarray, before: np.ndarray) -> Walk:
-    """Puts what the units' steps found, level by level, in the order of the texts."""
     first = np.concatenate(([0], np.cumsum(steps)))
-    total = int(first[-1])
-    kept = max((len(sides) for *_, sides in levels), default=0)
-    arcs = np.empty(total, np.int64)
-    side_arc, side_lag = np.zeros((kept, total), np.int64), np.full((kept, total), np.inf)
-    for depth, (active, chosen, sides) in enumerate(levels):
+    arcs, side_lag = np.empty(int(first[-1]), np.int64), np.full(int(first[-1]), np.inf)
+    for depth, (active, chosen, fork, lags) in enumerate(levels):
         place = first[active] + depth
         arcs[place] = chosen
-        for rank, (fork, arc, lag) in enumerate(sides):
-            at = place[fork]
-            side_arc[rank, at], side_lag[rank, at] = arc, lag
-    text_step = first[bounds]
-    chance = lattice.log_chance[arcs]
-    running = np.concatenate(([0.0], np.cumsum(chance)))
-    prior = running[:-1] + np.repeat(before - running[text_step[:-1]], np.diff(text_step))
+        side_lag[place[fork]] = lags
+    step = first[bounds]
+    running = np.concatenate(([0.0], np.cumsum(lattice.log_chance[arcs])))
+    prior = running[:-1] + np.repeat(before - running[step[:-1]], np.diff(step))
     with np.errstate(divide="ignore"):
         np.log(side_lag, out=side_lag)
     side_lag -= prior
-    return Walk(arcs, np.repeat(unit, steps), text_step, prior, side_arc, side_lag, value)
+    return Walk(node, seed, unit, first, arcs, step, prior, side_lag, value)
 
 
 def _units(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -382,22 +371,21 @@ def sample(texts: list[str] | pa.Array, seeds: np.ndarray, lattice: Lattice, k:
     n = len(texts)
     root = -np.log(_clock(seeds))
     noise = mix(np.repeat(seeds, counts) + (place.astype(np.uint64) + np.uint64(1)) * BASE)
-    first = walk(lattice, lattice.first[kinds], np.arange(len(kinds)), bounds, noise, root, np.zeros(n), k)
+    first = walk(lattice, lattice.first[kinds], np.arange(len(kinds)), bounds, noise, root, np.zeros(n))
     # Of each walk, for each of its texts: the whole path it ends, and how many of its arcs came before the walk.
     walks = [first]
     paths = [[(first.arcs[a:b], 0) for a, b in zip(first.step[:-1].tolist(), first.step[1:].tolist(), strict=True)]]
     found = [[path] for path, _ in paths[0]]
-    open_sides: list[list[tuple[float, int, int, int]]] = [_sides(first, 0, i, k, []) for i in range(n)]
+    open_sides = _sides(lattice, first, 0, k, [[] for _ in range(n)])
     for round_ in range(1, k):
         going = [i for i in range(n) if open_sides[i]]
         if not going:
             break
         nodes, units, starts, values, befores, stems = [], [], [0], [], [], []
         for i in going:
-            value, w, local, at = open_sides[i].pop(0)
+            value, w, local, where, arc = open_sides[i].pop(0)
             source = walks[w]
-            rank, where = divmod(at, len(source.arcs))
-            arc, own = int(source.side_arc[rank, where]), int(source.unit[where])
+            own = int(source.unit[np.searchsorted(source.first, where, "right") - 1])
             path, given = paths[w][local]
             stems.append(np.append(path[: given + where - int(source.step[local])], arc))
             rest = np.arange(own + 1, bounds[i + 1])
@@ -409,14 +397,15 @@ def sample(texts: list[str] | pa.Array, seeds: np.ndarray, lattice: Lattice, k:
             befores.append(source.before[where] + lattice.log_chance[arc])
         unit = np.concatenate(units)
         fresh = mix(noise[unit] + np.uint64(round_ * int(ROUND) % (1 << 64)))
-        now = walk(lattice, np.concatenate(nodes), unit, np.array(starts), fresh, np.array(values), np.array(befores), k - round_)
+        now = walk(lattice, np.concatenate(nodes), unit, np.array(starts), fresh, np.array(values), np.array(befores))
         walks.append(now)
         paths.append([])
         for j, (i, stem) in enumerate(zip(going, stems, strict=True)):
             path = np.concatenate((stem, now.arcs[now.step[j] : now.step[j + 1]]))
             paths[-1].append((path, len(stem)))
             found[i].append(path)
-            open_sides[i] = _sides(now, len(walks) - 1, j, k - round_, open_sides[i])
+        for i, sides in zip(going, _sides(lattice, now, len(walks) - 1, k - round_, [open_sides[i] for i in going]), strict=True):
+            open_sides[i] = sides
     out = []
     for mine, sides in zip(found, open_sides, strict=True):
         rows = []
@@ -428,15 +417,32 @@ def sample(texts: list[str] | pa.Array, seeds: np.ndarray, lattice: Lattice, k:
     return out
 
 
-def _sides(source: Walk, w: int, local: int, most: int, known: list[tuple[float, int, int, int]]) -> list[tuple[float, int, int, int]]:
-    """The ``most`` best open prefixes of a text as (value, walk, text in the walk, side), best first."""
-    lo, hi = int(source.step[local]), int(source.step[local + 1])
-    lags = source.side_lag[:, lo:hi].ravel()
-    top = np.argpartition(lags, most)[:most] if len(lags) > most else np.arange(len(lags))
-    top = top[lags[top] < np.inf]
-    values = -np.logaddexp(-source.value[local], lags[top])
-    new = [(v, w, local, t // (hi - lo) * len(source.arcs) + lo + t % (hi - lo)) for v, t in zip(values.tolist(), top.tolist(), strict=True)]
-    return sorted(known + new, key=lambda x: (-x[0], x[1], x[3]))[:most]
+def _sides(lattice: Lattice, source: Walk, w: int, most: int, known: list[list[tuple]]) -> list[list[tuple[float, int, int, int, int]]]:
+    """The ``most`` best open prefixes of each text as (value, walk, text in the walk, step, arc), best first.
+
+    They branch off the ``most`` steps with the least lags; only these steps' arcs are looked at again.
+    """
+    picks = []
+    for lo, hi in zip(source.step[:-1].tolist(), source.step[1:].tolist(), strict=True):
+        lags = source.side_lag[lo:hi]
+        top = np.argpartition(lags, most)[:most] if len(lags) > most else np.arange(len(lags))
+        picks.append(lo + top[lags[top] < np.inf])
+    step = np.concatenate([np.zeros(0, np.int64), *picks])
+    text = np.repeat(np.arange(len(picks)), [len(p) for p in picks])
+    if not len(step):
+        return known
+    own = np.searchsorted(source.first, step, "right") - 1
+    depth = step - source.first[own]
+    node = np.where(depth == 0, source.node[own], lattice.target[source.arcs[step - 1]])
+    arc, rings, offset, width = _rings(lattice, node, source.seed[own] + (depth << 20).astype(np.uint64))
+    other = arc != np.repeat(source.arcs[step], width)
+    lag = (rings - np.repeat(np.minimum.reduceat(rings, offset), width))[other]
+    text, step, arc = np.repeat(text, width)[other], np.repeat(step, width)[other], arc[other]
+    lag = np.log(lag, out=np.full(len(lag), -np.inf), where=lag > 0) - source.before[step]
+    values = (-np.logaddexp(-source.value[text], lag)).tolist()
+    new = list(zip(values, [w] * len(values), text.tolist(), step.tolist(), arc.tolist(), strict=True))
+    ends = np.searchsorted(text, np.arange(len(known) + 1)).tolist()
+    return [sorted(mine + new[a:b], key=lambda x: (-x[0], x[1], x[3], x[4]))[:most] for mine, a, b in zip(known, ends[:-1], ends[1:], strict=True)]
 
 
 def _ids(names: np.ndarray) -> np.ndarray:
