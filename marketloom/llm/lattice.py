@@ -12,6 +12,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -69,9 +70,9 @@ class Pieces:
         self.keys, self.ids = self.keys[order], self.ids[order]
         self.bucket = np.searchsorted(slot[order], np.arange((1 << self.bits) + 1))
         self.deepest = int(np.diff(self.bucket).max())
-        sizes = np.array([len(s) for s in self.spelling])
+        self.sizes = np.array([len(s) for s in self.spelling])
         self.spelt = np.frombuffer(b"".join(self.spelling), np.uint8)
-        self.spelt_at = np.concatenate(([0], np.cumsum(sizes)))
+        self.spelt_at = np.concatenate(([0], np.cumsum(self.sizes)))
 
     @staticmethod
     def step(value: int, char: int) -> int:
@@ -93,7 +94,7 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of pieces: exact for texts without the space mark, bytes included."""
-        size = self.spelt_at[ids + 1] - self.spelt_at[ids]
+        size = self.sizes[ids]
         at = np.repeat(self.spelt_at[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         return self.spelt[at].tobytes()[1:]
 
@@ -116,10 +117,12 @@ class Lattice:
 
     def numbers(self, units: list[str]) -> np.ndarray:
         """The numbers of distinct units; those not known yet are added."""
-        new = [u for u in units if u not in self.number]
+        found = np.fromiter(map(self.number.get, units, repeat(-1)), np.int64, len(units))
+        missing = np.flatnonzero(found < 0)
+        found[missing] = len(self.number) + np.arange(len(missing))
+        new = [units[i] for i in missing.tolist()]
         for at in range(0, len(new), UNITS_TOGETHER):
             self._add(new[at : at + UNITS_TOGETHER])
-        found = np.array([self.number[u] for u in units], np.int64)
         self.met[found] += 1
         return found
 
@@ -178,7 +181,7 @@ class _Arcs:
 
     def __init__(self, units: list[str], pieces: Pieces):
         chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.uint64)
-        sizes = np.array([len(u) for u in units], np.int64)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
         self.first = np.concatenate(([0], np.cumsum(sizes)))
         n = len(chars)
         left = np.repeat(self.first[1:], sizes) - np.arange(n)
