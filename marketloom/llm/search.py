@@ -2,8 +2,9 @@
 
 Every shard has the postings of its documents, in blocks of similar documents, and for its frequent terms
 the largest weight in each block. What the rare terms give a document, and the block maxima of the
-frequent ones, bound its score: only documents that can reach the k-th best score so far are scored in
-full. Term statistics are global, so the shards' best lists merge to the exact answer.
+frequent ones, bound its score. Many queries are answered together: a panel of blocks is scored, by one product of
+matrices, for those of them that it can give one of the k best, and only documents near the k-th best score are
+scored in double precision. Term statistics are global, so the shards' best lists merge to the exact answer.
 
 A fixed number of slots share the documents. A slot's task holds the queries, makes one shard after the other
 of the documents that stream in, and keeps the best of all its shards, so queries are sent and answers
@@ -25,11 +26,16 @@ from marketloom.llm.common import BY_ALNUM, Words, group_bounds, slices, store
 
 K1, B = 1.2, 0.75
 BLOCK = 64
-DENSE_SHARE = 1 / 16
-MOST_DENSE = 256
+PANEL = 8
+DENSE_SHARE = 1 / 40
+DENSE_CELLS = 4 << 20
+MARGIN = 1e-3
+TERMS = 1 << 20
+POSTINGS = 1 << 16
+SCORES = 1 << 21
 SHARD_BYTES = 20 << 20
 SLOTS = 48
-QUERY_BYTES = 64 << 20
+QUERY_BYTES = 96 << 20
 DECIMALS = 6
 
 
@@ -86,6 +92,16 @@ def weighted_queries(queries: DataFrame, stats: DataFrame, n_docs: int) -> DataF
     return lists.select("query_id", "query_key", words.alias("text"), F.col("terms.weight").alias("weights"))
 
 
+def stretches(ends: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of items whose sizes, given by their running sums, add up to about ``limit``; a larger item is a range of its own."""
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield start, stop
+        start = stop
+
+
 class Shard:
     """The inverted index of some documents."""
 
@@ -113,103 +129,178 @@ class Shard:
         del parts, terms, coded
         # Documents with the same most repeated term and about the same length are neighbours: tighter maxima.
         df = np.bincount(term, minlength=len(self.terms))
-        by_doc = np.lexsort((tf, doc))
-        last = np.flatnonzero(np.diff(doc[by_doc], append=n))
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
         common = np.full(n, -1, np.int32)
-        common[doc[by_doc][last]] = term[by_doc][last]
-        del by_doc
+        if len(first):
+            common[doc[first]] = term[np.maximum.reduceat(tf.astype(np.int64) * len(tf) + np.arange(len(tf)), first) % len(tf)]
         order = np.lexsort((sizes, common))
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.ids, self.null = self.ids[order], self.null[order]
         norm = K1 * (1 - B + B * sizes / max(average, 1e-9))
         impact = tf * (K1 + 1) / (tf + norm[doc])
-        doc = place[doc].astype(np.int32)
-        by_term = np.lexsort((doc, term))
-        del tf, term
-        self.doc, self.impact = doc[by_term], impact[by_term]
+        doc = place[doc]
+        by_term = np.argsort(term.astype(np.int64) * n + doc)
+        tf, self.doc, self.impact = tf[by_term], doc[by_term], impact[by_term]
+        del by_term, doc, impact, term
+        self.norm = norm[order]
         self.start = np.concatenate(([0], np.cumsum(df)))
-        self.block = np.arange(n) // BLOCK
+        self.block = BLOCK
+        self.width = -(-n // (PANEL * BLOCK)) * PANEL * BLOCK
         frequent = np.flatnonzero(df > max(n * DENSE_SHARE, BLOCK))
-        frequent = frequent[np.argsort(-df[frequent], kind="stable")][:MOST_DENSE]
+        frequent = frequent[np.argsort(-df[frequent], kind="stable")][: DENSE_CELLS // max(self.width, 1)]
         self.row = np.full(len(self.terms), -1)
         self.row[frequent] = np.arange(len(frequent))
-        self.dense = np.zeros((len(frequent), n))
+        self.light = np.zeros((self.width, len(frequent)), np.float32)
+        self.tf = np.zeros((len(frequent), n), np.min_scalar_type(int(tf.max(initial=0))))
         for row, t in enumerate(frequent.tolist()):
             some = slice(self.start[t], self.start[t + 1])
-            self.dense[row, self.doc[some]] = self.impact[some]
-        edges = np.arange(0, n, BLOCK)
-        self.maxima = np.maximum.reduceat(self.dense, edges, axis=1) if len(frequent) and n else np.zeros((len(frequent), len(edges)))
+            self.light[self.doc[some], row] = self.impact[some]
+            self.tf[row, self.doc[some]] = tf[some]
+        self.maxima = self.light.reshape(self.width // BLOCK, BLOCK, len(frequent)).max(axis=1)
 
     def numbers(self, terms: pa.Array) -> np.ndarray:
         return np.asarray(pc.fill_null(pc.index_in(terms.cast(self.terms.type), value_set=self.terms), -1), dtype=np.int64)
 
-    def best(self, term: np.ndarray, weight: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, rounded scores) of the k best by score, then id; only scores above zero.
+    def best(self, of: np.ndarray, term: np.ndarray, weight: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, document, rounded score) of all documents that can be among the k best of some queries; only scores above zero.
 
-        Documents that stay under ``least`` may be left out.
+        of: the query of each term, ascending, from 0 to the number of ``least``. Documents that stay under the query's ``least``
+        may be left out. Single precision only chooses the documents: weights and impacts are not negative, so its error is a share of
+        the score, under ``MARGIN``.
         """
-        here = term >= 0
-        term, weight = term[here], weight[here]
-        row = self.row[term]
-        rare, dense, w = term[row < 0], row[row >= 0], weight[row >= 0]
-        sizes = self.start[rare + 1] - self.start[rare]
-        at = np.repeat(self.start[rare] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        known = np.bincount(self.doc[at], weights=self.impact[at] * np.repeat(weight[row < 0], sizes), minlength=len(self.ids))
-        bound = known + (w @ self.maxima[dense])[self.block]
-        floor = least
-        if len(bound) > 4 * k:
-            likely = np.argpartition(bound, -4 * k)[-4 * k :]
-            floor = max(floor, np.partition(known[likely] + w @ self.dense[np.ix_(dense, likely)], -k)[-k])
-        chosen = np.flatnonzero(bound >= floor - 2 * 10.0**-DECIMALS)
-        if len(chosen) > len(bound) // 2:
-            score = (known + w @ self.dense[dense])[chosen]
-        else:
-            score = known[chosen] + w @ self.dense[np.ix_(dense, chosen)]
-        score = np.round(score, DECIMALS)
-        top = np.lexsort((self.ids[chosen], self.null[chosen], -score))[:k]
-        top = top[score[top] > 0]
-        return chosen[top], score[top]
+        m, row = len(least), self.row[term]
+        rare = row < 0
+        known = self._rare_scores(of[rare], term[rare], weight[rare], m)
+        of, row, weight = of[~rare], row[~rare], weight[~rare]
+        used, column = np.unique(row, return_inverse=True)
+        if 2 * len(used) > len(self.tf):
+            used, column = slice(None), row
+        light = np.zeros((m, len(self.tf[used])), np.float32)
+        light[of, column] = weight
+        bound = known.reshape(m, -1, self.block).max(axis=2) + light @ self.maxima[:, used].T
+        bound = bound.reshape(m, -1, PANEL).max(axis=2) * (1 + MARGIN)
+        floor = np.maximum((least - 2 * 10.0**-DECIMALS) * (1 - MARGIN), 0.4 * 10.0**-DECIMALS)
+        ahead = np.zeros(bound.shape, bool)
+        ahead[np.arange(m), bound.argmax(axis=1)] = True
+        size, found = PANEL * self.block, []
+        # The panel with the greatest bound comes first: its k-th best score tells which others are worth scoring.
+        for now in (True, False):
+            wanted = (ahead == now) & (bound >= floor[:, None])
+            for panel in np.flatnonzero(wanted.any(axis=0)).tolist():
+                queries, docs = np.flatnonzero(wanted[:, panel]), slice(panel * size, (panel + 1) * size)
+                score = known[queries, docs] + (self.light[docs, used] @ light[queries].T).T
+                if now and k <= size:
+                    floor[queries] = np.maximum(floor[queries], np.partition(score, -k, axis=1)[:, -k] * (1 - MARGIN) ** 2)
+                q, d = np.nonzero(score >= floor[queries, None])
+                found.append((queries[q], d + panel * size, score[q, d]))
+        q, d, score = map(np.concatenate, zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        order = np.lexsort((-score, q))
+        q, d, score = q[order], d[order], score[order]
+        kth = np.searchsorted(q, np.arange(m)) + k - 1
+        full = np.flatnonzero(kth < np.searchsorted(q, np.arange(m), "right"))
+        floor[full] = np.maximum(floor[full], score[kth[full]] * (1 - MARGIN) ** 2)
+        near = score >= floor[q]
+        q, d = q[near], d[near]
+        score = np.round(known[q, d] + self._frequent_scores(q, d, of, row, weight, m), DECIMALS)
+        return q[score > 0], d[score > 0], score[score > 0]
+
+    def _rare_scores(self, of: np.ndarray, term: np.ndarray, weight: np.ndarray, m: int) -> np.ndarray:
+        """What the terms give to each document, a row for each of ``m`` queries."""
+        known = np.zeros((m, self.width))
+        sizes = self.start[term + 1] - self.start[term]
+        edges = np.searchsorted(of, np.arange(m + 1))
+        for i, j in stretches(np.concatenate(([0], np.cumsum(sizes)))[edges[1:]], POSTINGS):
+            some = slice(edges[i], edges[j])
+            size = sizes[some]
+            at = np.repeat(self.start[term[some]] - (np.cumsum(size) - size), size)
+            at += np.arange(len(at))
+            cell = np.repeat((of[some] - i) * self.width, size)
+            cell += self.doc[at]
+            given = self.impact[at]
+            given *= np.repeat(weight[some], size)
+            known[i:j] = np.bincount(cell, weights=given, minlength=(j - i) * self.width).reshape(j - i, self.width)
+        return known
+
+    def _frequent_scores(self, q: np.ndarray, d: np.ndarray, of: np.ndarray, row: np.ndarray, weight: np.ndarray, m: int) -> np.ndarray:
+        """What the frequent terms give to document d for query q, in double precision."""
+        start = np.searchsorted(of, np.arange(m + 1))
+        sizes = np.diff(start)[q]
+        out = np.zeros(len(q))
+        for i, j in stretches(np.cumsum(sizes), POSTINGS):
+            some, doc = sizes[i:j], d[i:j]
+            at = np.repeat(start[q[i:j]] - (np.cumsum(some) - some), some)
+            at += np.arange(len(at))
+            pair = np.repeat(np.arange(j - i), some)
+            tf = self.tf[row[at], doc[pair]].astype(float)
+            value = weight[at] * (tf * (K1 + 1) / (tf + self.norm[doc][pair]))
+            out[i:j] = np.bincount(pair, weights=value, minlength=j - i)
+        return out
 
 
 class Asked:
-    """The queries that a task answers, with the best documents found so far."""
+    """The queries that a task answers, with the best documents found so far: a row for each query, zero where there is none."""
 
-    def __init__(self, batches: list[pa.RecordBatch], k: int):
+    def __init__(self, k: int):
         self.k = k
-        self.ids = pa.concat_arrays([b.column("id") for b in batches])
-        self.keys = pa.concat_arrays([b.column("query_key") for b in batches])
-        coded = pa.chunked_array([pc.list_flatten(pc.split_pattern(b.column("text"), " ")).dictionary_encode() for b in batches]).unify_dictionaries()
+        self.parts: list[tuple] = []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        """Keeps numbers for the terms, and copies of the columns, so that the batch can go."""
+        whole, weights = pa.array(np.arange(batch.num_rows)), batch.column("weights")
+        coded = pc.list_flatten(pc.split_pattern(batch.column("text"), " ")).dictionary_encode()
+        lengths = np.array(pc.list_value_length(weights))
+        self.parts.append((batch.column("id").take(whole), batch.column("query_key").take(whole), coded, np.array(pc.list_flatten(weights)), lengths))
+
+    def close(self) -> None:
+        """All queries are there."""
+        ids, keys, coded, weights, lengths = zip(*self.parts, strict=True)
+        self.parts = []
+        self.ids, self.keys = pa.concat_arrays(ids), pa.concat_arrays(keys)
+        self.weight, self.start = np.concatenate(weights), np.concatenate(([0], np.cumsum(np.concatenate(lengths))))
+        del weights
+        coded = pa.chunked_array(coded).unify_dictionaries()
         self.terms = coded.chunk(0).dictionary
         self.term = np.concatenate([np.asarray(c.indices) for c in coded.chunks])
-        lists = [b.column("weights") for b in batches]
-        self.weight = np.concatenate([np.asarray(pc.list_flatten(w)) for w in lists])
-        self.start = np.concatenate(([0], np.cumsum(np.concatenate([np.asarray(pc.list_value_length(w)) for w in lists]))))
-        self.of, self.score = np.zeros(0, np.int64), np.zeros(0)
-        self.doc, self.null = np.zeros(0, np.int64), np.zeros(0, bool)
+        shape = (len(self.ids), self.k)
+        self.score, self.doc, self.null = np.zeros(shape), np.zeros(shape, np.int64), np.zeros(shape, bool)
 
     def answer(self, shard: Shard) -> None:
-        """Adds a shard's documents to the best."""
+        """Adds a shard's documents to the best. Queries with about as many postings of rare terms are answered together."""
         number = shard.numbers(self.terms)
-        full = np.flatnonzero(np.bincount(self.of, minlength=len(self.ids)) == self.k)
-        least = np.zeros(len(self.ids))
-        least[full] = self.score[np.searchsorted(self.of, full, "right") - 1]
-        of, docs, scores = [self.of], [np.zeros(0, np.int64)], [self.score]
-        for q, (a, b) in enumerate(zip(self.start[:-1].tolist(), self.start[1:].tolist(), strict=True)):
-            found, score = shard.best(number[self.term[a:b]], self.weight[a:b], self.k, least[q])
-            of.append(np.full(len(found), q))
-            docs.append(found)
-            scores.append(score)
-        of, score, found = np.concatenate(of), np.concatenate(scores), np.concatenate(docs)
-        doc, null = np.concatenate((self.doc, shard.ids[found])), np.concatenate((self.null, shard.null[found]))
+        for i, j in stretches(self.start[1:], TERMS):
+            start = self.start[i : j + 1] - self.start[i]
+            term = number[self.term[self.start[i] : self.start[j]]]
+            sizes = np.where((term >= 0) & (shard.row[term] < 0), shard.start[term + 1] - shard.start[term], 0)
+            postings = np.diff(np.concatenate(([0], np.cumsum(sizes)))[start])
+            order = np.argsort(postings, kind="stable")
+            for a, b in stretches(np.arange(1, j - i + 1) * shard.width, SCORES):
+                some = order[a:b]
+                count = np.diff(start)[some]
+                of = np.repeat(np.arange(b - a), count)
+                at = np.repeat(start[some] - (np.cumsum(count) - count), count) + np.arange(len(of))
+                here = term[at] >= 0
+                of, at = of[here], at[here]
+                queries = some + i
+                q, d, score = shard.best(of, term[at], self.weight[at + self.start[i]], self.score[queries, -1], self.k)
+                self._add(queries[q], shard.ids[d], shard.null[d], score)
+
+    def _add(self, of: np.ndarray, doc: np.ndarray, null: np.ndarray, score: np.ndarray) -> None:
+        touched = np.unique(of)
+        row, rank = np.nonzero(self.score[touched])
+        row = touched[row]
+        of, score = np.concatenate((of, row)), np.concatenate((score, self.score[row, rank]))
+        doc, null = np.concatenate((doc, self.doc[row, rank])), np.concatenate((null, self.null[row, rank]))
         order = np.lexsort((doc, null, -score, of))
-        first = np.searchsorted(of[order], np.arange(len(self.ids)))
-        order = order[np.arange(len(order)) - first[of[order]] < self.k]
-        self.of, self.score, self.doc, self.null = of[order], score[order], doc[order], null[order]
+        of = of[order]
+        rank = np.arange(len(of)) - np.searchsorted(of, of)
+        of, rank, order = of[rank < self.k], rank[rank < self.k], order[rank < self.k]
+        self.score[of, rank], self.doc[of, rank], self.null[of, rank] = score[order], doc[order], null[order]
 
     def found(self) -> pa.RecordBatch:
-        at = pa.array(self.of)
-        columns = [self.ids.take(at), self.keys.take(at), pa.array(self.doc, mask=self.null), pa.array(self.score)]
+        of, rank = np.nonzero(self.score)
+        at = pa.array(of)
+        columns = [self.ids.take(at), self.keys.take(at), pa.array(self.doc[of, rank], mask=self.null[of, rank]), pa.array(self.score[of, rank])]
         return pa.RecordBatch.from_arrays(columns, names=["query_id", "query_key", "doc_id", "score"])
 
 
@@ -220,7 +311,7 @@ def slot_bests(rows: DataFrame, average: float, k: int, shard_bytes: int) -> Dat
     """
 
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, held, asked, ids, texts, size = None, [], None, [], [], 0
+        task, asked, ids, texts, size = None, None, [], [], 0
         for whole in batches:
             tasks, is_query = np.asarray(whole.column("task")), np.asarray(whole.column("is_query"))
             edges = group_bounds(tasks, is_query).tolist()
@@ -229,16 +320,16 @@ def slot_bests(rows: DataFrame, average: float, k: int, shard_bytes: int) -> Dat
                 if tasks[a] != task:
                     if ids:
                         asked.answer(Shard(ids, texts, average))
-                    if asked:
                         yield asked.found()
-                    task, held, asked, ids, texts, size = tasks[a], [], None, [], [], 0
+                    task, asked, ids, texts, size = tasks[a], None, [], [], 0
                 if is_query[a]:
-                    held.append(batch)
-                    continue
-                if not held and not asked:
+                    asked = asked or Asked(k)
+                    asked.add(batch)
                     continue
                 if not asked:
-                    asked, held = Asked(held, k), []
+                    continue
+                if asked.parts:
+                    asked.close()
                 for i, j in slices(batch.column("text"), shard_bytes):
                     part = batch.slice(i, j - i)
                     more = pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
@@ -250,7 +341,6 @@ def slot_bests(rows: DataFrame, average: float, k: int, shard_bytes: int) -> Dat
                     size += more
         if ids:
             asked.answer(Shard(ids, texts, average))
-        if asked:
             yield asked.found()
 
     schema = "query_id long, query_key long, doc_id long, score double"

@@ -1,8 +1,10 @@
 import random
 import re
 from collections import Counter
+from itertools import groupby
 from math import log
 
+import pyarrow as pa
 import pytest
 
 from marketloom.llm import search
@@ -73,3 +75,50 @@ def test_answers_do_not_grow_with_the_shards(spark, monkeypatch, query_bytes):
     found = [Counter(map(tuple, top_k(docs, asked, 3, size, query_bytes).collect())) for size in (1 << 20, 400)]
     assert found[0] == found[1] == brute(rows, queries, 3)
     assert max(m.count() for m in made) <= 8 * 3 * len(queries)
+
+
+def answers(rows, queries, k, size):
+    """What one task finds with shards of ``size`` documents, ranked."""
+    bags = [Counter(terms(t)) for _, t in rows]
+    df = Counter(t for b in bags for t in b)
+    asked = search.Asked(k)
+    for i in range(0, len(queries), 7):
+        some = [(q, sorted(Counter(terms(t)).items())) for q, t in queries[i : i + 7]]
+        weights = [[times * log(1 + (len(rows) - df[t] + 0.5) / (df[t] + 0.5)) for t, times in bag] for _, bag in some]
+        columns = [pa.array([q for q, _ in some], pa.int64()), pa.array(range(i, i + len(some))), pa.array([" ".join(t for t, _ in bag) for _, bag in some])]
+        asked.add(pa.RecordBatch.from_arrays([*columns, pa.array(weights, pa.list_(pa.float64()))], names=["id", "query_key", "text", "weights"]))
+    asked.close()
+    average = sum(sum(b.values()) for b in bags) / len(rows)
+    for i in range(0, len(rows), size):
+        ids, texts = zip(*rows[i : i + size], strict=True)
+        asked.answer(search.Shard([pa.array(ids, pa.int64())], [pa.array(texts, pa.string())], average))
+    out = Counter()
+    best = sorted(asked.found().to_pylist(), key=lambda r: (r["query_key"], -r["score"], r["doc_id"] is None, r["doc_id"] or 0))
+    for _, found in groupby(best, key=lambda r: r["query_key"]):
+        out.update((r["query_id"], rank, r["doc_id"], r["score"]) for rank, r in enumerate(found, 1))
+    return out
+
+
+SMALL = {"BLOCK": 4, "PANEL": 2, "DENSE_SHARE": 0.02, "POSTINGS": 300, "TERMS": 500, "SCORES": 600}
+
+
+@pytest.mark.parametrize("cells", [0, 2000, 1 << 22])
+@pytest.mark.parametrize("size", [1000, 37])
+def test_batches_of_queries_equal_brute_force(monkeypatch, cells, size):
+    """Few and many frequent terms, in small batches, and with copies that tie with the k-th best."""
+    for name, value in {**SMALL, "DENSE_CELLS": cells}.items():
+        monkeypatch.setattr(search, name, value)
+    rows = corpus(5, 250)
+    rows += [(400 - i, rows[8][1]) for i in range(30)] + [(None, rows[8][1]), (500, "w1 " * 70_000), (501, None), (502, "..."), (503, "only here")]
+    random.Random(6).shuffle(rows)
+    queries = [(i, t) for i, t in rows if i is not None and i % 8 == 0 and terms(t)] + [(None, "w1 w2"), (900, "unknown only"), (901, "w1 w1 w2"), (902, "here")]
+    assert answers(rows, queries, 6, size) == brute(rows, queries, 6)
+
+
+def test_a_shard_answers_many_queries_at_once(monkeypatch):
+    calls, best = [], search.Shard.best
+    monkeypatch.setattr(search.Shard, "best", lambda self, *given: calls.append(0) or best(self, *given))
+    rows = corpus(7, 200)
+    queries = [(i, t) for i, t in rows if i % 2 == 0]
+    assert answers(rows, queries, 5, 50) == brute(rows, queries, 5)
+    assert len(calls) == 4
