@@ -15,7 +15,7 @@ from marketloom.functions.text import is_batch_date
 from marketloom.operators import audit, contracts, details, dimensions, metrics, quality, serving, summaries
 from marketloom.plans import batch, landing
 from marketloom.schemas import FEEDS, SERVING, table_schema
-from marketloom.session import configure, materialise, shared_folder
+from marketloom.session import configure, materialise, shared_folder, shuffles_removed
 from marketloom.sinks import serving as served
 from marketloom.sinks import tables, versions
 from marketloom.sinks.snapshots import numbered_lines, snapshot_lines
@@ -394,12 +394,16 @@ def numbered_snapshots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def backfilled_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """The yearly feeds landed as files and backfilled in one pass each: the audit of every batch."""
+    """The yearly feeds landed as files and backfilled in one pass each: the audit of every batch.
+
+    The texts repeat their names and addresses in every record, so the files are compressed.
+    """
     configure(spark)
     root, version = _scratch(spark, "backfill"), versions.new_version()
     for source, rows in _feeds(spark, folder).items():
         landed_rows = rows.select("entity", "source", "batch_date", "data", "dt")
-        landed_rows.write.partitionBy("dt").json(versions.version_path(landed.feed_path(root, source), version))
+        with shuffles_removed(spark):
+            landed_rows.write.partitionBy("dt").json(versions.version_path(landed.feed_path(root, source), version), compression="gzip")
     dates = sample.batch_dates(spark, folder, "year")
     names = F.explode(F.array(*[F.lit(source) for source in FEEDS])).alias("name")
     versions.commit(landed.landing_log(root), dates.select(names, F.col("dt").alias("key")), version)

@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +74,20 @@ def shared_folder(spark: SparkSession) -> str:
 SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is written here does not leave its shuffle files behind."""
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back.
 
@@ -80,15 +96,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/marketloom/{uuid.uuid4().hex}/{name}"
-    before = spark.conf.get(SHUFFLES_GO, None)
-    spark.conf.set(SHUFFLES_GO, "true")
-    try:
+    with shuffles_removed(spark):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLES_GO)
-        else:
-            spark.conf.set(SHUFFLES_GO, before)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._marketloom_folder = path
     return stored

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marketloom.schemas import LAYER_OF, columns_of, table_schema
+from marketloom.session import shuffles_removed
 from marketloom.sinks import versions
 
 
@@ -93,7 +94,8 @@ def write_kinds(rows: DataFrame, root: str, table: str, audit_columns: StructTyp
     path = versions.version_path(table_path(root, table), version)
     names = [*columns_of(table).names, *audit_columns.names]
     placed = rows.select(*names, F.when(F.col("kind") == "row", F.col("dt")).otherwise(F.concat(F.lit(RECORDS_OF), "dt")).alias("dt"))
-    placed.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+    with shuffles_removed(rows.sparkSession):
+        placed.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
     stored = StructType([*audit_columns.fields, *table_schema(table).fields[-1:]])
     seen = rows.sparkSession.read.schema(stored).parquet(path).where(F.col("dt").startswith(RECORDS_OF))
     return version, seen.withColumn("dt", F.substring("dt", len(RECORDS_OF) + 1, 10))

@@ -80,15 +80,15 @@ def _headers(spark: SparkSession, folder: str, batches: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Cart lines; flags in lower case on line 6 make categories that differ only in case."""
+def _line_columns() -> list[Column]:
+    """The columns of a cart line; flags in lower case on line 6 make categories that differ only in case."""
     part, number = F.col("l_partkey"), F.col("l_linenumber")
     price = _cents(F.col("l_extendedprice"))
     off = _cents(F.col("l_discount")).cast("int")
     flags = F.concat_ws("-", "l_returnflag", "l_linestatus")
     hint = F.when(number == 6, F.lower(flags)).when(number != 7, flags)
-    return table(spark, folder, "lineitem").select(
-        "l_orderkey",
+    return [
+        F.col("l_orderkey"),
         number.alias("line_number"),
         (part + 1).alias("product_id"),
         F.concat(F.lit("item "), part.cast("string")).alias("product_name"),
@@ -98,7 +98,11 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
         off.cast("decimal(10,2)").alias("discount_percentage"),
         F.when(~_every(part, 47), _amount(_per_cent_off(price, off))).alias("line_discounted_total"),
         hint.alias("category_hint"),
-    )
+    ]
+
+
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").select(*_line_columns())
 
 
 def cart_detail(spark: SparkSession, folder: str, batches: str = "year") -> DataFrame:
@@ -114,10 +118,13 @@ def cart_detail(spark: SparkSession, folder: str, batches: str = "year") -> Data
 
 
 def _paged_lines(spark: SparkSession, folder: str, dirty: bool) -> DataFrame:
-    """JSON lines per cart. A cart of very many lines comes in several ``parts``, evenly; they are still one record."""
-    lines = _lines(spark, folder).withColumn("position", F.monotonically_increasing_id())
+    """JSON lines per cart. A cart of very many lines comes in several ``parts``, evenly; they are still one record.
+
+    The stored columns are dealt out, and the texts made of them where they are gathered: a text has several times their bytes.
+    """
+    stored = table(spark, folder, "lineitem").withColumn("position", F.monotonically_increasing_id())
     crowded = (
-        lines.groupBy("l_orderkey")
+        stored.groupBy("l_orderkey")
         .agg(F.count(F.lit(1)).alias("line_count"))
         .where(F.col("line_count") > LINES_PER_ENVELOPE)
         .select("l_orderkey", F.ceil(F.col("line_count") / LINES_PER_ENVELOPE).alias("pages"))
@@ -133,11 +140,10 @@ def _paged_lines(spark: SparkSession, folder: str, dirty: bool) -> DataFrame:
         F.col("line_discounted_total").alias("discountedTotal"),
         F.concat(F.lit("https://cdn.example.test/product-images/"), F.col("category_hint"), F.lit("/1.webp")).alias("thumbnail"),
     )
-    texts = lines.select("l_orderkey", "position", F.to_json(line).alias("line"))
+    lines = stored.join(crowded, "l_orderkey", "left").select(*_line_columns(), "position", F.coalesce("pages", F.lit(1)).alias("parts"))
+    texts = lines.select("l_orderkey", "parts", F.pmod("position", "parts").alias("page"), F.to_json(line).alias("line"))
     return (
-        texts.join(crowded, "l_orderkey", "left")
-        .withColumn("parts", F.coalesce("pages", F.lit(1)))
-        .groupBy("l_orderkey", "parts", F.pmod("position", "parts").alias("page"))
+        texts.groupBy("l_orderkey", "parts", "page")
         .agg(F.collect_list("line").alias("lines"))
     )
 

@@ -2,7 +2,7 @@
 
 import random
 import re
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -109,3 +109,35 @@ def test_stored_lines_have_the_columns_that_are_read(spark, sample, monkeypatch)
     with pytest.raises(Stored) as seen:
         sample_queries.stored_metrics(spark, sample)
     assert seen.value.args == ("dwd_order_cart_detail", list(summaries.LINE_COLUMNS))
+
+
+def sample_folder(spark, tmp_path):
+    """Orders of two years, one of them without lines and one with 2,500, and what they name."""
+    keys, noon = range(8, 28), datetime(1995, 5, 5, 12)
+    lines = [(k, 10 + k % 3, n, 2.0, 3.5 + k, 0.05, "N", "O") for k in keys if k != 9 for n in range(1, 2501 if k == 10 else 4)]
+    made = {
+        "orders": ([(k, 8 + k % 4, 10.0 + k, noon.replace(year=1995 + k % 2)) for k in keys], "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP"),
+        "lineitem": (lines, "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_returnflag STRING, l_linestatus STRING"),
+        "part": ([(k, f"p{k}", "B", "T", k, 1.5) for k in range(10, 16)], "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE"),
+        "customer": ([(k, f"c{k}", 0, "M") for k in range(8, 12)], "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING"),
+        "nation": ([(0, "N", 0)], "n_nationkey INT, n_name STRING, n_regionkey INT"),
+        "region": ([(0, "R")], "r_regionkey INT, r_name STRING"),
+    }
+    for name, (rows, schema) in made.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_backfilled_feeds_are_landed_compressed(spark, tmp_path, monkeypatch):
+    folder, root = sample_folder(spark, tmp_path), tmp_path / "landed"
+    monkeypatch.setattr(sample_queries, "_scratch", lambda *_: str(root))
+    audit = {(r.feed, r.dt): (r.read, r.written, r.invalid) for r in sample_queries.backfilled_batches(spark, folder).collect()}
+    assert {p.suffix for p in (root / "ods").rglob("part-*") if "_landed" not in str(p)} == {".gz"}
+    years = {"1995-01-01": (12, 2527, 0), "1996-01-01": (10, 27, 1)}
+    assert audit == {(s, y): counts for y, carts in years.items() for s, counts in (("carts", carts), ("products", (6, 6, 0)), ("users", (4, 4, 0)))}
+
+
+def test_lines_are_dealt_out_before_their_texts_are_made(spark, tmp_path):
+    text = plan(sample_tables.cart_envelopes(spark, sample_folder(spark, tmp_path), "year"))
+    between = re.search(r"StructsToJson(.*?)FileScan parquet \[l_orderkey#\d+L?,l_partkey", text, re.DOTALL)
+    assert "Join" in between[1]
